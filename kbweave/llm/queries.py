@@ -10,6 +10,37 @@ from pyspark.sql import functions as F
 from kbweave.llm.common import table
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kbweave.llm.decontamination import find_contamination
+
+    found = find_contamination(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", *[f"contamination.{c}" for c in ("n_words", "n_hit", "n_items", "items_sha256", "contaminated")])
+
+
+OP4_SQL = r"""
+WITH item AS (
+  SELECT CAST(item_id AS VARCHAR) AS item_id,
+         regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark),
+gram AS (
+  SELECT item_id, least(len(w), 13) AS n, array_to_string(list_slice(w, i, i + least(len(w), 13) - 1), ' ') AS g
+  FROM (SELECT item_id, w, unnest(generate_series(1, len(w) - least(len(w), 13) + 1)) AS i FROM item WHERE len(w) > 0)),
+doc AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w
+  FROM documents),
+place AS (
+  SELECT r, n, i, array_to_string(list_slice(w, i, i + n - 1), ' ') AS g
+  FROM (SELECT r, w, n, unnest(generate_series(1, len(w) - n + 1)) AS i FROM doc, (SELECT DISTINCT n FROM gram) WHERE len(w) >= n)),
+hit AS (SELECT DISTINCT p.r, p.i, p.n, m.item_id FROM place p JOIN gram m ON p.n = m.n AND p.g = m.g),
+covered AS (SELECT r, count(DISTINCT pos) AS n_hit FROM (SELECT r, unnest(generate_series(i, i + n - 1)) AS pos FROM hit) GROUP BY r),
+named AS (SELECT r, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids FROM (SELECT DISTINCT r, item_id FROM hit) GROUP BY r)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM doc LEFT JOIN covered USING (r) LEFT JOIN named USING (r)
+"""
+
+
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from kbweave.llm.secrets import secret_scan
 
@@ -31,8 +62,8 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op5_secret_scan, op7_compression_rules, op8_packing)}
+    return {f.__name__: f for f in (op4_decontamination, op5_secret_scan, op7_compression_rules, op8_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_decontamination": OP4_SQL}

@@ -13,6 +13,7 @@ an empty benchmark contaminates nothing; repeated rows are judged one by one.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -116,10 +117,12 @@ def _by_join(docs: DataFrame, hashed: DataFrame, text: str, out: str, settings:
     keyed = docs.withColumn("__key", F.sha2(F.coalesce(F.col(f"`{text}`"), F.lit("")), 256))
     distinct = keyed.select("__key", F.col(f"`{text}`").alias("__text")).dropDuplicates(["__key"]).select("__key", words_of(F.col("__text")).alias("w"))
     sizes = [r["n"] for r in hashed.select("n").distinct().collect()]
-    each = None
-    for n in sizes:
-        part = distinct.where(F.size("w") >= n).select("__key", F.posexplode(F.transform(F.sequence(F.lit(1), F.size("w") - n + 1), lambda s, n=n: F.slice("w", s, n))).alias("start", "gram"), F.lit(n).alias("n"))
-        each = part if each is None else each.unionByName(part)
+
+    def grams(n: int) -> DataFrame:
+        cut = F.transform(F.sequence(F.lit(1), F.size("w") - n + 1), lambda s: F.slice("w", s, n))
+        return distinct.where(F.size("w") >= n).select("__key", F.posexplode(cut).alias("start", "gram"), F.lit(n).alias("n"))
+
+    each = reduce(DataFrame.unionByName, map(grams, sizes))
     found = each.withColumn("hash", F.xxhash64("gram")).join(hashed, ["n", "hash"]).where(F.col("gram") == F.col("words"))
     hits = found.groupBy("__key").agg(F.collect_list(F.struct(F.col("start").cast("int").alias("start"), F.col("n"), "item_ids")).alias("__hits"))
     none = F.array().cast("array<struct<start:int,n:int,item_ids:array<string>>>")

@@ -10,6 +10,13 @@ from pyspark.sql import functions as F
 from kbweave.llm.common import table
 
 
+def op3_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kbweave.llm.surrogates import replace_pii
+
+    replaced = replace_pii(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return replaced.select("doc_id", "text", "pii.*")
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from kbweave.llm.decontamination import find_contamination
 
@@ -62,7 +69,7 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_decontamination, op5_secret_scan, op7_compression_rules, op8_packing)}
+    return {f.__name__: f for f in (op3_surrogates, op4_decontamination, op5_secret_scan, op7_compression_rules, op8_packing)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -7,7 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kbweave.llm.common import table
+from kbweave.llm.common import held_out, table
+
+
+def op2_quality_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kbweave.llm.quality_cnn import classify, fit
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    net = fit(docs, table(spark, sf_dir, "labels"), F.crc32(F.col("doc_id").cast("string")) % 5 != 0)
+    return classify(docs, net).select("doc_id", held_out("doc_id", 5, 0).alias("held_out"), "quality.score", "quality.predicted")
 
 
 def op3_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,6 +63,15 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "secrets.n_assign", "secrets.n_access", "secrets.n_hex", "secrets.base_sha256", F.col("secrets.spans_text").alias("spans"), "secrets.n_novel")
 
 
+def op6_language_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kbweave.llm.language_crf import fit, identify
+
+    docs = table(spark, sf_dir, "documents")
+    model = fit(docs.select("doc_id", "text", "lang"), F.crc32(F.col("doc_id").cast("string")) % 4 != 2)
+    found = identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", held_out("doc_id", 4, 2).alias("held_out"), F.col("language.lang").alias("lang_pred"), "language.score")
+
+
 def op7_compression_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from kbweave.llm.compression_rules import compression_rules
 
@@ -69,7 +86,7 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_surrogates, op4_decontamination, op5_secret_scan, op7_compression_rules, op8_packing)}
+    return {f.__name__: f for f in (op2_quality_cnn, op3_surrogates, op4_decontamination, op5_secret_scan, op6_language_crf, op7_compression_rules, op8_packing)}
 
 
 def oracle_sql() -> dict[str, str]:

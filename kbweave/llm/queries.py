@@ -85,8 +85,15 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op9_page_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kbweave.llm.page_templates import extract_main_text
+
+    found = extract_main_text(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", F.col("main_text").alias("text"), F.length("main_text").cast("long").alias("n_chars"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_quality_cnn, op3_surrogates, op4_decontamination, op5_secret_scan, op6_language_crf, op7_compression_rules, op8_packing)}
+    return {f.__name__: f for f in (op2_quality_cnn, op3_surrogates, op4_decontamination, op5_secret_scan, op6_language_crf, op7_compression_rules, op8_packing, op9_page_templates)}
 
 
 def oracle_sql() -> dict[str, str]:

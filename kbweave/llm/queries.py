@@ -10,6 +10,13 @@ from pyspark.sql import functions as F
 from kbweave.llm.common import held_out, table
 
 
+def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kbweave.llm.minhash import near_duplicates
+
+    found = near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "class_id", "class_size", "n_links", "n_shingles")
+
+
 def op2_quality_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     from kbweave.llm.quality_cnn import classify, fit
 
@@ -93,7 +100,7 @@ def op9_page_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_quality_cnn, op3_surrogates, op4_decontamination, op5_secret_scan, op6_language_crf, op7_compression_rules, op8_packing, op9_page_templates)}
+    return {f.__name__: f for f in (op1_minhash, op2_quality_cnn, op3_surrogates, op4_decontamination, op5_secret_scan, op6_language_crf, op7_compression_rules, op8_packing, op9_page_templates)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -99,8 +99,14 @@ def op9_page_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "url", F.col("main_text").alias("text"), F.length("main_text").cast("long").alias("n_chars"))
 
 
+def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kbweave.llm.repeats import remove_repeats
+
+    return remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_minhash, op2_quality_cnn, op3_surrogates, op4_decontamination, op5_secret_scan, op6_language_crf, op7_compression_rules, op8_packing, op9_page_templates)}
+    return {f.__name__: f for f in (op1_minhash, op2_quality_cnn, op3_surrogates, op4_decontamination, op5_secret_scan, op6_language_crf, op7_compression_rules, op8_packing, op9_page_templates, op10_repeats)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -1,0 +1 @@
+"""kbweave: incremental knowledge-base building and hybrid retrieval on PySpark."""

@@ -63,6 +63,10 @@ def metadata_block(fixed: Column, flat: Column, head: Column, depth: Column) ->
     return F.map_concat(fixed, more, rest, deep)
 
 
+#: Open elements that a start tag ends.
+ENDED_BY = {"li": {"li"}, "p": {"p"}, "td": {"td", "th"}, "th": {"td", "th"}, "tr": {"td", "th", "tr"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option"}, **{h: {"p"} for h in ("h1", "h2", "h3", "h4", "ul", "ol", "table", "div")}}
+
+
 class _Reader(HTMLParser):
     """Flat list of (tag, attributes, text) in document order; text is what stands inside until the element ends."""
 
@@ -72,6 +76,12 @@ class _Reader(HTMLParser):
         self.open: list[int] = []
 
     def handle_starttag(self, tag, attrs):
+        for k in range(len(self.open) - 1, -1, -1):  # end tags that may be left out
+            outer = self.items[self.open[k]][0]
+            if outer in ENDED_BY.get(tag, ()):
+                del self.open[k:]
+            elif outer in ("table", "ul", "ol", "dl", "select"):
+                break
         self.items.append([tag, dict(attrs), []])
         if tag not in ("br", "img", "input", "link", "meta", "hr"):
             self.open.append(len(self.items) - 1)

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,30 +30,43 @@ class RunOptions:
             raise ValueError("chunk_size must be positive and chunk_overlap not negative")
 
 
-@F.pandas_udf(T.ArrayType(T.FloatType()))
-def _hashed_vectors(texts, dims):
+def hashed_model(dims: int) -> Callable[[list[str]], list[list[float]]]:
+    """Unit vectors of hashed words: the offline stand-in for a sentence model, deterministic and without files."""
     import re
     import zlib
 
-    import numpy as np
+    def encode(texts: list[str]) -> list[list[float]]:
+        out = []
+        for text in texts:
+            sums = [0.0] * dims
+            for word in re.findall("[a-z0-9]+", text.lower()):
+                code = zlib.crc32(word.encode())
+                sums[code % dims] += 1 if code >> 31 else -1
+            size = sum(x * x for x in sums) ** 0.5
+            out.append([x / size for x in sums] if size else sums)
+        return out
 
-    def one(text, n):
-        v = np.zeros(n, np.float32)
-        for t in re.findall("[a-z0-9]+", (text or "").lower()):
-            h = zlib.crc32(t.encode())
-            v[h % n] += 1 if h & (1 << 31) else -1
-        size = np.linalg.norm(v)
-        return v / size if size else v
+    return encode
 
-    return texts.combine(dims, one)
 
+def embed(records: DataFrame, model: Callable[[int], Callable[[list[str]], list[list[float]]]] = hashed_model, dims: int = 384, text: str = "embedding_text", batch: int = 32) -> DataFrame:
+    """records with a text, plus `embedding`. The model is made once per task and gets `batch` texts at a time; a task without rows makes none."""
+    schema = T.StructType([*records.schema.fields, T.StructField("embedding", T.ArrayType(T.FloatType()))])
+    at = records.columns.index(text)
 
-def hashed_embedding(text: Column, dims: int) -> Column:
-    """Unit vector of hashed words: the offline stand-in for a sentence model, deterministic and without files."""
-    return _hashed_vectors(text, F.lit(dims))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode = None
+        for rows in batches:
+            if rows.num_rows:
+                encode = encode or model(dims)
+                texts = rows.column(at).to_pylist()
+                vectors = [v for s in range(0, len(texts), batch) for v in encode(texts[s : s + batch])]
+                yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(vectors, pa.list_(pa.float32()))], [*rows.schema.names, "embedding"])
 
+    return records.where(F.coalesce(F.col(text), F.lit("")) != "").mapInArrow(run, schema)
 
-def ingest(pages: DataFrame, snapshots: DataFrame, options: RunOptions = RunOptions(), embed: Callable[[Column, int], Column] = hashed_embedding, records: DataFrame | None = None, trusted_urls: bool = False) -> dict[str, DataFrame]:
+
+def ingest(pages: DataFrame, snapshots: DataFrame, options: RunOptions = RunOptions(), model: Callable[[int], Callable[[list[str]], list[list[float]]]] = hashed_model, records: DataFrame | None = None, trusted_urls: bool = False) -> dict[str, DataFrame]:
     """pages(source_url, title, description, keywords, markdown, success, status_code, ord) -> changes, chunks (with vectors)."""
     kept = filter_pages(pages, options.rules)
     keyed = kept.withColumn("normalized_url", normalize_url(F.col("source_url"), clean=trusted_urls))
@@ -67,7 +81,7 @@ def ingest(pages: DataFrame, snapshots: DataFrame, options: RunOptions = RunOpti
         body = F.coalesce("content", "markdown")
     chunks = chunking.explode_chunks(delta.withColumn("__body", body), "__body", "normalized_url", options.chunk_size, options.chunk_overlap).drop("__body")
     text = chunking.embedding_text(F.col("title"), F.col("description"), split_keywords(F.col("keywords")), F.col("source_url"), F.col("chunk"))
-    vectors = chunks.withColumn("embedding_text", text).where("embedding_text <> ''").withColumn("embedding", embed(F.col("embedding_text"), options.dims))
+    vectors = embed(chunks.withColumn("embedding_text", text), model, options.dims)
     return {"changes": changes, "chunks": vectors.withColumn("_id", F.col("doc_id")).withColumn("page_id", doc_id(F.col("normalized_url")))}
 
 

@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from kbweave.llm import decontamination, language_crf, minhash, packing, secrets
 from kbweave.llm.common import materialize, table
 
-#: Documents whose likeliest language has less of the words' posterior mass than this are rejected, as are those without any letter.
-LEAST_LANGUAGE_SHARE = 0.5
+#: Documents whose likeliest language has less of the words' posterior mass than this are rejected, as are those without any letter; texts that switch between two languages stay.
+LEAST_LANGUAGE_SHARE = 0.35
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -165,6 +165,46 @@ def page_detail(html):
     return parse_detail(html)
 
 
+#: Where a reward page keeps its fields, as (tag, attribute, value or prefix of it).
+REWARD_FIELDS = {"name": ("h1", "class", "product-title"), "price": ("h2", "class", "new-price"), "pay": ("div", "id", "pointsnpay"), "delivery": ("h3", "id", "estimated-delivery"), "cities": ("span", "class", "rwd-tooltip"), "code": ("span", "id", "item-code")}
+
+
+def parse_reward(html: str | None) -> dict:
+    """Name, points, points and cash, item codes, features, delivery days and cities of a reward page."""
+    import re
+
+    found: dict[str, str] = {}
+    out: dict = {"item_code_points": None, "item_code_pointspay": None, "features": []}
+    for tag, attrs, text in elements(html):
+        for field, (t, attribute, value) in REWARD_FIELDS.items():
+            if tag == t and any(v.startswith(value) for v in (attrs.get(attribute) or "").split()):
+                found.setdefault(field, text)
+        if tag == "input" and (attrs.get("data-itemcode") or "").strip():
+            kind = "item_code_pointspay" if "points+pay" in (attrs.get("data-paytype") or "").lower().replace(" ", "") else "item_code_points"
+            out[kind] = attrs["data-itemcode"].strip()
+        if tag == "li" and text:
+            out["features"].append(text)
+    number = lambda s: int(s.replace(",", "")) if s else None
+    price = re.search(r"(\d[\d,]+)", found.get("price", ""))
+    pay = re.search(r"(?i)pay[:\s]+([\d,]+)\s*\+\s*(?:Rs\.?|₹)\s*([\d,]+)", found.get("pay", ""))
+    days = re.search(r"\d+", found.get("delivery", ""))
+    cities = re.sub(r"(?i)^only\s+available\s+in\s*", "", found.get("cities", ""))
+    return out | {
+        "product_name": found.get("name") or None,
+        "points_only": number(price and price.group(1)),
+        "points_pay_points": number(pay and pay.group(1)),
+        "points_pay_cash": number(pay and pay.group(2)),
+        "item_code_points": out["item_code_points"] or found.get("code"),
+        "estimated_delivery_days": number(days and days.group()),
+        "available_cities": [c.strip() for c in cities.split(",") if c.strip()],
+    }
+
+
+@F.udf("product_name string, points_only int, points_pay_points int, points_pay_cash int, item_code_points string, item_code_pointspay string, features array<string>, estimated_delivery_days int, available_cities array<string>", useArrow=True)
+def reward_detail(html):
+    return parse_reward(html)
+
+
 @F.udf(T.ArrayType(T.StructType([T.StructField("href", T.StringType()), T.StructField("text", T.StringType())])), useArrow=True)
 def page_links(html):
     """Anchors in order, the first of each target."""

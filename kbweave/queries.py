@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kbweave.functions import classify, dates, html, text, urls
-from kbweave.operators import cdc, chunking, enrich, index, pages
+from kbweave.operators import catalogue, cdc, chunking, enrich, index, pages
 from kbweave.plans import search
 from kbweave.plans.pipeline import run_status
 from kbweave.streaming.micro_batch import event_windows
@@ -328,6 +328,64 @@ def q_crawl_summary(spark: SparkSession, d: str) -> DataFrame:
     return pages.crawl_summary(rows, RULES)
 
 
+OFFER_SQL = "SELECT doc_id, 'https://www.example.com/o/' || doc_id AS u, CASE WHEN doc_id % 3 = 0 THEN '' ELSE 'Brand ' || source END AS brand, trim(left(text, 30), ' ' || chr(10)) AS line FROM documents"
+
+
+def offers(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents")
+    url = F.concat(F.lit("https://www.example.com/o/"), F.col("doc_id").cast("string"))
+    cards = docs.select(url.alias("offer_url"), F.when(F.col("doc_id") % 3 == 0, "").otherwise(F.concat(F.lit("Brand "), F.col("source"))).alias("brand_name"), F.lit("hover").alias("hover_text"), F.lit("5% off").alias("discount_text"), F.col("source").alias("primary_category"), F.lit(None).cast("string").alias("sub_category"))
+    nothing = F.array().cast("array<string>")
+    lines = F.array(text.strip(F.left("text", F.lit(30))), F.lit("10% cashback"), F.lit(" "))
+    details = docs.where("doc_id % 2 = 0").select(url.alias("offer_url"), F.lit("Detail").alias("offer_title"), F.lit("").alias("offer_description"), F.lit(None).cast("string").alias("discount_text"), F.when(F.col("doc_id") % 4 == 0, "SAVE").alias("promo_code"), F.lit(None).cast("date").alias("offer_start_date"), lines.alias("summary_text"), nothing.alias("eligible_cards"), nothing.alias("steps_to_avail"), nothing.alias("terms_and_conditions"), F.array().cast("array<map<string,string>>").alias("summary_table"))
+    return catalogue.offer_documents(cards, details)
+
+
+@query(f"""
+SELECT u AS source_url, CASE WHEN doc_id % 2 = 0 THEN 'Detail' ELSE 'hover' END AS offer_title, '5% off' AS discount_text, CASE WHEN doc_id % 4 = 0 THEN 'SAVE' END AS promo_code,
+ CASE WHEN doc_id % 2 = 1 THEN 'general' WHEN contains(lower(line), 'no cost emi') THEN 'no_cost_emi' WHEN contains(lower(line), 'emi') THEN 'emi' ELSE 'cashback' END AS offer_type, brand AS brand_name FROM ({OFFER_SQL})
+""")
+def q_offer_documents(spark: SparkSession, d: str) -> DataFrame:
+    return offers(spark, d).select("source_url", "offer_title", "discount_text", "promo_code", "offer_type", "brand_name")
+
+
+@query(f"""
+SELECT u AS source_url, coalesce(nullif(concat_ws(' | ', nullif(brand, ''), b), ''), 'Offer') AS title, coalesce(b, '') AS markdown, '/o/' || doc_id AS path FROM (
+ SELECT *, CASE WHEN doc_id % 2 = 0 THEN concat_ws(' | ', nullif(line, ''), '10% cashback') END AS b FROM ({OFFER_SQL}))
+""")
+def q_offer_pages(spark: SparkSession, d: str) -> DataFrame:
+    return catalogue.offer_pages(offers(spark, d)).select("source_url", "title", "markdown", "path")
+
+
+@query("""
+SELECT p_partkey AS item_id, CASE WHEN p_partkey % 2 = 0 THEN 'Part ' || p_partkey ELSE 'Listed' END AS title, CASE WHEN p_partkey % 2 = 0 THEN 'A travel mug' || chr(10) || chr(10) ELSE '' END || '## Reward details' || chr(10) || '- Points only: ' || (p_partkey % 7 + 1)
+ || CASE WHEN p_partkey % 2 = 0 THEN chr(10) || '- Points + Pay: 3 + ₹0' ELSE '' END || chr(10) || '- Category: ' || CASE WHEN p_partkey % 2 = 0 THEN 'Travel & Holiday' ELSE 'General' END
+ || chr(10) || '- Redemption type: ' || CASE WHEN p_partkey % 2 = 0 THEN 'travel' ELSE 'physical_product' END || chr(10) || '- Brand: ' || CASE WHEN p_partkey % 2 = 0 THEN 'Part' ELSE 'Listed' END
+ || CASE WHEN p_partkey % 2 = 0 THEN chr(10) || chr(10) || '## Features' || chr(10) || '[features] light | ' || p_partkey ELSE '' END AS markdown FROM part
+""")
+def q_reward_pages(spark: SparkSession, d: str) -> DataFrame:
+    key = F.col("p_partkey").cast("string")
+    url = F.concat(F.lit("https://www.example.com/r/"), key)
+    parts = table(spark, d, "part")
+    listing = parts.select(F.col("p_partkey").alias("item_id"), url.alias("detail_url"), F.lit("Listed").alias("product_name"), (F.col("p_partkey") % 7 + 1).alias("points_only"), F.lit("").alias("category"), F.lit("").alias("brand_name"))
+    nothing = F.array().cast("array<string>")
+    details = parts.where("p_partkey % 2 = 0").select(url.alias("detail_url"), F.concat(F.lit("Part "), key).alias("product_name"), F.lit(0).cast("long").alias("points_only"), F.lit(3).alias("points_pay_points"), F.lit(None).cast("int").alias("points_pay_cash"), F.lit("A travel mug").alias("product_description"), F.array(F.lit("light"), key).alias("features"), nothing.alias("available_cities"), nothing.alias("terms_and_conditions"))
+    made = catalogue.reward_documents(listing, details)
+    return catalogue.reward_pages(made).select(F.regexp_extract("source_url", "([0-9]+)$", 1).cast("long").alias("item_id"), "title", "markdown")
+
+
+@query("""
+SELECT c_custkey AS id, CASE WHEN c_custkey % 5 = 0 THEN '' ELSE 'bio ' || c_custkey END AS bio FROM customer
+""")
+def q_match_bios(spark: SparkSession, d: str) -> DataFrame:
+    who = table(spark, d, "customer")
+    key = F.col("c_custkey").cast("string")
+    people = who.select(F.col("c_custkey").alias("id"), F.concat(F.lit("Ann "), "c_name").alias("name"), F.concat(F.lit("alt"), key).alias("alt_name"))
+    shown = F.when(F.col("c_custkey") % 3 == 0, F.concat(F.lit("Ann "), "c_name")).when(F.col("c_custkey") % 3 == 1, F.concat(F.lit("alt"), key)).otherwise(F.concat(F.lit("Bob "), "c_name"))
+    bios = who.where("c_custkey % 5 <> 0").select(shown.alias("bio_name"), F.concat(F.lit("bio "), key).alias("bio"), F.col("c_custkey").alias("ord"))
+    return catalogue.match_bios(people, bios).select("id", "bio")
+
+
 # ---------------------------------------------------------------- change detection
 
 URL_SQL = "'https://www.example.com/en/' || lang || '/' || source || '/doc-' || doc_id || '.page'"

@@ -81,6 +81,15 @@ def test_html(spark):
     assert one(spark, html.page_links(F.col("h")), h="<a href='/x'>one</a><a href='/x'>two</a>")[0]["text"] == "one"
 
 
+def test_reward_detail(spark):
+    page = "<h1 class='product-title'>Mug</h1><h2 class='new-price'>1,200 pts</h2><div id='pointsnpay1'>Pay: 300 + Rs. 4,500</div><input data-itemcode='A1' data-paytype='Points'><input data-itemcode='B2' data-paytype='Points + Pay'><div class='brief-features'><ul><li>light<li>blue</ul></div><h3 id='estimated-delivery'>in 7 days</h3><span class='rwd-tooltip'>Only available in Pune, Delhi</span>"
+    got = one(spark, html.reward_detail(F.col("h")), h=page)
+    assert (got["product_name"], got["points_only"], got["points_pay_points"], got["points_pay_cash"]) == ("Mug", 1200, 300, 4500)
+    assert (got["item_code_points"], got["item_code_pointspay"], got["estimated_delivery_days"]) == ("A1", "B2", 7)
+    assert got["features"] == ["light", "blue"] and got["available_cities"] == ["Pune", "Delhi"]
+    assert one(spark, html.reward_detail(F.col("h")), h="")["points_only"] is None
+
+
 def test_chunker_vectors(spark):
     def pack(sizes):
         parts = [chr(97 + i) * n for i, n in enumerate(sizes)]

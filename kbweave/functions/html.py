@@ -200,7 +200,14 @@ def parse_reward(html: str | None) -> dict:
     }
 
 
-@F.udf("product_name string, points_only int, points_pay_points int, points_pay_cash int, item_code_points string, item_code_pointspay string, features array<string>, estimated_delivery_days int, available_cities array<string>", useArrow=True)
+REWARD = T.StructType(
+    [T.StructField(n, T.StringType()) for n in ("product_name", "item_code_points", "item_code_pointspay")]
+    + [T.StructField(n, T.IntegerType()) for n in ("points_only", "points_pay_points", "points_pay_cash", "estimated_delivery_days")]
+    + [T.StructField(n, T.ArrayType(T.StringType())) for n in ("features", "available_cities")]
+)
+
+
+@F.udf(REWARD, useArrow=True)
 def reward_detail(html):
     return parse_reward(html)
 

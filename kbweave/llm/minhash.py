@@ -3,8 +3,8 @@
 Texts are multisets of five-word shingles (lower-cased words). BagMinHash signatures come from hierarchical Poisson processes over discretised
 multiplicities, so that two signatures agree in a component with the probability of the weighted Jaccard similarity. Bands of the signatures give buckets; in each
 bucket every text is compared with the bucket's most popular text, the multiset overlap of the two texts is verified exactly,
-and links of at least `similarity` join texts into classes. Where a bucket still holds several classes, the texts of different classes are compared
-with each other, so that no link between texts that share a bucket is lost.
+and links of at least `similarity` join texts into classes. Where a bucket still holds several classes, the pairs across classes that can reach
+the threshold are derived from the texts' profiles relative to the leader, so that no link between texts that share a bucket is lost and no group is paired up in full.
 
 Exact copies are collapsed by the digest of their text before anything is shuffled by band; a bucket's size never decides whether a text is
 compared. Defined results: null and empty texts are copies of each other; texts of fewer than five words are one shingle; repeated rows are
@@ -22,6 +22,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -168,8 +169,8 @@ def text_key(text):
     return F.unhex(F.md5(F.coalesce(text, F.lit(""))))
 
 
-def verify(pairs: DataFrame, docs: DataFrame, text: str, settings: Settings) -> DataFrame:
-    """(a, b, similarity) of the pairs whose multiset overlap reaches the threshold.
+def _met(pairs: DataFrame, docs: DataFrame, text: str) -> DataFrame:
+    """(a, b, text_a, text_b) of the pairs of keys.
 
     Every text is read where it lies, takes the list of its partners along and is sent once for each; the partners' texts (b) are few.
     """
@@ -177,6 +178,11 @@ def verify(pairs: DataFrame, docs: DataFrame, text: str, settings: Settings) ->
     side = keyed.join(pairs.select(F.col("b").alias("key")).distinct(), "key", "left_semi").dropDuplicates(["key"])
     mine = keyed.join(pairs.groupBy(F.col("a").alias("key")).agg(F.collect_set("b").alias("partners")), "key").dropDuplicates(["key"])
     met = mine.select(F.col("key").alias("a"), F.col("text").alias("text_a"), F.explode("partners").alias("b")).join(side.select(F.col("key").alias("b"), F.col("text").alias("text_b")), "b")
+    return met.select("a", "b", "text_a", "text_b")
+
+
+def verify(pairs: DataFrame, docs: DataFrame, text: str, settings: Settings) -> DataFrame:
+    """(a, b, similarity) of the pairs whose multiset overlap reaches the threshold."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last_key, last = None, Counter()
@@ -192,18 +198,72 @@ def verify(pairs: DataFrame, docs: DataFrame, text: str, settings: Settings) ->
                 a, b, s = zip(*rows, strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary()), pa.array(s)], ["a", "b", "similarity"])
 
-    return met.select("a", "b", "text_a", "text_b").mapInArrow(run, "a binary, b binary, similarity double")
+    return _met(pairs, docs, text).mapInArrow(run, "a binary, b binary, similarity double")
+
+
+def profile(pairs: DataFrame, docs: DataFrame, text: str, settings: Settings) -> DataFrame:
+    """(a, b, n, inside, excess): a's size, its overlap with b, and the codes of the shingles that a has more often than b, with how much more often."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last_key, last = None, {}
+        for batch in batches:
+            rows = []
+            for a, b, ta, tb in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if b != last_key:
+                    _, code, many = shingle_codes([tb], settings.words)
+                    last_key, last = b, dict(zip(code.view(np.int64).tolist(), many.tolist(), strict=True))
+                _, code, many = shingle_codes([ta], settings.words)
+                code, have = code.view(np.int64), np.fromiter((last.get(c, 0) for c in code.view(np.int64).tolist()), np.int64, len(code))
+                rows.append((a, b, int(many.sum()), int(np.minimum(many, have).sum()), [{"code": c, "more": m} for c, m in zip(code[many > have].tolist(), (many - have)[many > have].tolist(), strict=True)]))
+            if rows:
+                kinds = [pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.list_(pa.struct([("code", pa.int64()), ("more", pa.int64())]))]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], ["a", "b", "n", "inside", "excess"])
+
+    return _met(pairs, docs, text).mapInArrow(run, "a binary, b binary, n bigint, inside bigint, excess array<struct<code:bigint,more:bigint>>")
 
 
-def components(links: DataFrame) -> DataFrame:
+def pairs_across(profiles: DataFrame, labels: DataFrame, settings: Settings) -> DataFrame:
+    """(a, b): all pairs of different classes under one leader that can reach the threshold, without generating the others.
+
+    What two texts share is at most what the smaller of them shares with the leader, plus what both have beyond the leader. A pair that needs
+    some of the latter is found by prefix filtering: a text that needs r of its surplus to be shared is listed under its rarest surplus shingles
+    only, up to the last r - 1. A pair that needs none has sizes and overlaps that fit, as only texts close below the threshold have.
+    """
+    c = settings.similarity / (1 + settings.similarity)
+    slack = 1e-9
+    label = labels.select(F.col("key"), "label")
+    known = profiles.join(label.toDF("a", "la"), "a", "left").withColumn("la", F.coalesce("la", "a")).join(label.toDF("b", "lb"), "b", "left").withColumn("lb", F.coalesce("lb", "b"))
+    known = materialize(known.select("a", "b", "la", "lb", "n", "inside", "excess"), "profiles")
+    least = known.groupBy("b").agg(F.min("n").alias("least"))
+    each = known.select("a", "b", "la", "n", "inside", F.explode("excess").alias("x")).select("a", "b", "la", "n", "inside", "x.code", "x.more")
+    spread = each.groupBy("b", "code").agg(F.count("*").alias("texts"), F.min("la").alias("low"), F.max("la").alias("high"))
+    rarest = W.partitionBy("a", "b").orderBy("texts", "code").rowsBetween(W.unboundedPreceding, -1)
+    placed = each.join(spread, ["b", "code"]).join(least, "b").withColumn("before", F.coalesce(F.sum("more").over(rarest), F.lit(0)))
+    needed = F.greatest(F.lit(1), F.ceil(c * (F.col("n") + F.col("least")) - F.col("inside") - slack))
+    held = placed.where("low < high").where(F.col("n") - F.col("inside") - F.col("before") >= needed).select("a", "b", "code", "la", "n", "inside")
+    one = held.select(*[F.col(n).alias(f"x_{n}") for n in held.columns])
+    two = held.select(*[F.col(n).alias(f"y_{n}") for n in held.columns])
+    room = F.least("x_inside", "y_inside") + F.least(F.col("x_n") - F.col("x_inside"), F.col("y_n") - F.col("y_inside"))
+    first = one.join(two, (F.col("x_b") == F.col("y_b")) & (F.col("x_code") == F.col("y_code")) & (F.col("x_la") < F.col("y_la")) & (room >= c * (F.col("x_n") + F.col("y_n")) - slack)).select(F.col("x_a").alias("a"), F.col("y_a").alias("b"))
+    fits = known.drop("excess").join(least, "b").where(F.col("inside") >= c * (F.col("n") + F.col("least")) - slack)
+    out = fits.where("la <> lb").select(*[F.col(n).alias(f"x_{n}") for n in fits.columns])
+    every = fits.select(*[F.col(n).alias(f"y_{n}") for n in fits.columns])
+    close = F.least("x_inside", "y_inside") >= c * (F.col("x_n") + F.col("y_n")) - slack
+    second = out.join(every, (F.col("x_b") == F.col("y_b")) & (F.col("x_la") != F.col("y_la")) & close).select(F.col("x_a").alias("a"), F.col("y_a").alias("b"))
+    return first.union(second).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def components(links: DataFrame, max_broadcast: int = 200_000) -> DataFrame:
     """(key, label) for every end of a link; label is the least key of the component. Least labels spread along the links, with
-    a jump to the label's own label in every round, until nothing changes."""
+    a jump to the label's own label in every round, until nothing changes. Up to max_broadcast labels travel to every executor, more are joined by shuffle."""
     both = materialize(links.select("a", "b").union(links.select("b", "a")).toDF("a", "b").distinct(), "links")
     labels = materialize(both.groupBy(F.col("a").alias("key")).agg(F.min("b").alias("m")).select("key", F.least("key", "m").alias("label")), "labels")
+    small = labels.count() <= max_broadcast
+    side = F.broadcast if small else (lambda df: df)
     while True:
-        heard = both.join(labels, both.b == labels.key).groupBy("a").agg(F.min("label").alias("heard"))
-        near = labels.join(heard, labels.key == heard.a).select("key", F.col("label").alias("old"), F.least("label", "heard").alias("label"))
-        jump = near.join(labels.select(F.col("key").alias("label"), F.col("label").alias("next")), "label", "left")
+        heard = both.join(side(labels), both.b == labels.key).groupBy("a").agg(F.min("label").alias("heard"))
+        near = heard.join(side(labels), labels.key == heard.a).select("key", F.col("label").alias("old"), F.least("label", "heard").alias("label"))
+        jump = near.join(side(labels.select(F.col("key").alias("label"), F.col("label").alias("next"))), "label", "left")
         fresh = materialize(jump.select("key", "old", F.least("label", F.coalesce("next", "label")).alias("label")), "labels")
         changed = fresh.where(F.col("old") != F.col("label")).limit(1).count()
         drop_materialized(labels)
@@ -213,6 +273,16 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
+def join_classes(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """labels after further links: the classes that the links join are themselves the ends of links, and only those are walked again."""
+    of = lambda side: F.coalesce(F.col(f"l{side}"), F.col(side)).alias(side)
+    raised = links.join(labels.toDF("a", "la"), "a", "left").join(labels.toDF("b", "lb"), "b", "left").select(of("a"), of("b")).where("a <> b")
+    moved = components(materialize(raised.distinct(), "classes")).toDF("old", "new")
+    ends = links.select(F.col("a").alias("key")).union(links.select("b")).distinct().join(labels, "key", "left_anti").select("key", F.col("key").alias("label"))
+    every = labels.unionByName(ends)
+    return materialize(every.join(moved, every.label == moved.old, "left").select("key", F.coalesce("new", "label").alias("label")), "labels")
+
+
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "text", settings: Settings = Settings()) -> DataFrame:
     """One row per document: doc_id, class_id, class_size, n_links (verified links of its text), n_shingles, representative."""
     signed = materialize(sign(docs, id_column, text, settings), "signatures")
@@ -220,25 +290,21 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
     each = distinct.select("key", F.explode("bands").alias("h"))
     shared = materialize(each.join(each.groupBy("h").agg(F.count("*").alias("n")).where("n > 1"), "h"), "buckets")
     popular = shared.groupBy("key").agg(F.sum("n").alias("popularity"))
-    leaders = shared.join(popular, "key").groupBy("h").agg(F.max(F.struct("popularity", "key"))["key"].alias("leader"))
+    leaders = materialize(shared.join(popular, "key").groupBy("h").agg(F.max(F.struct("popularity", "key"))["key"].alias("leader")), "leaders")
     stars = shared.join(leaders, "h").where(F.col("key") != F.col("leader")).select(F.col("key").alias("a"), F.col("leader").alias("b")).distinct()
     tried = materialize(stars, "stars")
     links = materialize(verify(tried, docs, text, settings), "verified")
     labels = components(links)
-    # buckets in which different classes meet: their texts are compared across classes
+    # buckets in which different classes meet: what may link them is found relative to the bucket's leader, which all of its texts were compared with
     marked = shared.select("h", "key").join(labels, "key", "left").withColumn("label", F.coalesce("label", "key"))
     mixed = marked.groupBy("h").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("h")
-    across = materialize(marked.join(mixed, "h"), "mixed")
-    left = across.select("key", "h", "label").toDF("a", "h", "la")
-    right = across.select("key", "h", "label").toDF("b", "h", "lb")
-    open_pairs = left.join(right, "h").where(F.col("la") < F.col("lb")).select("a", "b").distinct()
-    reverse = tried.select(F.col("b").alias("a"), F.col("a").alias("b"))
-    rest = materialize(open_pairs.join(tried.unionByName(reverse), ["a", "b"], "left_anti"), "across")
+    heads = leaders.join(mixed, "h").select(F.col("leader").alias("b")).distinct()
+    rest = materialize(pairs_across(profile(tried.join(heads, "b", "left_semi"), docs, text, settings), labels, settings), "across")
     if not rest.isEmpty():
         more = materialize(verify(rest, docs, text, settings), "verified")
         if not more.isEmpty():
             links = links.unionByName(more)
-            labels = components(links)
+            labels = join_classes(labels, more)
     degree = links.select("a", "b").union(links.select("b", "a")).toDF("a", "b").distinct().groupBy(F.col("a").alias("key")).agg(F.count("*").alias("n_links"))
     known = labels.join(degree, "key", "left")
     classed = signed.select("doc_id", "key", "n_shingles").join(known, "key", "left").withColumn("label", F.coalesce("label", "key"))
@@ -250,7 +316,11 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
 def keep_representatives(docs: DataFrame, id_column: str = "doc_id", text: str = "text", settings: Settings = Settings()) -> DataFrame:
     """docs with one row of each class, that of the least id; of repeated rows with this id one stays."""
     found = near_duplicates(docs, id_column, text, settings)
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias("__id"), F.col("key").alias("__key")).groupBy("__id").agg(F.min("__key").alias("__key"))
+    first = found.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).groupBy(F.col("doc_id").alias("__id"), F.col("key").alias("__key")).agg(F.count("*").alias("__rows"))
+    # texts of one id: the least key stays
+    kept = materialize(first.groupBy("__id").agg(F.min_by(F.struct("__key", "__rows"), "__key").alias("k")).select("__id", "k.*"), "kept")
     marked = docs.withColumn("__key", text_key(F.col(f"`{text}`")))
     joined = marked.join(kept, marked[id_column].eqNullSafe(kept["__id"]) & (marked["__key"] == kept["__key"]), "left_semi")
-    return joined.dropDuplicates([id_column, "__key"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    if not kept.where("__rows > 1").isEmpty():  # texts are dealt out once more only where rows repeat
+        joined = joined.dropDuplicates([id_column, "__key"])
+    return joined.select(*[F.col(f"`{c}`") for c in docs.columns])

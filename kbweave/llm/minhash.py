@@ -169,14 +169,16 @@ def text_key(text):
     return F.unhex(F.md5(F.coalesce(text, F.lit(""))))
 
 
-def _met(pairs: DataFrame, docs: DataFrame, text: str) -> DataFrame:
+def _met(pairs: DataFrame, docs: DataFrame, text: str, max_broadcast: int = 200_000) -> DataFrame:
     """(a, b, text_a, text_b) of the pairs of keys.
 
     Every text is read where it lies, takes the list of its partners along and is sent once for each; the partners' texts (b) are few.
+    Up to max_broadcast pairs travel to the texts, so that texts without a partner are not moved; longer lists are joined by shuffle.
     """
+    send = F.broadcast if pairs.count() <= max_broadcast else (lambda df: df)
     keyed = docs.select(text_key(F.col(text)).alias("key"), F.col(text).alias("text"))
-    side = keyed.join(pairs.select(F.col("b").alias("key")).distinct(), "key", "left_semi").dropDuplicates(["key"])
-    mine = keyed.join(pairs.groupBy(F.col("a").alias("key")).agg(F.collect_set("b").alias("partners")), "key").dropDuplicates(["key"])
+    side = keyed.join(send(pairs.select(F.col("b").alias("key")).distinct()), "key", "left_semi").dropDuplicates(["key"])
+    mine = keyed.join(send(pairs.groupBy(F.col("a").alias("key")).agg(F.collect_set("b").alias("partners"))), "key").dropDuplicates(["key"])
     met = mine.select(F.col("key").alias("a"), F.col("text").alias("text_a"), F.explode("partners").alias("b")).join(side.select(F.col("key").alias("b"), F.col("text").alias("text_b")), "b")
     return met.select("a", "b", "text_a", "text_b")
 
@@ -238,12 +240,13 @@ def pairs_across(profiles: DataFrame, labels: DataFrame, settings: Settings) ->
     each = known.select("a", "b", "la", "n", "inside", F.explode("excess").alias("x")).select("a", "b", "la", "n", "inside", "x.code", "x.more")
     spread = each.groupBy("b", "code").agg(F.count("*").alias("texts"), F.min("la").alias("low"), F.max("la").alias("high"))
     rarest = W.partitionBy("a", "b").orderBy("texts", "code").rowsBetween(W.unboundedPreceding, -1)
-    placed = each.join(spread, ["b", "code"]).join(least, "b").withColumn("before", F.coalesce(F.sum("more").over(rarest), F.lit(0)))
+    placed = each.join(spread, ["b", "code"]).join(least, "b").withColumn("rest", F.col("n") - F.col("inside") - F.coalesce(F.sum("more").over(rarest), F.lit(0)))
     needed = F.greatest(F.lit(1), F.ceil(c * (F.col("n") + F.col("least")) - F.col("inside") - slack))
-    held = placed.where("low < high").where(F.col("n") - F.col("inside") - F.col("before") >= needed).select("a", "b", "code", "la", "n", "inside")
+    held = placed.where("low < high").where(F.col("rest") >= needed).select("a", "b", "code", "la", "n", "inside", "rest")
     one = held.select(*[F.col(n).alias(f"x_{n}") for n in held.columns])
     two = held.select(*[F.col(n).alias(f"y_{n}") for n in held.columns])
-    room = F.least("x_inside", "y_inside") + F.least(F.col("x_n") - F.col("x_inside"), F.col("y_n") - F.col("y_inside"))
+    # at the first surplus shingle that two texts share, all others that they share are still to come
+    room = F.least("x_inside", "y_inside") + F.least("x_rest", "y_rest")
     first = one.join(two, (F.col("x_b") == F.col("y_b")) & (F.col("x_code") == F.col("y_code")) & (F.col("x_la") < F.col("y_la")) & (room >= c * (F.col("x_n") + F.col("y_n")) - slack)).select(F.col("x_a").alias("a"), F.col("y_a").alias("b"))
     fits = known.drop("excess").join(least, "b").where(F.col("inside") >= c * (F.col("n") + F.col("least")) - slack)
     out = fits.where("la <> lb").select(*[F.col(n).alias(f"x_{n}") for n in fits.columns])
@@ -299,7 +302,7 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
     marked = shared.select("h", "key").join(labels, "key", "left").withColumn("label", F.coalesce("label", "key"))
     mixed = marked.groupBy("h").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("h")
     heads = leaders.join(mixed, "h").select(F.col("leader").alias("b")).distinct()
-    rest = materialize(pairs_across(profile(tried.join(heads, "b", "left_semi"), docs, text, settings), labels, settings), "across")
+    rest = materialize(pairs_across(profile(materialize(tried.join(heads, "b", "left_semi"), "profiled"), docs, text, settings), labels, settings), "across")
     if not rest.isEmpty():
         more = materialize(verify(rest, docs, text, settings), "verified")
         if not more.isEmpty():

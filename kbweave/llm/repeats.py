@@ -22,7 +22,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -217,11 +217,22 @@ def repeated_windows(docs: DataFrame, text: str, s: Settings) -> DataFrame:
     return found[0].unionByName(found[1]).unionByName(found[2])
 
 
+def merged(spans: Column) -> Column:
+    """Sorted spans without overlap: each run of windows that touches the one before extends it."""
+    last = lambda done: F.get(done, F.size(done) - 1)
+
+    def step(done: Column, x: Column) -> Column:
+        longer = F.struct(last(done)["first"].alias("first"), F.greatest(last(done)["end"], x["end"]).alias("end"))
+        return F.when((F.size(done) > 0) & (x["first"] <= last(done)["end"]), F.concat(F.slice(done, 1, F.size(done) - 1), F.array(longer))).otherwise(F.concat(done, F.array(x)))
+
+    return F.aggregate(F.array_sort(spans), F.array().cast("array<struct<first:int,end:int>>"), step)
+
+
 def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text: str = "text", settings: Settings = Settings(), texts: bool = False) -> DataFrame:
     """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256; with `texts` also the bytes that are left."""
     s = settings
-    found = repeated_windows(docs, text, s).groupBy("k1", "k2").agg(F.collect_set(F.struct((F.col("owner") - F.col("hi")).alias("first"), (F.col("owner") - F.col("lo")).alias("last"))).alias("spans"))
-    found = materialize(found, "spans")
+    runs_of = repeated_windows(docs, text, s).groupBy("k1", "k2").agg(F.collect_set(F.struct((F.col("owner") - F.col("hi")).alias("first"), (F.col("owner") - F.col("lo") + s.length).alias("end"))).alias("runs"))
+    found = materialize(runs_of.select("k1", "k2", merged(F.col("runs")).alias("spans")), "spans")
     size = found.agg(F.sum(F.size("spans"))).first()[0] or 0
     keyed = docs.select(F.col(id_column).alias("doc_id"), *text_keys(F.col(text)), F.coalesce(F.col(text), F.lit("")).alias("text"))
     joined = keyed.join(F.broadcast(found) if size <= s.max_broadcast else found, ["k1", "k2"], "left").select("doc_id", "text", "spans")
@@ -234,12 +245,7 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text: str = "text
         for batch in batches:
             out = []
             for data, spans in zip(batch.column(1).cast(pa.binary()).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                cut: list[list[int]] = []
-                for a, b in sorted((x["first"], x["last"] + s.length) for x in spans or ()):
-                    if cut and a <= cut[-1][1]:
-                        cut[-1][1] = max(cut[-1][1], b)
-                    else:
-                        cut.append([a, b])
+                cut = [(x["first"], x["end"]) for x in spans or ()]
                 edges = [0, *(x for c in cut for x in c), len(data)]
                 kept = b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
                 out.append((len(data), len(data) - len(kept), len(cut), hashlib.sha256(kept).hexdigest(), *([kept] if texts else [])))

@@ -287,7 +287,7 @@ def join_classes(labels: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "text", settings: Settings = Settings()) -> DataFrame:
-    """One row per document: doc_id, class_id, class_size, n_links (verified links of its text), n_shingles, representative."""
+    """One row per document: doc_id, class_id, class_size, n_links (verified links of its text), n_shingles, key of its text, label (the key that names its class)."""
     signed = materialize(sign(docs, id_column, text, settings), "signatures")
     distinct = signed.groupBy("key").agg(F.first("bands").alias("bands"))
     each = distinct.select("key", F.explode("bands").alias("h"))
@@ -313,15 +313,15 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
     classed = signed.select("doc_id", "key", "n_shingles").join(known, "key", "left").withColumn("label", F.coalesce("label", "key"))
     classed = materialize(classed, "classed")
     ids = classed.groupBy("label").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_size"))
-    return classed.join(ids, "label").select("doc_id", "class_id", "class_size", F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"), "n_shingles", "key")
+    return classed.join(ids, "label").select("doc_id", "class_id", "class_size", F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"), "n_shingles", "key", "label")
 
 
 def keep_representatives(docs: DataFrame, id_column: str = "doc_id", text: str = "text", settings: Settings = Settings()) -> DataFrame:
-    """docs with one row of each class, that of the least id; of repeated rows with this id one stays."""
+    """docs with one row of each class, that of the least id (null ids last); of several texts of the class under this id the one with the least key, of repeated rows one."""
     found = near_duplicates(docs, id_column, text, settings)
-    first = found.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).groupBy(F.col("doc_id").alias("__id"), F.col("key").alias("__key")).agg(F.count("*").alias("__rows"))
-    # texts of one id: the least key stays
-    kept = materialize(first.groupBy("__id").agg(F.min_by(F.struct("__key", "__rows"), "__key").alias("k")).select("__id", "k.*"), "kept")
+    # classes go by their label: ids may be null or stand for several texts
+    first = found.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).groupBy("label", F.col("doc_id").alias("__id"), F.col("key").alias("__key")).agg(F.count("*").alias("__rows"))
+    kept = materialize(first.groupBy("label").agg(F.min_by(F.struct("__id", "__key", "__rows"), "__key").alias("k")).select("k.*"), "kept")
     marked = docs.withColumn("__key", text_key(F.col(f"`{text}`")))
     joined = marked.join(kept, marked[id_column].eqNullSafe(kept["__id"]) & (marked["__key"] == kept["__key"]), "left_semi")
     if not kept.where("__rows > 1").isEmpty():  # texts are dealt out once more only where rows repeat

@@ -83,6 +83,13 @@ def test_near_duplicates_odd_input(spark):
     assert minhash.near_duplicates(odd(spark).limit(0)).count() == 0
 
 
+def test_representatives_keep_every_class(spark):
+    one, two, three = ("the first text of all", "a second one with other words", "numbers one two three four")
+    lines = [(None, one), (None, one), (None, two), (7, three), (7, "quite another text under this id"), (8, three), (None, three)]
+    kept = minhash.keep_representatives(spark.createDataFrame(lines, "doc_id long, text string")).collect()
+    assert sorted(map(repr, map(tuple, kept))) == sorted(map(repr, [lines[0], lines[2], lines[3], lines[4]]))
+
+
 def check_packing(rows, texts):
     settings = packing.Packing()
     encoder = packing.WordEncoder(settings)

@@ -7,7 +7,9 @@ made from syllables, e-mail addresses take letters for letters and digits for di
 (coreference), and a person's surname is replaced alike with and without the first name.
 
 Collision check: a table of distinct entities and their surrogates is built with partial aggregation; where two entities share a surrogate, or a surrogate is
-itself an entity of the corpus, the losers are drawn again with another nonce until none is left.
+itself an entity of the corpus, the losers are drawn again with another nonce until none is left. Names are checked and drawn by surname, and by first name within a
+surname, so that a redrawn surname stays the same under every title and first name. Nonces beyond `max_redrawn` are a written table that is joined to the texts. Names and
+local parts grow with the nonce, so that they never run out; a number format that has too few values for its entities ends in an error.
 
 Defined results: a null text stays null, an empty text stays empty, repeated rows get equal results, and a text without
 entities comes back byte for byte.
@@ -20,6 +22,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kbweave.llm.common import drop_materialized, materialize
 from kbweave.llm.decontamination import bind
 
 TYPES = ("name", "email", "ipv4", "ssn", "phone", "card", "iban")
@@ -65,8 +68,8 @@ HINT = rf"[0-9@]|(?<!\p{{L}})(?:{_TITLE})[.\x20]"
 class Surrogates:
     key: str = "kbweave-demo-key"  # set a secret of your own
     rounds: int = 6
-    max_redrawn: int = 5_000  # nonces in the plan; beyond that all surrogates are drawn anew under another key
-    max_tries: int = 8
+    max_redrawn: int = 5_000  # nonces in the plan; beyond that they are a table
+    max_tries: int = 8  # rounds without fewer clashes than ever before, after which drawing again is given up with an error
 
 
 def draw(settings: Surrogates, *parts: Column) -> Column:
@@ -129,35 +132,60 @@ def _script(x: Column) -> Column:
     return F.when(x.rlike(r"\p{IsCyrillic}"), "cyrillic").when(x.rlike(r"\p{IsGreek}"), "greek").otherwise("latin")
 
 
-def _pick(values: list[str], number: Column) -> Column:
-    return F.get(F.split(F.lit(" ".join(values)), " "), F.pmod(number, F.lit(len(values))).cast("int"))
+def _more(nonce: Column) -> Column:
+    """How many parts a surrogate has beyond its usual number: none for the first two draws, then one more every two."""
+    return F.least(F.floor(nonce.cast("int") / 2).cast("int"), F.lit(6))
+
+
+def _joined(values: Column, count: Column, number) -> Column:
+    """`count` of the space-separated values, drawn by number(k), as one capitalised word."""
+    return bind(F.split(values, " "), lambda v: F.initcap(F.array_join(F.transform(F.sequence(F.lit(1), count), lambda k: F.get(v, F.pmod(number(k - 1), F.size(v)).cast("int"))), "")))
 
 
 def _surname(word: Column, script: Column, nonce: Column, s: Surrogates) -> Column:
-    def made(name: str) -> Column:
-        numbers = [draw(s, F.lit("surname"), F.lower(word), nonce, F.lit(str(k))) for k in range(4)]
-        return F.initcap(F.concat(*[_pick(SYLLABLES[name], n) for n in numbers]))
+    of = F.when(script == "cyrillic", " ".join(SYLLABLES["cyrillic"])).when(script == "greek", " ".join(SYLLABLES["greek"])).otherwise(" ".join(SYLLABLES["latin"]))
+    return _joined(of, F.lit(4) + _more(nonce), lambda k: draw(s, F.lit("surname"), F.lower(word), nonce, k.cast("string")))
+
+
+def _title(e: Column) -> Column:
+    return F.regexp_extract(e, rf"^((?:{_TITLE})\.?)\x20", 1)
+
+
+def _words(e: Column) -> Column:
+    """A name's words without its title: a surname, or a first name and a surname."""
+    return F.split(F.substring(e, F.length(_title(e)) + 2, F.length(e)), " ")
+
+
+def _last(e: Column) -> Column:
+    return F.element_at(_words(e), -1)
+
+
+def _made_surname(e: Column, nonce: Column, s: Surrogates) -> Column:
+    return bind(_last(e), lambda last: _surname(last, _script(last), nonce, s))
+
+
+def _made_given(e: Column, nonce: Column, s: Surrogates) -> Column:
+    bare = F.regexp_replace(_title(e), r"\.$", "")
+
+    def made(first: Column) -> Column:
+        gender = F.when(bare.isin(*MALE_TITLES), "m").when(bare.isin(*FEMALE_TITLES), "f").otherwise(F.when(first.rlike("[aeαεыая]$"), "f").otherwise("m"))
+        which = F.concat(_script(F.substring(e, F.length(_title(e)) + 2, F.length(e))), gender)
+        of = F.when(F.lit(False), F.lit(""))
+        for (sc, g), values in FIRST_NAMES.items():
+            of = of.when(which == sc + g, " ".join(values))
+        # compounds of several first names where single ones have run out under a surname
+        return _joined(of, F.lit(1) + _more(nonce), lambda k: draw(s, F.lit("first"), F.lower(first), nonce, F.when(k > 0, k.cast("string"))))
 
-    return F.when(script == "cyrillic", made("cyrillic")).when(script == "greek", made("greek")).otherwise(made("latin"))
+    return bind(F.get(_words(e), F.lit(0)), made)
 
 
-def _name(e: Column, nonce: Column, s: Surrogates) -> Column:
-    title = F.regexp_extract(e, rf"^((?:{_TITLE})\.?)\x20", 1)
-    bare = F.regexp_replace(title, r"\.$", "")
-    script = _script(F.substring(e, F.length(title) + 2, 200))
-    words = F.split(F.substring(e, F.length(title) + 2, 200), " ")
-    first = F.get(words, F.lit(0))
-    gender = F.when(bare.isin(*MALE_TITLES), "m").when(bare.isin(*FEMALE_TITLES), "f").otherwise(F.when(first.rlike("[aeαеыая]$"), "f").otherwise("m"))
-    number = draw(s, F.lit("first"), F.lower(first), nonce)
-    given = F.when(F.lit(False), F.lit(""))
-    for (sc, g), values in FIRST_NAMES.items():
-        given = given.when((script == sc) & (gender == g), _pick(values, number))
-    last = _surname(F.element_at(words, -1), script, nonce, s)
-    return F.concat(title, F.lit(" "), F.when(F.size(words) > 1, F.concat(given, F.lit(" "), last)).otherwise(last))
+def _name(e: Column, nonce: Column, given_nonce: Column, s: Surrogates) -> Column:
+    given = F.when(F.size(_words(e)) > 1, F.concat(_made_given(e, given_nonce, s), F.lit(" "))).otherwise(F.lit(""))
+    return F.concat(_title(e), F.lit(" "), given, _made_surname(e, nonce, s))
 
 
 def _letters(e: Column, number_tag: Column, nonce: Column, s: Surrogates) -> Column:
-    """Letters for letters of the same script and case, digits for digits; everything else stays."""
+    """Letters for letters of the same script and case, digits for digits (letters and digits of other scripts become Latin ones); everything else stays."""
 
     def one(c: Column, i: Column) -> Column:
         n = draw(s, F.lit("char"), number_tag, nonce, i.cast("string"))
@@ -166,7 +194,8 @@ def _letters(e: Column, number_tag: Column, nonce: Column, s: Surrogates) -> Col
             low, up = ALPHABETS[sc]
             at = lambda letters: F.substring(F.lit(letters), F.pmod(n, F.lit(len(letters))).cast("int") + 1, F.lit(1))  # noqa: E731, B023
             out = out.when(c.rlike(cls), F.when(F.lower(c) == c, at(low)).otherwise(at(up)))
-        return out.otherwise(c)
+        latin = F.substring(F.lit(ALPHABETS["latin"][0]), F.pmod(n, F.lit(26)).cast("int") + 1, F.lit(1))
+        return out.when(c.rlike(r"\p{L}"), latin).when(c.rlike(r"\p{N}"), F.pmod(n, F.lit(10)).cast("string")).otherwise(c)
 
     return F.array_join(F.transform(F.split(e, ""), one), "")
 
@@ -175,7 +204,7 @@ def _email(e: Column, nonce: Column, s: Surrogates) -> Column:
     local, domain = F.substring_index(e, "@", 1), F.substring_index(e, "@", -1)
     host, top = F.regexp_extract(domain, r"^(.*)\.[^.]*$", 1), F.substring_index(domain, ".", -1)
     # short local parts leave too few choices: two letters more keep the collision check short
-    longer = F.when(F.length(local) < 4, F.concat(local, F.lit("xx"))).otherwise(local)
+    longer = F.concat(local, F.when(F.length(local) < 4, F.lit("xx")).otherwise(F.lit("")), F.repeat(F.lit("x"), _more(nonce)))
     return F.concat(_letters(longer, F.lower(e), nonce, s), F.lit("@"), _letters(host, F.lower(domain), F.lit("domain"), s), F.lit("."), top)
 
 
@@ -209,9 +238,24 @@ def kind_of(e: Column) -> Column:
     return out.otherwise(F.lit("card"))
 
 
-def surrogate(e: Column, kind: Column, nonce: Column, s: Surrogates) -> Column:
+def surrogate(e: Column, kind: Column, nonce: Column, s: Surrogates, given_nonce: Column | None = None) -> Column:
+    name = _name(e, nonce, nonce if given_nonce is None else given_nonce, s)
+    return F.when(kind == "name", name).otherwise(_other(e, kind, nonce, s))
+
+
+def _other(e: Column, kind: Column, nonce: Column, s: Surrogates) -> Column:
     iban = F.concat(F.left(e, F.lit(2)), _letters(F.substring(e, 3, 200), e, nonce, s))
-    return F.when(kind == "name", _name(e, nonce, s)).when(kind == "email", _email(e, nonce, s)).when(kind == "iban", iban).otherwise(_numbers(e, kind, nonce, s))
+    return F.when(kind == "email", _email(e, nonce, s)).when(kind == "iban", iban).otherwise(_numbers(e, kind, nonce, s))
+
+
+def unit(e: Column, kind: Column) -> Column:
+    """What a nonce belongs to: a surname, an address in any case, else the entity."""
+    return F.when(kind == "name", F.concat(F.lit("\t"), F.lower(_last(e)))).when(kind == "email", F.lower(e)).otherwise(e)
+
+
+def given_unit(e: Column, kind: Column) -> Column:
+    """The first name under its surname; null where there is none."""
+    return F.when((kind == "name") & (F.size(_words(e)) > 1), F.concat(F.lit("\t"), F.lower(F.array_join(_words(e), " "))))
 
 
 def entities(text: Column) -> Column:
@@ -232,41 +276,79 @@ def distinct_entities(docs: DataFrame, text: str) -> DataFrame:
     return each.groupBy("entity").agg(F.count("*").alias("n")).withColumn("kind", kind_of(F.col("entity")))
 
 
-def canonical(e: Column, kind: Column) -> Column:
-    """What two spellings must share to count as one entity: coreferent names and numbers in the same format."""
-    return F.when(kind == "email", F.lower(e)).otherwise(e)
-
-
-def clashes(found: DataFrame, redrawn: dict[str, int], s: Surrogates) -> DataFrame:
-    """Entities that have to be drawn again: all but the first of those that share a surrogate, and those whose surrogate is an entity."""
-    made = found.select("entity", "kind", surrogate(F.col("entity"), F.col("kind"), _nonce(F.col("entity"), redrawn), s).alias("made"))
-    # names are many-to-one where only the title differs; the whole surrogate with its title is compared
-    sides = made.select(F.col("made").alias("value"), "entity", F.lit(0).alias("real")).unionByName(made.select(F.col("entity").alias("value"), "entity", F.lit(1).alias("real")))
-    both = sides.groupBy("value").agg(F.max("real").alias("real"), F.min(F.when(F.col("real") == 0, F.col("entity"))).alias("first"), F.collect_set(F.when(F.col("real") == 0, F.col("entity"))).alias("sharing"))
-    return both.select(F.explode(F.filter("sharing", lambda x: (F.col("real") == 1) | (x != F.col("first")))).alias("entity"))
-
-
-def settle(found: DataFrame, s: Surrogates) -> tuple[dict[str, int], Surrogates]:
-    """Nonces of the entities that were drawn again, and the settings (with another key after too many of them) under which no clash is left."""
-    redrawn: dict[str, int] = {}
-    for attempt in range(1, s.max_tries + 1):
-        again = [r["entity"] for r in clashes(found, redrawn, s).limit(s.max_redrawn + 1).collect()]
-        if not again:
-            break
-        if len(again) + len(redrawn) > s.max_redrawn:
-            s, redrawn = Surrogates(f"{s.key}+{attempt}", s.rounds, s.max_redrawn, s.max_tries), {}
+def clashes(found: DataFrame, redrawn: dict[str, int] | DataFrame, s: Surrogates) -> DataFrame:
+    """Units (column `entity`) that have to be drawn again: all but the first of those that share a surrogate, and those whose surrogate is real."""
+    named = found.select("entity", "kind", unit(F.col("entity"), F.col("kind")).alias("unit"), given_unit(F.col("entity"), F.col("kind")).alias("given_unit"))
+    if isinstance(redrawn, dict):
+        known = named.select("*", _nonce(F.col("unit"), redrawn).alias("nonce"), _nonce(F.col("given_unit"), redrawn).alias("given_nonce"))
+    else:
+        known = named.join(redrawn.toDF("unit", "nonce"), "unit", "left").join(redrawn.toDF("given_unit", "given_nonce"), "given_unit", "left").fillna("0", ["nonce", "given_nonce"])
+    e, kind, nonce = F.col("entity"), F.col("kind"), F.col("nonce")
+    is_name = kind == "name"
+    # surnames are compared without title and first name, first names within their surname; addresses in any case
+    tagged = lambda value: F.concat(F.lit("\t"), F.lower(value))
+    other = bind(_other(e, kind, nonce, s), lambda made: F.when(kind == "email", F.lower(made)).otherwise(made))
+    value = F.when(is_name, tagged(_made_surname(e, nonce, s))).otherwise(other)
+    given = F.when(F.col("given_unit").isNotNull(), tagged(F.concat(_last(e), F.lit(" "), _made_given(e, F.col("given_nonce"), s))))
+    row = lambda v, u, real: F.struct(v.alias("value"), u.alias("entity"), F.lit(real).alias("real"))
+    made = known.select(F.inline(F.array(row(value, F.col("unit"), 0), row(F.col("unit"), F.col("unit"), 1), row(given, F.col("given_unit"), 0)))).where("value is not null")
+    both = made.groupBy("value").agg(F.max("real").alias("real"), F.min(F.when(F.col("real") == 0, F.col("entity"))).alias("first"), F.collect_set(F.when(F.col("real") == 0, F.col("entity"))).alias("sharing"))
+    return both.select(F.explode(F.filter("sharing", lambda x: (F.col("real") == 1) | (x != F.col("first")))).alias("entity")).distinct()
+
+
+def settle(found: DataFrame, s: Surrogates) -> tuple[dict[str, int] | DataFrame, Surrogates]:
+    """Nonces of the units that were drawn again, under which no clash is left: a dictionary, or beyond `max_redrawn` a written table (unit, nonce)."""
+    redrawn: dict[str, int] | DataFrame = {}
+    least, stale, attempt = None, 0, 0
+    while True:
+        attempt += 1
+        again = materialize(clashes(found, redrawn, s), "clashes")
+        many = again.count()
+        if least is None or many < least:
+            least, stale = many, 0
         else:
-            redrawn |= {e: attempt for e in again}
-    return redrawn, s
+            stale += 1
+        if many and stale >= s.max_tries:
+            raise RuntimeError(f"{many} surrogates still clash after {attempt} rounds: a format has too few values for its entities")
+        if many and isinstance(redrawn, dict) and many + len(redrawn) <= s.max_redrawn:
+            redrawn |= {r["entity"]: attempt for r in again.collect()}
+        elif many:
+            fresh = again.select(F.col("entity").alias("unit"), F.lit(str(attempt)).alias("nonce"))
+            old = found.sparkSession.createDataFrame([(u, str(n)) for u, n in redrawn.items()], "unit string, nonce string") if isinstance(redrawn, dict) else redrawn
+            table = materialize(old.join(fresh, "unit", "left_anti").unionByName(fresh), "nonces")
+            if not isinstance(redrawn, dict):
+                drop_materialized(redrawn)
+            redrawn = table
+        drop_materialized(again)
+        if not many:
+            return redrawn, s
+
+
+def with_nonces(docs: DataFrame, text: str, redrawn: DataFrame, out: str) -> DataFrame:
+    """docs plus the map `out` from the redrawn units in `text` to their nonces, null where there are none; equal texts share one map."""
+    key = F.sha2(F.col(f"`{text}`"), 256)
+    each = docs.where(F.col(f"`{text}`").rlike(HINT)).select(key.alias("__pii_key"), F.explode(F.array_distinct(entities(F.col(f"`{text}`")))).alias("e")).withColumn("k", kind_of(F.col("e")))
+    units = each.select("__pii_key", F.explode(F.array(unit(F.col("e"), F.col("k")), given_unit(F.col("e"), F.col("k")))).alias("unit")).where("unit is not null").distinct()
+    maps = units.join(redrawn, "unit").groupBy("__pii_key").agg(F.map_from_entries(F.collect_list(F.struct("unit", "nonce"))).alias(out))
+    return docs.withColumn("__pii_key", key).join(maps, "__pii_key", "left").drop("__pii_key")
 
 
 def replace_pii(docs: DataFrame, text: str = "text", out: str = "pii", settings: Surrogates = Surrogates()) -> DataFrame:
     """docs with entities of `text` replaced, plus the struct `out` with the number of entities by type."""
-    redrawn, s = settle(distinct_entities(docs, text), settings)
+    distinct = materialize(distinct_entities(docs, text), "entities")
+    redrawn, s = settle(distinct, settings)
+    drop_materialized(distinct)
     source = F.col(f"`{text}`")
 
+    def nonce(u: Column) -> Column:
+        return _nonce(u, redrawn) if isinstance(redrawn, dict) else F.coalesce(F.try_element_at(F.col("__pii_nonces"), u), F.lit("0"))
+
+    def replaced(e: Column, k: Column) -> Column:
+        own, given = nonce(unit(e, k)), nonce(F.coalesce(given_unit(e, k), F.lit("")))
+        return bind(F.struct(own.alias("own"), given.alias("given")), lambda n: F.struct(k.alias("kind"), surrogate(e, k, n["own"], s, n["given"]).alias("made")))
+
     def fresh(found: Column) -> Column:
-        return F.transform(found, lambda e: bind(kind_of(e), lambda k: F.struct(k.alias("kind"), surrogate(e, k, _nonce(e, redrawn), s).alias("made"))))
+        return F.transform(found, lambda e: bind(kind_of(e), lambda k: replaced(e, k)))
 
     def is_kind(t: str):
         return lambda m: m["kind"] == t
@@ -280,6 +362,7 @@ def replace_pii(docs: DataFrame, text: str = "text", out: str = "pii", settings:
         )
 
     kept = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() != out.lower()])
-    found = kept.withColumn(out, bind(bind(entities(F.coalesce(source, F.lit(""))), fresh), body))
+    known = kept if isinstance(redrawn, dict) else with_nonces(kept, text, redrawn, "__pii_nonces")
+    found = known.withColumn(out, bind(bind(entities(F.coalesce(source, F.lit(""))), fresh), body))
     counts = F.struct(*[F.col(f"{out}.{n}") for n in ("n_entities", *[f"n_{t}" for t in TYPES])]).alias(out)
     return found.select(*[F.col(f"{out}.text").alias(c) if c.lower() == text.lower() else F.col(f"`{c}`") for c in kept.columns], counts)

@@ -193,6 +193,32 @@ def test_surrogates_stay_distinct(spark):
     assert made.distinct().count() == found.count() == 1200
 
 
+@pytest.mark.parametrize("limit", [5_000, 0])
+def test_surrogates_settle_without_a_cap(spark, monkeypatch, limit):
+    monkeypatch.setitem(surrogates.SYLLABLES, "latin", ["bar", "bel"])  # 16 surnames for 8 people
+    names = [f"Fa{b}son" for b in "bcdfghkl"]
+    lines = [(i, f"Mr. John {n} met Mrs. {n} and Mr. Peter {n}") for i, n in enumerate(names)]
+    lines += [(100, None), (101, "nobody"), (102, "Mr. Fabson wrote to 张伟@例子.com"), (102, "Mr. Fabson wrote to 张伟@例子.com")]
+    settings = surrogates.Surrogates(max_redrawn=limit)
+    df = spark.createDataFrame(lines, "doc_id int, text string")
+    found = surrogates.distinct_entities(df, "text")
+    redrawn, s = surrogates.settle(found, settings)
+    assert isinstance(redrawn, dict) == (limit == 5_000)
+    assert surrogates.clashes(found, redrawn, s).count() == 0
+    rows = surrogates.replace_pii(df, settings=settings).orderBy("doc_id").collect()
+    made = [re.fullmatch(r"Mr\. (\w+) (\w+) met Mrs\. (\w+) and Mr\. (\w+) (\w+)", r["text"]).groups() for r in rows[: len(names)]]
+    assert all(m[1] == m[2] == m[4] and m[0] != m[3] for m in made)
+    assert len({m[1] for m in made}) == len(names) and not {m[1] for m in made} & set(names)
+    assert len(rows) == len(lines) and rows[8]["text"] is None and rows[9]["text"] == "nobody"
+    assert rows[10]["text"] == rows[11]["text"] and rows[10]["text"].startswith(f"Mr. {made[0][1]} ") and "张" not in rows[10]["text"]
+
+
+def test_surrogates_raise_when_a_format_is_full(spark):
+    full = spark.createDataFrame([(f"+1 {i:02d} {j:02d}", "phone", 1) for i in range(100) for j in range(100)], "entity string, kind string, n long")
+    with pytest.raises(RuntimeError, match="too few values"):
+        surrogates.settle(full, surrogates.Surrogates(max_tries=1))
+
+
 def test_surrogates_odd_input(spark):
     rows = surrogates.replace_pii(odd(spark)).collect()
     assert [r["text"] for r in rows] == [t for _, t in ODD]

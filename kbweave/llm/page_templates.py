@@ -1,35 +1,44 @@
 """Main-text extraction by equivalence-class template deduction.
 
-Every page is cut into tokens: tags with their path, and blocks of text with their path. Tokens of one host that occur equally often on every
-page have the same occurrence vector; a vector is kept as two sums of hashes of (page, count), which add up in any order, so that
-classes form by grouping on (host, sums) and no host is ever gathered in one task. Classes on at least half of a host's
-pages are its template; their tags nest by path, their texts are the constant chrome. What a page has in the remaining slots is data: the
-article is the slot under the page's own main element, or, where a page has none, every slot that neither markup names as chrome
-nor the template fixes.
+Every page is parsed once into events in page order: opened elements, named by a hash of their path (tags with class and id, digits left out), and
+blocks of text, named by the hash of their element and their words. Events of one host that occur equally often on each of its pages have the same
+occurrence vector; a vector is kept as two sums of hashes of (page, count), which add up in any order, so that
+classes form by grouping on (host, sums) and no host is ever gathered in one task. Copies of a page count once.
+
+A class of at least `min_size` events on at least `share` of a host's pages is kept if it is valid: its events come in the same order on every page, as often as they
+repeat, and its occurrences do not interleave with those of a class on more pages. Valid classes nest into the host's template. Its texts are constants,
+those inside an article or main element only if their own element belongs to the same class (a paragraph that all articles share is theirs); every
+other block is data of the slot below the innermost template element around it. Markup only ranks slots: those inside navigation, forms, notices, adverts or comments are dropped, and where a host's slots hold article or main
+elements, only slots that lie mostly in them remain. What the remaining slots hold, all articles of a page included, is the text.
 
 Defined results: a null or empty page has the empty text; a host that cannot be read from the url is the empty host; hosts with fewer than
-`min_pages` pages have no template and are judged by markup alone. Character references are decoded, white space inside a block is one
-space, blocks are joined by one newline.
+`min_pages` different pages, and pages on which no chosen slot holds anything, are judged by markup alone. Character references are decoded, white space
+inside a block is one space, blocks are joined by one newline. Repeated rows get equal results; memory is linear in a page, whatever its depth.
 """
 
 from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from html.parser import HTMLParser
 
+import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kbweave.llm.common import bounded_batches, materialize
+from kbweave.llm.common import bounded_batches, drop_materialized, materialize, with_struct
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCKS = frozenset("address article aside blockquote body br caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead title tr ul".split())
-CHROME = frozenset("head script style noscript template nav footer aside form button select option textarea iframe object svg canvas dialog menu audio video".split())
+#: Never text: not shown, or controls.
+HIDDEN = frozenset("head script style noscript template button select option textarea iframe object svg canvas audio video".split())
+#: Regions that rank below the article.
+CHROME = frozenset("nav footer aside form dialog menu".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar form".split())
 #: What a class or id part says about a region that is no article text.
 CHROME_WORDS = frozenset(
@@ -41,31 +50,26 @@ BODY_WORDS = frozenset("article entry post story content body main text".split()
 CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 ENDS_P = BLOCKS - {"br", "html", "body", "title", "tbody", "thead", "tfoot", "tr", "td", "th", "caption", "legend", "li", "dt", "dd", "summary", "figcaption"}
 SPACE = re.compile(r"[\s\x1c-\x1f]+")
+DIGITS = re.compile(r"[0-9]+")
+LOW = (1 << 31) - 1
 
 
 @dataclass(frozen=True)
 class Settings:
     min_pages: int = 3
-    share: float = 0.5  # of a host's pages that a template token is on; bounds a host's template by twice the tokens of its mean page
-    max_broadcast: int = 100_000  # template tokens of all hosts that travel to every executor; more are joined by host
+    min_size: int = 2  # events of a class
+    share: float = 0.5  # of a host's pages that a class is on; bounds a host's template by twice the events of its mean page
+    max_broadcast: int = 100_000  # template events of all hosts that travel to every executor; more are joined by host
 
 
-@dataclass
-class Block:
-    path: str
-    text: str
-    chrome: bool
-    main: int  # number of the main element around it, 0 for none
+def is_hidden(tag: str, attrs: dict[str, str | None]) -> bool:
+    return tag in HIDDEN or "hidden" in attrs or attrs.get("aria-hidden") == "true" or "display:none" in (attrs.get("style") or "").replace(" ", "").lower()
 
 
 def is_chrome(tag: str, attrs: dict[str, str | None], in_main: bool) -> bool:
-    if tag in CHROME or (tag == "header" and not in_main):
-        return True
-    if "hidden" in attrs or attrs.get("aria-hidden") == "true" or (attrs.get("role") or "").lower() in ROLES:
-        return True
-    if "display:none" in (attrs.get("style") or "").replace(" ", "").lower():
+    if tag in CHROME or (tag == "header" and not in_main) or (attrs.get("role") or "").lower() in ROLES:
         return True
-    if tag in ("html", "body", "main"):
+    if tag in ("html", "body", "main") or not ("class" in attrs or "id" in attrs):
         return False
     for name in f"{attrs.get('class') or ''} {attrs.get('id') or ''}".lower().split():
         parts = set(re.split(r"[-_:]+", re.sub(r"(?<=[a-z])(?=[0-9])", "-", name)))
@@ -77,42 +81,41 @@ def is_chrome(tag: str, attrs: dict[str, str | None], in_main: bool) -> bool:
 
 
 class PageReader(HTMLParser):
-    """Blocks in page order and tag counts by path."""
+    """Events in page order: codes, parents (the event around each, -1 for none) and, for texts, (event, text, chrome root, inside a main element)."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.stack: list[tuple[str, str, bool, int]] = []  # tag, path, chrome, main
-        self.blocks: list[Block] = []
-        self.tags: Counter[str] = Counter()
-        self.parts: list[str] = []
-        self.mains = 0
-        self.main_tags: dict[int, str] = {}
+        import xxhash
 
-    def state(self) -> tuple[str, bool, int]:
-        return self.stack[-1][1:] if self.stack else ("", False, 0)
+        self.hash = xxhash.xxh64_intdigest
+        # tag, code, event, chrome root's code (0: none), inside main, hidden, event of the innermost block
+        self.stack: list[tuple[str, int, int, int, bool, bool, int]] = [("", 0, -1, 0, False, False, -1)]
+        self.codes: list[int] = []
+        self.parents: list[int] = []
+        self.blocks: list[tuple[int, str, int, bool]] = []
+        self.parts: list[str] = []
 
     def flush(self) -> None:
         if self.parts:
             text = SPACE.sub(" ", "".join(self.parts)).strip()
             self.parts = []
             if text:
-                self.blocks.append(Block(self.block_path(), text, *self.state()[1:]))
-
-    def block_path(self) -> str:
-        for tag, path, _, _ in reversed(self.stack):
-            if tag in BLOCKS or tag in CHROME:
-                return path
-        return ""
+                _, _, _, chrome, main, hidden, block = self.stack[-1]
+                if not hidden:
+                    of = self.codes[block] if block >= 0 else 0
+                    self.blocks.append((len(self.codes), text, chrome, main))
+                    self.codes.append(self.hash(text, of & LOW) >> 1)
+                    self.parents.append(block)
 
     def close_to(self, k: int) -> None:
         self.flush()
         del self.stack[k:]
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
-        if tag in BLOCKS or tag in CHROME:
+        if tag in BLOCKS or tag in HIDDEN:
             self.flush()
         if tag in ENDS_P:
-            for k in range(len(self.stack) - 1, -1, -1):
+            for k in range(len(self.stack) - 1, 0, -1):
                 if self.stack[k][0] == "p":
                     self.close_to(k)
                     break
@@ -120,40 +123,42 @@ class PageReader(HTMLParser):
                     break
         if tag == "body" or tag in CLOSED_BY:
             closes = CLOSED_BY.get(tag, {"head"})
-            for k in range(len(self.stack) - 1, -1, -1):
+            for k in range(len(self.stack) - 1, 0, -1):
                 if self.stack[k][0] in closes:
                     self.close_to(k)
                     break
                 if self.stack[k][0] in ("ul", "ol", "dl", "table", "body", "select", "menu"):
                     break
-        path, chrome, main = self.state()
-        given = dict(attrs)
-        here = f"{path}/{tag}"
-        if given.get("class") or given.get("id"):
-            here += "." + ".".join(sorted(f"{given.get('class') or ''} {given.get('id') or ''}".split()))[:80]
-        self.tags[here] += 1
+        _, above, event, chrome, main, hidden, block = self.stack[-1]
+        name, given = tag, {}
+        if attrs:
+            given = dict(attrs)
+            if given.get("class") or given.get("id"):
+                name += "." + ".".join(sorted(DIGITS.sub("#", f"{given.get('class') or ''} {given.get('id') or ''}").split()))
+        code = self.hash(f"{above:x}/{name}") >> 1
+        here = len(self.codes)
+        if not hidden:
+            self.codes.append(code)
+            self.parents.append(event)
         if tag in VOID:
             return
-        chrome = chrome or is_chrome(tag, given, bool(main))
-        if not main and not chrome and (tag in ("article", "main") or (given.get("role") or "").lower() in ("main", "article") or (given.get("itemprop") or "").lower() == "articlebody"):
-            self.mains += 1
-            main = self.mains
-            self.main_tags[main] = tag
-        elif main and not chrome and tag == "article" and self.main_tags[main] != "article":
-            self.mains += 1  # an article inside <main> is the narrower slot
-            main = self.mains
-            self.main_tags[main] = "article"
-        self.stack.append((tag, here, chrome, main))
+        inside = hidden or is_hidden(tag, given)
+        if not inside and not chrome and is_chrome(tag, given, main):
+            chrome = code
+        if not chrome and not main:
+            main = tag in ("article", "main") or (given.get("role") or "").lower() in ("main", "article") or (given.get("itemprop") or "").lower() == "articlebody"
+        self.stack.append((tag, code, event if hidden else here, chrome, main, inside, here if tag in BLOCKS and not hidden else block))
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
 
     def handle_endtag(self, tag: str) -> None:
-        for k in range(len(self.stack) - 1, -1, -1):
+        for k in range(len(self.stack) - 1, 0, -1):
             if self.stack[k][0] == tag:
-                if tag in BLOCKS or tag in CHROME or any(x[0] in BLOCKS for x in self.stack[k + 1 :]):
+                outer = any(x[0] in BLOCKS for x in self.stack[k + 1 :])
+                if tag in BLOCKS or tag in HIDDEN or outer:
                     self.flush()
-                if tag not in BLOCKS and tag not in CHROME and any(x[0] in BLOCKS for x in self.stack[k + 1 :]):
+                if tag not in BLOCKS and tag not in HIDDEN and outer:
                     del self.stack[k]  # an inline end tag does not close the blocks that were opened since
                 else:
                     del self.stack[k:]
@@ -162,9 +167,6 @@ class PageReader(HTMLParser):
     def handle_data(self, data: str) -> None:
         self.parts.append(data)
 
-    def error(self, message: str) -> None:  # kept for old parsers
-        pass
-
 
 def read_page(html: str) -> PageReader:
     reader = PageReader()
@@ -174,99 +176,283 @@ def read_page(html: str) -> PageReader:
     return reader
 
 
-def tokens(page: PageReader) -> Counter[str]:
-    found = Counter({f"<{path}": n for path, n in page.tags.items()})
-    found.update(f"{b.path}>{b.text}" for b in page.blocks)
-    return found
-
+def host_of(url):
+    return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1))
 
-def main_text(page: PageReader, template: set[int] | None) -> str:
-    """Join the blocks of the data slot that holds the article."""
-    import xxhash
 
-    open_blocks = [b for b in page.blocks if not b.chrome]
-    size = Counter()
-    for b in open_blocks:
-        size[b.main] += len(b.text)
-    articles = [m for m in size if m and page.main_tags[m] == "article"]
-    others = [m for m in size if m and page.main_tags[m] != "article"]
-    if articles or others:
-        # the longest article is the page's own; a main element counts where it holds no article
-        best = max(articles or others, key=lambda m: (size[m], -m))
-        return "\n".join(b.text for b in open_blocks if b.main == best)
-    fixed = template or set()
-    return "\n".join(b.text for b in open_blocks if xxhash.xxh64_intdigest(f"{b.path}>{b.text}") >> 1 not in fixed)
+_LONGS = T.ArrayType(T.LongType())
+EVENTS = [
+    T.StructField("digest", T.LongType()),
+    T.StructField("vocab", _LONGS),  # different events
+    T.StructField("times", _LONGS),  # how often each occurs
+    T.StructField("codes", _LONGS),
+    T.StructField("parents", _LONGS),
+    T.StructField("at", _LONGS),  # events that are texts
+    T.StructField("texts", T.ArrayType(T.StringType())),
+    T.StructField("chrome", _LONGS),
+    T.StructField("main", _LONGS),
+]
 
 
-def host_of(url):
-    return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1))
+def parse_pages(pages: DataFrame, html: str, out: str) -> DataFrame:
+    """pages plus the struct `out` of EVENTS; the only pass that reads HTML."""
 
+    def make() -> Callable[[pa.Array], list[pa.Array]]:
+        import xxhash
 
-def occurrence_sums(pages: DataFrame, id_column: str, url: str, html: str) -> DataFrame:
-    """(host, token, kind, path, pages, sum_a, sum_b), pre-aggregated within each batch and then by Spark."""
-    bounded_batches(pages.sparkSession, 256)
-    given = pages.select(host_of(F.col(url)).alias("host"), F.col(id_column).cast("string").alias("id"), F.coalesce(F.col(url), F.lit("")).alias("url"), F.coalesce(F.col(html), F.lit("")).alias("html"))
-    schema = "host string, token bigint, is_tag boolean, path string, pages bigint, sum_a bigint, sum_b bigint"
-    names = ["host", "token", "is_tag", "path", "pages", "sum_a", "sum_b"]
-    low = (1 << 31) - 1
+        def work(sources: pa.Array) -> list[pa.Array]:
+            columns: list[list] = [[] for _ in EVENTS]
+            for source in sources.to_pylist():
+                page = read_page(source or "")
+                seen = Counter(page.codes)
+                at, texts, chrome, main = zip(*page.blocks, strict=True) if page.blocks else ((), (), (), ())
+                row = (xxhash.xxh64_intdigest(source or "") >> 1, list(seen), list(seen.values()), page.codes, page.parents, at, texts, chrome, list(map(int, main)))
+                for column, value in zip(columns, row, strict=True):
+                    column.append(value)
+            kinds = [pa.int64(), *[pa.list_(pa.int64())] * 5, pa.list_(pa.string()), *[pa.list_(pa.int64())] * 2]
+            return [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
+
+        return work
+
+    return with_struct(pages, make, EVENTS, out, html, rows=256)
+
+
+def occurrence_classes(parsed: DataFrame, settings: Settings) -> DataFrame:
+    """(host, class, pages, code) of the events of classes that are large and frequent enough, by grouping on the sums of their vectors."""
+    different = parsed.select("host", "e.digest", "e.vocab", "e.times").dropDuplicates(["host", "digest"])
+    total = different.groupBy("host").agg(F.count("*").alias("of"))
+    each = different.select("host", "digest", F.explode(F.arrays_zip("vocab", "times")).alias("x")).select("host", F.col("x.vocab").alias("code"), F.xxhash64("digest", "x.times").alias("v"))
+    sums = each.groupBy("host", "code").agg(F.count("*").alias("pages"), F.sum(F.col("v").bitwiseAND(LOW)).alias("a"), F.sum(F.shiftrightunsigned("v", 33)).alias("b"))
+    often = sums.join(total, "host").where((F.col("pages") >= settings.min_pages) & (F.col("pages") >= settings.share * F.col("of")))
+    named = often.select("host", F.xxhash64("pages", "a", "b").alias("class"), "pages", "code")
+    large = named.groupBy("host", "class").agg(F.count("*").alias("size"), F.collect_list("code").alias("members"), F.first("pages").alias("pages")).where(F.col("size") >= settings.min_size)
+    return large.select("host", "class", "pages", F.explode("members").alias("code"))
+
+
+def sequences(codes: list[int], known: dict[int, int], sizes: dict[int, int]) -> dict[int, tuple[int, ...] | None]:
+    """For each class on a page the order of its events, None if it does not repeat in one order."""
+    found: dict[int, list[int]] = {}
+    for c in codes:
+        k = known.get(c)
+        if k is not None:
+            found.setdefault(k, []).append(c)
+    out = {}
+    for k, events in found.items():
+        n = sizes[k]
+        first = events[:n]
+        out[k] = tuple(first) if len(events) % n == 0 and events == first * (len(events) // n) and len(set(first)) == n else None
+    return out
+
+
+def interleaved(codes: list[int], known: dict[int, int], sizes: dict[int, int], rank: dict[int, tuple]) -> set[int]:
+    """Classes whose occurrences on this page interleave with those of a class of better rank; what is left nests."""
+    lost: set[int] = set()
+    while True:
+        stack: list[list[int]] = []  # class, events still to come
+        worse = None
+        for c in codes:
+            k = known.get(c)
+            if k is None or k in lost:
+                continue
+            if any(x[0] == k for x in stack):
+                if stack[-1][0] != k:
+                    worse = max((k, stack[-1][0]), key=lambda x: rank[x])
+                    break
+                stack[-1][1] -= 1
+            else:
+                stack.append([k, sizes[k] - 1])
+            if not stack[-1][1]:
+                stack.pop()
+        if worse is None:
+            return lost
+        lost.add(worse)
+
+
+class Template:
+    """A host's entries of a template table: up to `max_broadcast` of all hosts travel to every worker, more are joined to the pages by host."""
+
+    def __init__(self, table: DataFrame, settings: Settings):
+        self.table, self.fields = table, [c for c in table.columns if c != "host"]
+        self.sent = None
+        if table.count() <= settings.max_broadcast:
+            held: dict[str, list[dict]] = {}
+            for r in table.collect():
+                held.setdefault(r["host"], []).append(r.asDict())
+            self.sent = table.sparkSession.sparkContext.broadcast(held)
+
+    def over(self, pages: DataFrame) -> DataFrame:
+        """pages with the entries as the column __t, null where they travel by themselves."""
+        if self.sent is not None:
+            return pages.withColumn("__t", F.lit(None).cast("array<int>"))
+        return pages.join(self.table.groupBy("host").agg(F.collect_list(F.struct(*self.fields)).alias("__t")), "host", "left")
+
+
+def entry_reader(sent: Broadcast | None, prepare: Callable[[list[dict]], tuple]) -> Callable[[pa.RecordBatch, int, str], tuple | None]:
+    """What `prepare` makes of a host's entries, once for each host while it is remembered; None for hosts without any."""
+    known: dict[str, tuple | None] = {}
+
+    def read(batch: pa.RecordBatch, row: int, host: str) -> tuple | None:
+        if host not in known:
+            if len(known) >= 1000:
+                known.clear()
+            entries = sent.value.get(host) if sent is not None else batch.column("__t")[row].as_py()
+            known[host] = prepare(entries) if entries else None
+        return known[host]
+
+    return read
+
+
+def _over_hosts(pages: DataFrame, columns: list[str], template: Template, prepare: Callable, judge: Callable, schema: str) -> DataFrame:
+    """Rows (host, ...) that `judge(host, prepared entries, columns)` counts, summed up within each batch."""
+    bounded_batches(pages.sparkSession, 1024)
+    names = [f.split()[0] for f in schema.split(", ")]
+    types = [pa.string() if f.split()[1] == "string" else pa.int64() for f in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import xxhash
-
+        read = entry_reader(sent, prepare)
         for batch in batches:
-            found: dict[tuple[str, int], list] = {}
-            for host, ident, address, source in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                for token, n in [*tokens(read_page(source)).items(), ("", 1)]:  # the empty token counts pages
-                    code = xxhash.xxh64_intdigest(token) >> 1
-                    vector = xxhash.xxh64_intdigest(f"{ident}\0{address}\0{n}")
-                    have = found.get((host, code))
-                    if have is None:
-                        tag = token[:1] == "<"
-                        found[host, code] = [host, code, tag, token[1:] if tag else token.split(">", 1)[0], 1, vector & low, vector >> 33]
-                    else:
-                        have[4] += 1
-                        have[5] += vector & low
-                        have[6] += vector >> 33
-            if found:
-                kinds = [pa.string(), pa.int64(), pa.bool_(), pa.string(), pa.int64(), pa.int64(), pa.int64()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*found.values(), strict=True), kinds, strict=True)], names)
-
-    sums = [F.sum(c).alias(c) for c in ("pages", "sum_a", "sum_b")]
-    return given.mapInArrow(run, schema).groupBy("host", "token").agg(F.first("is_tag").alias("is_tag"), F.min("path").alias("path"), *sums)
-
-
-def equivalence_classes(pages: DataFrame, id_column: str = "page_id", url: str = "url", html: str = "html", settings: Settings = Settings()) -> DataFrame:
-    """Template classes: (host, pages, sum_a, sum_b, root, paths, fixed), where `root` is the shortest tag path of the class, under
-    which it nests, `paths` are its tag paths and `fixed` the codes of its text tokens."""
+            out: Counter[tuple] = Counter()
+            for i, (host, *values) in enumerate(zip(*(batch.column(c).to_pylist() for c in ["host", *columns]), strict=True)):
+                held = read(batch, i, host)
+                if held is not None:
+                    out.update(judge(host, held, *values))
+            if out:
+                rows = [(*k, n) for k, n in out.items()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names)
+
+    sent = template.sent
+    return template.over(pages.select("host", *columns)).mapInArrow(run, schema)
+
+
+def _classes(entries: list[dict]) -> tuple[dict[int, int], dict[int, int], dict[int, tuple]]:
+    """(class of each event, size of each class, rank of each class: the best are on the most pages, then the largest)."""
+    known = {t["code"]: t["class"] for t in entries}
+    sizes = Counter(known.values())
+    return known, sizes, {t["class"]: (-t["pages"], -sizes[t["class"]], t["class"]) for t in entries}
+
+
+def _orders(host: str, held: tuple, codes: list[int]) -> dict[tuple, int]:
     import xxhash
 
-    found = materialize(occurrence_sums(pages, id_column, url, html), "occurrences")
-    total = found.where(F.col("token") == xxhash.xxh64_intdigest("") >> 1).select("host", F.col("pages").alias("of"))
-    often = found.join(total, "host").where((F.col("of") >= settings.min_pages) & (F.col("pages") >= settings.share * F.col("of")) & (F.col("pages") >= settings.min_pages))
-    # a template's text stands on different pages in the same place; once per page and more both fall into classes of their own vectors
-    classes = often.groupBy("host", "pages", "sum_a", "sum_b").agg(
-        F.min(F.when(F.col("is_tag"), F.struct(F.length("path").alias("n"), "path")))["path"].alias("root"),
-        F.collect_list(F.when(F.col("is_tag"), F.col("path"))).alias("paths"),
-        F.collect_list(F.when(~F.col("is_tag"), F.col("token"))).alias("fixed"),
-    )
-    return classes
-
-
-def extract_main_text(pages: DataFrame, id_column: str = "page_id", url: str = "url", html: str = "html", out: str = "main_text", settings: Settings = Settings()) -> DataFrame:
-    """pages plus the string `out`; one output row per input row."""
-    classes = materialize(equivalence_classes(pages, id_column, url, html, settings), "page-classes")
-    per_host = classes.select("host", F.explode("fixed").alias("code")).groupBy("host").agg(F.collect_set("code").alias("__fixed")).withColumnRenamed("host", "__host")
-    size = classes.agg(F.sum(F.size("fixed"))).first()[0] or 0
+    known, sizes, _ = held
+    return {(host, k, -1 if order is None else xxhash.xxh64_intdigest(np.asarray(order).tobytes()) >> 1): 1 for k, order in sequences(codes, known, sizes).items()}
+
+
+def _places(host: str, held: tuple, codes: list[int]) -> dict[tuple, int]:
+    known, sizes, rank = held
+    out = {(host, k, 0, -1): 1 for k in interleaved(codes, known, sizes, rank)}
+    for k, order in sequences(codes, known, sizes).items():
+        out |= {(host, k, c, i): 1 for i, c in enumerate(order or ())}
+    return out
+
+
+def valid_classes(parsed: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """(host, class, pages, code, place): the events of the classes that come in one order on all pages and nest, `place` being the event's rank in this order."""
+    found = materialize(occurrence_classes(parsed, settings), "page-classes")
+    pages = parsed.select("host", F.col("e.codes").alias("codes"))
+    orders = _over_hosts(pages, ["codes"], Template(found, settings), _classes, _orders, "host string, class bigint, sequence bigint, n bigint")
+    one = orders.groupBy("host", "class").agg(F.min("sequence").alias("least"), F.max("sequence").alias("most")).where("least = most AND least >= 0").select("host", "class")
+    steady = materialize(found.join(one, ["host", "class"], "left_semi"), "page-ordered")
+    seen = _over_hosts(pages, ["codes"], Template(steady, settings), _classes, _places, "host string, class bigint, code bigint, place bigint, n bigint")
+    places = materialize(seen.select("host", "class", "code", "place").distinct(), "page-places")
+    lost = places.where("place < 0").select("host", "class").distinct()
+    valid = materialize(steady.join(places.where("place >= 0"), ["host", "class", "code"]).join(lost, ["host", "class"], "left_anti"), "page-template")
+    for done in (found, steady, places):
+        drop_materialized(done)
+    return valid
+
+
+def slots_of(codes: list[int], parents: list[int], at: list[int], chrome: list[int], main: list[int], known: dict[int, int]) -> list[tuple[int, int] | None]:
+    """For each text of a page its slot: the innermost template element around it and the root of the chrome that it stands in; None for constants."""
+    above: dict[int, int] = {-1: 0}
+
+    def element(event: int) -> int:
+        """Code of the innermost template element from this event upwards."""
+        chain = []
+        while event not in above:
+            if codes[event] in known:
+                above[event] = codes[event]
+                break
+            chain.append(event)
+            event = parents[event]
+        for x in chain:
+            above[x] = above[event]
+        return above[event]
+
+    out: list[tuple[int, int] | None] = []
+    for event, root, inside in zip(at, chrome, main, strict=True):
+        own = parents[event]
+        constant = codes[event] in known and (not inside or (own >= 0 and known.get(codes[own]) == known[codes[event]]))
+        out.append(None if constant else (element(own), root))
+    return out
+
+
+def _known(entries: list[dict]) -> tuple[dict[int, int]]:
+    return ({t["code"]: t["class"] for t in entries},)
+
+
+def _weights(host: str, held: tuple, codes: list[int], parents: list[int], at: list[int], chrome: list[int], main: list[int], sizes: list[int]) -> dict[tuple, int]:
+    out: Counter[tuple] = Counter()
+    for slot, n, inside in zip(slots_of(codes, parents, at, chrome, main, *held), sizes, main, strict=True):
+        if slot is not None and not slot[1]:
+            out[host, slot[0], inside] += n
+    return out
+
+
+def rank_slots(parsed: DataFrame, template: DataFrame, settings: Settings) -> DataFrame:
+    """(host, slot): the slots outside chrome whose data is the article; of hosts with main elements only the slots that lie mostly in them."""
+    narrow = parsed.select("host", "e.codes", "e.parents", "e.at", "e.chrome", "e.main", F.transform("e.texts", F.length).alias("sizes"))
+    mass = _over_hosts(narrow, ["codes", "parents", "at", "chrome", "main", "sizes"], Template(template, settings), _known, _weights, "host string, slot bigint, inside bigint, chars bigint")
+    slots = mass.groupBy("host", "slot").agg((F.sum(F.col("chars") * (2 * F.col("inside") - 1)) > 0).alias("is_main"))
+    marked = slots.where("is_main").select("host").distinct().withColumn("marked", F.lit(True))
+    return slots.join(marked, "host", "left").where("is_main OR marked IS NULL").select("host", "slot")
+
+
+def main_text(page: dict, known: dict[int, int], chosen: set[int]) -> str:
+    """Join a page's data of the chosen slots; without a template, or where they are empty, what markup leaves."""
+    if known:
+        slots = slots_of(page["codes"], page["parents"], page["at"], page["chrome"], page["main"], known)
+        kept = [t for t, s in zip(page["texts"], slots, strict=True) if s is not None and not s[1] and s[0] in chosen]
+        if kept:
+            return "\n".join(kept)
+    else:
+        slots = [(0, root) for root in page["chrome"]]
+    plain = [(t, m) for t, s, m in zip(page["texts"], slots, page["main"], strict=True) if s is not None and not s[1]]
+    return "\n".join(t for t, m in plain if m or not any(m for _, m in plain))
+
+
+def parse_table(pages: DataFrame, url: str, html: str) -> DataFrame:
+    """The written table (host, row, e): `row` has the columns of pages, `e` the events."""
+    rows = pages.select(host_of(F.col(f"`{url}`")).alias("host"), F.struct(*[F.col(f"`{c}`") for c in pages.columns]).alias("row"), F.col(f"`{html}`").alias("html"))
+    return materialize(parse_pages(rows, "html", "e").select("host", "row", "e"), "page-events")
+
+
+def _slots(entries: list[dict]) -> tuple[dict[int, int], set[int]]:
+    return {t["code"]: t["class"] for t in entries if t["event"]}, {t["code"] for t in entries if not t["event"]}
+
+
+def extract_main_text(pages: DataFrame, url: str = "url", html: str = "html", out: str = "main_text", settings: Settings = Settings()) -> DataFrame:
+    """pages plus the string `out`; one output row per input row. A column of pages that is called `out` is replaced."""
     plain = pages.select(*[F.col(f"`{c}`") for c in pages.columns if c.lower() != out.lower()])
-    keyed = plain.withColumn("__host", host_of(F.col(f"`{url}`")))
-    joined = keyed.join(F.broadcast(per_host) if size <= settings.max_broadcast else per_host, "__host", "left").drop("__host")
+    parsed = parse_table(plain, url, html)
+    valid = valid_classes(parsed, settings)
+    chosen = rank_slots(parsed, valid, settings).select("host", F.lit(0).cast("long").alias("class"), F.col("slot").alias("code"), F.lit(False).alias("event"))
+    whole = materialize(valid.select("host", "class", "code", F.lit(True).alias("event")).unionByName(chosen), "page-slots")
+    drop_materialized(valid)
+    template = Template(whole, settings)
+    columns = ["codes", "parents", "at", "texts", "chrome", "main"]
+    joined = template.over(parsed.select("host", "row", *[F.col(f"e.{c}") for c in columns]))
     bounded_batches(pages.sparkSession, 256)
-    schema = T.StructType([*plain.schema.fields, T.StructField(out, T.StringType())])
-    at = [c.lower() for c in plain.columns].index(html.lower())
+    schema = T.StructType([T.StructField("row", T.StructType(plain.schema.fields)), T.StructField("__text", T.StringType())])
+    sent = template.sent
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        read = entry_reader(sent, _slots)
         for batch in batches:
-            made = [main_text(read_page(source), set(fixed or ())) if source else "" for source, fixed in zip(batch.column(at).to_pylist(), batch.column(batch.num_columns - 1).to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(made, pa.string())], [*batch.schema.names[:-1], out])
+            hosts = batch.column("host").to_pylist()
+            rows = zip(*(batch.column(c).to_pylist() for c in columns), strict=True)
+            made = [main_text(dict(zip(columns, row, strict=True)), *(read(batch, i, host) or ({}, set()))) for i, (host, row) in enumerate(zip(hosts, rows, strict=True))]
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(made, pa.string())], ["row", "__text"])
 
-    return joined.select(*[F.col(f"`{c}`") for c in plain.columns], "__fixed").mapInArrow(run, schema)
+    done = joined.mapInArrow(run, schema)
+    return done.select(*[F.col(f"row.`{c}`").alias(c) for c in plain.columns], F.col("__text").alias(out))

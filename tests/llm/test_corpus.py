@@ -164,17 +164,110 @@ def test_main_text_matches_the_article(spark):
     assert all(r["n_chars"] == len(r["text"]) for r in got)
 
 
-def test_templates_remove_constant_blocks(spark):
-    pages = [(i, f"https://h.example/{i}", f"<body><div><p>Site slogan</p></div><div class='story'><h2>Story {i}</h2><p>Own words {i} &amp; more</p><br></div><div><p>Imprint</p></div><div class='comments'><p>first!</p></div></body>") for i in range(6)]
+def site(i, extra=""):
+    return f"<body><div><p>Site slogan</p></div><div class='story'><h2>Story {i}</h2>{extra}<p>Own words {i} &amp; more</p><br></div><div><p>Imprint</p></div><div class='comments'><p>first!</p></div></body>"
+
+
+@pytest.mark.parametrize("limit", [100_000, 0])
+def test_templates_remove_constant_blocks(spark, limit):
+    pages = [(i, f"https://h.example/{i}", site(i, "<p>twin</p>" * (i % 3))) for i in range(6)]
     pages += [(7, None, None), (8, "", ""), (9, "https://lonely.example/", "<header>top</header><p>only <b>page<p>two")]
-    got = {r["page_id"]: r["main_text"] for r in page_templates.extract_main_text(spark.createDataFrame(pages, "page_id int, url string, html string").withColumn("main_text", F.lit(1)).withColumn("host", F.lit(2))).collect()}
-    assert got[3] == "Story 3\nOwn words 3 & more"
+    shared = "<article><div class='tools'>Print this</div>" + "<p>a line that all share</p><p>own %s</p>" + "</article>"
+    pages += [(20 + i, "https://s.example/", shared % (f"{i}</p><p>x" * i)) for i in range(6)]
+    df = spark.createDataFrame(pages, "page_id int, url string, html string")
+    settings = page_templates.Settings(max_broadcast=limit)
+    got = {r["page_id"]: r["main_text"] for r in page_templates.extract_main_text(df.withColumn("main_text", F.lit(1)).withColumn("host", F.lit(2)).withColumn("__t", F.lit(3)), settings=settings).collect()}
+    assert got[3] == "Story 3\nOwn words 3 & more" and got[5] == "Story 5\ntwin\ntwin\nOwn words 5 & more"
+    assert got[21] == "a line that all share\nown 1\nx"  # the article's own line stays, the constant element goes
     assert got[7] == got[8] == "" and got[9] == "only page\ntwo"
-    classes = page_templates.equivalence_classes(spark.createDataFrame(pages[:6], "page_id int, url string, html string")).collect()
-    assert any(c["root"] == "/body" and len(c["fixed"]) >= 2 for c in classes)
+    # the template decides: without classes the constants of the site stay
+    blind = {r["page_id"]: r["main_text"] for r in page_templates.extract_main_text(df, settings=page_templates.Settings(min_size=10_000)).collect()}
+    assert blind[3] == "Site slogan\nStory 3\nOwn words 3 & more\nImprint"
     assert page_templates.extract_main_text(spark.createDataFrame([], "page_id int, url string, html string")).count() == 0
 
 
+def test_classes_decide_where_markup_is_silent(spark):
+    """The pages of the table with a constant element of no telling name inside each article: it goes by its class alone, and nothing else does."""
+    import re
+
+    host = lambda u: re.sub(r".*//([^/]*).*", r"\1", u)
+    marked = [(i, u, h.replace("</article>", f"<div class='k'>Follow {host(u)} everywhere</div></article>")) for i, u, h in rows_of("pages", "/root/testdata/sf0.01")]
+    df = spark.createDataFrame(marked, "page_id long, url string, html string")
+    want = {r["page_id"]: r["text"] for r in queries.op9_page_templates(spark, "/root/testdata/sf0.01").collect()}
+    hosts = Counter(host(u) for _, u, _ in marked)
+    big = {i for i, u, _ in marked if hosts[host(u)] >= 3}
+    with_classes, without = ({r["page_id"]: r["main_text"] for r in page_templates.extract_main_text(df, settings=s).collect()} for s in (page_templates.Settings(), page_templates.Settings(min_size=10_000)))
+    assert len(big) > 200 and all(with_classes[i] == want[i] != without[i] for i in big)
+
+
+def test_classes_match_brute_force(spark):
+    pages = [(u.split("/")[2], h) for _, u, h in rows_of("pages")]
+    rng = random.Random(3)
+    parts = ["<div class='a'><i>x</i></div>", "<ul><li>k</li><li>k</li></ul>", "<p>free</p>", "<div><b>z</b><em>y</em></div>", "<div><em>y</em><b>z</b></div>", "<section><i>1</i></section>"]
+    pages += [("made", "<main>" + "".join(rng.choice(parts) for _ in range(rng.randrange(2, 9))) + f"<p>{k}</p></main>") for k in range(40)]
+    pages += pages[-3:] * 2  # copies count once
+    df = spark.createDataFrame([(f"//{h}/{k}", s) for k, (h, s) in enumerate(pages)], "url string, html string")
+    got = defaultdict(dict)
+    for r in page_templates.valid_classes(page_templates.parse_table(df, "url", "html")).collect():
+        got[r["host"], r["class"]][r["place"]] = r["code"]
+    by_host = defaultdict(dict)
+    for host, source in pages:
+        by_host[host][source] = page_templates.read_page(source).codes
+    want, spans = set(), 0
+    for host, sources in by_host.items():
+        counts = [Counter(codes) for codes in sources.values()]
+        vectors = defaultdict(list)
+        for code in set().union(*counts):
+            vectors[tuple(c[code] for c in counts)].append(code)
+        classes = []
+        for vector, members in vectors.items():
+            on = sum(n > 0 for n in vector)
+            if on < 3 or 2 * on < len(counts) or len(members) < 2:
+                continue
+            orders = set()
+            for codes in sources.values():
+                mine = [c for c in codes if c in members]
+                n = len(members)
+                orders |= {tuple(mine[k : k + n]) for k in range(0, len(mine), n)}
+            if len(orders) == 1 and len(set(next(iter(orders)))) == len(members):
+                classes.append((-on, -len(members), next(iter(orders))))
+        kept = {tuple(v[k] for k in sorted(v)) for (h, _), v in got.items() if h == host}
+        assert kept <= {o for *_, o in classes}
+        for codes in sources.values():  # what is kept nests on every page
+            held = {c: o for o in kept for c in o}
+            stack = []
+            for c in (c for c in codes if c in held):
+                if c == held[c][0]:
+                    stack.append(list(held[c]))
+                assert stack[-1].pop(0) == c
+                spans += not stack[-1]
+                stack = [x for x in stack if x]
+        alone = {o for *_, o in classes} - kept
+        for out in alone:  # what is dropped interleaves with a class that is on as many pages at least
+            def crosses(a, b):
+                for codes in sources.values():
+                    held, stack = {c: o for o in (a, b) for c in o}, []
+                    for c in (c for c in codes if c in held):
+                        if c == held[c][0]:
+                            stack.append(list(held[c]))
+                        if stack[-1][0] != c:
+                            return True
+                        stack[-1].pop(0)
+                        stack = [x for x in stack if x]
+                return False
+
+            assert any(crosses(out, o) for *_, o in classes if o != out)
+        want |= kept
+    assert spans > 100 and len(want) > 3
+
+
+def test_pages_of_any_depth(spark):
+    deep = "<div>" * 20_000 + "core" + "</div>" * 20_000
+    pages = [(k, "https://d.example/", deep) for k in range(3)] + [(3, "https://e.example/", "<article>" + "<p>word</p>" * 50_000 + "</article><article>second</article>")]
+    got = {r["page_id"]: r["main_text"] for r in page_templates.extract_main_text(spark.createDataFrame(pages, "page_id int, url string, html string")).collect()}
+    assert got[0] == got[2] == "core" and got[3] == "\n".join(["word"] * 50_000 + ["second"])
+
+
 def brute_repeats(texts, size=400):
     data = [(t or "").encode() for t in texts]
     starts = Counter(b[s : s + size] for b in data for s in range(len(b) - size + 1))

@@ -1,18 +1,20 @@
 """PII surrogates with DataFrame functions only.
 
-Detected entities are replaced by keyed surrogates of the same type and format. Digits (phones, cards, national numbers, IPv4
-addresses) go through a keyed Feistel permutation of their own format class, so that different entities stay different by
-construction; card check digits stay valid where they were valid. Names take first names of the same gender and script and a surname
-made from syllables, e-mail addresses take letters for letters and digits for digits. Equal entities get equal surrogates everywhere
-(coreference), and a person's surname is replaced alike with and without the first name.
-
-Collision check: a table of distinct entities and their surrogates is built with partial aggregation; where two entities share a surrogate, or a surrogate is
-itself an entity of the corpus, the losers are drawn again with another nonce until none is left. Names are checked and drawn by surname, and by first name within a
-surname, so that a redrawn surname stays the same under every title and first name. Nonces beyond `max_redrawn` are a written table that is joined to the texts. Names and
-local parts grow with the nonce, so that they never run out; a number format that has too few values for its entities ends in an error.
-
-Defined results: a null text stays null, an empty text stays empty, repeated rows get equal results, and a text without
-entities comes back byte for byte.
+Detected entities are replaced by keyed surrogates of the same type and format. Every word and number goes through a keyed permutation of all words of its own
+shape (`scramble`): letters stay letters of their script, vowels vowels, digits digits, and case, length and punctuation stay where they are. A permutation has an
+inverse, so that different entities get different surrogates by construction, whatever their number, without a table, a join or a second draw, and equal
+entities get equal surrogates in every document and every run with one key (coreference). No surrogate equals its own entity.
+
+A name's words are entities of their own: a surname is replaced alike under every title and first name; first names get an ending of their gender, taken from the title, from
+the list of first names or from their own ending. In e-mail addresses local part and domain are words of their own, the top-level domain stays. Card numbers keep the validity of
+their check digit, IBANs country and validity of their check digits, phone numbers the country code. IPv4 addresses are permuted as numbers.
+
+Collision check: the distinct entities of the corpus and their surrogates are aggregated natively, and a surrogate that stands for two entities ends the run with an error.
+By construction only words with letters beyond the alphabets below can cause one: they become twelve letters of a 60-bit keyed hash. A surrogate may be a word
+or number that exists elsewhere in the corpus; that one is itself replaced by another, so that each surrogate in the result still stands for one entity.
+
+Names are found behind a title, or as a listed first name before a capitalised word; a bare surname is not found. Defined results: a null text stays null, an empty
+text stays empty, repeated rows get equal results, and a text without entities comes back byte for byte.
 """
 
 from __future__ import annotations
@@ -22,7 +24,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kbweave.llm.common import drop_materialized, materialize
 from kbweave.llm.decontamination import bind
 
 TYPES = ("name", "email", "ipv4", "ssn", "phone", "card", "iban")
@@ -32,27 +33,35 @@ MALE_TITLES = ("Mr", "Herr", "Monsieur", "Señor", "Sr", "Sir", "Господи
 FEMALE_TITLES = ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Mlle", "Señora", "Sra", "Srta", "Госпожа")
 OPEN_TITLES = ("Dr", "Prof")
 
-#: First names by script and gender.
-FIRST_NAMES = {
-    ("latin", "m"): "Adam Alan Albert Andre Anton Ben Boris Carl Daniel David Edgar Emil Eric Felix Frank Georg Henri Hugo Ivan Jan Jonas Julian Karl Leo Louis Lucas Marc Martin Max Nico Oscar Otto Paul Peter Ralf Robert Simon Theo Thomas Victor".split(),
-    ("latin", "f"): "Ada Agnes Alice Amelie Anna Bella Carla Clara Claire Diana Elena Ella Emma Eva Fiona Greta Hanna Helen Ida Irene Iris Julia Karin Laura Lea Lena Lucia Maria Marta Mia Nadia Nina Nora Olivia Petra Rosa Sara Sofia Vera Zoe".split(),
-    ("cyrillic", "m"): "Андрей Борис Виктор Глеб Денис Егор Иван Кирилл Максим Николай Олег Павел Роман Сергей Тимур Юрий".split(),
-    ("cyrillic", "f"): "Алла Вера Галина Дарья Елена Жанна Ирина Ксения Лидия Марина Нина Ольга Полина Раиса Софья Юлия".split(),
-    ("greek", "m"): "Αλέξης Γιάννης Δημήτρης Ηλίας Θωμάς Κώστας Λουκάς Μάριος Νίκος Πέτρος Σπύρος Φώτης".split(),
-    ("greek", "f"): "Άννα Βασιλική Γεωργία Δήμητρα Ελένη Ζωή Ιωάννα Κατερίνα Μαρία Νίκη Σοφία Χριστίνα".split(),
-}
-SYLLABLES = {
-    "latin": "bar bel bor dan del dor fal fen gal gor hal hen jor kal kel lan lor mar mel mor nal nor pel ran rel rin sal sen tal tor val ver vin wal wen zel".split(),
-    "cyrillic": "бар вел гор дал жен зор кал лов мар нев пал рин сол тав фед чер".split(),
-    "greek": "βαλ γορ δελ ζαν θερ καλ λεν μαρ νικ παλ ριν σαρ τελ φιλ χαρ ψελ".split(),
-}
-ALPHABETS = {"latin": ("abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"), "cyrillic": ("абвгдежзиклмнопрстуфхцчшэюя", "АБВГДЕЖЗИКЛМНОПРСТУФХЦЧШЭЮЯ"), "greek": ("αβγδεζηθικλμνξοπρστυφχψω", "ΑΒΓΔΕΖΗΘΙΚΛΜΝΞΟΠΡΣΤΥΦΧΨΩ")}
+#: First names by gender; in front of a capitalised word they make a name without a title.
+MALE_NAMES = "Adam Alan Albert Alexander Andrew Anthony Anton Benjamin Boris Carlos Charles Daniel David Edward Francisco Frank François George Hans Heinrich Henry Jacques James Jean John José Joseph Juan Karl Klaus Louis Luis Martin Michael Miguel Nicolas Otto Patrick Paul Pedro Peter Philip Pierre Richard Robert Stefan Stephen Thomas Walter William Wolfgang Андрей Борис Владимир Дмитрий Иван Николай Олег Павел Сергей Юрий Γιάννης Δημήτρης Κώστας Νίκος Πέτρος".split()
+FEMALE_NAMES = "Alice Amelie Andrea Anna Anne Barbara Brigitte Camille Carmen Catherine Christine Claire Deborah Elena Elizabeth Emily Emma Eva Fiona Greta Hannah Helen Ingrid Irene Isabelle Jane Jennifer Jessica Julia Karin Laura Linda Lucia Margaret Maria Marie Marta Mary Monika Nadia Nina Olivia Patricia Petra Rosa Sabine Sarah Sofia Susan Ursula Галина Дарья Елена Ирина Марина Наталья Ольга Светлана Софья Юлия Ελένη Κατερίνα Μαρία Σοφία Χριστίνα".split()
+#: Endings of first names by script and gender; none is the end of another.
+ENDINGS = {("latin", "m"): ("in", "us", "an"), ("latin", "f"): ("ia", "na", "elle"), ("cyrillic", "m"): ("ан", "ир"), ("cyrillic", "f"): ("ия", "на"), ("greek", "m"): ("ος", "ης"), ("greek", "f"): ("ία", "να")}
+#: Letters that may stand for each other.
+LETTER_CLASSES = (
+    "0123456789",
+    "aeiou",
+    "bcdfghjklmnpqrstvwxyz",
+    "àáâãäåāăąæèéêëēĕėęěìíîïĩīĭįòóôõöøōŏőœùúûüũūŭůűųýÿŷ",
+    "çćĉċčďđðĝğġģĥħĵķĺļľłñńņňŕŗřśŝşšţťŧþŵźżž",
+    "аеёиоуыэюяіїє",
+    "бвгґджзйклмнпрстфхцчшщъь",
+    "αεηιουω",
+    "άέήίόύώϊϋ",
+    "βγδζθκλμνξπρστφχψ",
+)
+ALPHABET = "".join(LETTER_CLASSES)
+#: Letters without a capital of one letter; they stay.
+STAY = "ßς"
 
 _TITLE = "|".join(sorted(MALE_TITLES + FEMALE_TITLES + OPEN_TITLES, key=len, reverse=True))
-_CAP = r"\p{Lu}[\p{Ll}'’-]+"
+_GIVEN = "|".join(sorted(MALE_NAMES + FEMALE_NAMES, key=len, reverse=True))
+_WORD = r"\p{Lu}[\p{L}\p{M}]*+(?:['’-]\p{L}[\p{L}\p{M}]*+)*+"
+_BETWEEN = r"\x20(?:\p{Lu}\.\x20)?"
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
 #: Fixed patterns in order of precedence.
-NAME = rf"(?<!\p{{L}})(?:{_TITLE})\.?\x20{_CAP}(?:\x20{_CAP})?"
+NAME = rf"(?<![\p{{L}}\p{{N}}])(?:(?:{_TITLE})\.?\x20{_WORD}(?:{_BETWEEN}{_WORD})?|(?:{_GIVEN}){_BETWEEN}{_WORD})"
 EMAIL = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)+"
 IPV4 = rf"(?<![\w.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\w|\.\d)"
 SSN = r"(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])"
@@ -61,174 +70,187 @@ IBAN = r"(?<!\w)[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){3,7}(?:\x20?[A-Z0-9]{1,3})?
 CARD = r"(?<![\w.-])[0-9]{4}(?:[\x20-]?[0-9]{4}){2}[\x20-]?[0-9]{1,7}(?![\w-])"
 ENTITY = "|".join(f"(?:{p})" for p in (NAME, EMAIL, IPV4, SSN, PHONE, IBAN, CARD))
 #: A text without any of these has no entity; the long pattern is not tried on it.
-HINT = rf"[0-9@]|(?<!\p{{L}})(?:{_TITLE})[.\x20]"
+HINT = rf"[0-9@]|(?<![\p{{L}}\p{{N}}])(?:(?:{_TITLE})\.?\x20|(?:{_GIVEN})\x20\p{{Lu}})"
 
 
 @dataclass(frozen=True)
 class Surrogates:
     key: str = "kbweave-demo-key"  # set a secret of your own
-    rounds: int = 6
-    max_redrawn: int = 5_000  # nonces in the plan; beyond that they are a table
-    max_tries: int = 8  # rounds without fewer clashes than ever before, after which drawing again is given up with an error
-
-
-def draw(settings: Surrogates, *parts: Column) -> Column:
-    """Keyed uniform number below 2**60."""
-    return F.conv(F.substring(F.sha2(F.concat_ws("|", F.lit(settings.key), *parts), 256), 1, 15), 16, 10).cast("bigint")
-
-
-def _pow10(n: Column) -> Column:
-    return F.pow(F.lit(10.0), n).cast("bigint")
-
-
-def _permute(left: Column, right: Column, top: Column, low: Column, tag: Column, settings: Surrogates) -> Column:
-    """Feistel permutation of (left, right) with left < top and right < low; array [left, right]."""
-
-    def left_step(r: int):
-        return lambda s: F.array(F.pmod(s[0] + F.pmod(draw(settings, tag, F.lit(str(r)), s[1].cast("string")), top), top), s[1])
-
-    def right_step(r: int):
-        return lambda s: F.array(s[0], F.pmod(s[1] + F.pmod(draw(settings, tag, F.lit(str(r)), s[0].cast("string")), low), low))
-
-    state = F.array(left, right)
-    for r in range(settings.rounds):
-        state = bind(state, right_step(r) if r % 2 else left_step(r))
-    return state
-
-
-def _permute_digits(digits: Column, tag: Column, settings: Surrogates) -> Column:
-    """A digit string of 2 to 36 digits to another of the same length, one to one for a given tag."""
-
-    def body(d: Column) -> Column:
-        n = F.length(d)
-        a = (n / 2).cast("int")
-        b = n - a
-        moved = _permute(F.left(d, a).cast("bigint"), F.substring(d, a + 1, b).cast("bigint"), _pow10(a), _pow10(b), F.concat_ws(":", tag, n.cast("string")), settings)
-        return bind(moved, lambda m: F.concat(F.lpad(m[0].cast("string"), a, "0"), F.lpad(m[1].cast("string"), b, "0")))
-
-    return bind(digits, body)
-
-
-def luhn(payload: Column) -> Column:
-    """Check digit that makes payload + digit valid."""
-    total = F.aggregate(
-        F.transform(F.split(F.reverse(payload), ""), lambda c, i: bind(c.cast("int") * F.when(i % 2 == 0, 2).otherwise(1), lambda v: F.when(v > 9, v - 9).otherwise(v))),
-        F.lit(0),
-        lambda s, v: s + v,
-    )
-    return F.pmod(-total, F.lit(10))
+    rounds: int = 4
 
 
-def _weave(shape: Column, digits: Column) -> Column:
-    """digits in the places of shape's digits."""
-    return F.array_join(F.zip_with(F.split(shape, "[0-9]"), F.concat(F.split(digits, ""), F.array(F.lit(""))), lambda s, d: F.concat(s, F.coalesce(d, F.lit("")))), "")
+def digest(settings: Surrogates, *parts: Column) -> Column:
+    """128 hexadecimal digits of the key and the parts."""
+    return F.sha2(F.concat_ws("|", F.lit(settings.key), *parts), 512)
 
 
-def _digits(x: Column) -> Column:
-    return F.regexp_replace(x, "[^0-9]", "")
+def drawn(hexes: Column, k: Column | int, digits: int = 4) -> Column:
+    """The k-th number of `digits` hexadecimal digits, from the start again after the last."""
+    many = 128 // digits
+    at = F.pmod(k if isinstance(k, Column) else F.lit(k), F.lit(many)) * digits + 1
+    return F.conv(F.substring(hexes, at, F.lit(digits)), 16, 10).cast("bigint")
 
 
-def _script(x: Column) -> Column:
-    return F.when(x.rlike(r"\p{IsCyrillic}"), "cyrillic").when(x.rlike(r"\p{IsGreek}"), "greek").otherwise("latin")
+def _bounds(place: Column) -> tuple[Column, Column]:
+    """(first place, size) of the letter class of a place in ALPHABET."""
+    first = size = None
+    begin = 0
+    for letters in LETTER_CLASSES:
+        begin += len(letters)
+        test = place < begin
+        first = F.when(test, begin - len(letters)) if first is None else first.when(test, begin - len(letters))
+        size = F.when(test, len(letters)) if size is None else size.when(test, len(letters))
+    return first, size
 
 
-def _more(nonce: Column) -> Column:
-    """How many parts a surrogate has beyond its usual number: none for the first two draws, then one more every two."""
-    return F.least(F.floor(nonce.cast("int") / 2).cast("int"), F.lit(6))
+def _shifted(place: Column, by: Column) -> Column:
+    """Another place of the same class; places below 0 (what is not in ALPHABET) stay."""
+    first, size = _bounds(place)
+    return F.when(place < 0, place).otherwise((first + F.pmod(place - first + by, size.cast("bigint"))).cast("int"))
 
 
-def _joined(values: Column, count: Column, number) -> Column:
-    """`count` of the space-separated values, drawn by number(k), as one capitalised word."""
-    return bind(F.split(values, " "), lambda v: F.initcap(F.array_join(F.transform(F.sequence(F.lit(1), count), lambda k: F.get(v, F.pmod(number(k - 1), F.size(v)).cast("int"))), "")))
+def _permuted(places: Column, tag: Column, s: Surrogates) -> Column:
+    """Feistel rounds: each half is shifted by a keyed hash of the other one."""
 
+    def rounds(half: Column) -> Column:
+        state = F.struct(F.slice(places, F.lit(1), half).alias("l"), F.slice(places, half + 1, F.size(places) - half).alias("r"))
+        for k in range(s.rounds):
+            state = bind(state, step(k))
+        return bind(state, lambda x: F.concat(x["l"], x["r"]))
 
-def _surname(word: Column, script: Column, nonce: Column, s: Surrogates) -> Column:
-    of = F.when(script == "cyrillic", " ".join(SYLLABLES["cyrillic"])).when(script == "greek", " ".join(SYLLABLES["greek"])).otherwise(" ".join(SYLLABLES["latin"]))
-    return _joined(of, F.lit(4) + _more(nonce), lambda k: draw(s, F.lit("surname"), F.lower(word), nonce, k.cast("string")))
+    def step(k: int):
+        moved, held = ("r", "l") if k % 2 else ("l", "r")
 
+        def one(x: Column) -> Column:
+            fresh = bind(digest(s, tag, F.lit(str(k)), F.array_join(x[held].cast("array<string>"), ",")), lambda h: F.transform(x[moved], lambda p, i: _shifted(p, drawn(h, i))))
+            return F.struct(*[fresh.alias(n) if n == moved else x[n].alias(n) for n in ("l", "r")])
 
-def _title(e: Column) -> Column:
-    return F.regexp_extract(e, rf"^((?:{_TITLE})\.?)\x20", 1)
+        return one
 
+    return bind((F.size(places) / 2).cast("int"), rounds)
 
-def _words(e: Column) -> Column:
-    """A name's words without its title: a surname, or a first name and a surname."""
-    return F.split(F.substring(e, F.length(_title(e)) + 2, F.length(e)), " ")
 
+def scramble(word: Column, tag: Column, s: Surrogates) -> Column:
+    """A keyed permutation of all words of one shape, without fixed points where a word has a letter of ALPHABET or a digit.
 
-def _last(e: Column) -> Column:
-    return F.element_at(_words(e), -1)
+    The first such letter moves by 1 ... size - 1 places, by how much the others decide; the others are permuted under a key that its new value belongs to.
+    """
 
+    def spelled(chars: Column) -> Column:
+        low = F.transform(chars, lambda c: F.lower(c))
+        places = F.transform(low, lambda c: F.position(c, F.lit(ALPHABET)) - 1)
+        foreign = F.exists(low, lambda c: (F.position(c, F.lit(ALPHABET + STAY)) == 0) & c.rlike(r"[\p{L}\p{N}]"))
+        named = bind(digest(s, tag, F.array_join(low, "")), lambda h: F.array_join(F.transform(F.sequence(F.lit(0), F.lit(11)), lambda k: F.substring(F.lit("abcdefghijklmnopqrstuvwxyz"), F.pmod(drawn(h, k, 8), F.lit(26)).cast("int") + 1, F.lit(1))), ""))
+        return F.when(foreign, named).otherwise(bind(places, lambda p: bind(F.array_position(F.transform(p, lambda x: x >= 0), True).cast("int") - 1, lambda at: F.when(at < 0, word).otherwise(letters(chars, p, at)))))
 
-def _made_surname(e: Column, nonce: Column, s: Surrogates) -> Column:
-    return bind(_last(e), lambda last: _surname(last, _script(last), nonce, s))
+    def letters(chars: Column, places: Column, at: Column) -> Column:
+        head = F.get(places, at)
+        first, size = _bounds(head)
+        rest = F.transform(places, lambda p, i: F.when(i == at, -2 - first).otherwise(p))
 
+        def joined(rest: Column) -> Column:
+            by = F.pmod(drawn(digest(s, tag, F.lit("head"), F.array_join(rest.cast("array<string>"), ",")), 0, 8), size - 1) + 1
+            return bind(_shifted(head, by), lambda new: bind(_permuted(rest, F.concat_ws(":", tag, new.cast("string")), s), lambda done: F.array_join(F.transform(done, lambda p, i: letter(chars, F.when(i == at, new).otherwise(p), i)), "")))
 
-def _made_given(e: Column, nonce: Column, s: Surrogates) -> Column:
-    bare = F.regexp_replace(_title(e), r"\.$", "")
+        return bind(rest, joined)
 
-    def made(first: Column) -> Column:
-        gender = F.when(bare.isin(*MALE_TITLES), "m").when(bare.isin(*FEMALE_TITLES), "f").otherwise(F.when(first.rlike("[aeαεыая]$"), "f").otherwise("m"))
-        which = F.concat(_script(F.substring(e, F.length(_title(e)) + 2, F.length(e))), gender)
-        of = F.when(F.lit(False), F.lit(""))
-        for (sc, g), values in FIRST_NAMES.items():
-            of = of.when(which == sc + g, " ".join(values))
-        # compounds of several first names where single ones have run out under a surname
-        return _joined(of, F.lit(1) + _more(nonce), lambda k: draw(s, F.lit("first"), F.lower(first), nonce, F.when(k > 0, k.cast("string"))))
+    def letter(chars: Column, place: Column, i: Column) -> Column:
+        old = F.get(chars, i)
+        new = F.substring(F.lit(ALPHABET), place + 1, F.lit(1))
+        return F.when(place < 0, old).when((F.lower(old) != old) & (F.upper(old) == old), F.upper(new)).otherwise(new)
 
-    return bind(F.get(_words(e), F.lit(0)), made)
+    return F.when(word == "", word).otherwise(bind(F.split(word, ""), spelled))
 
 
-def _name(e: Column, nonce: Column, given_nonce: Column, s: Surrogates) -> Column:
-    given = F.when(F.size(_words(e)) > 1, F.concat(_made_given(e, given_nonce, s), F.lit(" "))).otherwise(F.lit(""))
-    return F.concat(_title(e), F.lit(" "), given, _made_surname(e, nonce, s))
+def luhn(payload: Column) -> Column:
+    """Check digit that makes payload + digit valid."""
+    total = F.aggregate(
+        F.transform(F.split(F.reverse(payload), ""), lambda c, i: bind(c.cast("int") * F.when(i % 2 == 0, 2).otherwise(1), lambda v: F.when(v > 9, v - 9).otherwise(v))),
+        F.lit(0),
+        lambda s, v: s + v,
+    )
+    return F.pmod(-total, F.lit(10))
 
 
-def _letters(e: Column, number_tag: Column, nonce: Column, s: Surrogates) -> Column:
-    """Letters for letters of the same script and case, digits for digits (letters and digits of other scripts become Latin ones); everything else stays."""
+def iban_check(country: Column, account: Column) -> Column:
+    """The check digits, as a number, that make country + digits + account valid."""
+    letters = F.split(F.regexp_replace(F.lower(F.concat(account, country, F.lit("00"))), "[^0-9a-z]", ""), "")
+    rest = F.aggregate(letters, F.lit(0), lambda acc, c: F.when(c.rlike("[0-9]"), (acc * 10 + F.ascii(c) - 48) % 97).otherwise((acc * 100 + F.ascii(c) - 87) % 97))
+    return 98 - rest
 
-    def one(c: Column, i: Column) -> Column:
-        n = draw(s, F.lit("char"), number_tag, nonce, i.cast("string"))
-        out = F.when(c.rlike("[0-9]"), F.pmod(n, F.lit(10)).cast("string"))
-        for sc, cls in (("latin", r"\p{IsLatin}"), ("cyrillic", r"\p{IsCyrillic}"), ("greek", r"\p{IsGreek}")):
-            low, up = ALPHABETS[sc]
-            at = lambda letters: F.substring(F.lit(letters), F.pmod(n, F.lit(len(letters))).cast("int") + 1, F.lit(1))  # noqa: E731, B023
-            out = out.when(c.rlike(cls), F.when(F.lower(c) == c, at(low)).otherwise(at(up)))
-        latin = F.substring(F.lit(ALPHABETS["latin"][0]), F.pmod(n, F.lit(26)).cast("int") + 1, F.lit(1))
-        return out.when(c.rlike(r"\p{L}"), latin).when(c.rlike(r"\p{N}"), F.pmod(n, F.lit(10)).cast("string")).otherwise(c)
 
-    return F.array_join(F.transform(F.split(e, ""), one), "")
+def _script(x: Column) -> Column:
+    return F.when(x.rlike(r"\p{IsCyrillic}"), "cyrillic").when(x.rlike(r"\p{IsGreek}"), "greek").otherwise("latin")
 
 
-def _email(e: Column, nonce: Column, s: Surrogates) -> Column:
-    local, domain = F.substring_index(e, "@", 1), F.substring_index(e, "@", -1)
-    host, top = F.regexp_extract(domain, r"^(.*)\.[^.]*$", 1), F.substring_index(domain, ".", -1)
-    # short local parts leave too few choices: two letters more keep the collision check short
-    longer = F.concat(local, F.when(F.length(local) < 4, F.lit("xx")).otherwise(F.lit("")), F.repeat(F.lit("x"), _more(nonce)))
-    return F.concat(_letters(longer, F.lower(e), nonce, s), F.lit("@"), _letters(host, F.lower(domain), F.lit("domain"), s), F.lit("."), top)
+#: title, first name, what is between, last word
+_PARTS = rf"^((?:(?:{_TITLE})\.?\x20)?)(?:({_WORD})({_BETWEEN}))?({_WORD})$"
 
 
-def _numbers(e: Column, kind: Column, nonce: Column, s: Surrogates) -> Column:
-    tag = F.concat_ws(":", kind, nonce)
+def _gender(title: Column, first: Column) -> Column:
+    bare = F.regexp_replace(title, r"\.?\x20$", "")
+    guess = F.when(first.isin(*MALE_NAMES), "m").when(first.isin(*FEMALE_NAMES), "f").when(F.lower(first).rlike("[aeαεηыая]$"), "f").otherwise("m")
+    return F.when(bare.isin(*MALE_TITLES), "m").when(bare.isin(*FEMALE_TITLES), "f").otherwise(guess)
 
-    def card(d: Column) -> Column:
-        n = F.length(d)
-        head = F.left(d, n - 1)
-        fresh = _permute_digits(head, tag, s)
-        return bind(fresh, lambda f: F.concat(f, F.pmod(luhn(f) + F.right(d, F.lit(1)).cast("int") - luhn(head), F.lit(10)).cast("string")))
 
+def _pieces(e: Column, kind: Column) -> Column:
+    """array<struct<text, tag>>: the words of an entity; a null tag stays as it is."""
+    piece = lambda text, tag=None: F.struct(text.alias("text"), (F.lit(None).cast("string") if tag is None else tag if isinstance(tag, Column) else F.lit(tag)).alias("tag"))
+    part = lambda k: F.regexp_extract(e, _PARTS, k)
+    name = F.array(piece(part(1)), piece(part(2), F.concat(F.lit("given:"), _gender(part(1), part(2)))), piece(part(3), "initial"), piece(part(4), "surname"))
+    domain = F.substring_index(e, "@", -1)
+    host = F.regexp_extract(domain, r"^(.*)\.[^.]*$", 1)
+    email = F.array(piece(F.substring_index(e, "@", 1), "email"), piece(F.lit("@")), piece(host, "domain"), piece(F.concat(F.lit("."), F.substring_index(domain, ".", -1))))
     country = F.regexp_extract(e, r"^(\+[0-9]{1,3}(?=[^0-9]))", 1)
-    rest = F.substring(e, F.length(country) + 1, 200)
-    octets = F.split(e, r"\.")
-    value = lambda k: F.get(octets, F.lit(k)).cast("bigint")
-    moved = _permute(value(0) * 256 + value(1), value(2) * 256 + value(3), F.lit(65536).cast("bigint"), F.lit(65536).cast("bigint"), tag, s)
-    address = bind(moved, lambda m: F.concat_ws(".", F.floor(m[0] / 256).cast("string"), (m[0] % 256).cast("string"), F.floor(m[1] / 256).cast("string"), (m[1] % 256).cast("string")))
-    return (
-        F.when(kind == "ipv4", address)
-        .when(kind == "card", _weave(e, bind(_digits(e), card)))
-        .when(kind == "phone", F.concat(country, _weave(rest, _permute_digits(_digits(rest), F.concat_ws(":", tag, country), s))))
-        .otherwise(_weave(e, _permute_digits(_digits(e), tag, s)))
-    )
+    phone = F.array(piece(country), piece(F.substring(e, F.length(country) + 1, F.length(e)), F.concat(F.lit("phone:"), country)))
+    card = F.array(piece(F.left(e, F.length(e) - 1), "card"), piece(F.right(e, F.lit(1))))
+    iban = F.array(piece(F.left(e, F.lit(4))), piece(F.substring(e, F.lit(5), F.length(e)), F.concat(F.lit("iban:"), F.left(e, F.lit(2)))))
+    return F.when(kind == "name", name).when(kind == "email", email).when(kind == "phone", phone).when(kind == "card", card).when(kind == "iban", iban).otherwise(F.array(piece(e, kind)))
+
+
+def _ending(given: Column, tag: Column, s: Surrogates) -> Column:
+    """The ending of a first name's surrogate, by script, gender and the name itself."""
+    which = F.concat(_script(given), F.substring_index(tag, ":", -1))
+    number = drawn(digest(s, F.lit("ending"), tag, F.lower(given)), 0, 8)
+    out = None
+    for (script, gender), values in ENDINGS.items():
+        value = F.get(F.array(*map(F.lit, values)), F.pmod(number, F.lit(len(values))).cast("int"))
+        out = F.when(which == script + gender, value) if out is None else out.when(which == script + gender, value)
+    return F.when(given == "", "").when((F.length(given) > 1) & (F.upper(given) == given), F.upper(out)).otherwise(out)
+
+
+def _finish(e: Column, kind: Column, old: Column, new: Column, s: Surrogates) -> Column:
+    """Join the new words, with a first name's ending and fresh check digits."""
+    word = lambda k: F.get(new, F.lit(k))
+    given = F.get(old, F.lit(1))
+    name = F.concat(word(0), word(1), _ending(given["text"], given["tag"], s), word(2), word(3))
+    digits = lambda x: F.regexp_replace(x, "[^0-9]", "")
+    card = F.concat(word(0), F.pmod(luhn(digits(word(0))) + F.right(e, F.lit(1)).cast("int") - luhn(digits(F.get(old, F.lit(0))["text"])), F.lit(10)).cast("string"))
+    land, account = F.left(e, F.lit(2)), F.get(old, F.lit(1))["text"]
+    check = F.pmod(iban_check(land, word(1)) + F.substring(e, F.lit(3), F.lit(2)).cast("int") - iban_check(land, account), F.lit(100))
+    iban = F.concat(land, F.lpad(check.cast("string"), 2, "0"), word(1))
+    return F.when(kind == "name", name).when(kind == "card", card).when(kind == "iban", iban).otherwise(F.array_join(new, ""))
+
+
+def _address(e: Column, s: Surrogates) -> Column:
+    """An IPv4 address by a Feistel permutation of its last three octets under a first octet that always changes."""
+    octet = lambda k: F.get(F.split(e, r"\."), F.lit(k)).cast("bigint")
+    low = octet(2) * 256 + octet(3)
+    first = F.pmod(octet(0) + F.pmod(drawn(digest(s, F.lit("ipv4"), octet(1).cast("string"), low.cast("string")), 0, 8), F.lit(255)) + 1, F.lit(256))
+
+    def step(k: int, tag: Column):
+        number = lambda held: drawn(digest(s, F.lit("ipv4"), tag, F.lit(str(k)), held.cast("string")), 0, 8)
+        if k % 2:
+            return lambda x: F.array(x[0], F.pmod(x[1] + number(x[0]), F.lit(65536)))
+        return lambda x: F.array(F.pmod(x[0] + number(x[1]), F.lit(256)), x[1])
+
+    def rest(new: Column) -> Column:
+        state = F.array(octet(1), low)
+        for k in range(s.rounds):
+            state = bind(state, step(k, new.cast("string")))
+        return bind(state, lambda x: F.concat_ws(".", new.cast("string"), x[0].cast("string"), F.floor(x[1] / 256).cast("string"), (x[1] % 256).cast("string")))
+
+    return bind(first, rest)
 
 
 def kind_of(e: Column) -> Column:
@@ -238,117 +260,47 @@ def kind_of(e: Column) -> Column:
     return out.otherwise(F.lit("card"))
 
 
-def surrogate(e: Column, kind: Column, nonce: Column, s: Surrogates, given_nonce: Column | None = None) -> Column:
-    name = _name(e, nonce, nonce if given_nonce is None else given_nonce, s)
-    return F.when(kind == "name", name).otherwise(_other(e, kind, nonce, s))
-
-
-def _other(e: Column, kind: Column, nonce: Column, s: Surrogates) -> Column:
-    iban = F.concat(F.left(e, F.lit(2)), _letters(F.substring(e, 3, 200), e, nonce, s))
-    return F.when(kind == "email", _email(e, nonce, s)).when(kind == "iban", iban).otherwise(_numbers(e, kind, nonce, s))
-
-
-def unit(e: Column, kind: Column) -> Column:
-    """What a nonce belongs to: a surname, an address in any case, else the entity."""
-    return F.when(kind == "name", F.concat(F.lit("\t"), F.lower(_last(e)))).when(kind == "email", F.lower(e)).otherwise(e)
-
+def surrogate(e: Column, kind: Column, s: Surrogates) -> Column:
+    def words(old: Column) -> Column:
+        new = F.transform(old, lambda p: F.when(p["tag"].isNull(), p["text"]).otherwise(scramble(p["text"], p["tag"], s)))
+        return bind(new, lambda n: _finish(e, kind, old, n, s))
 
-def given_unit(e: Column, kind: Column) -> Column:
-    """The first name under its surname; null where there is none."""
-    return F.when((kind == "name") & (F.size(_words(e)) > 1), F.concat(F.lit("\t"), F.lower(F.array_join(_words(e), " "))))
+    return F.when(kind == "ipv4", _address(e, s)).otherwise(bind(_pieces(e, kind), words))
 
 
 def entities(text: Column) -> Column:
     return F.when(text.rlike(HINT), F.regexp_extract_all(text, F.lit(ENTITY), F.lit(0))).otherwise(F.array().cast("array<string>"))
 
 
-def _nonce(e: Column, redrawn: dict[str, int]) -> Column:
-    if not redrawn:
-        return F.lit("0")
-    names = sorted(redrawn)
-    at = F.array_position(F.split(F.lit("\n".join(names)), "\n"), e)
-    return F.coalesce(F.get(F.split(F.lit("\n".join(str(redrawn[n]) for n in names)), "\n"), at.cast("int") - 1), F.lit("0"))
-
-
 def distinct_entities(docs: DataFrame, text: str) -> DataFrame:
     """(entity, kind, n): pre-aggregated in each task before the shuffle."""
     each = docs.where(F.col(f"`{text}`").rlike(HINT)).select(F.explode(entities(F.col(f"`{text}`"))).alias("entity"))
     return each.groupBy("entity").agg(F.count("*").alias("n")).withColumn("kind", kind_of(F.col("entity")))
 
 
-def clashes(found: DataFrame, redrawn: dict[str, int] | DataFrame, s: Surrogates) -> DataFrame:
-    """Units (column `entity`) that have to be drawn again: all but the first of those that share a surrogate, and those whose surrogate is real."""
-    named = found.select("entity", "kind", unit(F.col("entity"), F.col("kind")).alias("unit"), given_unit(F.col("entity"), F.col("kind")).alias("given_unit"))
-    if isinstance(redrawn, dict):
-        known = named.select("*", _nonce(F.col("unit"), redrawn).alias("nonce"), _nonce(F.col("given_unit"), redrawn).alias("given_nonce"))
-    else:
-        known = named.join(redrawn.toDF("unit", "nonce"), "unit", "left").join(redrawn.toDF("given_unit", "given_nonce"), "given_unit", "left").fillna("0", ["nonce", "given_nonce"])
-    e, kind, nonce = F.col("entity"), F.col("kind"), F.col("nonce")
-    is_name = kind == "name"
-    # surnames are compared without title and first name, first names within their surname; addresses in any case
-    tagged = lambda value: F.concat(F.lit("\t"), F.lower(value))
-    other = bind(_other(e, kind, nonce, s), lambda made: F.when(kind == "email", F.lower(made)).otherwise(made))
-    value = F.when(is_name, tagged(_made_surname(e, nonce, s))).otherwise(other)
-    given = F.when(F.col("given_unit").isNotNull(), tagged(F.concat(_last(e), F.lit(" "), _made_given(e, F.col("given_nonce"), s))))
-    row = lambda v, u, real: F.struct(v.alias("value"), u.alias("entity"), F.lit(real).alias("real"))
-    made = known.select(F.inline(F.array(row(value, F.col("unit"), 0), row(F.col("unit"), F.col("unit"), 1), row(given, F.col("given_unit"), 0)))).where("value is not null")
-    both = made.groupBy("value").agg(F.max("real").alias("real"), F.min(F.when(F.col("real") == 0, F.col("entity"))).alias("first"), F.collect_set(F.when(F.col("real") == 0, F.col("entity"))).alias("sharing"))
-    return both.select(F.explode(F.filter("sharing", lambda x: (F.col("real") == 1) | (x != F.col("first")))).alias("entity")).distinct()
-
-
-def settle(found: DataFrame, s: Surrogates) -> tuple[dict[str, int] | DataFrame, Surrogates]:
-    """Nonces of the units that were drawn again, under which no clash is left: a dictionary, or beyond `max_redrawn` a written table (unit, nonce)."""
-    redrawn: dict[str, int] | DataFrame = {}
-    least, stale, attempt = None, 0, 0
-    while True:
-        attempt += 1
-        again = materialize(clashes(found, redrawn, s), "clashes")
-        many = again.count()
-        if least is None or many < least:
-            least, stale = many, 0
-        else:
-            stale += 1
-        if many and stale >= s.max_tries:
-            raise RuntimeError(f"{many} surrogates still clash after {attempt} rounds: a format has too few values for its entities")
-        if many and isinstance(redrawn, dict) and many + len(redrawn) <= s.max_redrawn:
-            redrawn |= {r["entity"]: attempt for r in again.collect()}
-        elif many:
-            fresh = again.select(F.col("entity").alias("unit"), F.lit(str(attempt)).alias("nonce"))
-            old = found.sparkSession.createDataFrame([(u, str(n)) for u, n in redrawn.items()], "unit string, nonce string") if isinstance(redrawn, dict) else redrawn
-            table = materialize(old.join(fresh, "unit", "left_anti").unionByName(fresh), "nonces")
-            if not isinstance(redrawn, dict):
-                drop_materialized(redrawn)
-            redrawn = table
-        drop_materialized(again)
-        if not many:
-            return redrawn, s
-
-
-def with_nonces(docs: DataFrame, text: str, redrawn: DataFrame, out: str) -> DataFrame:
-    """docs plus the map `out` from the redrawn units in `text` to their nonces, null where there are none; equal texts share one map."""
-    key = F.sha2(F.col(f"`{text}`"), 256)
-    each = docs.where(F.col(f"`{text}`").rlike(HINT)).select(key.alias("__pii_key"), F.explode(F.array_distinct(entities(F.col(f"`{text}`")))).alias("e")).withColumn("k", kind_of(F.col("e")))
-    units = each.select("__pii_key", F.explode(F.array(unit(F.col("e"), F.col("k")), given_unit(F.col("e"), F.col("k")))).alias("unit")).where("unit is not null").distinct()
-    maps = units.join(redrawn, "unit").groupBy("__pii_key").agg(F.map_from_entries(F.collect_list(F.struct("unit", "nonce"))).alias(out))
-    return docs.withColumn("__pii_key", key).join(maps, "__pii_key", "left").drop("__pii_key")
+def units(found: DataFrame, s: Surrogates) -> DataFrame:
+    """(tag, unit, made): what has to stay distinct, with its surrogate: the words of names, addresses in any case, numbers as they are written."""
+    e, kind = F.col("entity"), F.col("kind")
+    words = F.transform(F.filter(_pieces(e, kind), lambda p: p["tag"].isNotNull() & (p["text"] != "")), lambda p: F.struct(p["tag"].alias("tag"), F.lower(p["text"]).alias("unit"), F.lower(F.concat(scramble(p["text"], p["tag"], s), F.when(p["tag"].startswith("given:"), _ending(p["text"], p["tag"], s)).otherwise(F.lit("")))).alias("made")))
+    whole = F.array(F.struct(kind.alias("tag"), e.alias("unit"), surrogate(e, kind, s).alias("made")))
+    return found.select(F.explode(F.when(kind == "name", words).otherwise(whole)).alias("u")).select("u.tag", F.when(F.col("u.tag") == "email", F.lower("u.unit")).otherwise(F.col("u.unit")).alias("unit"), F.when(F.col("u.tag") == "email", F.lower("u.made")).otherwise(F.col("u.made")).alias("made"))
 
 
-def replace_pii(docs: DataFrame, text: str = "text", out: str = "pii", settings: Surrogates = Surrogates()) -> DataFrame:
-    """docs with entities of `text` replaced, plus the struct `out` with the number of entities by type."""
-    distinct = materialize(distinct_entities(docs, text), "entities")
-    redrawn, s = settle(distinct, settings)
-    drop_materialized(distinct)
-    source = F.col(f"`{text}`")
+def collisions(found: DataFrame, s: Surrogates = Surrogates()) -> DataFrame:
+    """(tag, made): surrogates that stand for two different units of the table of distinct entities; there should be none."""
+    return units(found, s).groupBy("tag", "made").agg(F.min("unit").alias("a"), F.max("unit").alias("b")).where("a <> b")
 
-    def nonce(u: Column) -> Column:
-        return _nonce(u, redrawn) if isinstance(redrawn, dict) else F.coalesce(F.try_element_at(F.col("__pii_nonces"), u), F.lit("0"))
 
-    def replaced(e: Column, k: Column) -> Column:
-        own, given = nonce(unit(e, k)), nonce(F.coalesce(given_unit(e, k), F.lit("")))
-        return bind(F.struct(own.alias("own"), given.alias("given")), lambda n: F.struct(k.alias("kind"), surrogate(e, k, n["own"], s, n["given"]).alias("made")))
+def replace_pii(docs: DataFrame, text: str = "text", out: str = "pii", settings: Surrogates = Surrogates()) -> DataFrame:
+    """docs with entities of `text` replaced, plus the struct `out` with the number of entities by type. The collision check runs first."""
+    s = settings
+    shared = collisions(distinct_entities(docs, text), s).limit(1).collect()
+    if shared:
+        raise RuntimeError(f"the surrogate {shared[0]['made']!r} stands for two entities: set another key")
+    source = F.col(f"`{text}`")
 
     def fresh(found: Column) -> Column:
-        return F.transform(found, lambda e: bind(kind_of(e), lambda k: replaced(e, k)))
+        return F.transform(found, lambda e: bind(kind_of(e), lambda k: F.struct(k.alias("kind"), surrogate(e, k, s).alias("made"))))
 
     def is_kind(t: str):
         return lambda m: m["kind"] == t
@@ -362,7 +314,6 @@ def replace_pii(docs: DataFrame, text: str = "text", out: str = "pii", settings:
         )
 
     kept = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() != out.lower()])
-    known = kept if isinstance(redrawn, dict) else with_nonces(kept, text, redrawn, "__pii_nonces")
-    found = known.withColumn(out, bind(bind(entities(F.coalesce(source, F.lit(""))), fresh), body))
+    found = kept.withColumn(out, bind(bind(entities(F.coalesce(source, F.lit(""))), fresh), body))
     counts = F.struct(*[F.col(f"{out}.{n}") for n in ("n_entities", *[f"n_{t}" for t in TYPES])]).alias(out)
     return found.select(*[F.col(f"{out}.text").alias(c) if c.lower() == text.lower() else F.col(f"`{c}`") for c in kept.columns], counts)

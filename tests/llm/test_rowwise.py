@@ -161,62 +161,91 @@ def test_contamination_odd_input(spark):
 # --- PII
 
 
+def luhn_valid(text):
+    digits = [int(c) for c in text if c.isdigit()][::-1]
+    return sum(d if i % 2 == 0 else (2 * d - 9 if d > 4 else 2 * d) for i, d in enumerate(digits)) % 10 == 0
+
+
+def iban_valid(text):
+    plain = text.replace(" ", "")
+    return int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97 == 1
+
+
+def shape(text):
+    return re.sub(r"[0-9]", "0", re.sub(r"[a-z]", "a", re.sub(r"[A-Z]", "A", text)))
+
+
 def test_surrogates(spark):
     lines = [
         (1, "Mr. John Smith met Mrs. Smith, mail Bob.J7@mail7.example.com or call +1 (743) 555-3824 from 10.1.2.3"),
-        (2, "again +1 (743) 555-3824, Mr. Smith, bob.j7@mail7.example.com, card 4539 1488 0343 6467, SSN 123-45-6789"),
+        (2, "again +1 (743) 555-3824, Mr. Smith, bob.j7@MAIL7.example.com, card 4539 1488 0343 6467, SSN 123-45-6789"),
         (3, None), (4, ""), (5, "nothing to see, page 42 of 1999"), (5, "nothing to see, page 42 of 1999"),
+        (6, "Mary O'Brien-Smith wrote; then Peter Q. Smith paid DE89 3704 0044 0532 0130 00 and GB82WEST12345698765432"),
     ]
     got = surrogates.replace_pii(spark.createDataFrame(lines, "doc_id int, text string").withColumn("pii", F.lit(0))).orderBy("doc_id").collect()
-    a, b = got[0]["text"], got[1]["text"]
-    for secret in ("John", "Smith", "Bob", "743", "10.1.2.3", "4539 1488", "123-45-6789"):
-        assert secret not in a and secret not in b
+    a, b, c = got[0]["text"], got[1]["text"], got[6]["text"]
+    for secret in ("John", "Smith", "Bob", "743", "10.1.2.3", "4539 1488", "123-45-6789", "Mary", "Brien", "Peter", "3704", "WEST"):
+        assert secret not in a + b + c
     phone = re.search(r"\+1 \(\d{3}\) \d{3}-\d{4}", a).group()
     assert phone in b
     surname = re.search(r"Mrs\. (\w+)", a).group(1)
-    assert re.search(rf"Mr\. \w+ {surname}", a) and f"Mr. {surname}" in b
-    first = re.search(r"Mr\. (\w+) ", a).group(1)
-    assert first in surrogates.FIRST_NAMES["latin", "m"]
-    digits = [int(c) for c in re.search(r"card ([\d ]+\d)", b).group(1).replace(" ", "")]
-    assert sum(d if i % 2 else (2 * d - 9 if d > 4 else 2 * d) for i, d in enumerate(digits)) % 10 == 0
+    assert re.search(rf"Mr\. \w+ {surname}", a) and f"Mr. {surname}" in b and shape(surname) == "Aaaaa"
+    assert re.search(rf"then \w+ \w\. {surname} paid", c)
+    man, woman = re.search(r"Mr\. (\w+) ", a).group(1), c.split()[0]
+    assert man.endswith(surrogates.ENDINGS["latin", "m"]) and woman.endswith(surrogates.ENDINGS["latin", "f"])
+    mail = re.search(r"\S+@\S+", a).group()
+    assert mail.lower() in b.lower() and shape(mail) == shape("Bob.J7@mail7.example.com")
+    assert luhn_valid(re.search(r"card ([\d ]+\d)", b).group(1))
+    assert all(map(iban_valid, re.search(r"paid ([A-Z0-9 ]+) and (\w+)", c).groups()))
     assert got[2]["text"] is None and got[3]["text"] == "" and got[4]["text"] == lines[4][1]
-    assert got[0]["pii"]["n_name"] == 2 and got[1]["pii"]["n_card"] == 1
+    assert got[0]["pii"]["n_name"] == 2 and got[1]["pii"]["n_card"] == 1 and got[6]["pii"]["n_iban"] == 2
 
 
 def test_surrogates_stay_distinct(spark):
-    many = [(i, f"call +1 ({i:03d}) 555-{i:04d} or u{i}@a.example.com from 10.0.{i // 250}.{i % 250}") for i in range(400)]
-    df = spark.createDataFrame(many, "doc_id int, text string")
-    found = surrogates.distinct_entities(df, "text")
-    redrawn, s = surrogates.settle(found, surrogates.Surrogates())
-    assert surrogates.clashes(found, redrawn, s).count() == 0
-    made = found.select(surrogates.surrogate(F.col("entity"), F.col("kind"), surrogates._nonce(F.col("entity"), redrawn), s).alias("m"))
-    assert made.distinct().count() == found.count() == 1200
-
-
-@pytest.mark.parametrize("limit", [5_000, 0])
-def test_surrogates_settle_without_a_cap(spark, monkeypatch, limit):
-    monkeypatch.setitem(surrogates.SYLLABLES, "latin", ["bar", "bel"])  # 16 surnames for 8 people
-    names = [f"Fa{b}son" for b in "bcdfghkl"]
-    lines = [(i, f"Mr. John {n} met Mrs. {n} and Mr. Peter {n}") for i, n in enumerate(names)]
-    lines += [(100, None), (101, "nobody"), (102, "Mr. Fabson wrote to 张伟@例子.com"), (102, "Mr. Fabson wrote to 张伟@例子.com")]
-    settings = surrogates.Surrogates(max_redrawn=limit)
-    df = spark.createDataFrame(lines, "doc_id int, text string")
-    found = surrogates.distinct_entities(df, "text")
-    redrawn, s = surrogates.settle(found, settings)
-    assert isinstance(redrawn, dict) == (limit == 5_000)
-    assert surrogates.clashes(found, redrawn, s).count() == 0
-    rows = surrogates.replace_pii(df, settings=settings).orderBy("doc_id").collect()
-    made = [re.fullmatch(r"Mr\. (\w+) (\w+) met Mrs\. (\w+) and Mr\. (\w+) (\w+)", r["text"]).groups() for r in rows[: len(names)]]
-    assert all(m[1] == m[2] == m[4] and m[0] != m[3] for m in made)
-    assert len({m[1] for m in made}) == len(names) and not {m[1] for m in made} & set(names)
-    assert len(rows) == len(lines) and rows[8]["text"] is None and rows[9]["text"] == "nobody"
-    assert rows[10]["text"] == rows[11]["text"] and rows[10]["text"].startswith(f"Mr. {made[0][1]} ") and "张" not in rows[10]["text"]
-
-
-def test_surrogates_raise_when_a_format_is_full(spark):
-    full = spark.createDataFrame([(f"+1 {i:02d} {j:02d}", "phone", 1) for i in range(100) for j in range(100)], "entity string, kind string, n long")
-    with pytest.raises(RuntimeError, match="too few values"):
-        surrogates.settle(full, surrogates.Surrogates(max_tries=1))
+    """100 000 surnames under changing titles and first names, and as many addresses and numbers: one surrogate each, none twice."""
+    n = 100_000
+    letters = lambda k: F.concat(*[F.substring(F.lit("abcdefghij"), F.pmod(F.floor(k / 10**j), F.lit(10)).cast("int") + 1, F.lit(1)) for j in range(5)])
+    k = F.col("id")
+    who = F.concat(F.when(k % 3 == 0, "Mr. John Sm").when(k % 3 == 1, "Mrs. Sm").otherwise("Mary Sm"), letters(k))
+    text = F.concat_ws(", ", who, F.concat(F.lit("Mr. Sm"), letters(k)), F.concat(letters(k), F.lit("@x.org")), F.concat(F.lit("+1 (555) "), F.lpad(F.floor(k / 10000).cast("string"), 3, "0"), F.lit("-"), F.lpad((k % 10000).cast("string"), 4, "0")))
+    docs = spark.range(0, n, 1, 4).select("id", text.alias("text"))
+    assert surrogates.collisions(surrogates.distinct_entities(docs, "text")).count() == 0
+    rows = surrogates.replace_pii(docs).collect()
+    seen, mails, phones = set(), set(), set()
+    for r in rows:
+        first, second, mail, phone = r["text"].split(", ")
+        assert first.split()[-1] == second.split()[-1]
+        seen.add(second.split()[-1])
+        mails.add(mail)
+        phones.add(phone)
+    assert len(rows) == len(seen) == len(mails) == len(phones) == n
+
+
+def test_scramble_is_a_permutation(spark):
+    """Brute force over all words of small shapes: every word is hit once and none stays."""
+    from itertools import product
+
+    s = surrogates.Surrogates()
+    for shapes in (["aeiou", "0123456789", "-", "0123456789"], ["bcdfghjklmnpqrstvwxyz", "aeiou", "aeiou"], ["βγδζθκλμνξπρστφχψ"], ["0123456789"] * 4):
+        words = ["".join(w) for w in product(*shapes)]
+        made = dict(spark.createDataFrame([(w,) for w in words], "w string").select("w", surrogates.scramble(F.col("w"), F.lit("t"), s)).collect())
+        assert sorted(made.values()) == sorted(words) and all(w != m for w, m in made.items())
+    edges = ["", "ß", "McDonald", "ÉMILE", "İda", "张伟", "Ωmega", "--"]
+    made = dict(spark.createDataFrame([(w,) for w in edges], "w string").select("w", surrogates.scramble(F.col("w"), F.lit("t"), s)).collect())
+    assert made[""] == "" and made["ß"] == "ß" and made["--"] == "--" and re.fullmatch("[a-z]{12}", made["张伟"])
+    assert shape(made["McDonald"]) == "AaAaaaaa" and made["ÉMILE"].isupper() and len(made["ÉMILE"]) == 5
+
+
+def test_addresses_stay_distinct(spark):
+    made = spark.range(0, 70_000).select(F.concat_ws(".", F.lit("10"), F.floor(F.col("id") / 65536).cast("string"), F.floor(F.col("id") / 256 % 256).cast("string"), (F.col("id") % 256).cast("string")).alias("e"))
+    got = made.select("e", surrogates.surrogate(F.col("e"), F.lit("ipv4"), surrogates.Surrogates()).alias("m"))
+    assert got.select("m").distinct().count() == 70_000 and got.where("e = m").count() == 0
+
+
+def test_collision_ends_the_run(spark, monkeypatch):
+    monkeypatch.setattr(surrogates, "scramble", lambda word, tag, s: F.lit("Same"))
+    with pytest.raises(RuntimeError, match="two entities"):
+        surrogates.replace_pii(spark.createDataFrame([(1, "Mr. Abel met Mr. Cain")], "doc_id int, text string"))
 
 
 def test_surrogates_odd_input(spark):

@@ -81,15 +81,15 @@ def is_chrome(tag: str, attrs: dict[str, str | None], in_main: bool) -> bool:
 
 
 class PageReader(HTMLParser):
-    """Events in page order: codes, parents (the event around each, -1 for none) and, for texts, (event, text, chrome root, inside a main element)."""
+    """Events in page order: codes, parents (the event around each, -1 for none) and, for texts, (event, text, event of the chrome around it or -1, inside a main element)."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         import xxhash
 
         self.hash = xxhash.xxh64_intdigest
-        # tag, code, event, chrome root's code (0: none), inside main, hidden, event of the innermost block
-        self.stack: list[tuple[str, int, int, int, bool, bool, int]] = [("", 0, -1, 0, False, False, -1)]
+        # tag, code, event, event of the chrome around it, inside main, hidden, event of the innermost block
+        self.stack: list[tuple[str, int, int, int, bool, bool, int]] = [("", 0, -1, -1, False, False, -1)]
         self.codes: list[int] = []
         self.parents: list[int] = []
         self.blocks: list[tuple[int, str, int, bool]] = []
@@ -143,9 +143,9 @@ class PageReader(HTMLParser):
         if tag in VOID:
             return
         inside = hidden or is_hidden(tag, given)
-        if not inside and not chrome and is_chrome(tag, given, main):
-            chrome = code
-        if not chrome and not main:
+        if not inside and chrome < 0 and is_chrome(tag, given, main):
+            chrome = here
+        if chrome < 0 and not main:
             main = tag in ("article", "main") or (given.get("role") or "").lower() in ("main", "article") or (given.get("itemprop") or "").lower() == "articlebody"
         self.stack.append((tag, code, event if hidden else here, chrome, main, inside, here if tag in BLOCKS and not hidden else block))
 
@@ -180,17 +180,17 @@ def host_of(url):
     return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1))
 
 
-_LONGS = T.ArrayType(T.LongType())
+_LONGS, _INTS = T.ArrayType(T.LongType()), T.ArrayType(T.IntegerType())
 EVENTS = [
     T.StructField("digest", T.LongType()),
-    T.StructField("vocab", _LONGS),  # different events
-    T.StructField("times", _LONGS),  # how often each occurs
-    T.StructField("codes", _LONGS),
-    T.StructField("parents", _LONGS),
-    T.StructField("at", _LONGS),  # events that are texts
+    T.StructField("vocab", _LONGS),  # codes of the different events
+    T.StructField("times", _INTS),  # how often each occurs
+    T.StructField("places", _INTS),  # the events in page order, as places in vocab
+    T.StructField("parents", _INTS),
+    T.StructField("at", _INTS),  # events that are texts
     T.StructField("texts", T.ArrayType(T.StringType())),
-    T.StructField("chrome", _LONGS),
-    T.StructField("main", _LONGS),
+    T.StructField("chrome", _INTS),
+    T.StructField("main", _INTS),
 ]
 
 
@@ -205,11 +205,13 @@ def parse_pages(pages: DataFrame, html: str, out: str) -> DataFrame:
             for source in sources.to_pylist():
                 page = read_page(source or "")
                 seen = Counter(page.codes)
+                place = {c: i for i, c in enumerate(seen)}
                 at, texts, chrome, main = zip(*page.blocks, strict=True) if page.blocks else ((), (), (), ())
-                row = (xxhash.xxh64_intdigest(source or "") >> 1, list(seen), list(seen.values()), page.codes, page.parents, at, texts, chrome, list(map(int, main)))
+                row = (xxhash.xxh64_intdigest(source or "") >> 1, list(seen), list(seen.values()), [place[c] for c in page.codes], page.parents, at, texts, chrome, list(map(int, main)))
                 for column, value in zip(columns, row, strict=True):
                     column.append(value)
-            kinds = [pa.int64(), *[pa.list_(pa.int64())] * 5, pa.list_(pa.string()), *[pa.list_(pa.int64())] * 2]
+            ints = pa.list_(pa.int32())
+            kinds = [pa.int64(), pa.list_(pa.int64()), ints, ints, ints, ints, pa.list_(pa.string()), ints, ints]
             return [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
 
         return work
@@ -303,7 +305,7 @@ def entry_reader(sent: Broadcast | None, prepare: Callable[[list[dict]], tuple])
 
 
 def _over_hosts(pages: DataFrame, columns: list[str], template: Template, prepare: Callable, judge: Callable, schema: str) -> DataFrame:
-    """Rows (host, ...) that `judge(host, prepared entries, columns)` counts, summed up within each batch."""
+    """Rows (host, ...) that `judge(host, prepared entries, codes, columns)` counts, summed up within each batch."""
     bounded_batches(pages.sparkSession, 1024)
     names = [f.split()[0] for f in schema.split(", ")]
     types = [pa.string() if f.split()[1] == "string" else pa.int64() for f in schema.split(", ")]
@@ -312,16 +314,16 @@ def _over_hosts(pages: DataFrame, columns: list[str], template: Template, prepar
         read = entry_reader(sent, prepare)
         for batch in batches:
             out: Counter[tuple] = Counter()
-            for i, (host, *values) in enumerate(zip(*(batch.column(c).to_pylist() for c in ["host", *columns]), strict=True)):
+            for i, (host, vocab, places, *values) in enumerate(zip(*(batch.column(c).to_pylist() for c in ["host", "vocab", "places", *columns]), strict=True)):
                 held = read(batch, i, host)
                 if held is not None:
-                    out.update(judge(host, held, *values))
+                    out.update(judge(host, held, [vocab[k] for k in places], *values))
             if out:
                 rows = [(*k, n) for k, n in out.items()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names)
 
     sent = template.sent
-    return template.over(pages.select("host", *columns)).mapInArrow(run, schema)
+    return template.over(pages.select("host", "vocab", "places", *columns)).mapInArrow(run, schema)
 
 
 def _classes(entries: list[dict]) -> tuple[dict[int, int], dict[int, int], dict[int, tuple]]:
@@ -349,11 +351,11 @@ def _places(host: str, held: tuple, codes: list[int]) -> dict[tuple, int]:
 def valid_classes(parsed: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """(host, class, pages, code, place): the events of the classes that come in one order on all pages and nest, `place` being the event's rank in this order."""
     found = materialize(occurrence_classes(parsed, settings), "page-classes")
-    pages = parsed.select("host", F.col("e.codes").alias("codes"))
-    orders = _over_hosts(pages, ["codes"], Template(found, settings), _classes, _orders, "host string, class bigint, sequence bigint, n bigint")
+    pages = parsed.select("host", "e.vocab", "e.places")
+    orders = _over_hosts(pages, [], Template(found, settings), _classes, _orders, "host string, class bigint, sequence bigint, n bigint")
     one = orders.groupBy("host", "class").agg(F.min("sequence").alias("least"), F.max("sequence").alias("most")).where("least = most AND least >= 0").select("host", "class")
     steady = materialize(found.join(one, ["host", "class"], "left_semi"), "page-ordered")
-    seen = _over_hosts(pages, ["codes"], Template(steady, settings), _classes, _places, "host string, class bigint, code bigint, place bigint, n bigint")
+    seen = _over_hosts(pages, [], Template(steady, settings), _classes, _places, "host string, class bigint, code bigint, place bigint, n bigint")
     places = materialize(seen.select("host", "class", "code", "place").distinct(), "page-places")
     lost = places.where("place < 0").select("host", "class").distinct()
     valid = materialize(steady.join(places.where("place >= 0"), ["host", "class", "code"]).join(lost, ["host", "class"], "left_anti"), "page-template")
@@ -363,7 +365,7 @@ def valid_classes(parsed: DataFrame, settings: Settings = Settings()) -> DataFra
 
 
 def slots_of(codes: list[int], parents: list[int], at: list[int], chrome: list[int], main: list[int], known: dict[int, int]) -> list[tuple[int, int] | None]:
-    """For each text of a page its slot: the innermost template element around it and the root of the chrome that it stands in; None for constants."""
+    """For each text of a page its slot: the innermost template element around it and the event of the chrome that it stands in (-1: none); None for constants."""
     above: dict[int, int] = {-1: 0}
 
     def element(event: int) -> int:
@@ -394,15 +396,15 @@ def _known(entries: list[dict]) -> tuple[dict[int, int]]:
 def _weights(host: str, held: tuple, codes: list[int], parents: list[int], at: list[int], chrome: list[int], main: list[int], sizes: list[int]) -> dict[tuple, int]:
     out: Counter[tuple] = Counter()
     for slot, n, inside in zip(slots_of(codes, parents, at, chrome, main, *held), sizes, main, strict=True):
-        if slot is not None and not slot[1]:
+        if slot is not None and slot[1] < 0:
             out[host, slot[0], inside] += n
     return out
 
 
 def rank_slots(parsed: DataFrame, template: DataFrame, settings: Settings) -> DataFrame:
     """(host, slot): the slots outside chrome whose data is the article; of hosts with main elements only the slots that lie mostly in them."""
-    narrow = parsed.select("host", "e.codes", "e.parents", "e.at", "e.chrome", "e.main", F.transform("e.texts", F.length).alias("sizes"))
-    mass = _over_hosts(narrow, ["codes", "parents", "at", "chrome", "main", "sizes"], Template(template, settings), _known, _weights, "host string, slot bigint, inside bigint, chars bigint")
+    narrow = parsed.select("host", "e.vocab", "e.places", "e.parents", "e.at", "e.chrome", "e.main", F.transform("e.texts", F.length).alias("sizes"))
+    mass = _over_hosts(narrow, ["parents", "at", "chrome", "main", "sizes"], Template(template, settings), _known, _weights, "host string, slot bigint, inside bigint, chars bigint")
     slots = mass.groupBy("host", "slot").agg((F.sum(F.col("chars") * (2 * F.col("inside") - 1)) > 0).alias("is_main"))
     marked = slots.where("is_main").select("host").distinct().withColumn("marked", F.lit(True))
     return slots.join(marked, "host", "left").where("is_main OR marked IS NULL").select("host", "slot")
@@ -412,18 +414,19 @@ def main_text(page: dict, known: dict[int, int], chosen: set[int]) -> str:
     """Join a page's data of the chosen slots; without a template, or where they are empty, what markup leaves."""
     if known:
         slots = slots_of(page["codes"], page["parents"], page["at"], page["chrome"], page["main"], known)
-        kept = [t for t, s in zip(page["texts"], slots, strict=True) if s is not None and not s[1] and s[0] in chosen]
+        kept = [t for t, s in zip(page["texts"], slots, strict=True) if s is not None and s[1] < 0 and s[0] in chosen]
         if kept:
             return "\n".join(kept)
     else:
         slots = [(0, root) for root in page["chrome"]]
-    plain = [(t, m) for t, s, m in zip(page["texts"], slots, page["main"], strict=True) if s is not None and not s[1]]
+    plain = [(t, m) for t, s, m in zip(page["texts"], slots, page["main"], strict=True) if s is not None and s[1] < 0]
     return "\n".join(t for t, m in plain if m or not any(m for _, m in plain))
 
 
-def parse_table(pages: DataFrame, url: str, html: str) -> DataFrame:
+def parse_table(pages: DataFrame, url: str, html: str, keep_html: bool = True) -> DataFrame:
     """The written table (host, row, e): `row` has the columns of pages, `e` the events."""
-    rows = pages.select(host_of(F.col(f"`{url}`")).alias("host"), F.struct(*[F.col(f"`{c}`") for c in pages.columns]).alias("row"), F.col(f"`{html}`").alias("html"))
+    kept = [c for c in pages.columns if keep_html or c.lower() != html.lower()]
+    rows = pages.select(host_of(F.col(f"`{url}`")).alias("host"), F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), F.col(f"`{html}`").alias("html"))
     return materialize(parse_pages(rows, "html", "e").select("host", "row", "e"), "page-events")
 
 
@@ -431,19 +434,20 @@ def _slots(entries: list[dict]) -> tuple[dict[int, int], set[int]]:
     return {t["code"]: t["class"] for t in entries if t["event"]}, {t["code"] for t in entries if not t["event"]}
 
 
-def extract_main_text(pages: DataFrame, url: str = "url", html: str = "html", out: str = "main_text", settings: Settings = Settings()) -> DataFrame:
-    """pages plus the string `out`; one output row per input row. A column of pages that is called `out` is replaced."""
+def extract_main_text(pages: DataFrame, url: str = "url", html: str = "html", out: str = "main_text", settings: Settings = Settings(), keep_html: bool = True) -> DataFrame:
+    """pages plus the string `out`; one output row per input row. A column of pages that is called `out` is replaced; without `keep_html` the source is left out."""
     plain = pages.select(*[F.col(f"`{c}`") for c in pages.columns if c.lower() != out.lower()])
-    parsed = parse_table(plain, url, html)
+    parsed = parse_table(plain, url, html, keep_html)
     valid = valid_classes(parsed, settings)
     chosen = rank_slots(parsed, valid, settings).select("host", F.lit(0).cast("long").alias("class"), F.col("slot").alias("code"), F.lit(False).alias("event"))
     whole = materialize(valid.select("host", "class", "code", F.lit(True).alias("event")).unionByName(chosen), "page-slots")
     drop_materialized(valid)
     template = Template(whole, settings)
-    columns = ["codes", "parents", "at", "texts", "chrome", "main"]
+    columns = ["vocab", "places", "parents", "at", "texts", "chrome", "main"]
+    given = parsed.schema["row"].dataType
     joined = template.over(parsed.select("host", "row", *[F.col(f"e.{c}") for c in columns]))
     bounded_batches(pages.sparkSession, 256)
-    schema = T.StructType([T.StructField("row", T.StructType(plain.schema.fields)), T.StructField("__text", T.StringType())])
+    schema = T.StructType([T.StructField("row", given), T.StructField("__text", T.StringType())])
     sent = template.sent
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -451,8 +455,12 @@ def extract_main_text(pages: DataFrame, url: str = "url", html: str = "html", ou
         for batch in batches:
             hosts = batch.column("host").to_pylist()
             rows = zip(*(batch.column(c).to_pylist() for c in columns), strict=True)
-            made = [main_text(dict(zip(columns, row, strict=True)), *(read(batch, i, host) or ({}, set()))) for i, (host, row) in enumerate(zip(hosts, rows, strict=True))]
+            made = []
+            for i, (host, row) in enumerate(zip(hosts, rows, strict=True)):
+                page = dict(zip(columns, row, strict=True))
+                page["codes"] = [page["vocab"][k] for k in page["places"]]
+                made.append(main_text(page, *(read(batch, i, host) or ({}, set()))))
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(made, pa.string())], ["row", "__text"])
 
     done = joined.mapInArrow(run, schema)
-    return done.select(*[F.col(f"row.`{c}`").alias(c) for c in plain.columns], F.col("__text").alias(out))
+    return done.select(*[F.col(f"row.`{c}`").alias(c) for c in given.names], F.col("__text").alias(out))

@@ -95,7 +95,7 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_page_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     from kbweave.llm.page_templates import extract_main_text
 
-    found = extract_main_text(table(spark, sf_dir, "pages"))
+    found = extract_main_text(table(spark, sf_dir, "pages"), keep_html=False)
     return found.select("page_id", "url", F.col("main_text").alias("text"), F.length("main_text").cast("long").alias("n_chars"))
 
 

@@ -55,13 +55,23 @@ ALPHABET = "".join(LETTER_CLASSES)
 #: Letters without a capital of one letter; they stay.
 STAY = "ßς"
 
-_TITLE = "|".join(sorted(MALE_TITLES + FEMALE_TITLES + OPEN_TITLES, key=len, reverse=True))
-_GIVEN = "|".join(sorted(MALE_NAMES + FEMALE_NAMES, key=len, reverse=True))
+
+def _one_of(words: list[str]) -> str:
+    """A pattern of any of the words, by their first letters, so that a position is settled by a few comparisons; longer words come first."""
+    tails: dict[str, list[str]] = {}
+    for w in sorted(words, key=len, reverse=True):
+        tails.setdefault(w[0], []).append(w[1:])
+    return "|".join(f"{c}(?:{'|'.join(t)})" for c, t in sorted(tails.items()))
+
+
+_TITLE = _one_of([*MALE_TITLES, *FEMALE_TITLES, *OPEN_TITLES])
+_GIVEN = _one_of([*MALE_NAMES, *FEMALE_NAMES])
+_START = r"(?<![\p{L}\p{N}])(?=\p{Lu})"
 _WORD = r"\p{Lu}[\p{L}\p{M}]*+(?:['’-]\p{L}[\p{L}\p{M}]*+)*+"
 _BETWEEN = r"\x20(?:\p{Lu}\.\x20)?"
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
 #: Fixed patterns in order of precedence.
-NAME = rf"(?<![\p{{L}}\p{{N}}])(?:(?:{_TITLE})\.?\x20{_WORD}(?:{_BETWEEN}{_WORD})?|(?:{_GIVEN}){_BETWEEN}{_WORD})"
+NAME = rf"{_START}(?:(?:{_TITLE})\.?\x20{_WORD}(?:{_BETWEEN}{_WORD})?|(?:{_GIVEN}){_BETWEEN}{_WORD})"
 EMAIL = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)+"
 IPV4 = rf"(?<![\w.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\w|\.\d)"
 SSN = r"(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])"
@@ -70,7 +80,9 @@ IBAN = r"(?<!\w)[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){3,7}(?:\x20?[A-Z0-9]{1,3})?
 CARD = r"(?<![\w.-])[0-9]{4}(?:[\x20-]?[0-9]{4}){2}[\x20-]?[0-9]{1,7}(?![\w-])"
 ENTITY = "|".join(f"(?:{p})" for p in (NAME, EMAIL, IPV4, SSN, PHONE, IBAN, CARD))
 #: A text without any of these has no entity; the long pattern is not tried on it.
-HINT = rf"[0-9@]|(?<![\p{{L}}\p{{N}}])(?:(?:{_TITLE})\.?\x20|(?:{_GIVEN})\x20\p{{Lu}})"
+HINT = rf"[0-9@]|{_START}(?:(?:{_TITLE})\.?\x20|(?:{_GIVEN})\x20\p{{Lu}})"
+#: Stands around entities while a text is taken apart; texts that hold it already take a slower way.
+MARK = "\ue000"
 
 
 @dataclass(frozen=True)
@@ -91,16 +103,15 @@ def drawn(hexes: Column, k: Column | int, digits: int = 4) -> Column:
     return F.conv(F.substring(hexes, at, F.lit(digits)), 16, 10).cast("bigint")
 
 
+#: For every place of ALPHABET the first place and the size of its letter class.
+_FIRST = [begin for begin, letters in zip([sum(map(len, LETTER_CLASSES[:k])) for k in range(len(LETTER_CLASSES))], LETTER_CLASSES, strict=True) for _ in letters]
+_SIZE = [len(letters) for letters in LETTER_CLASSES for _ in letters]
+
+
 def _bounds(place: Column) -> tuple[Column, Column]:
     """(first place, size) of the letter class of a place in ALPHABET."""
-    first = size = None
-    begin = 0
-    for letters in LETTER_CLASSES:
-        begin += len(letters)
-        test = place < begin
-        first = F.when(test, begin - len(letters)) if first is None else first.when(test, begin - len(letters))
-        size = F.when(test, len(letters)) if size is None else size.when(test, len(letters))
-    return first, size
+    listed = lambda values: F.split(F.lit(" ".join(map(str, values))), " ").cast("array<int>")  # noqa: E731  (one literal, folded when the plan is optimized)
+    return F.get(listed(_FIRST), place), F.get(listed(_SIZE), place)
 
 
 def _shifted(place: Column, by: Column) -> Column:
@@ -144,7 +155,9 @@ def scramble(word: Column, tag: Column, s: Surrogates) -> Column:
         return F.when(foreign, named).otherwise(bind(places, lambda p: bind(F.array_position(F.transform(p, lambda x: x >= 0), True).cast("int") - 1, lambda at: F.when(at < 0, word).otherwise(letters(chars, p, at)))))
 
     def letters(chars: Column, places: Column, at: Column) -> Column:
-        head = F.get(places, at)
+        return bind(F.get(places, at), lambda head: with_head(chars, places, at, head))
+
+    def with_head(chars: Column, places: Column, at: Column, head: Column) -> Column:
         first, size = _bounds(head)
         rest = F.transform(places, lambda p, i: F.when(i == at, -2 - first).otherwise(p))
 
@@ -268,22 +281,40 @@ def surrogate(e: Column, kind: Column, s: Surrogates) -> Column:
     return F.when(kind == "ipv4", _address(e, s)).otherwise(bind(_pieces(e, kind), words))
 
 
+def taken_apart(text: Column) -> Column:
+    """struct<gaps, found>: the entities of a text and what stands before, between and behind them; the long pattern runs over the text once."""
+    parts = F.split(F.regexp_replace(text, ENTITY, f"{MARK}$0{MARK}"), MARK, -1)
+    every = lambda rest: lambda ps: F.filter(ps, lambda _, i: i % 2 == rest)
+    once = bind(parts, lambda ps: F.struct(every(0)(ps).alias("gaps"), every(1)(ps).alias("found")))
+    twice = F.struct(F.split(text, ENTITY, -1).alias("gaps"), F.regexp_extract_all(text, F.lit(ENTITY), F.lit(0)).alias("found"))
+    none = F.struct(F.array(text).alias("gaps"), F.array().cast("array<string>").alias("found"))
+    return F.when(~text.rlike(HINT), none).when(F.contains(text, F.lit(MARK)), twice).otherwise(once)
+
+
 def entities(text: Column) -> Column:
-    return F.when(text.rlike(HINT), F.regexp_extract_all(text, F.lit(ENTITY), F.lit(0))).otherwise(F.array().cast("array<string>"))
+    return taken_apart(text)["found"]
 
 
 def distinct_entities(docs: DataFrame, text: str) -> DataFrame:
-    """(entity, kind, n): pre-aggregated in each task before the shuffle."""
-    each = docs.where(F.col(f"`{text}`").rlike(HINT)).select(F.explode(entities(F.col(f"`{text}`"))).alias("entity"))
-    return each.groupBy("entity").agg(F.count("*").alias("n")).withColumn("kind", kind_of(F.col("entity")))
+    """(entity, n): pre-aggregated in each task before the shuffle."""
+    each = docs.where(F.col(f"`{text}`").isNotNull()).select(F.explode(entities(F.col(f"`{text}`"))).alias("entity"))
+    return each.groupBy("entity").agg(F.count("*").alias("n"))
 
 
 def units(found: DataFrame, s: Surrogates) -> DataFrame:
-    """(tag, unit, made): what has to stay distinct, with its surrogate: the words of names, addresses in any case, numbers as they are written."""
-    e, kind = F.col("entity"), F.col("kind")
-    words = F.transform(F.filter(_pieces(e, kind), lambda p: p["tag"].isNotNull() & (p["text"] != "")), lambda p: F.struct(p["tag"].alias("tag"), F.lower(p["text"]).alias("unit"), F.lower(F.concat(scramble(p["text"], p["tag"], s), F.when(p["tag"].startswith("given:"), _ending(p["text"], p["tag"], s)).otherwise(F.lit("")))).alias("made")))
-    whole = F.array(F.struct(kind.alias("tag"), e.alias("unit"), surrogate(e, kind, s).alias("made")))
-    return found.select(F.explode(F.when(kind == "name", words).otherwise(whole)).alias("u")).select("u.tag", F.when(F.col("u.tag") == "email", F.lower("u.unit")).otherwise(F.col("u.unit")).alias("unit"), F.when(F.col("u.tag") == "email", F.lower("u.made")).otherwise(F.col("u.made")).alias("made"))
+    """(tag, unit, made): what has to stay distinct, with its surrogate: the words that an entity is made of, in any case, and addresses as a whole.
+
+    Distinct words make distinct entities, since what is left of an entity (titles, country codes, check digits, top-level domains) stays or follows from them.
+    """
+    e = F.col("entity")
+    def words(old: Column) -> Column:
+        moved = lambda p: F.struct(p["tag"].alias("tag"), F.lower(p["text"]).alias("unit"), F.lower(F.concat(scramble(p["text"], p["tag"], s), F.when(p["tag"].startswith("given:"), _ending(p["text"], p["tag"], s)).otherwise(F.lit("")))).alias("made"))
+        return F.transform(F.filter(old, lambda p: p["tag"].isNotNull() & (p["text"] != "")), moved)
+
+    def parts(kind: Column) -> Column:
+        return F.when(kind == "ipv4", F.array(F.struct(F.lit("ipv4").alias("tag"), e.alias("unit"), _address(e, s).alias("made")))).otherwise(bind(_pieces(e, kind), words))
+
+    return found.select(F.explode(bind(kind_of(e), parts)).alias("u")).select("u.*")
 
 
 def collisions(found: DataFrame, s: Surrogates = Surrogates()) -> DataFrame:
@@ -299,14 +330,14 @@ def replace_pii(docs: DataFrame, text: str = "text", out: str = "pii", settings:
         raise RuntimeError(f"the surrogate {shared[0]['made']!r} stands for two entities: set another key")
     source = F.col(f"`{text}`")
 
-    def fresh(found: Column) -> Column:
-        return F.transform(found, lambda e: bind(kind_of(e), lambda k: F.struct(k.alias("kind"), surrogate(e, k, s).alias("made"))))
+    def fresh(parts: Column) -> Column:
+        made = F.transform(parts["found"], lambda e: bind(kind_of(e), lambda k: F.struct(k.alias("kind"), surrogate(e, k, s).alias("made"))))
+        return bind(made, lambda m: body(parts["gaps"], m))
 
     def is_kind(t: str):
         return lambda m: m["kind"] == t
 
-    def body(made: Column) -> Column:
-        gaps = F.split(source, ENTITY, -1)
+    def body(gaps: Column, made: Column) -> Column:
         return F.struct(
             F.when(F.size(made) == 0, source).otherwise(F.array_join(F.zip_with(gaps, F.transform(made, lambda m: m["made"]), lambda g, m: F.concat(g, F.coalesce(m, F.lit("")))), "")).alias("text"),
             F.size(made).cast("long").alias("n_entities"),
@@ -314,6 +345,6 @@ def replace_pii(docs: DataFrame, text: str = "text", out: str = "pii", settings:
         )
 
     kept = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() != out.lower()])
-    found = kept.withColumn(out, bind(bind(entities(F.coalesce(source, F.lit(""))), fresh), body))
+    found = kept.withColumn(out, bind(taken_apart(F.coalesce(source, F.lit(""))), fresh))
     counts = F.struct(*[F.col(f"{out}.{n}") for n in ("n_entities", *[f"n_{t}" for t in TYPES])]).alias(out)
     return found.select(*[F.col(f"{out}.text").alias(c) if c.lower() == text.lower() else F.col(f"`{c}`") for c in kept.columns], counts)

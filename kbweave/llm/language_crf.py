@@ -11,6 +11,7 @@ Defined results: a text that is null or has no letter is `und` with score 0.0; w
 from __future__ import annotations
 
 import re
+import sys
 from collections import Counter
 from collections.abc import Callable
 from dataclasses import dataclass, field
@@ -23,15 +24,25 @@ from pyspark.sql import types as T
 
 from kbweave.llm.common import with_struct
 
-WORD = re.compile(r"[^\W\d_]+")
-#: Numbers that are neither digits nor letters, which the word pattern would let through.
-NUMERIC = re.compile("[²³¹¼-¾\u2070-\u2189\u2460-\u24ff\u2776-\u2793]")
+#: A run of letters; longer ones (texts without spaces) are words of this many letters one after another.
+LONGEST = 40
+WORD = re.compile(rf"[^\W\d_]{{1,{LONGEST}}}")
+
+
+def _numerals() -> str:
+    """Character class of all numbers that are neither digits nor letters, which the word pattern would let through."""
+    codes = [c for c in range(sys.maxunicode + 1) if (x := chr(c)).isalnum() and not x.isalpha() and not x.isdecimal()]
+    return "[" + "".join(map(chr, codes)) + "]"
+
+
+NUMERIC = re.compile(_numerals())
 UND = "und"
 
 
 @dataclass(frozen=True)
 class Settings:
     max_train_rows: int = 1500  # bound of the training sample, by the hash of doc_id
+    max_train_bytes: int = 1 << 18  # of a training text; with max_train_rows this bounds what the driver holds
     bits: int = 15  # hashed features
     lexicon: int = 2000  # words
     epochs: int = 4
@@ -59,7 +70,7 @@ def words_of(text: str) -> list[str]:
 def featurize(words: list[str], lexicon: dict[str, int], bits: int) -> tuple[np.ndarray, np.ndarray]:
     """(feature ids, offsets): for each word its n-grams of 1 to 4 characters with word ends (affixes are those that touch an end) and its lexicon entry."""
     space = 1 << bits
-    padded = ["\x02" + w[:40] + "\x03" for w in words]
+    padded = ["\x02" + w + "\x03" for w in words]
     codes = np.frombuffer("".join(padded).encode("utf-32-le"), np.uint32).astype(np.uint64)
     lengths = np.fromiter(map(len, padded), np.int64, len(padded))
     ends = np.cumsum(lengths)
@@ -93,8 +104,8 @@ def emissions(words: list[str], crf: Crf) -> np.ndarray:
     return sums / np.sqrt(np.diff(np.append(at, len(ids))))[:, None]
 
 
-def posteriors(scores: np.ndarray, lengths: np.ndarray, crf: Crf) -> np.ndarray:
-    """Forward-backward over many chains at once: scores are the chains' emissions one after another, the result has the same shape.
+def forward_backward(scores: np.ndarray, lengths: np.ndarray, crf: Crf) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(forward, backward, potentials, transitions), each word's up to a factor, over many chains at once: scores are the chains' emissions one after another.
 
     Chains are walked in step, the longest first, so that each step works on those which are still open.
     """
@@ -125,10 +136,33 @@ def posteriors(scores: np.ndarray, lengths: np.ndarray, crf: Crf) -> np.ndarray:
         else:
             state = np.ones((m, k))
         back[at] = state
+    return ahead, back, potential, move
+
+
+def posteriors(scores: np.ndarray, lengths: np.ndarray, crf: Crf) -> np.ndarray:
+    """Probability of every label of every word, of the shape of scores."""
+    ahead, back, _, _ = forward_backward(scores, lengths, crf)
     out = ahead * back
     return out / out.sum(axis=1, keepdims=True)
 
 
+def gradients(scores: np.ndarray, lengths: np.ndarray, truth: np.ndarray, crf: Crf) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Gradients of the chains' log-likelihood by the emissions, the transitions and the start weights."""
+    ahead, back, potential, move = forward_backward(scores, lengths, crf)
+    error = -ahead * back
+    error /= -error.sum(axis=1, keepdims=True)
+    error[np.arange(len(truth)), truth] += 1
+    first = np.cumsum(lengths) - lengths
+    inside = np.ones(len(truth), bool)
+    inside[np.cumsum(lengths) - 1] = False
+    a = np.flatnonzero(inside)
+    pair = ahead[a][:, :, None] * move[None] * (potential[a + 1] * back[a + 1])[:, None, :]
+    pair /= pair.sum(axis=(1, 2), keepdims=True)
+    by_move = -pair.sum(axis=0)
+    np.add.at(by_move, (truth[a], truth[a + 1]), 1)
+    return error, by_move, error[first].sum(axis=0)
+
+
 def train(rows: list[tuple[str, str]], settings: Settings = Settings()) -> Crf:
     """rows: (text, label). Stochastic gradient ascent on the chains' conditional log-likelihood."""
     labels = sorted({label for _, label in rows})
@@ -156,7 +190,7 @@ def train(rows: list[tuple[str, str]], settings: Settings = Settings()) -> Crf:
         cut = int(rng.integers(1, len(a) + 1))
         spliced.append(a[:cut] + b[: settings.chain_words - cut] + a[cut:])
     pool += spliced
-    grad_w, grad_t = np.full_like(crf.weights, 1e-8), np.full_like(crf.transitions, 1e-8)
+    grad_w, grad_t, grad_s = (np.full_like(x, 1e-8) for x in (crf.weights, crf.transitions, crf.start))
     for _ in range(settings.epochs):
         order = rng.permutation(len(pool))
         for s in range(0, len(pool), 64):
@@ -167,25 +201,16 @@ def train(rows: list[tuple[str, str]], settings: Settings = Settings()) -> Crf:
             ids, at = featurize(words, lexicon, settings.bits)
             per = np.diff(np.append(at, len(ids)))
             scores = np.add.reduceat(crf.weights[ids], at, axis=0) / np.sqrt(per)[:, None]
-            post = posteriors(scores, lengths, crf)
-            error = -post
-            error[np.arange(len(truth)), truth] += 1
-            error /= len(words)
+            error, move, begin = (g / len(words) for g in gradients(scores, lengths, truth, crf))
             spread = np.repeat(error / np.sqrt(per)[:, None], per, axis=0)
             used, inverse = np.unique(ids, return_inverse=True)
             step = np.stack([np.bincount(inverse, spread[:, j], len(used)) for j in range(k)], axis=1) - settings.l2 * crf.weights[used]
             grad_w[used] += step**2
             crf.weights[used] += settings.rate * step / np.sqrt(grad_w[used])
-            inside = np.ones(len(words), bool)
-            inside[np.cumsum(lengths) - 1] = False
-            a = np.flatnonzero(inside)
-            pair = post[a][:, :, None] * np.exp(crf.transitions)[None] * (post[a + 1])[:, None, :]
-            pair /= pair.sum(axis=(1, 2), keepdims=True)
-            move = -pair.sum(axis=0)
-            np.add.at(move, (truth[a], truth[a + 1]), 1)
-            move /= len(words)
             grad_t += move**2
             crf.transitions += settings.rate * move / np.sqrt(grad_t)
+            grad_s += begin**2
+            crf.start += settings.rate * begin / np.sqrt(grad_s)
     return crf
 
 
@@ -238,17 +263,18 @@ FIELDS = [T.StructField("lang", T.StringType()), T.StructField("score", T.Double
 
 
 def fit(docs: DataFrame, usable: Column, id_column: str = "doc_id", text: str = "text", label: str = "lang", settings: Settings = Settings()) -> Crf:
-    """Train on at most max_train_rows of the rows where `usable` holds, in the order of the id's hash.
+    """Train on at most max_train_rows of the rows where `usable` holds and the text has at most max_train_bytes, in the order of the id's hash.
 
-    The ids are chosen from the narrow columns first; only then are the chosen texts read.
+    The ids are chosen from the narrow columns first; only then are the chosen texts read, one for an id and language (the least of several), so that the sample,
+    and the model, is the same in every run.
     """
-    given = docs.where(usable & F.col(text).isNotNull() & F.col(label).isNotNull())
-    chosen = given.select(F.xxhash64(F.col(id_column).cast("string")).alias("h")).distinct().orderBy("h").limit(settings.max_train_rows)
-    last = chosen.agg(F.max("h")).first()[0]
+    given = docs.where(usable & F.col(text).isNotNull() & F.col(label).isNotNull() & (F.octet_length(F.col(text)) <= settings.max_train_bytes)).select(F.xxhash64(F.col(id_column).cast("string")).alias("h"), F.col(text).alias("text"), F.col(label).alias("label"))
+    last = given.select("h").distinct().orderBy("h").limit(settings.max_train_rows).agg(F.max("h")).first()[0]
     if last is None:
         return Crf([], settings, np.zeros((0, 0)), np.zeros((0, 0)), np.zeros(0))
-    picked = given.where(F.xxhash64(F.col(id_column).cast("string")) <= last).select(text, label).limit(4 * settings.max_train_rows)
-    return train(sorted((r[0], r[1]) for r in picked.collect()), settings)
+    picked = given.where(F.col("h") <= last).groupBy("h", "label").agg(F.min("text").alias("text"))
+    rows = picked.orderBy("h", "label").limit(settings.max_train_rows).select("text", "label").collect()
+    return train(sorted((r[0], r[1]) for r in rows), settings)
 
 
 def identify(docs: DataFrame, crf: Crf, text: str = "text", out: str = "language") -> DataFrame:

@@ -2,7 +2,7 @@
 
 Bytes are embedded, learned filters slide over overlapping windows of the whole text, rectified responses are max-pooled over overlapping chunks, and the
 chunks' mean and maximum are combined into one probability. Training takes a bounded, hash-ordered sample of labelled
-rows (`max_train_rows`); scoring covers every byte of every text in blocks of bounded size.
+rows (`max_train_rows`, `max_train_bytes`); scoring covers every byte of every text in blocks of bounded size, each of which is pooled before the next.
 
 Defined results: a null text is an empty one; an empty text is one chunk of padding and gets the network's score for it; without labelled
 rows, or with one class only, every score is the share of label 1 among them (0.5 without any).
@@ -25,6 +25,7 @@ from kbweave.llm.common import with_struct
 @dataclass(frozen=True)
 class Settings:
     max_train_rows: int = 4000  # bound of the training sample, by the hash of doc_id
+    max_train_bytes: int = 1 << 18  # of a training text; with max_train_rows this bounds what the driver holds
     embedding: int = 6
     width: int = 16  # bytes under a filter
     stride: int = 4  # windows overlap by three quarters
@@ -96,14 +97,47 @@ def responses(codes: np.ndarray, net: Network) -> np.ndarray:
     return np.maximum(flat @ net.kernel + net.bias, 0)
 
 
-def score(texts: list[bytes], net: Network, block: int = 1 << 16) -> np.ndarray:
-    """Probability of label 1 for each text; `block` windows are embedded at a time."""
+def probability(features: np.ndarray, net: Network) -> np.ndarray:
+    return 1 / (1 + np.exp(-(features @ net.out).astype(np.float64)))
+
+
+def score(texts: list[bytes], net: Network, block: int = 1 << 14) -> np.ndarray:
+    """Probability of label 1 for each text. `block` windows are embedded at a time; what stays of a text longer than a block is the sum and the maximum of its chunks."""
     if net.constant is not None:
         return np.full(len(texts), net.constant)
-    codes, begin, end, of = windows(texts, net.settings)
-    response = np.concatenate([responses(codes[k : k + block], net) for k in range(0, len(codes), block)])
-    features, _, _ = combine(pool(response, begin, end), of, len(texts))
-    return 1 / (1 + np.exp(-(features @ net.out).astype(np.float64)))
+    s = net.settings
+    found = np.empty(len(texts))
+    most = block * s.stride
+    short = [i for i, t in enumerate(texts) if len(t) <= most]
+    start = 0
+    while start < len(short):
+        stop, size = start, 0
+        while stop < len(short) and (stop == start or size + len(texts[short[stop]]) <= most):
+            size += len(texts[short[stop]])
+            stop += 1
+        codes, begin, end, of = windows([texts[i] for i in short[start:stop]], s)
+        features, _, _ = combine(pool(responses(codes, net), begin, end), of, stop - start)
+        found[short[start:stop]] = probability(features, net)
+        start = stop
+    for i in (i for i, t in enumerate(texts) if len(t) > most):
+        found[i] = probability(long_features(texts[i], net, max(1, block // s.hop)), net)[0]
+    return found
+
+
+def long_features(text: bytes, net: Network, step: int) -> np.ndarray:
+    """The features of one text, `step` chunks at a time; chunks are those of the whole text."""
+    s = net.settings
+    n, begin, end, _ = layout(np.asarray([len(text)]), s)
+    total, top = np.zeros(s.filters), np.full(s.filters, -np.inf, np.float32)
+    for k in range(0, len(begin), step):
+        a, b = int(begin[k]), int(end[min(k + step, len(begin)) - 1])
+        part = text[a * s.stride : (b - 1) * s.stride + s.width]
+        part += b"\0" * ((b - a - 1) * s.stride + s.width - len(part))
+        codes = np.lib.stride_tricks.sliding_window_view(np.frombuffer(part, np.uint8), s.width)[:: s.stride]
+        pooled = pool(responses(codes, net), begin[k : k + step] - a, end[k : k + step] - a)
+        total += pooled.sum(axis=0, dtype=np.float64)
+        top = np.maximum(top, pooled.max(axis=0))
+    return np.concatenate([(total / len(begin)).astype(np.float32), top, np.ones(1, np.float32)])[None]
 
 
 def train(rows: list[tuple[bytes, int]], s: Settings = Settings()) -> Network:
@@ -164,11 +198,14 @@ FIELDS = [T.StructField("score", T.DoubleType()), T.StructField("predicted", T.I
 
 
 def fit(docs: DataFrame, labels: DataFrame, usable: Column, id_column: str = "doc_id", text: str = "text", label: str = "quality", settings: Settings = Settings()) -> Network:
-    """Train on at most max_train_rows labelled ids, in the order of the id's hash. Texts are read for the chosen ids only."""
+    """Train on at most max_train_rows labelled ids, in the order of the id's hash; of several texts of an id the least, and none of more than max_train_bytes, is taken, so
+    that the sample, and the network, is the same in every run. Texts are read for the chosen ids only."""
     given = labels.where(usable & F.col(label).isin(0, 1)).select(F.col(id_column).alias("__id"), F.col(label).cast("int").alias("__y")).distinct()
     chosen = given.orderBy(F.xxhash64(F.col("__id").cast("string")), "__id", "__y").limit(settings.max_train_rows)
-    picked = docs.select(F.col(id_column).alias("__id"), F.col(text).alias("__text")).join(F.broadcast(chosen), "__id").select("__text", "__y").limit(2 * settings.max_train_rows)
-    return train(sorted(((r[0] or "").encode(), r[1]) for r in picked.collect()), settings)
+    given_text = F.coalesce(F.col(text), F.lit("")).alias("__text")
+    met = docs.select(F.col(id_column).alias("__id"), given_text).where(F.octet_length("__text") <= settings.max_train_bytes).join(F.broadcast(chosen), "__id")
+    picked = met.groupBy("__id", "__y").agg(F.min("__text").alias("__text")).select("__text", "__y")  # at most as many rows as were chosen
+    return train(sorted((r[0].encode(), r[1]) for r in picked.collect()), settings)
 
 
 def classify(docs: DataFrame, net: Network, text: str = "text", out: str = "quality") -> DataFrame:
@@ -179,16 +216,7 @@ def classify(docs: DataFrame, net: Network, text: str = "text", out: str = "qual
         net = model.value
 
         def work(texts: pa.Array) -> list[pa.Array]:
-            given = [t or b"" for t in texts.cast(pa.binary()).to_pylist()]
-            found = np.empty(len(given))
-            start = 0
-            while start < len(given):  # about a megabyte of text at a time
-                stop, size = start, 0
-                while stop < len(given) and (stop == start or size + len(given[stop]) <= 1 << 20):
-                    size += len(given[stop])
-                    stop += 1
-                found[start:stop] = score(given[start:stop], net)
-                start = stop
+            found = score([t or b"" for t in texts.cast(pa.binary()).to_pylist()], net)
             return [pa.array(found), pa.array((found >= net.settings.threshold).astype(np.int32))]
 
         return work

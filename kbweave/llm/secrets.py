@@ -1,9 +1,10 @@
 """Secret scan: fixed patterns plus dictionary-primed zstandard novelty.
 
 Base spans are the leftmost, non-overlapping matches of three fixed patterns. The method adds spans of kind `novel`: every
-token-like candidate that stands behind a sensitive word on the same stretch of text is compressed together with its surroundings, with
-a compressor that is primed with a dictionary of identifiers; the bytes which the candidate adds to the compressed context, over its length,
-is its novelty. Identifiers, words and repeated values cost next to nothing, keys and passwords cost nearly their entropy.
+token-like candidate of `min_length` characters or more with a sensitive word within `context` bytes before or after it is compressed in the midst of what surrounds it, with
+a compressor that is primed with a dictionary of identifiers; the bytes which the candidate adds to the compressed surroundings, over its length,
+are its novelty. Identifiers, words and repeated values cost next to nothing, keys and passwords cost nearly their entropy. A candidate is reported from `min_ratio` on,
+shorter ones, whose cost is coarser, from `short_ratio` on.
 
 Defined results: a null text is an empty one; an empty text has no spans. Offsets are code points, ends are exclusive.
 """
@@ -12,6 +13,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -31,10 +33,11 @@ HEX = re.compile(rb"[0-9a-f]{24,}")
 ASSIGN_WORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 
 #: What makes a context sensitive, beyond the words of the fixed pattern.
-SENSITIVE = re.compile(rb"password|passwd|passphrase|\bpwd\b|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|credential|authorization|bearer|signature|\bauth\b|aws_|client[_-]?id|conn(?:ection)?[_-]?str")
+SENSITIVE = re.compile(rb"password|passwd|passphrase|\bpwd\b|secret|token|(?:api|access|private|encryption|signing|license)[\x20_-]?key|credential|authorization|bearer|signature|\bauth\b|aws_|client[\x20_-]?id|conn(?:ection)?[\x20_-]?str")
 #: One of these stands in every match of SENSITIVE; texts without any are not searched further.
 SENSITIVE_STEMS = (b"passw", b"passphrase", b"pwd", b"secret", b"token", b"key", b"credential", b"auth", b"bearer", b"signature", b"aws_", b"client", b"conn")
 CANDIDATE = re.compile(rb"[A-Za-z0-9+/_=~!@$%^*-]{12,}")
+CANDIDATE_BYTE = re.compile(rb"[A-Za-z0-9+/_=~!@$%^*-]")
 
 #: Identifier vocabulary for the primed dictionary; combinations of these are made by rule below.
 PARTS = (
@@ -42,16 +45,22 @@ PARTS = (
     "config settings environment default value string number boolean object array function return import export class const "
     "connection database host port url http https localhost example path file json yaml header request response error message "
     "index count total length offset buffer stream reader writer handler manager service controller factory provider builder "
-    "true false null none undefined begin end certificate signature credential account bucket region endpoint timeout version"
+    "true false null none undefined begin end certificate signature credential account bucket region endpoint timeout version "
+    "get set is has from to with for not this that new add remove update delete create build make load save open close start stop run test main "
+    "max min size length input output result data info list map item node tree table column row field type class method argument "
+    "authentication authorization provider application service system local share usr bin lib src com org net project package module python java linux "
+    "http request handler final release debug manager distributed"
 ).split()
 
 
 @dataclass(frozen=True)
 class Novelty:
-    context: int = 96  # bytes before a candidate that are searched for a sensitive word and prime the measurement
-    min_length: int = 16
+    context: int = 96  # bytes on each side of a candidate that are searched for a sensitive word and that the measurement takes in
+    min_length: int = 12
     min_classes: int = 2  # of lower case, upper case, digits
-    min_ratio: float = 0.6  # marginal compressed bytes over candidate bytes
+    min_ratio: float = 0.7  # marginal compressed bytes over candidate bytes
+    short_length: int = 16
+    short_ratio: float = 0.75  # for candidates below short_length
     level: int = 3
 
 
@@ -80,27 +89,49 @@ def base_spans(data: bytes) -> Iterator[tuple[int, int, int]]:
         yield m.start(), 2, m.end()
 
 
-def novelty_meter(settings: Novelty) -> Callable[[bytes, bytes], float]:
+def novelty_meter(settings: Novelty) -> Callable[[bytes, bytes, bytes], float]:
     import zstandard
 
     primed = zstandard.ZstdCompressionDict(dictionary_bytes(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
     press = zstandard.ZstdCompressor(level=settings.level, dict_data=primed, write_checksum=False, write_content_size=False, write_dict_id=False).compress
 
-    def meter(context: bytes, candidate: bytes) -> float:
-        return (len(press(context + candidate)) - len(press(context))) / max(1, len(candidate))
+    def meter(before: bytes, candidate: bytes, after: bytes) -> float:
+        return (len(press(before + candidate + after)) - len(press(before + after))) / max(1, len(candidate))
 
     return meter
 
 
-def novel_spans(data: bytes, taken: list[tuple[int, int, int]], settings: Novelty, meter: Callable[[bytes, bytes], float]) -> Iterator[tuple[int, int, int]]:
+def regions(data: bytes, hits: list[tuple[int, int]], reach: int) -> Iterator[tuple[int, int]]:
+    """Stretches of text within reach of a sensitive word, joined where they touch; a candidate that begins before a stretch belongs to it."""
+    begin = end = -1
+    for s, e in hits:
+        if end < 0:
+            begin, end = max(0, s - reach), e + reach
+        elif s - reach <= end:
+            end = max(end, e + reach)
+        else:
+            yield begin, end
+            begin, end = s - reach, e + reach
+    if end >= 0:
+        yield begin, end
+
+
+def novel_spans(data: bytes, taken: list[tuple[int, int, int]], settings: Novelty, meter: Callable[[bytes, bytes, bytes], float]) -> Iterator[tuple[int, int, int]]:
     lowered = data.lower()
     if not any(stem in lowered for stem in SENSITIVE_STEMS):
         return
-    for hit in SENSITIVE.finditer(lowered):
-        stop = min(len(data), hit.end() + settings.context)
-        for m in CANDIDATE.finditer(data, hit.end()):
+    reach = settings.context
+    hits = [m.span() for m in SENSITIVE.finditer(lowered)]
+    starts, ends = [s for s, _ in hits], [e for _, e in hits]
+    done = 0
+    for begin, stop in regions(data, hits, reach):
+        begin = max(begin, done)
+        while begin > done and CANDIDATE_BYTE.match(data, begin - 1):
+            begin -= 1
+        for m in CANDIDATE.finditer(data, begin):
             if m.start() >= stop:
                 break
+            done = m.end()
             raw = m.group()
             body = raw.strip(b"!@$%^*~=-")
             if len(body) < settings.min_length:
@@ -110,12 +141,16 @@ def novel_spans(data: bytes, taken: list[tuple[int, int, int]], settings: Novelt
             classes = (body.lower() != body) + (body.upper() != body) + any(48 <= c < 58 for c in body)
             if classes < settings.min_classes or any(s < end and start < e for s, _, e in taken):
                 continue
-            before = data[max(0, start - settings.context) : start]
-            if meter(before, body) >= settings.min_ratio:
+            # a sensitive word outside the candidate: the last that ends before it, or the first that starts after it
+            k, j = bisect_right(ends, start) - 1, bisect_left(starts, end)
+            if not (k >= 0 and start - ends[k] <= reach) and not (j < len(starts) and starts[j] - end <= reach):
+                continue
+            least = settings.min_ratio if len(body) >= settings.short_length else settings.short_ratio
+            if meter(data[max(0, start - reach) : start], body, data[end : end + reach]) >= least:
                 yield start, 3, end
 
 
-def find_secrets(data: bytes, settings: Novelty, meter: Callable[[bytes, bytes], float]) -> list[tuple[int, int, int]]:
+def find_secrets(data: bytes, settings: Novelty, meter: Callable[[bytes, bytes, bytes], float]) -> list[tuple[int, int, int]]:
     """All spans as (start, kind, end) in code points, sorted by start, then kind."""
     spans = list(base_spans(data))
     spans += sorted(set(novel_spans(data, spans, settings, meter)))

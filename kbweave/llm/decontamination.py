@@ -3,7 +3,8 @@
 The benchmark's 13-word windows are few and their number is checked: up to `max_windows` of them travel inside the plan as hash
 sets. A document's words are scanned once; at every position a hash of the first, middle and last word of the window is looked up
 in a hash set, survivors are compared by the hash of the whole window and at last by the window's text. No document is shuffled. A larger
-benchmark takes the other path: windows of documents and benchmark meet in a shuffled equi-join on the hash, with the same verification.
+benchmark takes the other path: its distinct anchor hashes, up to `max_broadcast` of 8 bytes, travel to every executor, positions of documents, as narrow rows, pass through them
+where they lie, and only positions that pass are shuffled, cut into windows and verified by hash and text. Beyond `max_broadcast` positions and anchors meet by shuffle.
 
 Words are `[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+` of the text with A-Z lower-cased. An item with fewer than 13 words, but not none, is one
 window. Defined results: a null or empty text has no words and no hits; equal items are items of their own; null items have no windows;
@@ -18,6 +19,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kbweave.llm.common import materialize
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SEPARATOR = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 
@@ -26,6 +29,8 @@ SEPARATOR = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 class Decontamination:
     window: int = 13
     max_windows: int = 50_000  # more do not travel inside the plan
+    max_broadcast: int = 4_000_000  # anchor hashes that travel to every executor; more are joined by shuffle
+    max_places: int = 200_000  # positions with a known anchor that travel back to the texts; beyond that texts and positions meet by shuffle
     percent: int = 5  # of the words that must be hit
 
 
@@ -113,21 +118,33 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text"
 
 
 def _by_join(docs: DataFrame, hashed: DataFrame, text: str, out: str, settings: Decontamination) -> DataFrame:
-    """The same result with a shuffled join; documents meet their hits by the text's digest, so that copies are looked up once."""
-    keyed = docs.withColumn("__key", F.sha2(F.coalesce(F.col(f"`{text}`"), F.lit("")), 256))
-    distinct = keyed.select("__key", F.col(f"`{text}`").alias("__text")).dropDuplicates(["__key"]).select("__key", words_of(F.col("__text")).alias("w"))
-    sizes = [r["n"] for r in hashed.select("n").distinct().collect()]
-
-    def grams(n: int) -> DataFrame:
-        cut = F.transform(F.sequence(F.lit(1), F.size("w") - n + 1), lambda s: F.slice("w", s, n))
-        return distinct.where(F.size("w") >= n).select("__key", F.posexplode(cut).alias("start", "gram"), F.lit(n).alias("n"))
-
-    each = reduce(DataFrame.unionByName, map(grams, sizes))
-    found = each.withColumn("hash", F.xxhash64("gram")).join(hashed, ["n", "hash"]).where(F.col("gram") == F.col("words"))
-    hits = found.groupBy("__key").agg(F.collect_list(F.struct(F.col("start").cast("int").alias("start"), F.col("n"), "item_ids")).alias("__hits"))
+    """The same result for benchmarks of any size; documents meet their hits by the text's digest, so that copies are looked up once."""
+    key = F.sha2(F.coalesce(F.col(f"`{text}`"), F.lit("")), 256)
+    keyed = docs.withColumn("__key", key)
+    made = materialize(hashed, "benchmark-windows")
+    anchors = materialize(made.select("n", "anchor").distinct(), "benchmark-anchors")
+    sizes = sorted(r["n"] for r in anchors.select("n").distinct().collect())
+    send = F.broadcast if anchors.count() <= settings.max_broadcast else (lambda df: df)
+    worded = keyed.select("__key", words_of(F.col(f"`{text}`")).alias("w"))
+
+    def places(n: int) -> DataFrame:
+        """(key, start, n) of the positions whose anchor some window has; the words themselves are not carried along."""
+        each = worded.where(F.size("w") >= n).select("__key", F.posexplode(bind(F.col("w"), lambda w: F.transform(F.sequence(F.lit(0), F.size(w) - n), lambda s: anchor(w, s, n)))).alias("start", "anchor"))
+        return each.join(send(anchors.where(F.col("n") == n).select("anchor")), "anchor", "left_semi").select("__key", "start", F.lit(n).alias("n"))
+
     none = F.array().cast("array<struct<start:int,n:int,item_ids:array<string>>>")
-    joined = keyed.join(hits, "__key", "left").withColumn(out, bind(words_of(F.col(f"`{text}`")), lambda w: _summary(w, F.coalesce("__hits", none), settings.percent)))
-    return _finish(joined.drop("__key", "__hits"), out, settings.percent)
+    if sizes:
+        near = materialize(reduce(DataFrame.unionByName, map(places, sizes)).distinct().groupBy("__key").agg(F.collect_list(F.struct("start", "n")).alias("at")), "anchor-hits")
+        few = (near.agg(F.sum(F.size("at"))).first()[0] or 0) <= settings.max_places
+        cut = F.transform("at", lambda a: F.struct(a["start"].alias("start"), a["n"].alias("n"), F.slice("w", a["start"] + 1, a["n"]).alias("gram")))
+        grams = worded.join(F.broadcast(near) if few else near, "__key").select("__key", F.explode(cut).alias("g")).select("__key", "g.*").withColumn("hash", F.xxhash64("gram"))
+        found = grams.dropDuplicates(["__key", "start", "n"]).join(made, ["n", "hash"]).where(F.col("gram") == F.col("words"))
+        hits = found.groupBy("__key").agg(F.collect_list(F.struct(F.col("start").cast("int").alias("start"), F.col("n"), "item_ids")).alias("__hits"))
+        joined = keyed.join(F.broadcast(hits) if few else hits, "__key", "left")
+    else:
+        joined = keyed.withColumn("__hits", none)
+    judged = joined.withColumn(out, bind(words_of(F.col(f"`{text}`")), lambda w: _summary(w, F.coalesce("__hits", none), settings.percent)))
+    return _finish(judged.drop("__key", "__hits"), out, settings.percent)
 
 
 def remove_documents(docs: DataFrame, benchmark: DataFrame, text: str = "text", settings: Decontamination = Decontamination()) -> DataFrame:

@@ -4,8 +4,8 @@ A document's token ids (end id appended) are cut into whole windows of the longe
 routed to context tiers by length, every tier is packed, the gaps of long windows are filled from the shorter tiers first, and
 what is left of the short tiers' windows is nested into long windows. All of that works on the histogram of lengths, which
 has at most as many rows as the context has tokens, so that the plan on the driver does not grow with the corpus; each piece then finds its
-place by its rank among the pieces of its length. Sequences are dealt to step groups in turn, so that every group gets
-the same mix of tiers.
+place by its rank among the pieces of its length. Sequences are numbered from the fullest to the emptiest and dealt to step groups in turn, so that every group gets
+the same mix of tiers and the tokens of two groups differ by less than one sequence.
 
 Defined results: a null text is an empty one and is the end id alone. Repeated rows are packed as often as they occur. An empty table gives no rows.
 """
@@ -37,7 +37,8 @@ class Packing:
     end_id: int = 2
     context: int = 4096
     tiers: tuple[int, ...] = (4096, 2048, 1024, 512)
-    step_group: int = 64  # sequences that one optimizer step takes
+    step_group: int = 64  # full sequences' worth of tokens that one optimizer step takes
+    max_broadcast: int = 200_000  # (task, length) counts that travel to every executor; more are joined by shuffle
     cache_words: int = 1_000_000  # of a Python worker; about 200 bytes each
 
 
@@ -178,36 +179,45 @@ class Plan:
         for many, slots, _ in sorted((x for x in short if x not in exact), key=lambda x: -used(x[1])):
             self._place(used(slots), slots, many, self.context)
         done = [x for gap in self.gaps for x in self.open[gap]] + exact
-        self.patterns = [(many, slots, used(slots)) for many, slots, _ in done]
+        self.patterns = sorted(((many, slots, used(slots)) for many, slots, _ in done), key=lambda x: -x[2])
+
+    def padded(self, size: int) -> int:
+        """The context that a sequence of `size` tokens is padded to: none at a power of two."""
+        return size if size & (size - 1) == 0 else self.context
 
     def slots(self) -> dict[str, np.ndarray]:
-        """Slots by length and rank: the first rank of a slot's run, the first sequence of its pattern and the offset."""
-        runs: list[tuple[int, int, int, int]] = []
+        """Slots by length and rank: the first rank of a slot's run, the first sequence of its pattern, the offset and the sequence's context."""
+        runs: list[tuple[int, int, int, int, int]] = []
         first = 0
-        for many, held, _ in self.patterns:
-            runs += [(length, first, many, offset) for length, offset in held]
+        for many, held, size in self.patterns:
+            runs += [(length, first, many, offset, self.padded(size)) for length, offset in held]
             first += many
         runs.sort()
-        base, seen, out = {}, Counter(), []
-        for length, sequence, many, offset in runs:
-            base.setdefault(length, len(out))
-            out.append((length, seen[length], sequence, offset))
+        seen, out = Counter(), []
+        for length, sequence, many, offset, context in runs:
+            out.append((length, seen[length], sequence, offset, context))
             seen[length] += many
-        cols = np.asarray(out, np.int64).reshape(-1, 4).T
-        return {"length": cols[0], "rank": cols[1], "sequence": cols[2], "offset": cols[3], "n_sequences": first}
+        cols = np.asarray(out, np.int64).reshape(-1, 5).T
+        return dict(zip(("length", "rank", "sequence", "offset", "context"), cols, strict=True))
 
 
 def pack(docs: DataFrame, id_column: str = "doc_id", text: str = "text", settings: Packing = Packing()) -> DataFrame:
-    """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, context (tier), step_group."""
+    """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, context (the tier that the sequence is padded to) and step_group.
+
+    Other columns of docs are left out; the id column comes out as doc_id, whatever its name.
+    """
     cut = materialize(pieces(docs, id_column, text, settings), "pieces")
-    counts = cut.groupBy("shard", "length").agg(F.count("*").alias("n"))
+    counts = materialize(cut.groupBy("shard", "length").agg(F.count("*").alias("n")), "piece-counts")
     histogram = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}
-    slots = Plan(histogram, settings).slots()
-    groups = max(1, -(-slots["n_sequences"] // settings.step_group))
+    plan = Plan(histogram, settings)
+    slots = plan.slots()
+    tokens = sum(many * plan.padded(size) for many, _, size in plan.patterns)
+    groups = max(1, -(-tokens // (settings.step_group * settings.context)))
     before = W.partitionBy("length").orderBy("shard").rowsBetween(W.unboundedPreceding, -1)
     starts = counts.select("shard", "length", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
-    ranked = cut.join(starts, ["shard", "length"]).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", (F.col("first") + F.col("rank")).alias("rank"))
-    names = ("sequence_id", "offset", "step_group")
+    few = counts.count() <= settings.max_broadcast
+    ranked = cut.join(F.broadcast(starts) if few else starts, ["shard", "length"]).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", (F.col("first") + F.col("rank")).alias("rank"))
+    names = ("sequence_id", "offset", "context", "step_group")
     kept = ranked.columns[:-1]
     schema = T.StructType([*ranked.schema.fields[:-1], *[T.StructField(n, T.LongType()) for n in names]])
     # (length, rank) as one sortable number; ranks stay far below 2**48
@@ -218,7 +228,7 @@ def pack(docs: DataFrame, id_column: str = "doc_id", text: str = "text", setting
             length, rank = (np.asarray(batch.column(n)) for n in ("length", "rank"))
             at = np.searchsorted(keys, (length << 48) + rank, "right") - 1
             sequence = slots["sequence"][at] + rank - slots["rank"][at]
-            made = [sequence, slots["offset"][at], sequence % groups]
+            made = [sequence, slots["offset"][at], slots["context"][at], sequence % groups]
             yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in kept], *map(pa.array, made)], [*kept, *names])
 
     return ranked.mapInArrow(run, schema)

@@ -8,7 +8,11 @@ the threshold are derived from the texts' profiles relative to the leader, so th
 
 Exact copies are collapsed by the digest of their text before anything is shuffled by band; a bucket's size never decides whether a text is
 compared. Defined results: null and empty texts are copies of each other; texts of fewer than five words are one shingle; repeated rows are
-copies; the class id is the least doc_id of the class (null ids last).
+copies; the class id is the least doc_id of the class (null ids last). Links between texts that share a bucket are all found, except that two texts of one class are not
+compared again, so that n_links counts the links that were verified, not all links of a text.
+
+Joins on a leader are salted by the number of its texts, the other joins on a bucket or shingle carry narrow rows that adaptive execution splits where they are skewed.
+Tables that were written on the way are deleted once the classes are written.
 """
 
 from __future__ import annotations
@@ -40,6 +44,8 @@ class Settings:
     bands: int = 24
     rows: int = 4
     seed: int = 1
+    max_broadcast: int = 200_000  # pairs or labels that travel to every executor; more are joined by shuffle
+    salted: int = 512  # partners of a text that are compared in one task
 
 
 def shingles(text: str | None, n: int) -> list[str]:
@@ -169,17 +175,19 @@ def text_key(text):
     return F.unhex(F.md5(F.coalesce(text, F.lit(""))))
 
 
-def _met(pairs: DataFrame, docs: DataFrame, text: str, max_broadcast: int = 200_000) -> DataFrame:
+def _met(pairs: DataFrame, docs: DataFrame, text: str, settings: Settings) -> DataFrame:
     """(a, b, text_a, text_b) of the pairs of keys.
 
-    Every text is read where it lies, takes the list of its partners along and is sent once for each; the partners' texts (b) are few.
-    Up to max_broadcast pairs travel to the texts, so that texts without a partner are not moved; longer lists are joined by shuffle.
+    Every text is read where it lies, takes the list of its partners along and is sent once for each; the partners' texts (b) are few and are sent once for
+    every `salted` texts that meet them. Up to max_broadcast pairs travel to the texts, so that texts without a partner are not moved; longer lists are joined by shuffle.
     """
-    send = F.broadcast if pairs.count() <= max_broadcast else (lambda df: df)
+    send = F.broadcast if pairs.count() <= settings.max_broadcast else (lambda df: df)
+    salts = pairs.groupBy("b").agg((F.floor(F.count("*") / settings.salted) + 1).cast("int").alias("salts"))
+    dealt = pairs.join(send(salts), "b").select("a", F.struct("b", F.pmod(F.xxhash64("a"), "salts").cast("int").alias("salt")).alias("p"))
     keyed = docs.select(text_key(F.col(text)).alias("key"), F.col(text).alias("text"))
-    side = keyed.join(send(pairs.select(F.col("b").alias("key")).distinct()), "key", "left_semi").dropDuplicates(["key"])
-    mine = keyed.join(send(pairs.groupBy(F.col("a").alias("key")).agg(F.collect_set("b").alias("partners"))), "key").dropDuplicates(["key"])
-    met = mine.select(F.col("key").alias("a"), F.col("text").alias("text_a"), F.explode("partners").alias("b")).join(side.select(F.col("key").alias("b"), F.col("text").alias("text_b")), "b")
+    side = keyed.join(send(salts.withColumnRenamed("b", "key")), "key").dropDuplicates(["key"]).select(F.col("key").alias("b"), F.col("text").alias("text_b"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
+    mine = keyed.join(send(dealt.groupBy(F.col("a").alias("key")).agg(F.collect_set("p").alias("partners"))), "key").dropDuplicates(["key"])
+    met = mine.select(F.col("key").alias("a"), F.col("text").alias("text_a"), F.explode("partners").alias("p")).select("a", "text_a", "p.b", "p.salt").join(side, ["b", "salt"])
     return met.select("a", "b", "text_a", "text_b")
 
 
@@ -200,7 +208,7 @@ def verify(pairs: DataFrame, docs: DataFrame, text: str, settings: Settings) ->
                 a, b, s = zip(*rows, strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary()), pa.array(s)], ["a", "b", "similarity"])
 
-    return _met(pairs, docs, text).mapInArrow(run, "a binary, b binary, similarity double")
+    return _met(pairs, docs, text, settings).mapInArrow(run, "a binary, b binary, similarity double")
 
 
 def profile(pairs: DataFrame, docs: DataFrame, text: str, settings: Settings) -> DataFrame:
@@ -221,7 +229,7 @@ def profile(pairs: DataFrame, docs: DataFrame, text: str, settings: Settings) ->
                 kinds = [pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.list_(pa.struct([("code", pa.int64()), ("more", pa.int64())]))]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], ["a", "b", "n", "inside", "excess"])
 
-    return _met(pairs, docs, text).mapInArrow(run, "a binary, b binary, n bigint, inside bigint, excess array<struct<code:bigint,more:bigint>>")
+    return _met(pairs, docs, text, settings).mapInArrow(run, "a binary, b binary, n bigint, inside bigint, excess array<struct<code:bigint,more:bigint>>")
 
 
 def pairs_across(profiles: DataFrame, labels: DataFrame, settings: Settings) -> DataFrame:
@@ -234,13 +242,21 @@ def pairs_across(profiles: DataFrame, labels: DataFrame, settings: Settings) ->
     c = settings.similarity / (1 + settings.similarity)
     slack = 1e-9
     label = labels.select(F.col("key"), "label")
-    known = profiles.join(label.toDF("a", "la"), "a", "left").withColumn("la", F.coalesce("la", "a")).join(label.toDF("b", "lb"), "b", "left").withColumn("lb", F.coalesce("lb", "b"))
-    known = materialize(known.select("a", "b", "la", "lb", "n", "inside", "excess"), "profiles")
-    least = known.groupBy("b").agg(F.min("n").alias("least"))
-    each = known.select("a", "b", "la", "n", "inside", F.explode("excess").alias("x")).select("a", "b", "la", "n", "inside", "x.code", "x.more")
+    named = profiles.join(label.toDF("a", "la"), "a", "left").withColumn("la", F.coalesce("la", "a")).join(label.toDF("b", "lb"), "b", "left").withColumn("lb", F.coalesce("lb", "b"))
+    named = materialize(named.select("a", "b", "la", "lb", "n", "inside", "excess"), "profiles")
+    heads = named.groupBy("b").agg(F.min("n").alias("least"), (F.floor(F.count("*") / settings.salted) + 1).cast("int").alias("salts"))
+    # the least size under a leader goes to its texts, salted by their number
+    salt = F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt")
+    most = named.groupBy("b").agg(F.count("*").alias("many")).agg(F.max("many")).first()[0] or 0
+    if most > settings.salted:
+        known = named.join(heads.select("b", "salts"), "b").withColumn("salt", F.pmod(F.xxhash64("a"), "salts").cast("int")).join(heads.select("b", "least", salt), ["b", "salt"]).drop("salt", "salts")
+    else:
+        known = named.join(heads.select("b", "least"), "b")
+    known = materialize(known, "profiles")
+    each = known.select("a", "b", "la", "n", "inside", "least", F.explode("excess").alias("x")).select("a", "b", "la", "n", "inside", "least", "x.code", "x.more")
     spread = each.groupBy("b", "code").agg(F.count("*").alias("texts"), F.min("la").alias("low"), F.max("la").alias("high"))
     rarest = W.partitionBy("a", "b").orderBy("texts", "code").rowsBetween(W.unboundedPreceding, -1)
-    placed = each.join(spread, ["b", "code"]).join(least, "b").withColumn("rest", F.col("n") - F.col("inside") - F.coalesce(F.sum("more").over(rarest), F.lit(0)))
+    placed = each.join(spread, ["b", "code"]).withColumn("rest", F.col("n") - F.col("inside") - F.coalesce(F.sum("more").over(rarest), F.lit(0)))
     needed = F.greatest(F.lit(1), F.ceil(c * (F.col("n") + F.col("least")) - F.col("inside") - slack))
     held = placed.where("low < high").where(F.col("rest") >= needed).select("a", "b", "code", "la", "n", "inside", "rest")
     one = held.select(*[F.col(n).alias(f"x_{n}") for n in held.columns])
@@ -248,12 +264,18 @@ def pairs_across(profiles: DataFrame, labels: DataFrame, settings: Settings) ->
     # at the first surplus shingle that two texts share, all others that they share are still to come
     room = F.least("x_inside", "y_inside") + F.least("x_rest", "y_rest")
     first = one.join(two, (F.col("x_b") == F.col("y_b")) & (F.col("x_code") == F.col("y_code")) & (F.col("x_la") < F.col("y_la")) & (room >= c * (F.col("x_n") + F.col("y_n")) - slack)).select(F.col("x_a").alias("a"), F.col("y_a").alias("b"))
-    fits = known.drop("excess").join(least, "b").where(F.col("inside") >= c * (F.col("n") + F.col("least")) - slack)
-    out = fits.where("la <> lb").select(*[F.col(n).alias(f"x_{n}") for n in fits.columns])
-    every = fits.select(*[F.col(n).alias(f"y_{n}") for n in fits.columns])
+    # without shared surplus a text needs a partner of at least `similarity` of its size and of at most inside / c - n: it asks the size classes in between
+    fits = known.drop("excess").where(F.col("inside") >= c * (F.col("n") + F.col("least")) - slack)
+    size_class = lambda n: F.floor(F.log(F.greatest(n, F.lit(1))) / F.log(F.lit(1.05))).cast("int")
+    asked = F.sequence(size_class(settings.similarity * F.col("n") - 1e-6) - 1, F.greatest(size_class(F.col("inside") / c - F.col("n") + 1e-6) + 1, size_class(settings.similarity * F.col("n") - 1e-6)))
+    out = fits.where("la <> lb").withColumn("size_class", F.explode(asked)).select(*[F.col(n).alias(f"x_{n}") for n in ("a", "b", "la", "n", "inside", "size_class")])
+    every = fits.withColumn("size_class", size_class(F.col("n"))).select(*[F.col(n).alias(f"y_{n}") for n in ("a", "b", "la", "n", "inside", "size_class")])
     close = F.least("x_inside", "y_inside") >= c * (F.col("x_n") + F.col("y_n")) - slack
-    second = out.join(every, (F.col("x_b") == F.col("y_b")) & (F.col("x_la") != F.col("y_la")) & close).select(F.col("x_a").alias("a"), F.col("y_a").alias("b"))
-    return first.union(second).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    second = out.join(every, (F.col("x_b") == F.col("y_b")) & (F.col("x_size_class") == F.col("y_size_class")) & (F.col("x_la") != F.col("y_la")) & close).select(F.col("x_a").alias("a"), F.col("y_a").alias("b"))
+    found = materialize(first.union(second).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "across")
+    drop_materialized(named)
+    drop_materialized(known)
+    return found
 
 
 def components(links: DataFrame, max_broadcast: int = 200_000) -> DataFrame:
@@ -276,11 +298,13 @@ def components(links: DataFrame, max_broadcast: int = 200_000) -> DataFrame:
             return labels
 
 
-def join_classes(labels: DataFrame, links: DataFrame) -> DataFrame:
+def join_classes(labels: DataFrame, links: DataFrame, max_broadcast: int = 200_000) -> DataFrame:
     """labels after further links: the classes that the links join are themselves the ends of links, and only those are walked again."""
     of = lambda side: F.coalesce(F.col(f"l{side}"), F.col(side)).alias(side)
     raised = links.join(labels.toDF("a", "la"), "a", "left").join(labels.toDF("b", "lb"), "b", "left").select(of("a"), of("b")).where("a <> b")
-    moved = components(materialize(raised.distinct(), "classes")).toDF("old", "new")
+    between = materialize(raised.distinct(), "classes")
+    moved = components(between, max_broadcast).toDF("old", "new")
+    drop_materialized(between)
     ends = links.select(F.col("a").alias("key")).union(links.select("b")).distinct().join(labels, "key", "left_anti").select("key", F.col("key").alias("label"))
     every = labels.unionByName(ends)
     return materialize(every.join(moved, every.label == moved.old, "left").select("key", F.coalesce("new", "label").alias("label")), "labels")
@@ -297,21 +321,27 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
     stars = shared.join(leaders, "h").where(F.col("key") != F.col("leader")).select(F.col("key").alias("a"), F.col("leader").alias("b")).distinct()
     tried = materialize(stars, "stars")
     links = materialize(verify(tried, docs, text, settings), "verified")
-    labels = components(links)
+    labels = components(links, settings.max_broadcast)
     # buckets in which different classes meet: what may link them is found relative to the bucket's leader, which all of its texts were compared with
     marked = shared.select("h", "key").join(labels, "key", "left").withColumn("label", F.coalesce("label", "key"))
     mixed = marked.groupBy("h").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("h")
     heads = leaders.join(mixed, "h").select(F.col("leader").alias("b")).distinct()
-    rest = materialize(pairs_across(profile(materialize(tried.join(heads, "b", "left_semi"), "profiled"), docs, text, settings), labels, settings), "across")
+    open_pairs = materialize(tried.join(heads, "b", "left_semi"), "profiled")
+    rest = pairs_across(profile(open_pairs, docs, text, settings), labels, settings)
+    done = [shared, leaders, tried, open_pairs, rest, links, labels]
     if not rest.isEmpty():
         more = materialize(verify(rest, docs, text, settings), "verified")
+        done.append(more)
         if not more.isEmpty():
             links = links.unionByName(more)
-            labels = join_classes(labels, more)
+            labels = join_classes(labels, more, settings.max_broadcast)
+            done.append(labels)
     degree = links.select("a", "b").union(links.select("b", "a")).toDF("a", "b").distinct().groupBy(F.col("a").alias("key")).agg(F.count("*").alias("n_links"))
     known = labels.join(degree, "key", "left")
     classed = signed.select("doc_id", "key", "n_shingles").join(known, "key", "left").withColumn("label", F.coalesce("label", "key"))
     classed = materialize(classed, "classed")
+    for df in (signed, *done):
+        drop_materialized(df)
     ids = classed.groupBy("label").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_size"))
     return classed.join(ids, "label").select("doc_id", "class_id", "class_size", F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"), "n_shingles", "key", "label")
 
@@ -322,6 +352,7 @@ def keep_representatives(docs: DataFrame, id_column: str = "doc_id", text: str =
     # classes go by their label: ids may be null or stand for several texts
     first = found.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).groupBy("label", F.col("doc_id").alias("__id"), F.col("key").alias("__key")).agg(F.count("*").alias("__rows"))
     kept = materialize(first.groupBy("label").agg(F.min_by(F.struct("__id", "__key", "__rows"), "__key").alias("k")).select("k.*"), "kept")
+    drop_materialized(found)
     marked = docs.withColumn("__key", text_key(F.col(f"`{text}`")))
     joined = marked.join(kept, marked[id_column].eqNullSafe(kept["__id"]) & (marked["__key"] == kept["__key"]), "left_semi")
     if not kept.where("__rows > 1").isEmpty():  # texts are dealt out once more only where rows repeat

@@ -25,10 +25,12 @@ def bounded_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; one of our own only where the session names none (tests, local mode)."""
+    """The folder that driver and executors share, as the session names it; one of our own only where it names none and all executors are in this process."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     import tempfile
 
     return f"file://{tempfile.gettempdir()}/kbweave-shared"

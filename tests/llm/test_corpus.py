@@ -51,7 +51,8 @@ def partition(ids, classes):
     return sorted(sorted(g) for g in groups.values())
 
 
-def test_near_duplicates_match_brute_force(spark):
+@pytest.mark.parametrize("limits", [{}, {"max_broadcast": 0, "salted": 2}])
+def test_near_duplicates_match_brute_force(spark, limits):
     docs = rows_of("documents")
     rng = random.Random(5)
     base = [rng.choice("alpha beta gamma delta epsilon zeta eta theta".split()) + str(rng.randrange(300)) for _ in range(400)]
@@ -59,7 +60,11 @@ def test_near_duplicates_match_brute_force(spark):
     for k in range(60):  # a chain of edits: neighbours are similar, far ones are not
         base[(k * 7) % 400] = f"edit{k}"
         texts.append((10_000 + k, " ".join(base)))
-    got = minhash.near_duplicates(spark.createDataFrame(texts, "doc_id long, text string")).collect()
+    long = [f"w{rng.randrange(900)}" for _ in range(300)]
+    for k in range(40):  # texts of many sizes around one leader, with and without additions of their own
+        cut = long[: 300 - 7 * (k % 12)]
+        texts.append((20_000 + k, " ".join(cut + [f"own{k}x{j}" for j in range(5 * (k % 9))])))
+    got = minhash.near_duplicates(spark.createDataFrame(texts, "doc_id long, text string"), settings=minhash.Settings(**limits)).collect()
     assert len(got) == len(texts)
     assert partition([r["doc_id"] for r in got], [r["class_id"] for r in got]) == partition([i for i, _ in texts], brute_classes([t for _, t in texts]))
 
@@ -130,8 +135,25 @@ def test_packing_odd_input(spark):
     rows = packing.pack(spark.createDataFrame(texts, "doc_id long, text string")).collect()
     check_packing(rows, texts)
     assert packing.pack(odd(spark).limit(0)).count() == 0
-    groups = Counter(r["step_group"] for r in rows)
-    assert groups
+    assert packing.pack(spark.createDataFrame([(1, "a", 5, 6, 7)], "offset int, text string, doc_tokens int, sequence_id int, context int"), "offset").columns[0] == "doc_id"
+
+
+@pytest.mark.parametrize("limit", [200_000, 0])
+def test_step_groups_weigh_alike(spark, limit):
+    settings = packing.Packing(step_group=4, max_broadcast=limit)
+    rows = packing.pack(spark.read.parquet(f"{SF}/documents.parquet"), settings=settings).collect()
+    check_packing(rows, [(r[0], r[1]) for r in rows_of("documents")])
+    used, group, context = Counter(), {}, {}
+    for r in rows:
+        used[r["sequence_id"]] += r["length"]
+        group[r["sequence_id"]] = r["step_group"]
+        assert context.setdefault(r["sequence_id"], r["context"]) == r["context"]
+    assert all(context[s] == (n if n & (n - 1) == 0 else 4096) for s, n in used.items())
+    weight = Counter()
+    for s, n in used.items():
+        weight[group[s]] += n
+    assert len(weight) == -(-sum(context.values()) // (4 * 4096)) > 3
+    assert max(weight.values()) - min(weight.values()) <= 4096
 
 
 @pytest.mark.parametrize("seed", range(6))
@@ -307,6 +329,41 @@ def test_repeats_odd_input(spark):
     assert repeats.remove_repeats(odd(spark).limit(0)).count() == 0
 
 
+def test_intermediate_tables_are_deleted(spark, tmp_path):
+    spark.conf.set("spark.checkpoint.dir", f"file://{tmp_path}")
+    try:
+        assert minhash.near_duplicates(spark.read.parquet(f"{SF}/documents.parquet")).count() > 0
+        left = {p.name.rsplit("-", 1)[0] for p in (tmp_path / "kbweave").iterdir()}
+        assert left == {"classed"}
+    finally:
+        spark.conf.unset("spark.checkpoint.dir")
+
+
+def test_pipeline_odd_input(spark):
+    """Nulls, empty and repeated rows, clashing columns and empty tables, as the docstrings of the stages say."""
+    import corpus_pipeline as p
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    extra = [F.lit(7).alias(c) for c in ("key", "label", "language", "secrets", "contamination", "spans", "offset", "__key")]
+    lines = [(90_001, None, "en", None, None), (90_002, "", None, "s", 0), (None, None, None, None, None), (90_003, "12 34 !!", "en", "s", 8)]
+    plain = docs.select("doc_id", "text", "lang", "source", "n_chars")
+    given = plain.unionByName(plain.limit(5)).unionByName(spark.createDataFrame(lines, plain.schema)).select("*", *extra)
+    seen = p.language_id(spark, given, SF)
+    assert seen.columns == given.columns and seen.where("text IS NULL OR text = '' OR doc_id = 90003").isEmpty()
+    kept = p.near_dedup(spark, given, SF)
+    assert kept.columns == given.columns and kept.where("doc_id IN (90001, 90002) OR (doc_id IS NULL AND text IS NULL)").count() == 1
+    clean = p.benchmark_decontamination(spark, given, SF)
+    assert clean.columns == given.columns and clean.where("doc_id > 90000 OR doc_id IS NULL").count() == 4
+    scrubbed = p.secret_scan(spark, given, SF)
+    assert scrubbed.columns == given.columns and scrubbed.count() == given.count() and scrubbed.where("text IS NULL").count() == 2
+    packed = p.pack(spark, given, SF)
+    assert packed.where("doc_id IN (90001, 90002)").select("length").collect() == [(1,), (1,)]
+    none = given.limit(0)
+    for _, stage in p.STAGES:
+        none = stage(spark, none, SF)
+        assert none.count() == 0
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline as p
 
@@ -323,7 +380,19 @@ def test_pipeline_stages(spark):
     from test_rowwise import brute_contamination
 
     left = docs.collect()
-    assert not any(brute_contamination(r["text"], items)[4] for r in left[:60])
+    assert not any(brute_contamination(r["text"], items)[4] for r in left)
     assert not any('token = "' in r["text"] for r in left)
-    packed = p.run(spark, SF)
-    assert packed.select("doc_id").distinct().count() == counts[4]
+    packed = p.run(spark, SF).collect()
+    # brute force over the stages' own inputs: near-duplicates by all pairs, contamination and secrets by plain code
+    first = p.language_id(spark, spark.read.parquet(f"{SF}/documents.parquet"), SF).collect()
+    labels = brute_classes([r["text"] for r in first])
+    best = {}
+    for r, c in zip(first, labels, strict=True):
+        best[c] = min(best.get(c, r["doc_id"]), r["doc_id"])
+    want = {r["doc_id"]: r["text"] for r in first if r["doc_id"] in best.values()}
+    want = {i: t for i, t in want.items() if not brute_contamination(t, items)[4]}
+    assert {r["doc_id"] for r in left} == set(want)
+    from test_rowwise import brute_spans
+
+    assert all((r["text"] != want[r["doc_id"]]) >= bool(brute_spans(want[r["doc_id"]])) for r in left)
+    check_packing(packed, [(r["doc_id"], r["text"]) for r in left])

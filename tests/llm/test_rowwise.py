@@ -53,12 +53,55 @@ def test_rules_match_brute_force(spark, documents):
         assert not (r["base_failed"] and r["kept"])
 
 
-def test_rules_bands():
+def brute_verdict(data, bands):
+    import zstandard
+
+    def size(part):
+        return len(zstandard.ZstdCompressor(level=bands.level, write_content_size=False, write_checksum=False).compress(part))
+
+    def fits(part):
+        k = max(i for i, n in enumerate(bands.lengths) if n <= len(part))
+        return bands.low[k] <= len(part) / size(part) <= bands.high[k]
+
+    if not data:
+        return False
+    parts = [data[k : k + bands.chunk_bytes] for k in range(0, len(data), bands.chunk_bytes)]
+    return fits(data) and sum(not fits(p) for p in parts) <= bands.bad_chunk_share * len(parts)
+
+
+def test_kept_matches_brute_force(spark):
+    bands = compression_rules.Bands()
+    for r in compression_rules.compression_rules(spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text")).select("text", "rules.base_failed", "rules.kept").collect():
+        assert r["kept"] == (not r["base_failed"] and brute_verdict((r["text"] or "").encode(), bands))
+
+
+def test_rules_bands(documents):
+    import base64
+
     verdict = compression_rules.judge(compression_rules.Bands())
     rng = np.random.default_rng(1)
     assert not verdict(b"spam and eggs " * 400)[3]
     assert not verdict(bytes(rng.integers(33, 127, 5000, dtype=np.uint8)))[3]
     assert verdict(b"")[:3] == (0.0, 0, 0)
+    for n in (256, 500, 1000, 2000, 4000, 8000, 16_000, 100_000):  # noise of every length goes
+        lines = base64.encodebytes(rng.bytes(n))[:n]
+        words = b" ".join(bytes(rng.integers(33, 127, 8, dtype=np.uint8)) for _ in range(n // 9 + 1))
+        assert not verdict(lines)[3] and not verdict(words)[3]
+    prose = max((t for _, t, lang in documents if lang == "en" and not re.search("[#%!]{2}", t)), key=len).encode()[:8192]
+    assert len(prose) == 8192 and verdict(prose)[3]
+    noisy = verdict(prose + base64.encodebytes(rng.bytes(3000))[:3000])  # the last, shorter chunk counts
+    assert noisy[1:] == (3, 1, False)
+
+
+def test_repeats_with_equal_hashes(monkeypatch):
+    rng = np.random.default_rng(4)
+    words = [bytes([97 + k]) for k in rng.integers(0, 3, 400)]
+    want = brute_rules(" ".join(w.decode() for w in words))[4]
+    assert compression_rules.repeat_words(words) == want
+    real = np.argsort
+    # every window gets one hash: what is equal is then decided word by word
+    monkeypatch.setattr(compression_rules.np, "argsort", lambda a, **k: (a.fill(7), real(a, **k))[1])
+    assert compression_rules.repeat_words(words) == want
 
 
 def test_rules_odd_input(spark):
@@ -104,6 +147,41 @@ def test_secrets_vectors(spark):
     assert rows[5]["redacted"] is None
 
 
+def test_novel_secrets_are_found():
+    """Random values near sensitive words, before or after them: recall of 0.9 or more at every length; plain identifiers cost too little to be reported."""
+    import random
+    import string
+
+    rng = random.Random(5)
+    settings = secrets.Novelty()
+    meter = secrets.novelty_meter(settings)
+    prose = "the quick brown fox jumps over a lazy dog and then it sleeps under some tree while rain falls on old houses".split()
+    around = lambda: rng.choice([" ".join(rng.choice(prose) for _ in range(12)), "connection = connect(host, port=5432, user=name)", "if (value === null) { return undefined; }"])
+    marks = ("bearer ", "authorization: Basic ", "passphrase is ", "client_id ", "private key ", "credential -> ", "signature ")
+    for letters in (string.ascii_letters + string.digits, string.ascii_letters + string.digits + "+/", "0123456789ABCDEF"):
+        for n in (12, 15, 20, 32, 64):
+            found = 0
+            for k in range(60):
+                value = "".join(rng.choice(letters) for _ in range(n))
+                mark = rng.choice(marks)
+                text = f"{around()} {mark}{value} {around()}" if k % 3 else f"{around()} {value} # {mark}{around()}"
+                at = text.index(value)
+                found += any(s < at + n and at < e and min(e, at + n) - max(s, at) >= 0.8 * n for s, _, e in secrets.find_secrets(text.encode(), settings, meter))
+            assert found >= 54, (letters, n, found)
+    reported = 0
+    names = ("connection_string_builder", "MAX_BUFFER_LENGTH", "DatabaseConnectionFactory", "user_account_settings_v2", "HttpRequestHandler", "ClientCredentialsProvider")
+    for k in range(120):
+        text = f"{around()} {rng.choice(marks)}{names[k % len(names)]} {around()}"
+        reported += any(kind == 3 for _, kind, _ in secrets.find_secrets(text.encode(), settings, meter))
+    assert reported <= 18
+
+
+def test_long_texts_are_scanned_to_the_end():
+    settings = secrets.Novelty()
+    text = ("plain words without anything " * 400_000 + "client_secret is Zx81Qm47LpR93vTyWs62 end").encode()
+    assert [k for _, k, _ in secrets.find_secrets(text, settings, secrets.novelty_meter(settings))] == [3]
+
+
 def test_secrets_odd_input(spark):
     check_secrets(secrets.secret_scan(odd(spark)).select("text", "secrets.*").collect())
     assert secrets.secret_scan(nothing(spark)).count() == 0
@@ -135,11 +213,11 @@ ITEMS = [(1, "The quick brown"), (10, "THE quick, brown!"), (2, " ".join(f"w{i}"
 TEXTS = [(1, "see the Quick-brown fox"), (2, " ".join(f"W{i}" for i in range(15))), (3, None), (4, ""), (5, "xÉ é ß " * 3), (5, "xÉ é ß " * 3), (6, " ".join(f"w{i}" for i in range(12))), (None, "the quick brown")]
 
 
-@pytest.mark.parametrize("limit", [50_000, 0])
-def test_contamination_matches_brute_force(spark, limit):
+@pytest.mark.parametrize("limits", [{}, {"max_windows": 0}, {"max_windows": 0, "max_broadcast": 0, "max_places": 0}])
+def test_contamination_matches_brute_force(spark, limits):
     docs = spark.createDataFrame(TEXTS, "doc_id long, text string").withColumn("n_hit", F.lit("mine"))
     bench = spark.createDataFrame(ITEMS, "item_id long, text string")
-    found = decontamination.find_contamination(docs, bench, settings=decontamination.Decontamination(max_windows=limit))
+    found = decontamination.find_contamination(docs, bench, settings=decontamination.Decontamination(**limits))
     rows = found.select("text", *[f"contamination.{c}" for c in ("n_words", "n_hit", "n_items", "items_sha256", "contaminated")]).collect()
     assert len(rows) == len(TEXTS)
     for r in rows:
@@ -199,6 +277,9 @@ def test_surrogates(spark):
     assert all(map(iban_valid, re.search(r"paid ([A-Z0-9 ]+) and (\w+)", c).groups()))
     assert got[2]["text"] is None and got[3]["text"] == "" and got[4]["text"] == lines[4][1]
     assert got[0]["pii"]["n_name"] == 2 and got[1]["pii"]["n_card"] == 1 and got[6]["pii"]["n_iban"] == 2
+    marked = [(1, f"{surrogates.MARK}Mr. Smith{surrogates.MARK} and 1.2.3.4"), (2, "Mr. Smith and 1.2.3.4")]
+    one, two = (r["text"] for r in surrogates.replace_pii(spark.createDataFrame(marked, "doc_id int, text string")).orderBy("doc_id").collect())
+    assert one.replace(surrogates.MARK, "") == two and one.count(surrogates.MARK) == 2
 
 
 def test_surrogates_stay_distinct(spark):
@@ -285,6 +366,51 @@ def test_forward_backward_matches_enumeration():
         at += n
 
 
+def chain_likelihood(crf, scores, lengths, truth):
+    from itertools import product
+
+    total, at = 0.0, 0
+    for n in lengths:
+        s, y = scores[at : at + n], truth[at : at + n]
+        weigh = lambda path: crf.start[path[0]] + sum(s[i, c] for i, c in enumerate(path)) + sum(crf.transitions[a, b] for a, b in zip(path, path[1:], strict=False))  # noqa: B023, E731
+        total += weigh(list(y)) - np.log(sum(np.exp(weigh(p)) for p in product(range(3), repeat=int(n))))
+        at += n
+    return total
+
+
+def test_gradients_match_finite_differences():
+    rng = np.random.default_rng(6)
+    crf = language_crf.Crf(["a", "b", "c"], language_crf.Settings(), np.zeros((0, 3)), rng.normal(size=(3, 3)), rng.normal(size=3))
+    lengths = np.asarray([3, 1, 4, 2])
+    scores, truth = rng.normal(size=(10, 3)), rng.integers(0, 3, 10)
+    for given, got in zip((scores, crf.transitions, crf.start), language_crf.gradients(scores, lengths, truth, crf), strict=True):
+        for at in np.ndindex(given.shape):
+            keep = given[at]
+            values = []
+            for step in (1e-5, -1e-5):
+                given[at] = keep + step
+                values.append(chain_likelihood(crf, scores, lengths, truth))
+            given[at] = keep
+            assert abs((values[0] - values[1]) / 2e-5 - got[at]) < 1e-6
+
+
+def test_words_are_whole_runs_of_letters():
+    assert language_crf.words_of("x" * 95 + " Ⅷ 〇 ② ½ 3 été") == ["x" * 40, "x" * 40, "x" * 15, "été"]
+    crf = language_crf.Crf(["a", "b"], language_crf.Settings(), np.zeros((0, 2)), np.zeros((2, 2)), np.zeros(2))
+    assert language_crf.Labeler(crf).label(["Ⅷ 〇 ② 7"])[0][:2] == ("und", 0.0)
+
+
+def test_models_do_not_depend_on_the_order_of_rows(spark, documents):
+    rows = [*documents, *[(i, t + " again", lang) for i, t, lang in documents[:40]]]
+    small = language_crf.Settings(max_train_rows=50, epochs=1)
+    fits = [language_crf.fit(spark.createDataFrame(r, "doc_id long, text string, lang string").repartition(n), F.lit(True), settings=small) for r, n in ((rows, 1), (rows[::-1], 3))]
+    assert np.array_equal(fits[0].weights, fits[1].weights) and np.array_equal(fits[0].transitions, fits[1].transitions)
+    labels = spark.createDataFrame([(i, i % 2) for i, _, _ in documents], "doc_id long, quality int")
+    tiny = quality_cnn.Settings(max_train_rows=40, epochs=1)
+    nets = [quality_cnn.fit(spark.createDataFrame(r, "doc_id long, text string, lang string").repartition(n), labels, F.lit(True), settings=tiny) for r, n in ((rows, 1), (rows[::-1], 3))]
+    assert np.array_equal(nets[0].kernel, nets[1].kernel) and np.array_equal(nets[0].out, nets[1].out)
+
+
 def test_language_odd_input(spark, documents):
     model = language_crf.fit(spark.createDataFrame(documents, "doc_id long, text string, lang string"), F.lit(True), settings=language_crf.Settings(max_train_rows=60, epochs=2))
     rows = language_crf.identify(odd(spark), model).select("doc_id", "text", "language.*").collect()
@@ -323,6 +449,19 @@ def test_network_covers_the_whole_text():
     assert quality_cnn.score([b"x"], quality_cnn.train([], quality_cnn.Settings()))[0] == 0.5
 
 
+def test_long_texts_are_pooled_block_by_block():
+    net = quality_cnn.train([(b"plain words of text " * 20, 1), (b"plain words %%% *** " * 20, 0)] * 30, quality_cnn.Settings(epochs=2))
+    rng = np.random.default_rng(2)
+    for n in (0, 1, 15, 16, 17, 200, 3000, 3333, 20_011):
+        text = bytes(rng.integers(0, 256, n, dtype=np.uint8))
+        codes, begin, end, of = quality_cnn.windows([text], net.settings)
+        whole, _, _ = quality_cnn.combine(quality_cnn.pool(quality_cnn.responses(codes, net), begin, end), of, 1)
+        for step in (1, 3, 1000):
+            assert np.allclose(quality_cnn.long_features(text, net, step), whole, atol=1e-5)
+    many = bytes(rng.integers(97, 123, 24 << 20, dtype=np.uint8))  # tens of megabytes
+    assert 0 <= quality_cnn.score([many, b"short"], net)[0] <= 1
+
+
 def test_quality_odd_input(spark):
     net = quality_cnn.train([(b"good words here", 1), (b"%%% ###", 0)] * 20, quality_cnn.Settings(epochs=2))
     assert quality_cnn.classify(odd(spark), net).select("quality.*").where("score between 0 and 1").count() == len(ODD)

@@ -76,30 +76,54 @@ def failure_bucket(error: Column) -> Column:
     return first_rule(error, FAILURE_BUCKETS, "other")
 
 
+#: The place of a page in the site's menu, in order of precedence. A rule holds if one of its conditions does; a condition is a list of tests that must all hold, each
+#: (field, test, value) over the path, title or body in lower case, with a leading "!" where it must not hold.
+CORPORATE = ((("path", "has", "/corporate/"),), (("title", "starts", "corporate"),))
+MENU = (
+    ("Personal", "help", ((("title", "has", "404 page not found"),), (("body", "has", "page requested by you does not exist"),))),
+    ("Corporate", "offers", tuple((*c, t) for c in CORPORATE for t in (("path", "has", "offers"), ("title", "has", "offer")))),
+    ("Corporate", "customized-solutions", tuple((*c, t) for c in CORPORATE for t in (("path", "has", "customized-solutions"), ("title", "has", "customized solution")))),
+    ("Corporate", "credit-cards", CORPORATE),
+    ("Personal", "terms-condition", ((("path", "starts", "/en/tnc.page"),), (("path", "has", "most-important-terms-and-conditions"),))),
+    ("Personal", "help", ((("path", "starts", "/en/help.page"),), (("path", "starts", "/en/faq/"),), (("path", "is", "/en/faq.page"),))),
+    ("Personal", "offers", ((("path", "starts", "/en/personal/offers.page"),), (("path", "has", "/offers/"),))),
+    ("Personal", "pay", ((("path", "starts", "/en/personal/benefits/lower-interest-option/"),),)),
+    ("Personal", "benefits", ((("path", "starts", "/en/personal/benefits/"),),)),
+    ("Personal", "help", ((("path", "starts", "/en/eapply/track-credit-card-application.page"),),)),
+    ("Personal", "credit-cards", ((("path", "starts", "/en/eapply/"),), (("path", "starts", "/sprint/"),))),
+    ("Personal", "help", ((("path", "starts", "/creditcards/app/"),),)),
+    ("Personal", "rewards", tuple((t, ("path", "!starts", "/en/personal/credit-cards/")) for t in (("path", "starts", "/en/personal/rewards"), ("path", "has", "/reward")))),
+    ("Personal", "credit-cards", ((("path", "starts", "/en/personal/credit-cards"),), (("path", "has", "/personal/credit-cards/"),))),
+)
+
+
 def menu_taxonomy(path: Column, title: Column, body: Column) -> Column:
-    """struct<category, sub_category> of a page by its place in the site's menu."""
-    p, t, b = F.lower(F.coalesce(F.nullif(path, F.lit("")), F.lit("/"))), F.lower(empty_if_null(title)), F.lower(empty_if_null(body))
-    has = lambda x, s: F.contains(x, F.lit(s))
-    starts = lambda s: F.startswith(p, F.lit(s))
-    to = lambda a, c: F.struct(F.lit(a).alias("category"), F.lit(c).alias("sub_category"))
-    corporate = has(p, "/corporate/") | F.startswith(t, F.lit("corporate"))
-    return (
-        F.when(has(t, "404 page not found") | has(b, "page requested by you does not exist"), to("Personal", "help"))
-        .when(corporate & (has(p, "offers") | has(t, "offer")), to("Corporate", "offers"))
-        .when(corporate & (has(p, "customized-solutions") | has(t, "customized solution")), to("Corporate", "customized-solutions"))
-        .when(corporate, to("Corporate", "credit-cards"))
-        .when(starts("/en/tnc.page") | has(p, "most-important-terms-and-conditions"), to("Personal", "terms-condition"))
-        .when(starts("/en/help.page") | starts("/en/faq/") | (p == "/en/faq.page"), to("Personal", "help"))
-        .when(starts("/en/personal/offers.page") | has(p, "/offers/"), to("Personal", "offers"))
-        .when(starts("/en/personal/benefits/lower-interest-option/"), to("Personal", "pay"))
-        .when(starts("/en/personal/benefits/"), to("Personal", "benefits"))
-        .when(starts("/en/eapply/track-credit-card-application.page"), to("Personal", "help"))
-        .when(starts("/en/eapply/") | starts("/sprint/"), to("Personal", "credit-cards"))
-        .when(starts("/creditcards/app/"), to("Personal", "help"))
-        .when((starts("/en/personal/rewards") | has(p, "/reward")) & ~starts("/en/personal/credit-cards/"), to("Personal", "rewards"))
-        .when(starts("/en/personal/credit-cards") | has(p, "/personal/credit-cards/"), to("Personal", "credit-cards"))
-        .otherwise(to("Personal", "help"))
-    )
+    """struct<category, sub_category> of a page by the first rule of MENU that holds; help of the personal menu if none does."""
+    fields = {"path": F.lower(F.coalesce(F.nullif(path, F.lit("")), F.lit("/"))), "title": F.lower(empty_if_null(title)), "body": F.lower(empty_if_null(body))}
+    tests = {"has": F.contains, "starts": F.startswith, "is": lambda x, v: x == v}
+
+    def holds(field: str, test: str, value: str) -> Column:
+        found = tests[test.lstrip("!")](fields[field], F.lit(value))
+        return ~found if test.startswith("!") else found
+
+    out = F.when(F.lit(False), F.lit(None).cast("struct<category:string,sub_category:string>"))
+    for category, sub, conditions in MENU:
+        out = out.when(_any([_all([holds(*t) for t in c]) for c in conditions]), F.struct(F.lit(category).alias("category"), F.lit(sub).alias("sub_category")))
+    return out.otherwise(F.struct(F.lit("Personal").alias("category"), F.lit("help").alias("sub_category")))
+
+
+def _all(tests: list[Column]) -> Column:
+    out = tests[0]
+    for t in tests[1:]:
+        out = out & t
+    return out
+
+
+def _any(tests: list[Column]) -> Column:
+    out = tests[0]
+    for t in tests[1:]:
+        out = out | t
+    return out
 
 
 def tags(**conditions: Column) -> Column:

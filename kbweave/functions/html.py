@@ -169,12 +169,32 @@ def page_detail(html):
 REWARD_FIELDS = {"name": ("h1", "class", "product-title"), "price": ("h2", "class", "new-price"), "pay": ("div", "id", "pointsnpay"), "delivery": ("h3", "id", "estimated-delivery"), "cities": ("span", "class", "rwd-tooltip"), "code": ("span", "id", "item-code")}
 
 
+#: Fixed patterns: where a reward page's texts hold points, points with cash, days and cities.
+REWARD_PATTERNS = {"price": r"(\d[\d,]+)", "pay": r"(?i)pay[:\s]+([\d,]+)\s*\+\s*(?:Rs\.?|₹)\s*([\d,]+)", "delivery": r"\d+", "cities": r"(?i)^only\s+available\s+in\s*"}
+
+
+def list_items(html: str | None, box: str) -> list[str]:
+    """Texts of the list items inside the first div of a class."""
+    import re
+
+    start = re.search(rf"(?is)<div\b[^>]*\bclass\s*=\s*[\"'][^\"']*(?<![\w-]){box}(?![\w-])[^\"']*[\"'][^>]*>", html or "")
+    if not start:
+        return []
+    depth, end = 1, len(html)
+    for m in re.finditer(r"(?i)<(/?)div\b[^>]*>", html[start.end() :]):
+        depth += -1 if m.group(1) else 1
+        if not depth:
+            end = start.end() + m.start()
+            break
+    return [text for tag, _, text in elements(html[start.end() : end]) if tag == "li" and text]
+
+
 def parse_reward(html: str | None) -> dict:
-    """Name, points, points and cash, item codes, features, delivery days and cities of a reward page."""
+    """Name, points, points and cash, item codes, features (of the features box), delivery days and cities of a reward page."""
     import re
 
     found: dict[str, str] = {}
-    out: dict = {"item_code_points": None, "item_code_pointspay": None, "features": []}
+    out: dict = {"item_code_points": None, "item_code_pointspay": None, "features": list_items(html, "brief-features")}
     for tag, attrs, text in elements(html):
         for field, (t, attribute, value) in REWARD_FIELDS.items():
             if tag == t and any(v.startswith(value) for v in (attrs.get(attribute) or "").split()):
@@ -182,13 +202,9 @@ def parse_reward(html: str | None) -> dict:
         if tag == "input" and (attrs.get("data-itemcode") or "").strip():
             kind = "item_code_pointspay" if "points+pay" in (attrs.get("data-paytype") or "").lower().replace(" ", "") else "item_code_points"
             out[kind] = attrs["data-itemcode"].strip()
-        if tag == "li" and text:
-            out["features"].append(text)
     number = lambda s: int(s.replace(",", "")) if s else None
-    price = re.search(r"(\d[\d,]+)", found.get("price", ""))
-    pay = re.search(r"(?i)pay[:\s]+([\d,]+)\s*\+\s*(?:Rs\.?|₹)\s*([\d,]+)", found.get("pay", ""))
-    days = re.search(r"\d+", found.get("delivery", ""))
-    cities = re.sub(r"(?i)^only\s+available\s+in\s*", "", found.get("cities", ""))
+    price, pay, days = (re.search(REWARD_PATTERNS[k], found.get(k, "")) for k in ("price", "pay", "delivery"))
+    cities = re.sub(REWARD_PATTERNS["cities"], "", found.get("cities", ""))
     return out | {
         "product_name": found.get("name") or None,
         "points_only": number(price and price.group(1)),

@@ -8,9 +8,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: What Python's `\\s` matches; Java's own `\\s` lacks the no-break space and the separators U+001C to U+001F.
-WS = "(?U)[\\s\\x1c-\\x1f]"
-ZERO_WIDTH = "[\\u200B-\\u200D\\uFEFF]"
+#: White space beyond Java's own `\\s`: what Python's `\\s` matches, spelled out, which scans faster than a Unicode property.
+WS = "[\\t-\\r\\x1c-\\x20\\x85\\xA0\\u1680\\u2000-\\u200A\\u2028\\u2029\\u202F\\u205F\\u3000]"
+#: Runs of white space that are not a single space already.
+WS_RUN = f"{WS}{{2,}}|(?! ){WS}"
+#: Characters that hashing folds or drops.
+FOLDED = "“”‘’–—\u200b\u200c\u200d\ufeff"
+#: Something that composition (NFC) may change. The listed ranges hold only characters that are their own composed form and compose with nothing before them.
+DECOMPOSED = "[^\\u0000-\\u02FF\\u0375-\\u037D\\u037F-\\u0386\\u0388-\\u0482\\u048A-\\u0590\\u2010-\\u20CF\\u2100-\\u2125\\u3001-\\u3029\\u3041-\\u3098\\u30A0-\\u30FF\\u4E00-\\u9FFF\\uAC00-\\uD7A3\\uFF01-\\uFFEE\\x{1F300}-\\x{1FAFF}]"
 
 #: Lines that start like this and repeat are calls to action.
 CTA_STARTERS = ("apply now", "know more", "learn more", "click here", "read more", "check now", "download app")
@@ -35,7 +40,7 @@ def blank_to_null(x: Column) -> Column:
 
 def collapse(x: Column) -> Column:
     """White space runs to one space, ends trimmed, NULL to ''."""
-    return F.trim(F.regexp_replace(empty_if_null(x), WS + "+", " "))
+    return F.trim(F.regexp_replace(empty_if_null(x), WS_RUN, " "))
 
 
 def strip(x: Column) -> Column:
@@ -54,18 +59,28 @@ def _nfc(values):
 
 
 def nfc(x: Column, trusted: bool = False) -> Column:
-    """Canonical composition. With `trusted` the text is known to be composed and no Python is planned."""
-    return x if trusted else _nfc(x)
+    """Canonical composition. Only texts that it may change go through the UDF; with `trusted` the text is known to be composed and no Python is planned."""
+    if trusted:
+        return x
+    open_ = x.rlike(DECOMPOSED)
+    return F.when(open_, _nfc(F.when(open_, x))).otherwise(x)
 
 
-def normalize_for_hash(x: Column, composed: bool = True) -> Column:
-    """Markdown without what differs from crawl to crawl: line ends, zero-width characters, typographic quotes and dashes, case, white space."""
-    text = F.regexp_replace(nfc(empty_if_null(x), composed), ZERO_WIDTH, "")
-    plain = F.translate(text, "“”‘’–—", "\"\"''--")
-    return collapse(F.lower(plain))
+def normalize_for_hash(x: Column, composed: bool = False) -> Column:
+    """Markdown without what differs from crawl to crawl: composition, line ends, zero-width characters, typographic quotes and dashes, case, white space."""
+    return collapse(F.lower(_folded(nfc(empty_if_null(x), composed))))
 
 
-def content_hash(markdown: Column, composed: bool = True) -> Column:
+def normalize_text_for_hash(x: Column, composed: bool = False) -> Column:
+    """The shorter normal form of labels and titles: composed, without zero-width characters, lower-cased, white space collapsed; quotes and dashes stay."""
+    return collapse(F.lower(F.regexp_replace(nfc(empty_if_null(x), composed), "[\\u200B-\\u200D\\uFEFF]", "")))
+
+
+def _folded(text: Column) -> Column:
+    return F.when(text.rlike(f"[{FOLDED}]"), F.translate(text, FOLDED, "\"\"''--")).otherwise(text)
+
+
+def content_hash(markdown: Column, composed: bool = False) -> Column:
     return F.sha2(normalize_for_hash(markdown, composed), 256)
 
 
@@ -75,7 +90,7 @@ def normalize_body(x: Column) -> Column:
 
 
 def split_blocks(x: Column) -> Column:
-    return F.filter(F.transform(F.split(x, "\n(?U)[\\s\\x1c-\\x1f]*\n+"), strip), lambda b: b != "")
+    return F.filter(F.transform(F.split(x, f"\n{WS}*\n+"), strip), lambda b: b != "")
 
 
 def page_body(*candidates: Column) -> Column:
@@ -176,9 +191,18 @@ def first_word_brand(name: Column, stopwords: tuple[str, ...] = BRAND_STOPWORDS)
     return let(words, lambda w: F.when(F.size(w) == 0, "").when(F.lower(F.get(w, F.lit(0))).isin(*stopwords), F.array_join(F.slice(w, 1, 2), " ")).otherwise(F.get(w, F.lit(0))))
 
 
-def safe_int(x: Column) -> Column:
-    """Integer of a decimal string, NULL for anything else."""
-    return strip(x).try_cast("long")
+def safe_int(x: Column, kind: str = "string") -> Column:
+    """Integer of a decimal string, NULL for anything else; of a number (kind `double`) its part before the point, of a `boolean` 1 or 0."""
+    if kind == "boolean":
+        return x.cast("int").cast("long")
+    if kind == "double":
+        return F.when(F.isnan(x) | (F.abs(x) >= 2.0**63), None).otherwise(F.when(x < 0, F.ceil(x)).otherwise(F.floor(x)).try_cast("long"))
+    return F.when(strip(x).rlike("^[+-]?[0-9]+(?:_[0-9]+)*$"), F.replace(strip(x), F.lit("_"), F.lit(""))).try_cast("long")
+
+
+def non_empty_lines(x: Column) -> Column:
+    """How many lines of a text hold more than white space."""
+    return F.size(F.filter(F.split(empty_if_null(x), "\r\n|\r|\n"), lambda line: strip(line) != ""))
 
 
 def promo_code(x: Column) -> Column:

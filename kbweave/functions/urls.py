@@ -117,8 +117,37 @@ def path_text(value: Column) -> Column:
     return let(_segments(value), body)
 
 
-def last_path_param(value: Column) -> Column:
-    return let(_segments(value), lambda s: F.when(F.size(s) == 0, "").otherwise(_readable(F.element_at(s, -1))))
+def last_path_param(value: Column, letters_only: bool = True) -> Column:
+    """Words of the last segment without its suffix; as a crawl record has them (`letters_only` off) other characters than dashes and underscores stay."""
+    plain = lambda s: collapse(F.translate(F.regexp_replace(s, "\\.[^.]*$", ""), "-_", "  "))
+    return let(_segments(value), lambda s: F.when(F.size(s) == 0, "").otherwise((_readable if letters_only else plain)(F.element_at(s, -1))))
+
+
+def absolute_url(href: Column, base: Column) -> Column:
+    """href against the page's URL by RFC 3986, section 5.2: dot segments are removed, a query or fragment alone keeps the path."""
+
+    def merged(h: Column, b: Column) -> Column:
+        root = F.concat(scheme(b), F.lit("://"), part(b, 4))
+        folder = F.regexp_replace(F.coalesce(F.nullif(part(b, 5), F.lit("")), F.lit("/")), "[^/]*$", "")
+        own = part(h, 5)
+        raw = F.when(F.startswith(own, F.lit("/")), own).otherwise(F.concat(folder, own))
+        steps = F.aggregate(
+            F.split(raw, "/"),
+            F.array().cast("array<string>"),
+            lambda done, s: F.when(s == "..", F.when(F.size(done) > 1, F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0)))).otherwise(done)).when(s == ".", done).otherwise(F.concat(done, F.array(s))),
+        )
+        open_end = F.when(raw.rlike("/\\.{1,2}$"), "/").otherwise("")
+        tail = F.concat(F.when(part(h, 6) != "", part(h, 6)).otherwise(""), F.when(part(h, 8) != "", part(h, 8)).otherwise(""))
+        query = F.when(part(h, 6) != "", part(h, 6)).otherwise(part(b, 6))
+        return (
+            F.when(h == "", b)
+            .when(part(h, 2) != "", h)
+            .when(F.startswith(h, F.lit("//")), F.concat(scheme(b), F.lit(":"), h))
+            .when(own == "", F.concat(root, part(b, 5), query, part(h, 8)))
+            .otherwise(F.concat(root, F.array_join(steps, "/"), open_end, tail))
+        )
+
+    return let(F.struct(F.trim(empty_if_null(href)).alias("h"), F.trim(empty_if_null(base)).alias("b")), lambda x: merged(x["h"], x["b"]))
 
 
 def record_path(path_value: Column, source_url: Column) -> Column:
@@ -141,8 +170,18 @@ def canonical_offer_url(raw: Column, base: str) -> Column:
     return let(url, body)
 
 
-def slug_id(value: Column, size: int = 12) -> Column:
-    return F.substring(F.md5(value), 1, size)
+def slug_id(value: Column, size: int = 12, digest: str = "md5") -> Column:
+    """The first digits of a digest: md5 for offers and rewards, sha256 for runs of people pages, sha1 for file names."""
+    made = {"md5": F.md5, "sha1": F.sha1, "sha256": lambda v: F.sha2(v, 256)}[digest]
+    return F.substring(made(value), 1, size)
+
+
+def safe_file_name(url: Column, longest: int = 140) -> Column:
+    """Host, path and a digest of the query as a file name without its suffix; `writers.unique_names` numbers those that repeat."""
+    words = F.replace(F.coalesce(F.nullif(F.regexp_replace(path(url, params=False), "^/+|/+$", ""), F.lit("")), F.lit("home")), F.lit("/"), F.lit("_"))
+    query = F.when(part(url, 7) != "", F.concat(F.lit("_"), slug_id(part(url, 7), 8, "sha1"))).otherwise("")
+    safe = F.regexp_replace(F.regexp_replace(F.concat(part(url, 4), F.lit("_"), words, query), "[^a-zA-Z0-9._-]+", "-"), "^[-_.]+|[-_.]+$", "")
+    return F.left(F.coalesce(F.nullif(safe, F.lit("")), F.lit("page")), F.lit(longest))
 
 
 def blocklists(rules: CrawlRules) -> tuple[list[str], list[str], list[str]]:
@@ -168,7 +207,8 @@ def admission_reason(url: Column, status_code: Column, rules: CrawlRules = Crawl
     urls, paths, names = blocklists(rules)
     listed = lambda x, values: x.isin(*values) if values else F.lit(False)
 
-    def body(raw: Column) -> Column:
+    def body(given: Column) -> Column:
+        raw = given["url"]
         lower = F.lower(raw)
         where = F.lower(path(raw, params=False))
         key = F.regexp_replace(where, "/+$", "")
@@ -177,7 +217,7 @@ def admission_reason(url: Column, status_code: Column, rules: CrawlRules = Crawl
             .when(raw == "", "empty_url")
             .when(raw.rlike("[\\[\\]]"), "bracket_url")
             .when(domain(raw) != rules.host, "non_www_domain")
-            .when(listed(normalize_clean_url(raw), urls), "blocklisted_url")
+            .when(given["blocked"], "blocklisted_url")
             .when((key != "") & listed(key, paths), "blocklisted_path")
             .when(listed(F.substring_index(where, "/", -1), names), "blocklisted_basename")
             .when(F.contains(where, F.lit("/en/en/en/")), "repeated_lang_segments")
@@ -190,7 +230,9 @@ def admission_reason(url: Column, status_code: Column, rules: CrawlRules = Crawl
             out = out.when(F.endswith(where, F.lit(extension)), f"ext_{extension[1:]}")
         return out.otherwise("ok")
 
-    return let(strip(empty_if_null(url)), body)
+    # the key of a URL with escapes or spaces takes a UDF, which must stand outside the body
+    blocked = F.coalesce(listed(normalize_url(url), urls), F.lit(False)) if urls else F.lit(False)
+    return let(F.struct(strip(empty_if_null(url)).alias("url"), blocked.alias("blocked")), body)
 
 
 def is_retryable(url: Column, success: Column, status_code: Column, error: Column, rules: CrawlRules = CrawlRules()) -> Column:

@@ -10,8 +10,22 @@ from kbweave.functions.text import collapse, empty_if_null, first_word_brand, le
 from kbweave.functions.urls import any_contains, domain, path
 
 #: Navigation labels and fragments that are no content. Names of a site's own products are added by the caller.
-NOISE_EXACT = ("login", "apply now", "contact us", "faq", "personal", "corporate", "benefits", "compare cards", "statement", "services", "important links", "home", "offers", "download forms", "terms & conditions")
-NOISE_PARTS = ("© 20", "appstore", "playstore", "google play", "send link to your phone", "download mobile app")
+NOISE_EXACT = (
+    "login", "apply now", "contact us", "faq", "personal", "corporate", "credit cards", "card payment", "redeem rewards", "benefits", "deals & offers", "help me find a card", "compare cards",
+    "track my application", "secure your card", "tokenisation", "link pan with aadhaar", "link pan with adhaar", "terms & conditions", "order of payment settlement", "customer notices", "posh policy",
+    "forms central", "offers terms & conditions", "cardholder agreement", "customer grievance redressal policy", "fair practice code", "procurement news", "odr portal link & circular for shareholders",
+    "credit card inssuarance & conduct policy", "balance transfer", "spend analyzer", "statement", "bill pay & recharge", "check reward points", "earn reward points", "redeem reward points", "view catalogue",
+    "address change kyc", "download forms", "raise a dispute", "request for card closure", "customer care", "report lost card", "digital platform updates", "digital membership kits", "go digital",
+    "card security tips", "paynet - pay online", "top & recharge", "paynet- online payment", "standing instruction", "electronic bill payment", "mobile app", "upi & qr codes", "debit card",
+    "over the counter", "cheque - manual drop box", "view all payment modes", "all offers", "offers this week", "convert to emi", "mobile icon", "back to offers list", "offer details",
+    "terms and conditions", "avail now", "download mobile app", "all", "dept stores & grocery", "dining", "education", "electronics & mobiles", "entertainment", "fashion & lifestyle", "health & fitness",
+    "hill station offers", "jewellery", "mall offers", "my city offers", "network offers", "online marketplace", "travel & lodging", "utilities and services", "hello!", "interactive assistant", "confirm exit",
+    "chat history", "app store", "play store", "get it on google play", "download on the app store", "send link to your phone", "know more", "explore", "services", "important links", "home", "offers", "offer-detail",
+)
+NOISE_PARTS = ("© 20", "click here for merchant emi", "app solutely simple", "appstore", "playstore", "google play", "send link to your phone", "download mobile app", "all dept stores", "dept stores & grocery dining")
+#: How the names of people start, and images that show none.
+PERSON_PREFIX = r"^(?i:Mr\.|Ms\.|Mrs\.|Smt\.|CA\s|Dr\.)"
+PLACEHOLDERS = ("placeholder", "app-", "solutely", "appstore", "playstore")
 
 
 def is_noise(x: Column, exact: tuple[str, ...] = NOISE_EXACT, parts: tuple[str, ...] = NOISE_PARTS) -> Column:
@@ -19,6 +33,11 @@ def is_noise(x: Column, exact: tuple[str, ...] = NOISE_EXACT, parts: tuple[str,
     return (F.length(low) < 3) | low.isin(*exact) | any_contains(low, parts)
 
 
+def is_person(name: Column, image: Column) -> Column:
+    """Whether an image's text names a person and the image is not a placeholder."""
+    return empty_if_null(name).rlike(PERSON_PREFIX) & ~any_contains(F.lower(empty_if_null(image)), PLACEHOLDERS)
+
+
 def prefer(first: Column, second: Column) -> Column:
     """The first value unless it is NULL or empty."""
     return F.coalesce(F.nullif(first, F.lit("")), second)

@@ -6,7 +6,7 @@ looked up row by row, and both tables meet in one equi-join on the normalized UR
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -61,9 +61,9 @@ def deleted_pages(previous: DataFrame, current: DataFrame, snapshots: DataFrame)
     return gone.join(last, "normalized_url").select("normalized_url", F.col("content_hash"), (F.col("version_no") + 1).alias("version_no"), F.lit("DELETED").alias("change_status"), F.lit(False).alias("is_active"))
 
 
-def run_counters(changes: DataFrame, deleted: DataFrame, markdown: str = "markdown") -> DataFrame:
-    """One row of counters; total_urls counts rows before those without a URL are dropped, so pass all of them."""
-    rows = changes.select("change_status", F.col("success"), F.octet_length(markdown).cast("long").alias("bytes"))
+def run_counters(changes: DataFrame, deleted: DataFrame, size: Column | None = None) -> DataFrame:
+    """One row of counters, `size` being the bytes of a page's body; total_urls counts rows before those without a URL are dropped, so pass all of them."""
+    rows = changes.select("change_status", F.col("success"), (F.octet_length("markdown").cast("long") if size is None else size).alias("bytes"))
     both = rows.unionByName(deleted.select(F.lit("DELETED").alias("change_status"), F.lit(None).cast("boolean").alias("success"), F.lit(0).cast("long").alias("bytes")))
     status = F.col("change_status")
     return both.agg(

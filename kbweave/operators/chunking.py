@@ -4,9 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from kbweave.functions.text import collapse, content_hash, join_present, let, normalize_body, split_blocks
+from kbweave.functions.text import WS, collapse, content_hash, join_present, let, normalize_body, split_blocks, strip
 from kbweave.functions.urls import doc_id, path_text
 
 CHUNK_SIZE = 1200
@@ -19,26 +18,12 @@ def effective_overlap(size: int, overlap: int) -> int:
     return overlap if 0 <= overlap < size else size // 6
 
 
-def cut_block(block: str, size: int) -> list[str]:
-    """Pieces of at most `size` characters, cut at the last space that leaves the piece within the size, else hard."""
-    out = []
-    while len(block) > size:
-        space = block.rfind(" ", 1, size + 1)
-        at = space if space > 0 else size
-        out.append(block[:at].strip())
-        block = block[at:].lstrip()
-    return [p for p in [*out, block.strip()] if p]
-
-
 def fit_blocks(blocks: Column, size: int = CHUNK_SIZE) -> Column:
-    """Blocks of which none is longer than `size`. Rows without a long block never leave the JVM."""
-
-    @F.udf(T.ArrayType(T.StringType()), useArrow=True)
-    def cut(values):
-        return None if values is None else [p for b in values for p in cut_block(b, size)]
-
-    long = F.exists(blocks, lambda b: F.length(b) > size)
-    return F.when(long, cut(F.when(long, blocks))).otherwise(blocks)
+    """Blocks of which none is longer than `size`: a longer one is cut at the last space that leaves the piece within the size, else hard. A pattern does it inside the JVM."""
+    start = WS.replace("[", "[^", 1)
+    piece = f"(?s){start}.{{0,{size - 1}}}(?= |\\z)|{start}.{{0,{size - 1}}}"
+    pieces = lambda b: F.filter(F.transform(F.regexp_extract_all(b, F.lit(piece), F.lit(0)), strip), lambda p: p != "")
+    return F.flatten(F.transform(blocks, lambda b: F.when(F.length(b) > size, pieces(b)).otherwise(F.array(b))))
 
 
 def pack_blocks(parts: Column, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP) -> Column:
@@ -47,27 +32,46 @@ def pack_blocks(parts: Column, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVER
     The overlap is emitted alone where the next part does not fit behind it, unless it equals the chunk before.
     """
     text = lambda ps: F.array_join(ps, JOINER)
-    state = F.struct(F.array().cast("array<string>").alias("done"), F.array().cast("array<string>").alias("open"))
+    nothing = F.array().cast("array<string>")
+    gap = len(JOINER)
+    # the open parts carry their joined length, so that a step measures the new part alone
+    state = F.struct(nothing.alias("done"), nothing.alias("open"), F.lit(0).alias("n"))
+
+    def grow(done: Column, open_parts: Column, n: Column) -> Column:
+        return F.struct(done.alias("done"), open_parts.alias("open"), n.alias("n"))
+
+    def joined(open_parts: Column, n: Column, m: Column) -> Column:
+        """The length after a part of m characters."""
+        return n + m + F.when(F.size(open_parts) > 0, gap).otherwise(0)
 
     def tail(open_parts: Column) -> Column:
-        """The longest suffix of parts that is at most `overlap` characters long, joiners included."""
-        n = F.size(open_parts)
-        starts = F.filter(F.sequence(F.lit(1), n), lambda i: F.length(text(F.slice(open_parts, i, n))) <= overlap)
-        return F.when(F.size(starts) > 0, F.slice(open_parts, F.coalesce(F.array_min(starts), F.lit(1)), n)).otherwise(F.array().cast("array<string>"))
+        """The longest suffix of parts that is at most `overlap` characters long, joiners included, and its length."""
+        taken = F.struct(F.lit(0).alias("k"), F.lit(0).alias("n"), F.lit(True).alias("open"))
 
-    def fits(open_parts: Column, part: Column) -> Column:
-        return F.length(text(open_parts)) + F.when(F.size(open_parts) > 0, len(JOINER)).otherwise(0) + F.length(part) <= size
+        def take(t: Column, p: Column) -> Column:
+            more = t["n"] + F.length(p) + F.when(t["k"] > 0, gap).otherwise(0)
+            fits = t["open"] & (more <= overlap)
+            return F.struct(F.when(fits, t["k"] + 1).otherwise(t["k"]).alias("k"), F.when(fits, more).otherwise(t["n"]).alias("n"), fits.alias("open"))
 
-    def grow(done: Column, open_parts: Column) -> Column:
-        return F.struct(done.alias("done"), open_parts.alias("open"))
+        return let(F.aggregate(F.reverse(open_parts), taken, take), lambda t: F.struct(F.slice(open_parts, F.size(open_parts) - t["k"] + 1, t["k"]).alias("parts"), t["n"].alias("n")))
 
-    def after_flush(done: Column, carried: Column, part: Column) -> Column:
-        alone = F.when((F.size(carried) > 0) & ~F.coalesce(F.element_at(done, -1) == text(carried), F.lit(False)), F.concat(done, F.array(text(carried)))).otherwise(done)
-        return F.when(fits(carried, part), grow(done, F.concat(carried, F.array(part)))).otherwise(grow(alone, F.array(part)))
+    def after_flush(done: Column, carried: Column, part: Column, m: Column) -> Column:
+        parts = carried["parts"]
+        alone = F.when((F.size(parts) > 0) & ~F.coalesce(F.element_at(done, -1) == text(parts), F.lit(False)), F.concat(done, F.array(text(parts)))).otherwise(done)
+        return F.when(joined(parts, carried["n"], m) <= size, grow(done, F.concat(parts, F.array(part)), joined(parts, carried["n"], m))).otherwise(grow(alone, F.array(part), m))
 
     def step(s: Column, part: Column) -> Column:
-        flushed = F.concat(s["done"], F.array(text(s["open"])))
-        return F.when(fits(s["open"], part), grow(s["done"], F.concat(s["open"], F.array(part)))).when(F.size(s["open"]) == 0, grow(s["done"], F.array(part))).otherwise(let(F.struct(flushed.alias("done"), (tail(s["open"]) if overlap > 0 else F.array().cast("array<string>")).alias("carried")), lambda f: after_flush(f["done"], f["carried"], part)))
+        def with_length(m: Column) -> Column:
+            total = joined(s["open"], s["n"], m)
+            flushed = F.concat(s["done"], F.array(text(s["open"])))
+            carried = tail(s["open"]) if overlap > 0 else F.struct(nothing.alias("parts"), F.lit(0).alias("n"))
+            return (
+                F.when(total <= size, grow(s["done"], F.concat(s["open"], F.array(part)), total))
+                .when(F.size(s["open"]) == 0, grow(s["done"], F.array(part), m))
+                .otherwise(let(F.struct(flushed.alias("done"), carried.alias("carried")), lambda f: after_flush(f["done"], f["carried"], part, m)))
+            )
+
+        return let(F.length(part), with_length)
 
     return F.aggregate(parts, state, step, lambda s: F.when(F.size(s["open"]) > 0, F.concat(s["done"], F.array(text(s["open"])))).otherwise(s["done"]))
 

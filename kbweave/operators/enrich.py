@@ -9,21 +9,35 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+#: What a record hands on to its page besides title, description and keywords.
+CARRIED = ("card_name", "page_type", "page_purpose", "customer_blurb", "facet_tags", "key_facts", "page_index")
+
+
 def last_record(records: DataFrame, key: str, ord: str = "ord") -> DataFrame:
     """The last record of each key wins."""
     return records.groupBy(key).agg(F.max_by(F.struct(*[F.col(c) for c in records.columns if c != key]), ord).alias("__r")).select(key, "__r.*")
 
 
 def join_back(pages: DataFrame, records: DataFrame, key: str = "source_url") -> DataFrame:
-    """Title, description and keywords from the record where it has them; all three are lower-cased in any case."""
-    found = last_record(records, key).select(key, F.col("ai_title").alias("__t"), F.col("ai_summary").alias("__d"), F.col("keywords").alias("__k"))
+    """Title, description and keywords from the record where it has them; all three are lower-cased in any case. Of the CARRIED fields the page takes
+    those that the records have; pages without a record keep their own."""
+    carried = [c for c in CARRIED if c in records.columns]
+    found = last_record(records, key).select(key, F.col("ai_title").alias("__t"), F.col("ai_summary").alias("__d"), F.col("keywords").alias("__k"), F.lit(True).alias("__hit"), *[F.col(c).alias(f"__c_{c}") for c in carried])
     joined = pages.join(found, key, "left")
     chosen = {
         "title": F.lower(F.coalesce(F.nullif("__t", F.lit("")), "title")),
         "description": F.lower(F.coalesce(F.nullif("__d", F.lit("")), "description")),
         "keywords": F.lower(F.coalesce(F.array_join("__k", ", "), "keywords")),
     }
-    return joined.select(*[chosen[c].alias(c) if c in chosen else F.col(c) for c in pages.columns])
+    for c in carried:
+        chosen[c] = F.when(F.col("__hit"), F.col(f"__c_{c}")).otherwise(F.col(c)) if c in pages.columns else F.col(f"__c_{c}")
+    return joined.select(*[chosen[c].alias(c) if c in chosen else F.col(c) for c in [*pages.columns, *[c for c in carried if c not in pages.columns]]])
+
+
+def enrich_counts(pages: DataFrame, records: DataFrame, key: str = "source_url") -> DataFrame:
+    """(pages, enriched, skipped): how many pages have a record, and how many have none."""
+    hit = pages.join(records.select(key, F.lit(True).alias("__hit")).distinct(), key, "left")
+    return hit.agg(F.count("*").alias("pages"), F.count_if("__hit").alias("enriched"), F.count_if(F.col("__hit").isNull()).alias("skipped"))
 
 
 def content_body(title: Column, purpose: Column, description: Column, facts: Column) -> Column:

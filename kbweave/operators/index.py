@@ -1,12 +1,23 @@
-"""Index documents, index deltas and the derived inverted index."""
+"""Index documents, index deltas, the bulk form of deltas, and the inverted index that searches read."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kbweave.functions.text import collapse, empty_if_null, tokenize
 
+#: The declared columns of the index; `embedding` holds as many floats as the settings say.
+INDEX = T.StructType(
+    [T.StructField(n, T.StringType()) for n in ("_id", "embedding_text", "metadata", "title", "description")]
+    + [T.StructField("keywords", T.ArrayType(T.StringType())), T.StructField("embedding", T.ArrayType(T.FloatType()))]
+    + [T.StructField(n, T.StringType()) for n in ("keywords_joined", "search_text", "title_suggest", "keywords_suggest", "source_url", "normalized_url", "path", "category", "sub_category", "parsed_url_path_text", "content_hash", "change_status")]
+    + [T.StructField("is_active", T.BooleanType()), T.StructField("deleted_at", T.TimestampType()), T.StructField("depth", T.IntegerType()), T.StructField("status_code", T.IntegerType()), T.StructField("success", T.BooleanType())]
+)
+
 
 def index_document(title: Column, description: Column, keywords: Column, extras: list[Column]) -> list[Column]:
     """title, description, keywords, keywords_joined, search_text, title_suggest, keywords_suggest."""
@@ -24,6 +35,53 @@ def valid_vectors(records: DataFrame, dims: int, embedding: str = "embedding") -
     return records.where(F.size(embedding) == dims)
 
 
+def with_ids(records: DataFrame, explicit: Column, normalized_url: Column) -> DataFrame:
+    """records with `_id`: the explicit one, the URL's digest, or for rows without either one of their own made from all their fields."""
+    own = F.sha2(F.to_json(F.struct(*[F.col(f"`{c}`") for c in records.columns])), 256)
+    return records.withColumn("_id", F.coalesce(resolve_id(explicit, normalized_url), own))
+
+
+def bulk_load(records: DataFrame, dims: int, explicit: Column, normalized_url: Column, samples: int = 3) -> tuple[DataFrame, DataFrame]:
+    """(rows of the index, outcome): rows whose vector has `dims` numbers are active and undeleted, the last of an id by `ord` wins where there is one.
+
+    The outcome is one row: ok, errors and up to `samples` reasons.
+    """
+    known = with_ids(records, explicit, normalized_url)
+    good = valid_vectors(known, dims).withColumn("is_active", F.coalesce(F.col("is_active") if "is_active" in records.columns else F.lit(None).cast("boolean"), F.lit(True))).withColumn("deleted_at", F.lit(None).cast("timestamp"))
+    if "ord" in records.columns:
+        good = good.groupBy("_id").agg(F.max_by(F.struct(*[F.col(c) for c in good.columns if c != "_id"]), "ord").alias("r")).select("_id", "r.*")
+    bad = F.coalesce(F.size("embedding") != dims, F.lit(True))
+    reason = F.concat(F.lit("invalid embedding: "), F.coalesce(F.size("embedding"), F.lit(0)).cast("string"), F.lit(f" of {dims} numbers"))
+    outcome = known.agg(F.count_if(~bad).alias("ok"), F.count_if(bad).alias("errors"), F.slice(F.sort_array(F.collect_set(F.when(bad, reason))), 1, samples).alias("samples"))
+    return good, outcome
+
+
+def create_index(spark: SparkSession, path: str, recreate: bool = False) -> DataFrame:
+    """The index table at path with its declared columns: an empty one where there is none, or in any case with `recreate`."""
+    from kbweave.sources.storage import exists
+
+    if recreate or not exists(spark, path):
+        spark.createDataFrame([], INDEX).write.mode("overwrite").parquet(path)
+    return spark.read.schema(INDEX).parquet(path)
+
+
+def error_reason(item: Column) -> Column:
+    """What a bulk response (JSON of one action) says about its failure: `type: reason`, the reason, the error, or the item itself."""
+    v = F.parse_json(item)
+    ops = [F.try_variant_get(v, f"$.{op}.{{}}".format(f), "string") for f in ("error.type", "error.reason") for op in ("index", "update", "delete", "create")]
+    kind, reason = F.coalesce(*ops[:4]), F.coalesce(*ops[4:])
+    raw = F.coalesce(*[F.nullif(F.try_variant_get(v, f"$.{op}.error", "string"), F.lit("")) for op in ("index", "update", "delete", "create")])
+    return F.when((kind != "") & (reason != ""), F.concat_ws(": ", kind, reason)).otherwise(F.coalesce(F.nullif(reason, F.lit("")), raw, item))
+
+
+def bulk_outcome(responses: DataFrame, item: str = "item", samples: int = 3) -> DataFrame:
+    """(ok, errors, samples) of bulk responses, one JSON action per row: a status from 200 to 299 is ok; the samples are the first reasons in order."""
+    v = F.parse_json(item)
+    status = F.coalesce(*[F.try_variant_get(v, f"$.{op}.status", "int") for op in ("index", "update", "delete", "create")], F.lit(0))
+    ok = status.between(200, 299)
+    return responses.agg(F.count_if(ok).alias("ok"), F.count_if(~ok).alias("errors"), F.slice(F.sort_array(F.collect_set(F.when(~ok, error_reason(F.col(item))))), 1, samples).alias("samples"))
+
+
 def index_actions(records: DataFrame, deleted: DataFrame, soft: bool = False) -> DataFrame:
     """(op, _id, normalized_url): index actions of the records, and a delete, or an update where deletion is soft, per deleted id."""
     put = records.select(F.lit("index").alias("op"), "_id", "normalized_url")
@@ -72,3 +130,39 @@ def field_stats(docs: DataFrame, id_column: str, fields: list[str]) -> DataFrame
 def bundle_counts(records: DataFrame, deleted: DataFrame) -> DataFrame:
     both = records.select(F.lit(None).cast("string").alias("gone")).unionByName(deleted.select(F.col("_id").cast("string").alias("gone")))
     return both.agg(F.count_if(F.col("gone").isNull()).alias("record_count"), F.count_distinct("gone").alias("deleted_doc_id_count"))
+
+
+@dataclass(frozen=True)
+class TextIndex:
+    """A written inverted index: postings(bucket, field, term, doc, tf, len) by bucket of the term and sorted by it, and stats(field, n_docs, avg_len).
+
+    A search reads the buckets and row groups of its own terms; the corpus is not scanned.
+    """
+
+    postings: DataFrame
+    stats: DataFrame
+    buckets: int
+
+
+def term_bucket(term: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(term), F.lit(buckets)).cast("int")
+
+
+def build_text_index(docs: DataFrame, id_column: str, fields: list[str], path: str, buckets: int = 64) -> TextIndex:
+    """Write the index of some text columns. Ranges of (bucket, field, term, doc) keep a word of a third of all documents from landing in one task."""
+    each = F.flatten(F.array(*[let_terms(f) for f in fields]))
+    exploded = docs.select(F.col(id_column).alias("doc"), F.explode(each).alias("x"))
+    counted = exploded.groupBy("doc", "x.field", "x.term", "x.len").agg(F.count("*").cast("int").alias("tf")).withColumn("bucket", term_bucket(F.col("term"), buckets))
+    placed = counted.repartitionByRange("bucket", "field", "term", "doc").sortWithinPartitions("bucket", "field", "term", "doc")
+    placed.write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/postings")
+    field_stats(docs, id_column, fields).coalesce(1).write.mode("overwrite").parquet(f"{path}/stats")
+    return open_text_index(docs.sparkSession, path, buckets)
+
+
+def open_text_index(spark: SparkSession, path: str, buckets: int = 64) -> TextIndex:
+    return TextIndex(spark.read.parquet(f"{path}/postings"), spark.read.parquet(f"{path}/stats"), buckets)
+
+
+def let_terms(field: str) -> Column:
+    """array<struct<field, term, len>> of a column's tokens."""
+    return F.get(F.transform(F.array(tokenize(empty_if_null(F.col(field)))), lambda ts: F.transform(ts, lambda t: F.struct(F.lit(field).alias("field"), t.alias("term"), F.size(ts).alias("len")))), F.lit(0))

@@ -1,4 +1,4 @@
-"""The ingestion run as one plan per stage: filter, change detection, enrichment, chunks of changed pages, vectors, index delta, outcome."""
+"""A build run as one plan per stage: filter, change detection, enrichment, chunks of changed pages, vectors, index delta, outcome."""
 
 from __future__ import annotations
 
@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from kbweave.functions.text import content_hash, split_keywords
 from kbweave.functions.urls import CrawlRules, doc_id, normalize_url
 from kbweave.operators import cdc, chunking, enrich
-from kbweave.operators.pages import dedupe_best, filter_pages
+from kbweave.operators.pages import dedupe_best_by_aggregate, filter_pages
 
 
 @dataclass(frozen=True)
@@ -66,12 +66,30 @@ def embed(records: DataFrame, model: Callable[[int], Callable[[list[str]], list[
     return records.where(F.coalesce(F.col(text), F.lit("")) != "").mapInArrow(run, schema)
 
 
-def ingest(pages: DataFrame, snapshots: DataFrame, options: RunOptions = RunOptions(), model: Callable[[int], Callable[[list[str]], list[list[float]]]] = hashed_model, records: DataFrame | None = None, trusted_urls: bool = False) -> dict[str, DataFrame]:
-    """pages(source_url, title, description, keywords, markdown, success, status_code, ord) -> changes, chunks (with vectors)."""
+def first_model(*models: Callable[[int], Callable[[list[str]], list[list[float]]]]) -> Callable[[int], Callable[[list[str]], list[list[float]]]]:
+    """The first model that can be made, so that a service that does not answer is replaced by the next one; made on the executor, for the first row only."""
+
+    def make(dims: int) -> Callable[[list[str]], list[list[float]]]:
+        problems = []
+        for model in models:
+            try:
+                return model(dims)
+            except Exception as e:
+                problems.append(f"{type(e).__name__}: {e}")
+        raise RuntimeError("no embedding model: " + "; ".join(problems))
+
+    return make
+
+
+def ingest(pages: DataFrame, snapshots: DataFrame, options: RunOptions = RunOptions(), model: Callable[[int], Callable[[list[str]], list[list[float]]]] = hashed_model, records: DataFrame | None = None, trusted_urls: bool = False, composed: bool = False) -> dict[str, DataFrame]:
+    """pages(source_url, title, description, keywords, markdown, success, status_code, ord) -> changes, chunks (with vectors).
+
+    `trusted_urls` promises URLs without escapes, `composed` bodies in composed form (NFC); each leaves out a Python step.
+    """
     kept = filter_pages(pages, options.rules)
     keyed = kept.withColumn("normalized_url", normalize_url(F.col("source_url"), clean=trusted_urls))
-    best = dedupe_best(keyed, "normalized_url").drop("place")
-    hashed = best.withColumn("content_hash", content_hash(F.col("markdown"), trusted_urls))
+    best = dedupe_best_by_aggregate(keyed.withColumn("__ord", F.col("ord")), "normalized_url", ord="__ord").drop("place", "__ord")
+    hashed = best.withColumn("content_hash", content_hash(F.col("markdown"), composed))
     changes = cdc.classify_changes(hashed, snapshots)
     # the delta is taken before anything expensive: enrichment, chunking and embedding see changed pages only
     delta = changes.where(F.col("change_status").isin("NEW", "UPDATED") & F.col("success"))

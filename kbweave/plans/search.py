@@ -1,6 +1,7 @@
 """Retrieval: BM25 over several fields, exact cosine neighbours, hybrid fusion, blended scores, typeahead.
 
-The query is small and enters the plans as literals; the index is scanned once for each branch, filters first, and top-k ends in TakeOrderedAndProject.
+The query is small and enters the plans as literals. BM25 reads the postings of its terms from a written index (`bm25`), or, for tables that are searched once,
+scans them (`bm25_scan`); neighbours are exact, filters first, and top-k ends in TakeOrderedAndProject.
 BM25 is exact (k1 = 1.2, b = 0.75, idf = ln(1 + (N - df + 0.5) / (df + 0.5))); norms are not quantised, neighbours not approximated.
 """
 
@@ -9,10 +10,16 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from kbweave.functions.text import STOPWORDS, collapse, empty_if_null, prefix_match, tokenize
+from kbweave.operators.index import TextIndex, term_bucket
 
 K1, B = 1.2, 0.75
 
@@ -39,6 +46,24 @@ class SearchSettings:
     strict_min_hits: int = 1
     size: int = 25
     suggest_size: int = 15
+    debug: bool = False  # a larger result list, for looking into a ranking
+    candidate_factor: int = 10
+    max_candidates: int = 10_000
+
+    @property
+    def shown(self) -> int:
+        size = self.size or 25
+        return max(3 * size, size + 10) if self.debug else size
+
+    @property
+    def neighbours(self) -> int:
+        """k of the vector branch."""
+        return max(self.size or 25, 10)
+
+    @property
+    def candidates(self) -> int:
+        """How many neighbours an approximate index would look at; the exact search here looks at all."""
+        return min(self.max_candidates, max(self.neighbours * self.candidate_factor, self.neighbours * 5))
 
 
 def query_tokens(query: str) -> list[str]:
@@ -84,8 +109,31 @@ def strict_filter(core: list[str], min_hits: int = 1) -> Column:
     return hits >= min(max(1, min_hits), len(core))
 
 
-def bm25(docs: DataFrame, id_column: str, fields: dict[str, float], query: str, candidates: Column | None = None) -> DataFrame:
-    """(id, score): best field counts, score of a field = boost * sum over query terms.
+def bm25(index: TextIndex, fields: dict[str, float], query: str, candidates: DataFrame | None = None) -> DataFrame:
+    """(id, score): best field counts, score of a field = boost * sum over query terms. Reads the postings of the query's terms only.
+
+    `candidates`(id) restricts the result, not the statistics.
+    """
+    terms = list(dict.fromkeys(query_tokens(query)))
+    if not terms:
+        return index.postings.limit(0).select(F.col("doc").alias("id"), F.lit(0.0).alias("score"))
+    wanted = F.col("bucket").isin(*[term_bucket(F.lit(t), index.buckets) for t in terms]) & F.col("term").isin(*terms) & F.col("field").isin(*fields)
+    read = index.postings.where(wanted).select("field", "term", "doc", "tf", "len")
+    # one row per query term and field
+    weights = read.groupBy("field", "term").agg(F.count("*").alias("df")).join(F.broadcast(index.stats), "field")
+    idf = F.log(F.lit(1.0) + (F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    joined = read.join(F.broadcast(weights.select("field", "term", idf.alias("idf"), "avg_len")), ["field", "term"])
+    # the classic numerator (k1 + 1) is a constant factor and is left out, as in current engines
+    part = F.col("idf") * F.col("tf") / (F.col("tf") + F.lit(K1) * (F.lit(1 - B) + F.lit(B) * F.col("len") / F.col("avg_len")))
+    if candidates is not None:
+        joined = joined.join(candidates.select(F.col("id").alias("doc")), "doc", "left_semi")
+    sums = joined.groupBy(F.col("doc").alias("id")).agg(*[F.sum(F.when(F.col("field") == f, part)).alias(f"__{i}") for i, f in enumerate(fields)])
+    scores = [F.lit(boost) * F.coalesce(F.col(f"__{i}"), F.lit(0.0)) for i, boost in enumerate(fields.values())]
+    return sums.select("id", (scores[0] if len(scores) == 1 else F.greatest(*scores)).alias("score")).where("score > 0")
+
+
+def bm25_scan(docs: DataFrame, id_column: str, fields: dict[str, float], query: str, candidates: Column | None = None) -> DataFrame:
+    """The same result for a table without an index, which is read twice: for the statistics and for the scores.
 
     One pass makes term frequencies and lengths per document (narrow rows, no text is shuffled); document frequencies and mean
     lengths are one row per field and are joined back by broadcast.
@@ -134,6 +182,42 @@ def knn(docs: DataFrame, id_column: str, embedding: str, query: list[float], k:
     return chosen.select(F.col(id_column).alias("id"), ((1 + cosine) / 2).alias("score")).orderBy(F.desc("score"), "id").limit(k)
 
 
+def knn_queries(docs: DataFrame, queries: DataFrame, id_column: str, embedding: str, k: int, block: int = 512) -> DataFrame:
+    """(query, id, score): the k nearest rows of every row of `queries`(id, embedding), by cosine as (1 + cos) / 2, ties by id; exact.
+
+    Queries and rows are packed into blocks of vectors, and each pair of blocks is one matrix product whose k best per query go on, so that what
+    travels is blocks and short lists, never all pairs. A task keeps one list per query of the blocks that it meets. Vectors must have one length.
+    """
+    packed = "ids array<bigint>, vectors binary, dims int"
+
+    def pack(rows: DataFrame) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for at in range(0, batch.num_rows, block):
+                    part = batch.slice(at, block)
+                    vectors = np.asarray([np.asarray(v, np.float64) for v in part.column(1).to_pylist()])
+                    vectors /= np.maximum(np.sqrt((vectors**2).sum(axis=1, keepdims=True)), 1e-300)
+                    yield pa.RecordBatch.from_arrays([pa.array([part.column(0).to_pylist()], pa.list_(pa.int64())), pa.array([vectors.tobytes()]), pa.array([vectors.shape[1]], pa.int32())], ["ids", "vectors", "dims"])
+
+        return rows.select(F.col(id_column).cast("long"), F.col(embedding)).where(F.col(embedding).isNotNull()).mapInArrow(run, packed)
+
+    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list[tuple[float, int]]] = {}
+        for batch in batches:
+            for ids, vectors, dims, q_ids, q_vectors in zip(*(batch.column(c).to_pylist() for c in ("ids", "vectors", "dims", "q_ids", "q_vectors")), strict=True):
+                score = np.frombuffer(q_vectors).reshape(-1, dims) @ np.frombuffer(vectors).reshape(-1, dims).T
+                for q, row in zip(q_ids, score, strict=True):
+                    near = np.flatnonzero(row >= np.partition(row, -k)[-k]) if len(row) > k else np.arange(len(row))
+                    held[q] = sorted(held.get(q, []) + [(-float(row[j]), ids[j]) for j in near])[:k]
+        rows = [(q, i, (1 - s) / 2) for q, found in held.items() for s, i in found]
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.float64()), strict=True)], ["query", "id", "score"])
+
+    pairs = pack(docs).crossJoin(pack(queries).toDF("q_ids", "q_vectors", "q_dims")).drop("q_dims")
+    rank = F.row_number().over(W.partitionBy("query").orderBy(F.desc("score"), "id"))
+    return pairs.mapInArrow(best, "query bigint, id bigint, score double").withColumn("__r", rank).where(F.col("__r") <= k).drop("__r")
+
+
 def fuse(lexical: DataFrame, vector: DataFrame, weights: Weights = Weights(), size: int = 25) -> DataFrame:
     """(id, raw_score, lexical_score, vector_score): boosted sum over the union of both branches."""
     both = lexical.withColumnRenamed("score", "l").join(vector.withColumnRenamed("score", "v"), "id", "full_outer")
@@ -144,12 +228,10 @@ def fuse(lexical: DataFrame, vector: DataFrame, weights: Weights = Weights(), si
 def blend(hits: DataFrame, weights: Weights = Weights()) -> DataFrame:
     """Adds the normalised and calibrated components and the final score (0 to 100). The largest lexical score is taken over the
     hits, which are few, so that one window over them is one small task."""
-    from pyspark.sql import Window
-
     wl, wv = max(0.0, weights.final_lexical), max(0.0, weights.final_vector)
     if wl + wv <= 0:
         wl = wv = 0.5
-    top = F.max("lexical_score").over(Window.partitionBy(F.lit(1)))
+    top = F.max("lexical_score").over(W.partitionBy(F.lit(1)))
     normal = F.when(F.col("__top") > 0, F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.col("lexical_score") / F.col("__top")))).otherwise(0.0)
     cosine = 2.0 * F.col("vector_score") - 1.0
     calibrated = F.least(F.lit(1.0), F.greatest(F.lit(0.0), cosine))
@@ -166,18 +248,34 @@ def explain_flags(query: str, title: Column, keywords: Column) -> list[Column]:
     return [exact.alias("exact_match_bonus_applied"), phrase.alias("phrase_bonus_applied")]
 
 
-def search(docs: DataFrame, query: str, query_vector: list[float] | None, settings: SearchSettings = SearchSettings(), id_column: str = "_id") -> DataFrame:
-    """Ranked hits of a hybrid search with explained scores; blank queries give no rows."""
-    w, size = settings.weights, settings.size
+def search(docs: DataFrame, query: str, query_vector: list[float] | None, settings: SearchSettings = SearchSettings(), id_column: str = "_id", index: TextIndex | None = None, encode: Callable[[list[str]], list[list[float]]] | None = None) -> DataFrame:
+    """Ranked hits of a hybrid search with explained scores; blank queries give no rows.
+
+    With `index` (of title, description and keywords_joined) the lexical branch reads postings instead of the table. Without a vector `encode`, a sentence
+    model, makes it from the query; its length is set to one.
+    """
+    w, size = settings.weights, settings.shown
+    if query_vector is None and encode is not None and query.strip():
+        query_vector = encode_query(query, encode)
     wanted = is_active() & metadata_filter(query, settings) if query.strip() else F.lit(False)
     fields = {"title": w.title, "description": w.description, "keywords_joined": w.keywords}
-    lexical = bm25(docs, id_column, fields, query or "", wanted)
-    vector = knn(docs, id_column, "embedding", query_vector, max(size, 10), wanted) if query_vector else docs.limit(0).select(F.col(id_column).alias("id"), F.lit(0.0).alias("score"))
+    if index is not None:
+        lexical = bm25(index, fields, query or "", docs.where(wanted).select(F.col(id_column).alias("id")))
+    else:
+        lexical = bm25_scan(docs, id_column, fields, query or "", wanted)
+    vector = knn(docs, id_column, "embedding", query_vector, settings.neighbours, wanted) if query_vector else docs.limit(0).select(F.col(id_column).alias("id"), F.lit(0.0).alias("score"))
     hits = blend(fuse(lexical, vector, w, size), w)
     shown = [c for c in ("title", "description", "keywords", "source_url", "path") if c in docs.columns]
     return hits.join(docs.select(F.col(id_column).alias("id"), *shown), "id").select("*", *explain_flags(query, F.col("title"), F.col("keywords"))).orderBy(F.desc("score"), F.desc("raw_score"), "id")
 
 
+def encode_query(query: str, encode: Callable[[list[str]], list[list[float]]]) -> list[float]:
+    """The unit vector of a query by a sentence model."""
+    vector = [float(x) for x in encode([query])[0]]
+    size = sum(x * x for x in vector) ** 0.5
+    return [x / size for x in vector] if size else vector
+
+
 def suggest(docs: DataFrame, prefix: str, size: int = 15, id_column: str = "_id") -> DataFrame:
     """(suggestion, source_field, rank) for a typed prefix: titles of matching documents, keywords only where they match the typed words.
 

@@ -8,9 +8,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kbweave.functions import classify, dates, html, text, urls
-from kbweave.operators import catalogue, cdc, chunking, enrich, index, pages
+from kbweave.operators import batches, catalogue, cdc, chunking, enrich, index, pages
 from kbweave.plans import search
 from kbweave.plans.pipeline import run_status
+from kbweave.sources import storage
 from kbweave.streaming.micro_batch import event_windows
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,6 +46,27 @@ def q_content_hash(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select("doc_id", text.content_hash(F.col("text")).alias("content_hash"))
 
 
+#: The texts with some letters taken apart into letter and mark, as a crawl of another system would have them.
+APART = "replace(replace(replace(text, 'é', 'e' || chr(769)), 'ü', 'u' || chr(776)), 'ñ', 'n' || chr(771))"
+
+
+def apart(x: Column) -> Column:
+    for whole, parts in (("é", "e\u0301"), ("ü", "u\u0308"), ("ñ", "n\u0303")):
+        x = F.replace(x, F.lit(whole), F.lit(parts))
+    return x
+
+
+@query(f"SELECT doc_id, {HASH.format(APART)} AS content_hash, {HASH.format('text')} = {HASH.format(APART)} AS same FROM documents")
+def q_content_hash_decomposed(spark: SparkSession, d: str) -> DataFrame:
+    given, changed = F.col("text"), apart(F.col("text"))
+    return table(spark, d, "documents").select("doc_id", text.content_hash(changed).alias("content_hash"), (text.content_hash(given) == text.content_hash(changed)).alias("same"))
+
+
+@query(r"SELECT conv_id, turn, trim(regexp_replace(lower(regexp_replace(nfc_normalize(" + APART + r"), '[\x{200B}-\x{200D}\x{FEFF}]', '', 'g')), '\s+', ' ', 'g')) AS text FROM conversations")
+def q_text_hash_form(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "conversations").select("conv_id", "turn", text.normalize_text_for_hash(apart(F.col("text"))).alias("text"))
+
+
 @query(r"SELECT conv_id, turn, trim(regexp_replace(text, '\s+', ' ', 'g')) AS text FROM conversations")
 def q_normalize_ws(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "conversations").select("conv_id", "turn", text.collapse(F.col("text")).alias("text"))
@@ -419,13 +441,21 @@ def current_run(spark: SparkSession, d: str) -> DataFrame:
     return made.withColumn("content_hash", text.content_hash(F.col("hashed"))).drop("hashed")
 
 
-def changes(spark: SparkSession, d: str) -> DataFrame:
-    return cdc.classify_changes(current_run(spark, d), previous_run(spark, d))
+def narrow_runs(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """The pages of both runs without their bodies: URL, order, success, digest and size are computed once and written."""
+    now = current_run(spark, d).select("normalized_url", "ord", "success", "content_hash", F.octet_length("markdown").cast("long").alias("bytes"), "doc_id")
+    return storage.materialize(previous_run(spark, d), "previous-run"), storage.materialize(now, "current-run")
+
 
+def changes(spark: SparkSession, d: str, runs: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
+    """The current run's pages against the previous one's; what only this needs is hashed in the same plan, without writing the narrow tables."""
+    before, now = runs or (previous_run(spark, d), current_run(spark, d).withColumn("bytes", F.octet_length("markdown").cast("long")).drop("markdown"))
+    return cdc.classify_changes(now, before)
 
-def deleted(spark: SparkSession, d: str) -> DataFrame:
-    before = previous_run(spark, d)
-    return cdc.deleted_pages(before, current_run(spark, d), before)
+
+def deleted(spark: SparkSession, d: str, runs: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
+    before, now = runs or (previous_run(spark, d), current_run(spark, d))
+    return cdc.deleted_pages(before, now, before)
 
 
 @query(CDC_SQL + "SELECT normalized_url, ord, change_status, index_status FROM r")
@@ -453,7 +483,8 @@ SELECT count(*) AS total_urls, count(*) FILTER (WHERE success) AS success_urls,
  count(*) FILTER (WHERE change_status = 'UPDATED') AS updated_urls, count(*) FILTER (WHERE change_status = 'UNCHANGED') AS unchanged_urls, (SELECT count(*) FROM d) AS deleted_urls, CAST(sum(bytes) FILTER (WHERE success) AS BIGINT) AS total_bytes FROM r
 """)
 def q_cdc_counters(spark: SparkSession, d: str) -> DataFrame:
-    return cdc.run_counters(changes(spark, d), deleted(spark, d))
+    runs = narrow_runs(spark, d)
+    return cdc.run_counters(changes(spark, d, runs), deleted(spark, d, runs), F.col("bytes"))
 
 
 @query(CDC_SQL + "SELECT normalized_url, max(version_no) AS version_no, max_by(effective_hash, version_no) AS content_hash FROM r GROUP BY normalized_url")
@@ -468,16 +499,15 @@ SELECT coalesce(p.u, l.normalized_url) AS normalized_url, CASE WHEN p.u IS NULL
  coalesce(l.x.h, p.h) AS last_content_hash, CASE WHEN l.x IS NULL THEN 'DELETED' ELSE l.x.s END AS last_change_status, coalesce(l.x.i, 'INDEXED') AS index_status FROM p FULL JOIN l ON p.u = l.normalized_url
 """)
 def q_master_upsert(spark: SparkSession, d: str) -> DataFrame:
-    before = previous_run(spark, d)
-    master = before.select("normalized_url", F.lit(1).alias("first_seen"), F.lit(1).alias("last_seen"), F.lit(True).alias("is_active"), F.col("content_hash").alias("last_content_hash"), F.lit("NEW").alias("last_change_status"), F.lit("INDEXED").alias("index_status"))
-    return cdc.upsert_master(master, changes(spark, d).withColumn("seen_at", F.lit(2)), deleted(spark, d))
+    runs = narrow_runs(spark, d)
+    master = runs[0].select("normalized_url", F.lit(1).alias("first_seen"), F.lit(1).alias("last_seen"), F.lit(True).alias("is_active"), F.col("content_hash").alias("last_content_hash"), F.lit("NEW").alias("last_change_status"), F.lit("INDEXED").alias("index_status"))
+    return cdc.upsert_master(master, changes(spark, d, runs).withColumn("seen_at", F.lit(2)), deleted(spark, d, runs))
 
 
-@query(CDC_SQL + "SELECT normalized_url, ord, CASE WHEN index_status = 'PENDING' AND ord % 3 <> 0 THEN 'INDEXED' ELSE index_status END AS index_status FROM r WHERE normalized_url NOT IN (SELECT normalized_url FROM r GROUP BY 1 HAVING count(*) > 1)")
+@query(CDC_SQL + "SELECT normalized_url, ord, CASE WHEN index_status = 'PENDING' AND success AND normalized_url IN (SELECT normalized_url FROM r WHERE ord % 3 <> 0) THEN 'INDEXED' ELSE index_status END AS index_status FROM r")
 def q_mark_indexed(spark: SparkSession, d: str) -> DataFrame:
-    rows = changes(spark, d)
-    single = rows.join(rows.groupBy("normalized_url").agg(F.count("*").alias("c")).where("c = 1").select("normalized_url"), "normalized_url", "left_semi")
-    return cdc.mark_indexed(single, single.where("ord % 3 <> 0")).select("normalized_url", "ord", "index_status")
+    rows = changes(spark, d, narrow_runs(spark, d))
+    return cdc.mark_indexed(rows, rows.where("ord % 3 <> 0")).select("normalized_url", "ord", "index_status")
 
 
 # ---------------------------------------------------------------- enrichment
@@ -496,7 +526,7 @@ def titled(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"SELECT doc_id, lower(coalesce(nullif(ai_title, ''), 'Doc ' || lang)) AS title, lower(coalesce(ai_summary, source)) AS description, 'a,b' AS keywords FROM documents LEFT JOIN ({ENRICH_SQL}) USING (doc_id)")
 def q_enrich_join(spark: SparkSession, d: str) -> DataFrame:
-    return enrich.join_back(titled(spark, d), enrichment(spark, d), "doc_id")
+    return enrich.join_back(titled(spark, d), enrichment(spark, d), "doc_id").select("doc_id", "title", "description", "keywords")
 
 
 @query(f"""
@@ -582,10 +612,11 @@ def q_embedding_text(spark: SparkSession, d: str) -> DataFrame:
 # ---------------------------------------------------------------- index
 
 @query(r"""
-SELECT doc_id, 'Doc ' || lang AS title, source || ' ' || lang AS keywords_joined, 'Doc ' || lang || ' ' || trim(regexp_replace(left(text, 60), '\s+', ' ', 'g')) || ' ' || source || ' ' || lang || ' /d/' || doc_id AS search_text FROM documents
+SELECT doc_id, 'Doc ' || lang AS title, source || ' ' || lang AS keywords_joined, 'Doc ' || lang || CASE WHEN t = '' THEN '' ELSE ' ' || t END || ' ' || source || ' ' || lang || ' /d/' || doc_id AS search_text
+FROM (SELECT *, trim(regexp_replace(coalesce(text, ''), '\s+', ' ', 'g')) AS t FROM documents)
 """)
 def q_index_docs(spark: SparkSession, d: str) -> DataFrame:
-    made = index.index_document(F.concat(F.lit("Doc  "), F.col("lang")), F.left("text", F.lit(60)), F.array("source", "lang"), [F.lit(""), F.concat(F.lit("/d/"), F.col("doc_id").cast("string"))])
+    made = index.index_document(F.concat(F.lit("Doc  "), F.col("lang")), F.col("text"), F.array("source", "lang"), [F.lit(""), F.concat(F.lit("/d/"), F.col("doc_id").cast("string"))])
     return table(spark, d, "documents").select("doc_id", *made).select("doc_id", "title", "keywords_joined", "search_text")
 
 
@@ -652,8 +683,27 @@ bm AS (SELECT doc_id AS id, sum(ln(1 + (st.n - df + 0.5) / (df + 0.5)) * tf / (t
 """
 
 
+def text_index(spark: SparkSession, d: str, rows: Callable[[SparkSession, str], DataFrame], id_column: str, fields: list[str]) -> index.TextIndex:
+    """The written index over the documents, built by the first search of a session and found again by the stamp of its input's files."""
+    made = storage.stamp(spark, f"{d.rstrip('/')}/documents.parquet")
+    path = f"{storage.shared_dir(spark)}/kbweave/index-{rows.__name__}-{made}"
+    if not storage.exists(spark, f"{path}/stats/_SUCCESS"):
+        index.build_text_index(rows(spark, d), id_column, fields, path)
+    return index.open_text_index(spark, path)
+
+
+def documents(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "documents").select("doc_id", "text")
+
+
 def lexical(spark: SparkSession, d: str) -> DataFrame:
-    return search.bm25(table(spark, d, "documents"), "doc_id", {"text": 1.0}, SEARCHED)
+    return search.bm25(text_index(spark, d, documents, "doc_id", ["text"]), {"text": 1.0}, SEARCHED)
+
+
+@query(BM25_SQL + "SELECT id, round(score, 6) AS score FROM bm ORDER BY bm.score DESC, id LIMIT 25")
+def q_bm25_scan_topk(spark: SparkSession, d: str) -> DataFrame:
+    found = search.bm25_scan(documents(spark, d), "doc_id", {"text": 1.0}, SEARCHED)
+    return found.orderBy(F.desc("score"), "id").limit(25).select("id", F.round("score", 6).alias("score"))
 
 
 @query(BM25_SQL + "SELECT id, round(score, 6) AS score FROM bm ORDER BY bm.score DESC, id LIMIT 25")
@@ -680,6 +730,16 @@ def q_knn_topk(spark: SparkSession, d: str) -> DataFrame:
     return neighbours(spark, d).select("id", F.round("score", 6).alias("score"))
 
 
+@query("""
+WITH e AS (SELECT vec_id AS id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings),
+s AS (SELECT q.id AS query, e.id, (1 + list_cosine_similarity(e.v, q.v)) / 2 AS score FROM e, e AS q WHERE q.id % 50 = 0)
+SELECT query, id, round(score, 6) AS score FROM (SELECT *, row_number() OVER (PARTITION BY query ORDER BY round(score, 9) DESC, id) AS r FROM s) WHERE r <= 10
+""")
+def q_knn_queries(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "embeddings")
+    return search.knn_queries(rows, rows.where("vec_id % 50 = 0"), "vec_id", "embedding", 10).select("query", "id", F.round("score", 6).alias("score"))
+
+
 HYBRID_SQL = BM25_SQL.rstrip() + KNN_SQL + """, hy AS (SELECT id, 2.2 * coalesce(bm.score, 0) + 2.5 * coalesce(kn.score, 0) AS raw, coalesce(bm.score, 0) AS l, coalesce(kn.score, 0) AS v FROM bm FULL JOIN kn USING (id) ORDER BY raw DESC, id LIMIT 25)
 """
 
@@ -696,11 +756,11 @@ def q_blend(spark: SparkSession, d: str) -> DataFrame:
 
 
 def index_rows(spark: SparkSession, d: str) -> DataFrame:
-    words = F.slice(text.tokenize(F.col("text")), 1, 6)
-    return table(spark, d, "documents").select(F.col("doc_id").alias("_id"), F.array_join(words, " ").alias("title"), F.array("source", F.concat(F.col("lang"), F.lit(" pages"))).alias("keywords"), F.concat_ws(" ", "source", "lang", F.lit("pages")).alias("keywords_joined"), F.concat(F.lit("/d/"), F.col("source")).alias("path"), F.lit("").alias("parsed_url_path_text"), F.lit("").alias("description"), F.lit("").alias("search_text"), F.lit("").alias("source_url"), F.when(F.col("doc_id") % 6 != 0, F.col("doc_id") % 3 != 0).alias("is_active"))
+    words = text.tokenize(F.col("text"))
+    return table(spark, d, "documents").select(F.col("doc_id").alias("_id"), F.array_join(words, " ").alias("title"), F.array("source", F.concat(F.col("lang"), F.lit(" pages"))).alias("keywords"), F.concat_ws(" ", "source", "lang", F.lit("pages")).alias("keywords_joined"), F.concat(F.lit("/d/"), F.col("source")).alias("path"), F.lit("").alias("parsed_url_path_text"), F.concat_ws(" ", F.lit("about"), "lang", "source").alias("description"), F.col("text").alias("search_text"), F.lit("").alias("source_url"), F.when(F.col("doc_id") % 6 != 0, F.col("doc_id") % 3 != 0).alias("is_active"))
 
 
-ROWS_SQL = "WITH s AS (SELECT doc_id AS _id, array_to_string(regexp_extract_all(lower(text), '[a-z0-9]+')[1:6], ' ') AS title, source, lang, CASE WHEN doc_id % 6 <> 0 THEN doc_id % 3 <> 0 ELSE true END AS active FROM documents)"
+ROWS_SQL = "WITH s AS (SELECT doc_id AS _id, array_to_string(regexp_extract_all(lower(text), '[a-z0-9]+'), ' ') AS title, source, lang, CASE WHEN doc_id % 6 <> 0 THEN doc_id % 3 <> 0 ELSE true END AS active FROM documents)"
 
 
 @query(ROWS_SQL + " SELECT _id FROM s WHERE active AND (contains(source, 'src1') OR contains(lang, 'src1'))")
@@ -713,6 +773,25 @@ def q_strict_filter(spark: SparkSession, d: str) -> DataFrame:
     return index_rows(spark, d).where(search.strict_filter(["erand", "src1", "the"], 2)).select("_id")
 
 
+SEARCH_WORDS = ["src1", "erand", "the"]
+SEARCH_SQL = ROWS_SQL + f"""
+, w AS (SELECT _id, active, source, regexp_extract_all(lower(title), '[a-z0-9]+') AS t, regexp_extract_all(lower('about ' || lang || ' ' || source), '[a-z0-9]+') AS de, regexp_extract_all(lower(source || ' ' || lang || ' pages'), '[a-z0-9]+') AS k FROM s),
+f AS (SELECT _id, 't' AS f, 3.0 AS boost, t AS w FROM w UNION ALL SELECT _id, 'de', 1.5, de FROM w UNION ALL SELECT _id, 'k', 2.0, k FROM w),
+st AS (SELECT f, count(*) AS n, avg(len(w)) AS m FROM f WHERE len(w) > 0 GROUP BY f),
+x AS (SELECT _id, f, boost, len(w) AS len, q, len(list_filter(w, lambda y: y = q)) AS tf FROM f, (SELECT unnest({SEARCH_WORDS}) AS q)),
+df AS (SELECT f, q, count(*) AS df FROM x WHERE tf > 0 GROUP BY f, q),
+sc AS (SELECT _id, f, max(boost) * sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf / (tf + 1.2 * (0.25 + 0.75 * len / m))) AS score FROM x JOIN df USING (f, q) JOIN st USING (f) WHERE tf > 0 GROUP BY _id, f),
+h AS (SELECT _id, max(score) AS l FROM sc JOIN w USING (_id) WHERE active AND source = 'src1' GROUP BY _id ORDER BY max(score) DESC, _id LIMIT 25)
+"""
+
+
+@query(SEARCH_SQL + "SELECT _id AS id, round(2.2 * l, 6) AS raw_score, round(l, 6) AS lexical_score, round(50 * l / max(l) OVER (), 6) AS score FROM h")
+def q_search(spark: SparkSession, d: str) -> DataFrame:
+    found = text_index(spark, d, index_rows, "_id", ["title", "description", "keywords_joined"])
+    hits = search.search(index_rows(spark, d), " ".join(SEARCH_WORDS), None, index=found)
+    return hits.select("id", *[F.round(c, 6).alias(c) for c in ("raw_score", "lexical_score", "score")])
+
+
 @query(ROWS_SQL + " SELECT _id, title = 'en pages' AS exact_match_bonus_applied, contains(title, 'en pages') OR lang = 'en' AS phrase_bonus_applied FROM s")
 def q_explain_flags(spark: SparkSession, d: str) -> DataFrame:
     return index_rows(spark, d).select("_id", *search.explain_flags("EN  pages", F.col("title"), F.col("keywords")))
@@ -765,9 +844,10 @@ def q_safe_int(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "events").select("event_id", text.safe_int(shown).alias("n"))
 
 
-@query("SELECT doc_id, CAST(doc_id // 32 AS BIGINT) AS batch FROM documents")
+@query("SELECT doc_id, CAST((row_number() OVER (ORDER BY lang, doc_id) - 1) // 32 AS BIGINT) AS batch FROM documents")
 def q_batches(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "documents").select("doc_id", F.floor(F.col("doc_id") / 32).alias("batch"))
+    rows = table(spark, d, "documents").select("lang", "doc_id")
+    return batches.batched(rows, ["lang", "doc_id"], 32, storage.materialize).select("doc_id", "batch")
 
 
 @query("SELECT time_bucket(INTERVAL '1 hour', ts) AS window_start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1, 2")
@@ -784,7 +864,11 @@ def q_supplier_rollup(spark: SparkSession, d: str) -> DataFrame:
 
 def flagship(spark: SparkSession, d: str) -> DataFrame:
     """Changed documents against the previous run, ranked for a query: change detection, delta, chunks, index fields and BM25 top-10."""
-    delta = enrich.changed_only(current_run(spark, d), changes(spark, d))
+    delta = enrich.changed_only(current_run(spark, d), changes(spark, d, narrow_runs(spark, d)))
     chunks = chunking.explode_chunks(delta.select("normalized_url", "doc_id", "title", "markdown").withColumnRenamed("doc_id", "source_id"), "markdown", "normalized_url")
-    hits = search.bm25(chunks, "doc_id", {"title": 3.0, "chunk": 1.5}, SEARCHED).orderBy(F.desc("score"), "id").limit(10)
+    chunks = storage.materialize(chunks, "chunks")
+    hits = search.bm25_scan(chunks, "doc_id", {"title": 3.0, "chunk": 1.5}, SEARCHED).orderBy(F.desc("score"), "id").limit(10)
     return hits.join(chunks.select(F.col("doc_id").alias("id"), "normalized_url", "chunk_index").dropDuplicates(["id"]), "id").orderBy(F.desc("score"), "id")
+
+
+from kbweave import record_queries  # noqa: E402,F401  (registers its queries)

@@ -1,4 +1,4 @@
-"""Recurring ingestion under Structured Streaming, and event windows as a Spark-native extra."""
+"""Recurring intake under Structured Streaming, and event windows as a Spark-native extra."""
 
 from __future__ import annotations
 

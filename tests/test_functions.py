@@ -101,12 +101,51 @@ def test_chunker_vectors(spark):
     assert chunking.effective_overlap(600, 600) == 100
 
 
-@settings(max_examples=200, deadline=None)
-@given(st.text(alphabet="ab \n", max_size=80), st.integers(1, 20))
-def test_cut_block_stays_within_size(block, size):
-    pieces = chunking.cut_block(block.strip(), size)
-    assert all(0 < len(p) <= size and p == p.strip() for p in pieces)
-    assert "".join("".join(pieces).split()) == "".join(block.split())
+def cut(block, size):
+    """The cut rule word by word: at the last space that leaves the piece within the size, else hard."""
+    out = []
+    while len(block) > size:
+        at = block.rfind(" ", 1, size + 1)
+        at = at if at > 0 else size
+        out.append(block[:at].strip())
+        block = block[at:].lstrip()
+    return [p for p in [*out, block.strip()] if p]
+
+
+def test_fit_blocks_matches_the_rule(spark):
+    import random
+
+    rng = random.Random(8)
+    blocks = ["".join(rng.choice("ab \n\t\u00a0\U0001f600") for _ in range(rng.randrange(1, 90))).strip() for _ in range(300)]
+    blocks = [b for b in blocks if b]
+    for size in (1, 2, 7, 20):
+        got = spark.createDataFrame([(b,) for b in blocks], "b string").select("b", chunking.fit_blocks(F.array("b"), size).alias("p")).collect()
+        assert all(r["p"] == cut(r["b"], size) for r in got)
+
+
+def test_guard_of_composition():
+    import re
+    import sys
+    import unicodedata
+
+    guard = re.compile(re.sub(r"\\x\{(\w+)\}", lambda m: f"\\U{int(m.group(1), 16):08x}", text.DECOMPOSED))
+    seconds = {unicodedata.normalize("NFD", chr(c))[-1] for c in range(sys.maxunicode + 1) if not 0xD800 <= c < 0xE000 and len(unicodedata.normalize("NFD", chr(c))) > 1}
+    for c in range(sys.maxunicode + 1):
+        x = chr(c)
+        if not 0xD800 <= c < 0xE000 and not guard.match(x):
+            assert unicodedata.normalize("NFC", x) == x and not unicodedata.combining(x) and x not in seconds, hex(c)
+    assert guard.search("cafe\u0301") and not guard.search("café — “quoted” 日本 Привет 한국")
+
+
+def test_blocked_urls_with_escapes_are_removed(spark):
+    from kbweave.operators import pages
+
+    rules = urls.CrawlRules(host="www.example.com", blocked_urls=("https://www.example.com/a b/x",), blocked_substrings=())
+    rows = spark.createDataFrame([("HTTPS://www.example.com/a b/x",), (" https://www.example.com/a b/x ",), ("https://www.example.com/a b/y",)], "source_url string").withColumn("status_code", F.lit(200))
+    kept = pages.filter_pages(rows, rules)
+    assert [r[0] for r in kept.select("source_url").collect()] == ["https://www.example.com/a b/y"]
+    reasons = rows.select(urls.admission_reason(F.col("source_url"), F.col("status_code"), rules)).collect()
+    assert [r[0] for r in reasons] == ["blocklisted_url", "blocklisted_url", "ok"]
 
 
 def test_sanitize(spark):

@@ -105,7 +105,7 @@ def test_bundle_round_trip_has_no_credentials(spark, tmp_path):
     assert vectors.count() == 1 and [r[0] for r in deleted.orderBy("_id").collect()] == ["y", "z"]
     assert "hunter2" not in str(manifest.collect()) and manifest.first()["deleted_doc_id_count"] == 2
     lines = writers.bulk_lines(spark.createDataFrame([("index", "a", ("t",)), ("delete", "b", None)], "op string, _id string, source struct<title:string>"), "kb").collect()
-    assert lines[0][0].split("\n")[1] == '{"title":"t"}' and "\n" not in lines[1][0]
+    assert lines[0]["value"].split("\n")[1] == '{"title":"t"}' and "\n" not in lines[1]["value"]
 
 
 def test_stream_runs_as_micro_batches(spark, tmp_path):
@@ -128,3 +128,63 @@ def test_settings_and_service(monkeypatch):
     assert manager.start(wait=True) and manager.last["result"] == 7
     with pytest.raises(ValueError):
         service.Scheduler(manager, 1)
+
+
+def test_retry_takes_the_last_good_try(spark):
+    from kbweave.operators import pages as ops
+
+    first = spark.createDataFrame([("u", False, "a")], "source_url string, success boolean, markdown string")
+    again = spark.createDataFrame([("u", True, "z", 1), ("u", True, "b", 2), ("u", False, "y", 3)], "source_url string, success boolean, markdown string, ord int")
+    assert ops.recover(first, again, ord="ord").collect()[0]["markdown"] == "b"
+    assert ops.recover(first, again).collect()[0]["markdown"] == "z"
+    keyless = spark.createDataFrame([("k", True, "x", 1), ("k", True, "xx", 2), (None, True, "n", 3), (None, True, "m", 4)], "source_url string, success boolean, markdown string, ord int")
+    for dedupe in (ops.dedupe_best, ops.dedupe_best_by_aggregate):
+        assert sorted(r["markdown"] for r in dedupe(keyless, "source_url").collect()) == ["m", "n", "xx"]
+
+
+def test_runs_never_stay_open(spark):
+    from kbweave.operators import runs
+
+    at = F.lit("2024-01-01 00:00:00")
+    facts = spark.createDataFrame([("r", 5, 9, None, "sync", 1, 0, 0, *[1] * 8, {"a": 1.0})], "run_id string, started_ms long, finished_ms long, error string, stage string, indexed_count int, indexing_errors int, deleted_count int, " + ", ".join(f"{c} long" for c in runs.COUNTERS) + ", timings map<string,double>")
+    kept = []
+
+    def broken():
+        raise ValueError("no disk")
+
+    assert not runs.close_run(broken, kept.append, facts, at)
+    row = runs.latest(kept[0]).collect()[0]
+    assert row["run_status"] == "FAILED" and "no disk" in row["failed_reason"] and row["duration_ms"] == 4
+    assert runs.close_run(lambda: runs.finished(facts, at), kept.append, facts, at)
+    assert runs.latest(kept[1]).collect()[0]["run_status"] == "COMPLETED"
+    assert [runs.exit_code(*x) for x in ((None, 0), ("FAILED", 0), ("COMPLETED", 2), ("COMPLETED", 0))] == [1, 2, 3, 0]
+
+
+def test_models_fall_back(spark):
+    def none(dims):
+        raise OSError("no service")
+
+    made = pipeline.first_model(none, pipeline.hashed_model)(8)
+    assert len(made(["x"])[0]) == 8
+    with pytest.raises(RuntimeError, match="no service"):
+        pipeline.first_model(none)(8)
+    rows = spark.createDataFrame([("1", "card", "", ["card"], "card", "card", "/p", "u", "", True, made(["card"])[0])], "_id string, title string, description string, keywords array<string>, keywords_joined string, search_text string, path string, source_url string, parsed_url_path_text string, is_active boolean, embedding array<double>")
+    assert search.search(rows, "card", None, encode=made).collect()[0]["vector_score"] > 0.99
+
+
+def test_text_index_gives_the_scan_s_scores(spark, tmp_path):
+    rows = spark.createDataFrame([(i, " ".join(f"w{(i * k) % 7}" for k in range(i % 9))) for i in range(200)], "id int, body string").withColumn("title", F.concat(F.lit("w"), (F.col("id") % 5).cast("string")))
+    made = index.build_text_index(rows, "id", ["title", "body"], str(tmp_path / "i"), buckets=8)
+    fields = {"title": 3.0, "body": 1.0}
+    for q in ("w1 w3", "w0", "absent", ""):
+        want = {r["id"]: round(r["score"], 9) for r in search.bm25_scan(rows, "id", fields, q).collect()} if q else {}
+        assert {r["id"]: round(r["score"], 9) for r in search.bm25(made, fields, q).collect()} == want
+    plan = search.bm25(made, fields, "w1 w3")._jdf.queryExecution().toString()
+    assert "PartitionFilters: [bucket" in plan.replace("isnotnull(bucket#", "") or "bucket#" in plan.split("PartitionFilters:")[1][:200]
+
+
+def test_index_table_and_file_errors(spark, tmp_path):
+    made = index.create_index(spark, f"file://{tmp_path}/idx")
+    assert made.count() == 0 and made.schema == index.INDEX
+    with pytest.raises(Exception, match="op and _id"):
+        writers.bulk_lines(spark.createDataFrame([("", "a", ("t",))], "op string, _id string, source struct<title:string>"), "kb").collect()

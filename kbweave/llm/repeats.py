@@ -185,12 +185,12 @@ def cut_open(keyed: DataFrame, listed: DataFrame, grain: int, s: Settings) -> Da
     return one.dropDuplicates(["k1", "k2"]).mapInArrow(run, ROWS) if size > s.max_broadcast else one.mapInArrow(run, ROWS).dropDuplicates(["k1", "k2", "owner", "lo", "hi"])
 
 
-def settle(rows: DataFrame, final: bool) -> tuple[DataFrame, DataFrame | None]:
-    """(repeated items with their places, items that stay open or bear witness)."""
+def settle(rows: DataFrame, final: bool) -> tuple[DataFrame, DataFrame | None, list[DataFrame]]:
+    """(repeated items with their places, items that stay open or bear witness, tables that both read)."""
     classes = rows.groupBy("core", "name", "lo", "hi").agg(F.sum("weight").alias("many"), F.min(F.struct("k1", "k2", "owner")).alias("member"))
     if final:
         twice = classes.where("many > 1").select("core", "name", "lo", "hi")
-        return rows.where("weight = 1").join(twice, ["core", "name", "lo", "hi"]).select("k1", "k2", "owner", "lo", "hi"), None
+        return rows.where("weight = 1").join(twice, ["core", "name", "lo", "hi"]).select("k1", "k2", "owner", "lo", "hi"), None, []
     # one table for both questions: how often a class occurs, and whether its core holds a class that occurs once
     classes = materialize(classes, "classes")
     cores = classes.groupBy("core").agg(F.sum("many").alias("total"), F.min("many").alias("least"))
@@ -198,23 +198,26 @@ def settle(rows: DataFrame, final: bool) -> tuple[DataFrame, DataFrame | None]:
     repeated = rows.where("weight = 1").join(twice, ["core", "name", "lo", "hi"]).select("k1", "k2", "owner", "lo", "hi")
     undecided = cores.where("total > 1 AND least = 1").select("core")
     still = classes.join(undecided, "core").select("member.k1", "member.k2", "member.owner", "lo", "hi", F.when(F.col("many") > 1, 2).otherwise(1).alias("weight"))
-    return repeated, still
+    return repeated, still, [classes]
 
 
-def repeated_windows(docs: DataFrame, text: str, s: Settings) -> DataFrame:
-    """(k1, k2, owner, lo, hi): all windows, as runs, whose bytes start elsewhere too."""
+def repeated_windows(docs: DataFrame, text: str, s: Settings) -> tuple[DataFrame, list[DataFrame]]:
+    """(k1, k2, owner, lo, hi): all windows, as runs, whose bytes start elsewhere too; and the written tables that they come from."""
     bounded_batches(docs.sparkSession)
     keyed = docs.select(*text_keys(F.col(text)), F.col(text).alias("text"))
     found = []
     rows = materialize(all_runs(keyed, s), "runs")
+    written = [rows]
     for grain, final in ((s.step, False), (1, False), (0, True)):
-        repeated, still = settle(rows, final)
+        repeated, still, read = settle(rows, final)
         found.append(repeated)
+        written += read
         if not final:
             listed = materialize(still, "open")
             rows = materialize(cut_open(keyed, listed, grain, s), "pieces")
+            written.append(rows)
             drop_materialized(listed)
-    return found[0].unionByName(found[1]).unionByName(found[2])
+    return found[0].unionByName(found[1]).unionByName(found[2]), written
 
 
 def merged(spans: Column) -> Column:
@@ -229,10 +232,13 @@ def merged(spans: Column) -> Column:
 
 
 def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text: str = "text", settings: Settings = Settings(), texts: bool = False) -> DataFrame:
-    """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256; with `texts` also the bytes that are left."""
+    """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256; with `texts` also the bytes that are left. Other columns of docs are left out."""
     s = settings
-    runs_of = repeated_windows(docs, text, s).groupBy("k1", "k2").agg(F.collect_set(F.struct((F.col("owner") - F.col("hi")).alias("first"), (F.col("owner") - F.col("lo") + s.length).alias("end"))).alias("runs"))
+    windows, written = repeated_windows(docs, text, s)
+    runs_of = windows.groupBy("k1", "k2").agg(F.collect_set(F.struct((F.col("owner") - F.col("hi")).alias("first"), (F.col("owner") - F.col("lo") + s.length).alias("end"))).alias("runs"))
     found = materialize(runs_of.select("k1", "k2", merged(F.col("runs")).alias("spans")), "spans")
+    for done in written:
+        drop_materialized(done)
     size = found.agg(F.sum(F.size("spans"))).first()[0] or 0
     keyed = docs.select(F.col(id_column).alias("doc_id"), *text_keys(F.col(text)), F.coalesce(F.col(text), F.lit("")).alias("text"))
     joined = keyed.join(F.broadcast(found) if size <= s.max_broadcast else found, ["k1", "k2"], "left").select("doc_id", "text", "spans")

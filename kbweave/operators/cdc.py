@@ -96,6 +96,14 @@ def upsert_master(master: DataFrame, changes: DataFrame, deleted: DataFrame, key
     )
 
 
+def mark_deleted(master: DataFrame, gone: DataFrame, at: Column, key: str = "normalized_url") -> DataFrame:
+    """The master's rows of gone pages are inactive and DELETED, and were seen last at a time."""
+    hit = F.coalesce("__gone", F.lit(False))
+    joined = master.join(gone.select(key, F.lit(True).alias("__gone")).distinct(), key, "left")
+    new = {"is_active": F.lit(False), "last_change_status": F.lit("DELETED"), "last_seen": at}
+    return joined.select(*[F.when(hit, new[c]).otherwise(F.col(c)).alias(c) if c in new else F.col(c) for c in master.columns])
+
+
 def mark_indexed(snapshots: DataFrame, indexed: DataFrame, key: str = "normalized_url") -> DataFrame:
     """PENDING rows of successfully indexed pages become INDEXED."""
     ok = indexed.select(key).distinct().withColumn("__ok", F.lit(True))

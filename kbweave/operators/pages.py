@@ -57,7 +57,8 @@ def upsert(pages: DataFrame, batch: DataFrame, key: str, ord: str = "ord") -> Da
 def recover(pages: DataFrame, retried: DataFrame, key: str = "source_url", ord: str | None = None) -> DataFrame:
     """Failed pages whose retry succeeded take the retry's fields: of several good retries those of the last by `ord`, or without it the greatest row."""
     row = F.struct(*[F.col(c) for c in retried.columns if c != key])
-    good = retried.where(F.col("success")).groupBy(key).agg(F.max_by(row, F.struct(F.col(ord), row) if ord else row).alias("__new"))
+    shown = F.to_json(row)  # maps have no order
+    good = retried.where(F.col("success")).groupBy(key).agg(F.max_by(row, F.struct(F.col(ord), shown) if ord else shown).alias("__new"))
     joined = pages.join(good, key, "left")
     swap = F.col("__new").isNotNull() & ~F.coalesce(F.col("success"), F.lit(False))
     fresh = {c for c in retried.columns if c != key}

@@ -296,11 +296,16 @@ def q_tags(spark: SparkSession, d: str) -> DataFrame:
 
 # ---------------------------------------------------------------- page tables
 
-TEXT_PAGES = "SELECT doc_id AS ord, md5(left(text, 40)) AS key, text AS markdown, doc_id % 4 <> 0 AS success FROM documents"
+TEXT_PAGES = "SELECT doc_id AS ord, md5(lang || ':' || (length(text) % 499)) AS key, text AS markdown, doc_id % 4 <> 0 AS success FROM documents"
+
+
+def group_key() -> Column:
+    """Stands for a page's key: texts of one language and like length share it."""
+    return F.md5(F.concat("lang", F.lit(":"), (F.length("text") % 499).cast("string")))
 
 
 def text_pages(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "documents").select(F.col("doc_id").alias("ord"), F.md5(F.left("text", F.lit(40))).alias("key"), F.col("text").alias("markdown"), (F.col("doc_id") % 4 != 0).alias("success"))
+    return table(spark, d, "documents").select(F.col("doc_id").alias("ord"), group_key().alias("key"), F.col("text").alias("markdown"), (F.col("doc_id") % 4 != 0).alias("success"))
 
 
 @query(f"SELECT key, ord, place FROM (SELECT key, ord, row_number() OVER (PARTITION BY key ORDER BY success DESC, length(markdown) DESC, ord) AS r, min(ord) OVER (PARTITION BY key) AS place FROM ({TEXT_PAGES})) WHERE r = 1")
@@ -314,21 +319,21 @@ def q_dedupe_best_window(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""
-WITH a AS (SELECT md5(left(text, 40)) AS source_url, doc_id AS ord FROM documents WHERE doc_id % 3 = 0), b AS (SELECT md5(left(text, 40)) AS source_url, doc_id AS ord FROM documents WHERE doc_id % 3 <> 0)
+WITH a AS (SELECT md5(lang || ':' || (length(text) % 499)) AS source_url, doc_id AS ord FROM documents WHERE doc_id % 3 = 0), b AS (SELECT md5(lang || ':' || (length(text) % 499)) AS source_url, doc_id AS ord FROM documents WHERE doc_id % 3 <> 0)
 SELECT source_url, ord FROM a UNION ALL SELECT source_url, min(ord) FROM b WHERE source_url NOT IN (SELECT source_url FROM a) GROUP BY source_url
 """)
 def q_merge_append(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "documents").select(F.md5(F.left("text", F.lit(40))).alias("source_url"), F.col("doc_id").alias("ord"))
+    rows = table(spark, d, "documents").select(group_key().alias("source_url"), F.col("doc_id").alias("ord"))
     return pages.append_new(rows.where("ord % 3 = 0"), rows.where("ord % 3 <> 0"))
 
 
 @query("""
-WITH a AS (SELECT md5(left(text, 40)) AS k, doc_id AS ord, 'old' AS v FROM documents WHERE doc_id % 5 <> 0), f AS (SELECT k, min(ord) AS o FROM a GROUP BY k),
-b AS (SELECT md5(left(text, 40)) AS k, min(doc_id) + 1000000 AS ord, 'new' AS v FROM documents WHERE doc_id % 7 = 0 GROUP BY 1)
+WITH a AS (SELECT md5(lang || ':' || (length(text) % 499)) AS k, doc_id AS ord, 'old' AS v FROM documents WHERE doc_id % 5 <> 0), f AS (SELECT k, min(ord) AS o FROM a GROUP BY k),
+b AS (SELECT md5(lang || ':' || (length(text) % 499)) AS k, min(doc_id) + 1000000 AS ord, 'new' AS v FROM documents WHERE doc_id % 7 = 0 GROUP BY 1)
 SELECT a.k, a.ord, CASE WHEN b.k IS NOT NULL AND a.ord = f.o THEN b.v ELSE a.v END AS v FROM a JOIN f USING (k) LEFT JOIN b USING (k) UNION ALL SELECT k, ord, v FROM b WHERE k NOT IN (SELECT k FROM a)
 """)
 def q_merge_upsert(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "documents").select(F.md5(F.left("text", F.lit(40))).alias("k"), F.col("doc_id").alias("ord"))
+    rows = table(spark, d, "documents").select(group_key().alias("k"), F.col("doc_id").alias("ord"))
     old = rows.where("ord % 5 <> 0").withColumn("v", F.lit("old"))
     new = rows.where("ord % 7 = 0").groupBy("k").agg((F.min("ord") + 1000000).alias("ord")).withColumn("v", F.lit("new"))
     return pages.upsert(old, new, "k").select("k", "ord", "v")
@@ -350,7 +355,7 @@ def q_crawl_summary(spark: SparkSession, d: str) -> DataFrame:
     return pages.crawl_summary(rows, RULES)
 
 
-OFFER_SQL = "SELECT doc_id, 'https://www.example.com/o/' || doc_id AS u, CASE WHEN doc_id % 3 = 0 THEN '' ELSE 'Brand ' || source END AS brand, trim(left(text, 30), ' ' || chr(10)) AS line FROM documents"
+OFFER_SQL = "SELECT doc_id, 'https://www.example.com/o/' || doc_id AS u, CASE WHEN doc_id % 3 = 0 THEN '' ELSE 'Brand ' || source END AS brand, trim(text, ' ' || chr(10)) AS line FROM documents"
 
 
 def offers(spark: SparkSession, d: str) -> DataFrame:
@@ -358,7 +363,7 @@ def offers(spark: SparkSession, d: str) -> DataFrame:
     url = F.concat(F.lit("https://www.example.com/o/"), F.col("doc_id").cast("string"))
     cards = docs.select(url.alias("offer_url"), F.when(F.col("doc_id") % 3 == 0, "").otherwise(F.concat(F.lit("Brand "), F.col("source"))).alias("brand_name"), F.lit("hover").alias("hover_text"), F.lit("5% off").alias("discount_text"), F.col("source").alias("primary_category"), F.lit(None).cast("string").alias("sub_category"))
     nothing = F.array().cast("array<string>")
-    lines = F.array(text.strip(F.left("text", F.lit(30))), F.lit("10% cashback"), F.lit(" "))
+    lines = F.array(text.strip(F.col("text")), F.lit("10% cashback"), F.lit(" "))
     details = docs.where("doc_id % 2 = 0").select(url.alias("offer_url"), F.lit("Detail").alias("offer_title"), F.lit("").alias("offer_description"), F.lit(None).cast("string").alias("discount_text"), F.when(F.col("doc_id") % 4 == 0, "SAVE").alias("promo_code"), F.lit(None).cast("date").alias("offer_start_date"), lines.alias("summary_text"), nothing.alias("eligible_cards"), nothing.alias("steps_to_avail"), nothing.alias("terms_and_conditions"), F.array().cast("array<map<string,string>>").alias("summary_table"))
     return catalogue.offer_documents(cards, details)
 
@@ -620,11 +625,11 @@ def q_index_docs(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select("doc_id", *made).select("doc_id", "title", "keywords_joined", "search_text")
 
 
-INDEXED_SQL = "WITH i AS (SELECT doc_id AS _id, md5(left(text, 40)) AS parent FROM documents WHERE doc_id % 2 = 0), n AS (SELECT doc_id AS _id, md5(left(text, 40)) AS parent FROM documents WHERE doc_id % 3 = 0), g AS (SELECT doc_id AS _id, md5(left(text, 40)) AS parent FROM documents WHERE doc_id % 5 = 0)"
+INDEXED_SQL = "WITH i AS (SELECT doc_id AS _id, md5(lang || ':' || (length(text) % 499)) AS parent FROM documents WHERE doc_id % 2 = 0), n AS (SELECT doc_id AS _id, md5(lang || ':' || (length(text) % 499)) AS parent FROM documents WHERE doc_id % 3 = 0), g AS (SELECT doc_id AS _id, md5(lang || ':' || (length(text) % 499)) AS parent FROM documents WHERE doc_id % 5 = 0)"
 
 
 def indexed(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    rows = table(spark, d, "documents").select(F.col("doc_id").alias("_id"), F.md5(F.left("text", F.lit(40))).alias("parent_doc_id"), F.lit(True).alias("is_active"), doc_url().alias("normalized_url"))
+    rows = table(spark, d, "documents").select(F.col("doc_id").alias("_id"), group_key().alias("parent_doc_id"), F.lit(True).alias("is_active"), doc_url().alias("normalized_url"))
     return rows.where("_id % 2 = 0"), rows.where("_id % 3 = 0"), rows.where("_id % 5 = 0")
 
 

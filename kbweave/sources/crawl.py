@@ -6,35 +6,55 @@ runs on the executors; without one, pages come from a table (url, html), which i
 
 from __future__ import annotations
 
+import random
 import time
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kbweave.functions.html import page_links
-from kbweave.functions.urls import CrawlRules, admission_reason, normalize_url
+from kbweave.functions.dom import page_markdown
+from kbweave.functions.html import head_field, page_links
+from kbweave.functions.urls import CrawlRules, absolute_url, admission_reason, normalize_url
+from kbweave.operators.crawl_records import page_records, retry_counts, retry_rounds
+from kbweave.operators.pages import crawl_summary, dedupe_best_by_aggregate
 
 
-def polite_get(get: Callable[[str], str], retries: int = 3, backoff: float = 2.0) -> Callable[[str], str]:
-    """get with linear back-off; the empty text after the last try."""
+def polite_get(get: Callable[[str], str], retries: int = 3, backoff: float = 2.0, jitter: float = 0.0, delay: float = 0.0) -> Callable[[str], str]:
+    """get with linear back-off and up to `jitter` seconds more; the empty text after the last try. `delay` seconds pass before each fetch."""
 
     def fetch(url: str) -> str:
+        time.sleep(delay)
         for attempt in range(1, retries + 1):
             try:
                 return get(url)
             except OSError:
                 if attempt < retries:
-                    time.sleep(backoff * attempt)
+                    time.sleep(backoff * attempt + random.uniform(0, jitter))
         return ""
 
     return fetch
 
 
-def concurrency(max_depth: int, max_pages: int, usual: int = 8) -> int:
-    """Partitions that fetch at a time: two for large crawls, which sites answer with blocks otherwise."""
-    return 2 if max_depth >= 3 or max_pages >= 150 else usual
+@dataclass(frozen=True)
+class Tuning:
+    """How a crawl fetches: large ones go slowly and wait longer, since sites answer them with blocks otherwise."""
+
+    concurrency: int = 8
+    delay_s: float = 0.0
+    timeout_s: int = 30
+    keep_requests: bool = True  # whether the requests that a page made are recorded
+
+
+def tuning(max_depth: int, max_pages: int) -> Tuning:
+    return Tuning(2, 1.0, 60, False) if max_depth >= 3 or max_pages >= 150 else Tuning()
+
+
+def concurrency(max_depth: int, max_pages: int) -> int:
+    """Partitions that fetch at a time."""
+    return tuning(max_depth, max_pages).concurrency
 
 
 def fetch(urls: DataFrame, get: Callable[[str], str], partitions: int) -> DataFrame:
@@ -58,7 +78,7 @@ def crawl(spark: SparkSession, start: str, pages: DataFrame | None = None, get:
         left -= got.count()
         if depth == max_depth or left <= 0:
             break
-        links = got.where("success").select(F.explode(page_links("html")).alias("l")).select(F.regexp_replace("l.href", "#.*$", "").alias("url")).distinct()
+        links = got.where("success").select("url", F.explode(page_links("html")).alias("l")).select(F.regexp_replace(absolute_url(F.col("l.href"), F.col("url")), "#.*$", "").alias("url")).distinct()
         admitted = links.where(admission_reason(F.col("url"), F.lit(None).cast("int"), rules) == "ok").withColumn("key", normalize_url(F.col("url")))
         new = checkpoint(admitted.join(seen, "key", "left_anti").dropDuplicates(["key"]))
         if new.isEmpty():
@@ -66,3 +86,35 @@ def crawl(spark: SparkSession, start: str, pages: DataFrame | None = None, get:
         seen = seen.unionByName(new.select("key"))
         frontier = new.select("url", F.lit(depth + 1).alias("depth"))
     return out
+
+
+def fetched_rows(got: DataFrame, agent: str = "") -> DataFrame:
+    """What `page_records` reads, from crawled (url, depth, html, success): head fields and markdown of the HTML; a page that came is a 200."""
+    nothing = F.create_map().cast("map<string,string>")
+    head = lambda n: F.coalesce(head_field(F.col("html"), n), F.lit(""))
+    blank = lambda t: F.lit(None).cast(t)
+    return got.select(
+        "url", "depth", "success", F.when(F.col("success"), 200).alias("status_code"), blank("string").alias("redirected_url"), blank("int").alias("redirected_status_code"), blank("string").alias("error"),
+        *[head(n).alias(n) for n in ("title", "description", "keywords")], page_markdown(F.when(F.col("success"), F.col("html"))).alias("markdown"),
+        nothing.alias("headers"), F.array().cast("array<map<string,string>>").alias("cookies"), F.lit(agent).alias("user_agent"), nothing.alias("final_headers"), nothing.alias("final_cookies"), nothing.alias("response_headers"),
+    )
+
+
+def crawl_site(spark: SparkSession, start: str, pages: DataFrame | None = None, get: Callable[[str], str] | None = None, max_depth: int = 4, max_pages: int = 800, rules: CrawlRules = CrawlRules(), rounds: int = 2, per_round: int = 40, keep: Callable[[DataFrame], DataFrame] = lambda df: df) -> tuple[DataFrame, DataFrame]:
+    """(page records with `ord`, summary): a crawl, its retry rounds and the keep-best dedupe by URL. The records are what a build run (`pipeline.ingest`) takes.
+
+    `keep` stores tables that are read several times. Failed fetches count as retryable network errors.
+    """
+    got = keep(crawl(spark, start, pages, get, max_depth, max_pages, rules, keep))
+    failure = F.when(~F.col("success"), F.lit("connection: empty response")).otherwise(F.col("error"))
+    records = keep(page_records(fetched_rows(got)).withColumn("error", failure).withColumn("ord", F.xxhash64("source_url")))
+
+    def again(due: DataFrame, k: int) -> DataFrame:
+        urls = due.select(F.col("source_url").alias("url"), F.lit(0).alias("depth"))
+        tried = urls.join(pages.select("url", "html"), "url", "left") if pages is not None else fetch(urls, get, concurrency(max_depth, max_pages))
+        return page_records(fetched_rows(tried.select("url", "depth", "html").withColumn("success", F.coalesce("html", F.lit("")) != "")))
+
+    after, log = retry_rounds(records, again, rules, rounds, per_round, keep=keep)
+    best = keep(dedupe_best_by_aggregate(after.withColumn("__ord", F.col("ord")), "source_url", ord="__ord").drop("place", "__ord"))
+    summary = crawl_summary(after, rules, kept=best).join(F.broadcast(retry_counts(records, log, rules)))
+    return best, summary

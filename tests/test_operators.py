@@ -188,3 +188,9 @@ def test_index_table_and_file_errors(spark, tmp_path):
     assert made.count() == 0 and made.schema == index.INDEX
     with pytest.raises(Exception, match="op and _id"):
         writers.bulk_lines(spark.createDataFrame([("", "a", ("t",))], "op string, _id string, source struct<title:string>"), "kb").collect()
+
+
+def test_mark_deleted(spark):
+    master = spark.createDataFrame([("a", True, "NEW", 1), ("b", True, "NEW", 1)], "normalized_url string, is_active boolean, last_change_status string, last_seen int")
+    got = {r[0]: tuple(r)[1:] for r in cdc.mark_deleted(master, master.where("normalized_url = 'a'"), F.lit(2)).collect()}
+    assert got == {"a": (False, "DELETED", 2), "b": (True, "NEW", 1)}

@@ -29,13 +29,14 @@ LONGEST = 40
 WORD = re.compile(rf"[^\W\d_]{{1,{LONGEST}}}")
 
 
-def _numerals() -> str:
-    """Character class of all numbers that are neither digits nor letters, which the word pattern would let through."""
-    codes = [c for c in range(sys.maxunicode + 1) if (x := chr(c)).isalnum() and not x.isalpha() and not x.isdecimal()]
-    return "[" + "".join(map(chr, codes)) + "]"
+def _numerals(first: int, last: int) -> re.Pattern[str]:
+    """All numbers that are neither digits nor letters, which the word pattern would let through."""
+    return re.compile("[" + "".join(x for x in map(chr, range(first, last + 1)) if x.isalnum() and not x.isalpha() and not x.isdecimal()) + "]")
 
 
-NUMERIC = re.compile(_numerals())
+#: Two patterns, since a class within the first plane is one table and a class beyond it a list.
+NUMERIC, FAR_NUMERIC = _numerals(0, 0xFFFF), _numerals(0x10000, sys.maxunicode)
+FAR = re.compile("[\U00010000-\U0010ffff]")
 UND = "und"
 
 
@@ -50,6 +51,8 @@ class Settings:
     l2: float = 1e-6
     chain_words: int = 64  # of a training chain
     cache_words: int = 200_000
+    block_words: int = 1 << 16  # that are labelled at a time
+    line_words: int = 512  # of a chain; longer lines are several chains, so that they are walked in step
     seed: int = 7
 
 
@@ -64,7 +67,11 @@ class Crf:
 
 
 def words_of(text: str) -> list[str]:
-    return WORD.findall((text if text.isascii() else NUMERIC.sub(" ", text)).lower())
+    if not text.isascii():
+        text = NUMERIC.sub(" ", text)
+        if FAR.search(text):
+            text = FAR_NUMERIC.sub(" ", text)
+    return WORD.findall(text.lower())
 
 
 def featurize(words: list[str], lexicon: dict[str, int], bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -215,7 +222,7 @@ def train(rows: list[tuple[str, str]], settings: Settings = Settings()) -> Crf:
 
 
 class Labeler:
-    """Document languages with a bounded cache of word emissions; chains are lines."""
+    """Document languages with a bounded cache of word emissions; chains are lines, cut after every `line_words` words."""
 
     def __init__(self, crf: Crf):
         self.crf = crf
@@ -235,25 +242,39 @@ class Labeler:
 
     def label(self, texts: list[str | None]) -> list[tuple[str, float, list[float]]]:
         k = len(self.crf.labels)
+        mass = np.zeros((len(texts), k))
         words: list[str] = []
         lengths: list[int] = []
         owners: list[int] = []
+
+        def weigh() -> None:
+            if words and k > 1:
+                post = posteriors(self._rows_of(words), np.asarray(lengths), self.crf)
+                letters = np.fromiter(map(len, words), np.float64, len(words))
+                owner = np.repeat(np.asarray(owners), lengths)
+                for j in range(k):
+                    mass[:, j] += np.bincount(owner, post[:, j] * letters, len(texts))
+            elif words and k == 1:
+                mass[owners, 0] = 1
+            words.clear(), lengths.clear(), owners.clear()
+
+        block, longest = self.crf.settings.block_words, self.crf.settings.line_words
         for i, text in enumerate(texts):
+            if len(words) >= block:
+                weigh()
+            own = 0  # of this text in the block, so that its sums do not depend on its neighbours
             for line in (text or "").split("\n"):
                 found = words_of(line)
-                if found:
-                    words += found
-                    lengths.append(len(found))
+                for s in range(0, len(found), longest):
+                    part = found[s : s + longest]
+                    words.extend(part)
+                    lengths.append(len(part))
                     owners.append(i)
-        mass = np.zeros((len(texts), k))
-        if words and k > 1:
-            post = posteriors(self._rows_of(words), np.asarray(lengths), self.crf)
-            letters = np.fromiter(map(len, words), np.float64, len(words))
-            owner = np.repeat(np.asarray(owners), lengths)
-            for j in range(k):
-                mass[:, j] = np.bincount(owner, post[:, j] * letters, len(texts))
-        elif words and k == 1:
-            mass[owners, 0] = 1
+                    own += len(part)
+                    if own >= block:
+                        weigh()
+                        own = 0
+        weigh()
         total = mass.sum(axis=1)
         best = mass.argmax(axis=1) if k else np.zeros(len(texts), int)
         return [(self.crf.labels[b], float(mass[i, b] / total[i]), (mass[i] / total[i]).tolist()) if total[i] > 0 else (UND, 0.0, []) for i, b in enumerate(best)]

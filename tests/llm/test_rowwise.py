@@ -421,6 +421,19 @@ def test_language_odd_input(spark, documents):
     assert {r["lang"] for r in language_crf.identify(odd(spark), blank).select("language.lang").collect()} == {"und"}
 
 
+def test_long_texts_are_labelled_in_blocks(documents):
+    import dataclasses
+
+    model = language_crf.train([(t, lang) for _, t, lang in documents if t][:100], language_crf.Settings(epochs=1))
+    texts = [t for _, t, _ in documents][:60] + [None, "", "\n"]
+    whole = language_crf.Labeler(model).label(texts)
+    for changes in ({"block_words": 1 << 30}, {"block_words": 100}):  # blocks do not change a result, nor do a text's neighbours
+        other = language_crf.Labeler(dataclasses.replace(model, settings=dataclasses.replace(model.settings, **changes))).label(texts)
+        assert [x[0] for x in other] == [x[0] for x in whole] and np.allclose([x[1] for x in other], [x[1] for x in whole], atol=1e-12)
+    long = " ".join(t for _, t, lang in documents if t and lang == "de") * 20  # one line of a few megabytes
+    assert language_crf.Labeler(model).label([long])[0][0] == "de"
+
+
 def test_switched_text(documents):
     model = language_crf.train([(t, lang) for _, t, lang in documents if t][:150], language_crf.Settings(epochs=3))
     pick = {lang: t for _, t, lang in documents if len(t) > 1500 and "%" not in t and "!!" not in t}

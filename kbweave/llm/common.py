@@ -85,3 +85,15 @@ def with_struct(
 def held_out(column: str, modulus: int, remainder: int):
     """crc32 of the id's decimal text decides; a null id is never held out."""
     return F.coalesce(F.crc32(F.col(column).cast("string")) % modulus == remainder, F.lit(False))
+
+
+def salted_join(left: DataFrame, right: DataFrame, keys: list[str], counts: DataFrame, per_salt: int) -> DataFrame:
+    """left joined with right on keys, where a key of many rows of left is dealt out over salts.
+
+    `counts`(keys, many) says how many rows of left have a key. Only keys with more than `per_salt` rows are salted, which are at most all rows / per_salt, so that their list travels by broadcast.
+    """
+    hot = F.broadcast(counts.where(F.col("many") > per_salt).select(*keys, (F.col("many") / per_salt).cast("int").alias("__salts")))
+    last = F.coalesce("__salts", F.lit(0))
+    dealt = left.join(hot, keys, "left").withColumn("__salt", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in left.columns if c not in keys]), last + 1).cast("int")).drop("__salts")
+    copied = right.join(hot, keys, "left").withColumn("__salt", F.explode(F.sequence(F.lit(0), last))).drop("__salts")
+    return dealt.join(copied, [*keys, "__salt"]).drop("__salt")

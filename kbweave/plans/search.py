@@ -118,9 +118,13 @@ def bm25(index: TextIndex, fields: dict[str, float], query: str, candidates: Dat
     if not terms:
         return index.postings.limit(0).select(F.col("doc").alias("id"), F.lit(0.0).alias("score"))
     wanted = F.col("bucket").isin(*[term_bucket(F.lit(t), index.buckets) for t in terms]) & F.col("term").isin(*terms) & F.col("field").isin(*fields)
-    read = index.postings.where(wanted).select("field", "term", "doc", "tf", "len")
+    return score_postings(index.postings.where(wanted).select("field", "term", "doc", "tf", "len"), index.stats, fields, candidates)
+
+
+def score_postings(read: DataFrame, stats: DataFrame, fields: dict[str, float], candidates: DataFrame | None = None) -> DataFrame:
+    """(id, score) from the postings of a query's terms and the statistics (field, n_docs, avg_len)."""
     # one row per query term and field
-    weights = read.groupBy("field", "term").agg(F.count("*").alias("df")).join(F.broadcast(index.stats), "field")
+    weights = read.groupBy("field", "term").agg(F.count("*").alias("df")).join(F.broadcast(stats), "field")
     idf = F.log(F.lit(1.0) + (F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))
     joined = read.join(F.broadcast(weights.select("field", "term", idf.alias("idf"), "avg_len")), ["field", "term"])
     # the classic numerator (k1 + 1) is a constant factor and is left out, as in current engines
@@ -282,12 +286,17 @@ def suggest(docs: DataFrame, prefix: str, size: int = 15, id_column: str = "_id"
     A document matches if it has any of the whole words or a word that starts with the last one; it ranks by how many of them it has.
     """
     words = " ".join(prefix.lower().split()).split()
-    typed = F.array(*[F.lit(w) for w in words]) if words else F.array().cast("array<string>")
     bag = F.split(F.lower(F.concat_ws(" ", empty_if_null(F.col("title")), F.array_join("keywords", " "))), "[^a-z0-9]+")
     matched = F.lit(0)
     for i, w in enumerate(words):
         matched = matched + F.exists(bag, _starts(w) if i == len(words) - 1 else _equals(w)).cast("int")
     hits = docs.where(is_active() & (matched > 0)).select(F.col(id_column).alias("id"), matched.alias("m"), "title", "keywords").orderBy(F.desc("m"), "id").limit(max(3 * size, size + 8))
+    return expand_suggestions(hits, words, size)
+
+
+def expand_suggestions(hits: DataFrame, words: list[str], size: int) -> DataFrame:
+    """(suggestion, source_field) of ranked hits (id, m, title, keywords): titles always, keywords where they match the typed words; each once, in the hits' order."""
+    typed = F.array(*[F.lit(w) for w in words]) if words else F.array().cast("array<string>")
     fromkeys = F.transform(F.filter("keywords", lambda k: prefix_match(k, typed)), lambda k: F.struct(collapse(k).alias("suggestion"), F.lit("keywords").alias("source_field")))
     all_of = F.concat(F.array(F.struct(collapse(F.col("title")).alias("suggestion"), F.lit("title").alias("source_field"))), F.coalesce(fromkeys, F.array().cast("array<struct<suggestion:string,source_field:string>>")))
     each = hits.select("m", "id", F.posexplode(all_of).alias("pos", "s")).where("s.suggestion <> ''")

@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kbweave.functions import classify, dates, html, text, urls
-from kbweave.operators import batches, catalogue, cdc, chunking, enrich, index, pages
-from kbweave.plans import search
+from kbweave.operators import batches, catalogue, cdc, chunking, enrich, index, pages, segments, vector_index
+from kbweave.plans import indexed_search, search
 from kbweave.plans.pipeline import run_status
 from kbweave.sources import storage
 from kbweave.streaming.micro_batch import event_windows
@@ -716,6 +716,21 @@ def q_bm25_topk(spark: SparkSession, d: str) -> DataFrame:
     return lexical(spark, d).orderBy(F.desc("score"), "id").limit(25).select("id", F.round("score", 6).alias("score"))
 
 
+def search_index(spark: SparkSession, d: str) -> segments.SegmentedIndex:
+    """The written search index over index_rows(), built by the first search over a table's files."""
+    path = f"{storage.shared_dir(spark)}/kbweave/segments-{storage.stamp(spark, f"{d.rstrip('/')}/documents.parquet")}"
+    return segments.open_index(spark, path, indexed_search.PAGES) or segments.create(index_rows(spark, d), "_id", indexed_search.PAGES, path)
+
+
+def embedding_index(spark: SparkSession, d: str) -> vector_index.VectorIndex:
+    """The written vector index over the embeddings, with about as many lists as a list has rows."""
+    path = f"{storage.shared_dir(spark)}/kbweave/vectors-{storage.stamp(spark, f"{d.rstrip('/')}/embeddings.parquet")}"
+    if vector_index.has_index(spark, path):
+        return vector_index.open_vector_index(spark, path)
+    rows = table(spark, d, "embeddings")
+    return vector_index.build_vector_index(rows, "vec_id", "embedding", path, lists=max(1, round(rows.count() ** 0.5)))
+
+
 def probe_vector(spark: SparkSession, d: str) -> list[float]:
     first = table(spark, d, "embeddings").where("vec_id = 0").select("embedding").first()
     return [float(x) for x in first[0]]
@@ -745,6 +760,23 @@ def q_knn_queries(spark: SparkSession, d: str) -> DataFrame:
     return search.knn_queries(rows, rows.where("vec_id % 50 = 0"), "vec_id", "embedding", 10).select("query", "id", F.round("score", 6).alias("score"))
 
 
+@query("WITH z AS (SELECT 1)" + KNN_SQL + "SELECT id, round(score, 6) AS score FROM kn")
+def q_knn_index(spark: SparkSession, d: str) -> DataFrame:
+    """The same neighbours from the lists whose bound reaches the 50th score."""
+    found = vector_index.nearest(embedding_index(spark, d), probe_vector(spark, d), 50, search.SearchSettings(size=50).candidates, exact=True)
+    return found.select("id", F.round("score", 6).alias("score"))
+
+
+@query("SELECT count(*) FILTER (vec_id % 50 = 0) AS queries, count(*) FILTER (vec_id % 50 = 0) * 10 AS wanted, true AS enough FROM embeddings")
+def q_knn_recall(spark: SparkSession, d: str) -> DataFrame:
+    """Whether the lists that the index probes hold nine tenths and more of the ten nearest, over all rows with an id divisible by 50 against all rows."""
+    rows = table(spark, d, "embeddings")
+    asked, known = rows.where("vec_id % 50 = 0"), embedding_index(spark, d)
+    want = search.knn_queries(rows, asked, "vec_id", "embedding", 10).select("query", "id")
+    got = vector_index.nearest_of_many(known, asked, "vec_id", "embedding", 10).select("query", "id", F.lit(1).alias("hit"))
+    return want.join(got, ["query", "id"], "left").agg(F.count_distinct("query").alias("queries"), F.count("*").alias("wanted"), (F.count("hit") >= 0.9 * F.count("*")).alias("enough"))
+
+
 HYBRID_SQL = BM25_SQL.rstrip() + KNN_SQL + """, hy AS (SELECT id, 2.2 * coalesce(bm.score, 0) + 2.5 * coalesce(kn.score, 0) AS raw, coalesce(bm.score, 0) AS l, coalesce(kn.score, 0) AS v FROM bm FULL JOIN kn USING (id) ORDER BY raw DESC, id LIMIT 25)
 """
 
@@ -792,11 +824,68 @@ h AS (SELECT _id, max(score) AS l FROM sc JOIN w USING (_id) WHERE active AND so
 
 @query(SEARCH_SQL + "SELECT _id AS id, round(2.2 * l, 6) AS raw_score, round(l, 6) AS lexical_score, round(50 * l / max(l) OVER (), 6) AS score FROM h")
 def q_search(spark: SparkSession, d: str) -> DataFrame:
-    found = text_index(spark, d, index_rows, "_id", ["title", "description", "keywords_joined"])
-    hits = search.search(index_rows(spark, d), " ".join(SEARCH_WORDS), None, index=found)
+    hits = indexed_search.search(search_index(spark, d), None, " ".join(SEARCH_WORDS), None)
+    return hits.select("id", *[F.round(c, 6).alias(c) for c in ("raw_score", "lexical_score", "score")])
+
+
+@query(SEARCH_SQL + "SELECT _id AS id, round(2.2 * l, 6) AS raw_score, round(l, 6) AS lexical_score, round(50 * l / max(l) OVER (), 6) AS score FROM h")
+def q_search_scan(spark: SparkSession, d: str) -> DataFrame:
+    hits = search.search(index_rows(spark, d), " ".join(SEARCH_WORDS), None)
     return hits.select("id", *[F.round(c, 6).alias(c) for c in ("raw_score", "lexical_score", "score")])
 
 
+@query(SEARCH_SQL.rstrip() + """
+, q AS (SELECT list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings WHERE vec_id = 0),
+lx AS (SELECT _id AS id, max(score) AS l FROM sc JOIN w USING (_id) WHERE active AND source = 'src1' GROUP BY _id),
+kn AS (SELECT vec_id AS id, (1 + list_cosine_similarity(list_transform(embedding, lambda x: CAST(x AS DOUBLE)), q.v)) / 2 AS v FROM embeddings JOIN w ON vec_id = _id, q WHERE active AND source = 'src1' ORDER BY 2 DESC, 1 LIMIT 25),
+hy AS (SELECT id, 2.2 * coalesce(l, 0) + 2.5 * coalesce(v, 0) AS raw, coalesce(l, 0) AS l, coalesce(v, 0) AS v FROM lx FULL JOIN kn USING (id) ORDER BY raw DESC, id LIMIT 25)
+SELECT id, round(raw, 6) AS raw_score, round(l, 6) AS lexical_score, round(v, 6) AS vector_score, round(100 * (0.5 * l / max(l) OVER () + 0.5 * least(1, greatest(0, 2 * v - 1))), 6) AS score,
+ title = 'src1 erand the' AS exact_match_bonus_applied, contains(title, 'src1 erand the') AS phrase_bonus_applied FROM hy JOIN s ON id = s._id
+""")
+def q_hybrid_search(spark: SparkSession, d: str) -> DataFrame:
+    """The whole search: filter, words, vector, blend and flags, from the two written indexes."""
+    hits = indexed_search.search(search_index(spark, d), embedding_index(spark, d), " ".join(SEARCH_WORDS), probe_vector(spark, d), exact=True)
+    return hits.select("id", *[F.round(c, 6).alias(c) for c in ("raw_score", "lexical_score", "vector_score", "score")], "exact_match_bonus_applied", "phrase_bonus_applied")
+
+
+@query(ROWS_SQL + " SELECT _id FROM s WHERE active AND (contains(source, 'rc1') OR contains(lang, 'rc1') OR list_contains(string_split(title, ' '), 'rc1') OR contains('/d/' || source, 'rc1'))")
+def q_filter_postings(spark: SparkSession, d: str) -> DataFrame:
+    """The broad filter with a substring, from grams and postings alone."""
+    return indexed_search.candidates(search_index(spark, d), "rc1", search.SearchSettings(broad=True)).select(F.col("id").alias("_id"))
+
+
+@query(ROWS_SQL + """, f AS (
+ SELECT _id, 'title' AS field, unnest(regexp_extract_all(title, '[a-z0-9]+')) AS term FROM s UNION ALL SELECT doc_id, 'search_text', unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) FROM documents
+ UNION ALL SELECT _id, 'description', unnest(regexp_extract_all(lower('about ' || lang || ' ' || source), '[a-z0-9]+')) FROM s UNION ALL SELECT _id, 'keywords_joined', unnest(regexp_extract_all(lower(source || ' ' || lang || ' pages'), '[a-z0-9]+')) FROM s
+ UNION ALL SELECT _id, 'keywords', unnest([source, lang || ' pages']) FROM s UNION ALL SELECT _id, 'path', '/d/' || source FROM s UNION ALL SELECT _id, '__state', 'inactive' FROM s WHERE NOT active)
+SELECT field, count(DISTINCT term) AS n_terms, count(DISTINCT (_id, term)) AS n_postings, count(*) AS n FROM f GROUP BY field
+""")
+def q_index_build(spark: SparkSession, d: str) -> DataFrame:
+    """Builds the search index anew and counts what it holds."""
+    path = storage.scratch(spark, "index-build")
+    built = segments.create(index_rows(spark, d), "_id", indexed_search.PAGES, path)
+    counts = built.table("postings").groupBy("field").agg(F.count_distinct("term").alias("n_terms"), F.count("*").alias("n_postings"), F.sum("tf").alias("n"))
+    return storage.kept(counts, path)
+
+
+DELTA_SQL = """
+WITH d AS (SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN source || ' thing ' || text ELSE text END AS text FROM documents WHERE doc_id % 3 = 0 OR (doc_id % 2 = 0 AND doc_id % 5 <> 0))
+, t AS (SELECT doc_id, regexp_extract_all(lower(text), '[a-z0-9]+') AS w FROM d),""" + BM25_SQL.split("FROM documents),", 1)[1]
+
+
+@query(DELTA_SQL + "SELECT id, round(score, 6) AS score FROM bm ORDER BY bm.score DESC, id LIMIT 25")
+def q_index_delta(spark: SparkSession, d: str) -> DataFrame:
+    """Scores after two deltas on a written index: half of the documents, then a third of all with other texts and without those divisible by five, then the same once more."""
+    path, layout = storage.scratch(spark, "index-delta"), segments.Layout(text=("text",))
+    rows = documents(spark, d)
+    changed = table(spark, d, "documents").where("doc_id % 3 = 0").select("doc_id", F.concat_ws(" ", "source", F.lit("thing"), "text").alias("text"))
+    built = segments.create(rows.where("doc_id % 2 = 0"), "doc_id", layout, path)
+    grown = segments.apply_delta(built, changed, "doc_id", rows.where("doc_id % 5 = 0").select("doc_id"))
+    again = segments.apply_delta(grown, changed.where("doc_id % 2 = 1"), "doc_id", rows.where("doc_id % 5 = 0 and doc_id % 3 <> 0").select("doc_id"))
+    found = indexed_search.lexical(again, {"text": 1.0}, SEARCHED).orderBy(F.desc("score"), "id").limit(25)
+    return storage.kept(found.select("id", F.round("score", 6).alias("score")), path)
+
+
 @query(ROWS_SQL + " SELECT _id, title = 'en pages' AS exact_match_bonus_applied, contains(title, 'en pages') OR lang = 'en' AS phrase_bonus_applied FROM s")
 def q_explain_flags(spark: SparkSession, d: str) -> DataFrame:
     return index_rows(spark, d).select("_id", *search.explain_flags("EN  pages", F.col("title"), F.col("keywords")))
@@ -811,7 +900,19 @@ f AS (SELECT source_field, min({'o': -m, 'id': _id, 'pos': pos, 's': suggestion}
 SELECT x.s AS suggestion, source_field FROM f ORDER BY x LIMIT 15
 """)
 def q_suggest(spark: SparkSession, d: str) -> DataFrame:
-    return search.suggest(index_rows(spark, d), "FR  pa")
+    return indexed_search.suggest(search_index(spark, d), "FR  pa")
+
+
+@query(ROWS_SQL + """
+, b AS (SELECT *, regexp_split_to_array(lower(title || ' ' || source || ' ' || lang || ' pages'), '[^a-z0-9]+') AS bag FROM s WHERE active),
+t AS (SELECT * FROM b WHERE len(list_filter(bag, lambda t: starts_with(t, 'e'))) > 0 ORDER BY _id LIMIT 45),
+e AS (SELECT _id, 0 AS pos, title AS suggestion, 'title' AS source_field FROM t WHERE title <> '' UNION ALL SELECT _id, 1, source, 'keywords' FROM t WHERE starts_with(source, 'e') UNION ALL SELECT _id, 2, lang || ' pages', 'keywords' FROM t WHERE starts_with(lang, 'e')),
+f AS (SELECT source_field, min({'id': _id, 'pos': pos, 's': suggestion}) AS x FROM e GROUP BY lower(suggestion), source_field)
+SELECT x.s AS suggestion, source_field FROM f ORDER BY x LIMIT 15
+""")
+def q_suggest_first(spark: SparkSession, d: str) -> DataFrame:
+    """The first keystroke, from the list of its prefix."""
+    return indexed_search.suggest(search_index(spark, d), "e")
 
 
 @query("SELECT doc_id, doc_id % 3 <> 0 AS hit FROM documents")

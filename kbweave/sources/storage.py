@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +14,7 @@ def shared_dir(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     import tempfile
 
@@ -38,9 +39,38 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(where))
 
 
+#: Changes with the form of the tables that stamps find again.
+FORMAT = "4"
+
+
 def stamp(spark: SparkSession, path: str) -> str:
-    """A digest of the names, sizes and times of the files under a path, by which derived tables are found again while their input is the same."""
+    """A digest of the names, sizes and times of the files under a path, by which derived tables are found again, in later sessions too, while their input is the same."""
     fs, where = path_of(spark, path)
     files = fs.listStatus(where)
     seen = sorted((str(f.getPath()), f.getLen(), f.getModificationTime()) for f in files)
-    return hashlib.sha256(repr((spark.sparkContext.applicationId, seen)).encode()).hexdigest()[:24]
+    return hashlib.sha256(repr((FORMAT, seen)).encode()).hexdigest()[:24]
+
+
+def scratch(spark: SparkSession, label: str) -> str:
+    """A new path in the shared folder."""
+    return f"{shared_dir(spark)}/kbweave/{label}-{uuid.uuid4().hex}"
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    fs, where = path_of(spark, path)
+    fs.delete(where, True)
+
+
+def drop(*tables: DataFrame) -> None:
+    """Delete the files of tables written by materialize() once nothing reads them any more."""
+    for df in tables:
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            delete(df.sparkSession, folder)
+
+
+def kept(result: DataFrame, *made: str) -> DataFrame:
+    """A short result that comes to the driver, after which the tables that it was made from go."""
+    out = result.sparkSession.createDataFrame(result.collect(), result.schema)
+    for path in made:
+        delete(result.sparkSession, path)
+    return out

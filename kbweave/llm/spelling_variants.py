@@ -89,7 +89,8 @@ def group_variants(docs: DataFrame, id_column: str = "doc_id", text: str = "text
     """(word, form, root, n, n_near, form_n): one row per word."""
     words = materialize(count_words(docs, id_column, text, settings), "spelling-words")
     pairs = near_pairs(words, settings)
-    each = pairs.select(F.col("a").alias("word"), F.col("a_n").alias("n"), F.col("b").alias("other"), F.col("b_n").alias("other_n")).unionByName(pairs.select(F.col("b").alias("word"), F.col("b_n").alias("n"), F.col("a").alias("other"), F.col("a_n").alias("other_n")))
+    side = lambda x, y: F.struct(F.col(x).alias("word"), F.col(f"{x}_n").alias("n"), F.col(y).alias("other"), F.col(f"{y}_n").alias("other_n"))
+    each = pairs.select(F.explode(F.array(side("a", "b"), side("b", "a"))).alias("x")).select("x.*")
     best = each.groupBy("word", "n").agg(F.count("*").alias("n_near"), F.min(F.struct((-F.col("other_n")).alias("less"), "other")).alias("best"))
     forms = F.when(-F.col("best.less") >= settings.factor * F.col("n"), F.struct(F.col("best.other").alias("form"), (-F.col("best.less")).alias("form_n")))
     near = materialize(best.select("word", "n_near", forms.alias("f")), "spelling-near")

@@ -8,6 +8,8 @@ windows go with the verdict.
 
 The lower limits lie between noise and prose as measured with zstandard level 3: base64 in lines reaches 1.09 at 256 bytes, 1.25 at 1 kB, 1.31 at 4 kB and 1.33
 beyond, words of random printable characters less; prose starts at 1.35, 1.44, 1.9 and 2.1 there. Below 128 bytes the two cannot be told apart.
+The upper limits are the 0.999 quantiles of the ratios of texts that are labelled good, rounded up: one in a thousand of these is above, while texts that say the same again and again, which the
+windows of the base rule do not see, compress better from 1 kB on.
 
 Defined results: a null or empty text has zero counts, ratio 0.0 and fails the base rule (fewer than 20 words).
 """
@@ -31,12 +33,13 @@ WINDOW = 8
 
 @dataclass(frozen=True)
 class Bands:
-    """Per length class (bytes, lower bound inclusive): the least and the greatest whole-text ratio that passes."""
+    """Per length class (bytes, lower bound inclusive): the least and the greatest whole-text ratio that passes. Whole chunks have an upper limit of their own, since long texts compress better than their chunks."""
 
-    lengths: tuple[int, ...] = (0, 128, 256, 512, 1024, 2048, 4096, 16384, 65536)
-    low: tuple[float, ...] = (0.0, 1.0, 1.2, 1.28, 1.35, 1.4, 1.45, 1.5, 1.5)
-    high: tuple[float, ...] = (2.2, 2.3, 2.4, 2.55, 2.7, 2.8, 2.9, 3.0, 3.2)
+    lengths: tuple[int, ...] = (0, 128, 256, 512, 1024, 2048, 4096, 8192, 16384, 65536)
+    low: tuple[float, ...] = (0.0, 1.0, 1.2, 1.28, 1.35, 1.4, 1.45, 1.5, 1.5, 1.5)
+    high: tuple[float, ...] = (2.2, 1.6, 1.87, 2.03, 2.16, 2.24, 2.36, 2.45, 2.58, 2.8)
     chunk_bytes: int = 4096
+    chunk_high: float = 2.3
     bad_chunk_share: float = 0.25
     level: int = 3
 
@@ -98,9 +101,9 @@ def judge(bands: Bands) -> Callable[[bytes], tuple[float, int, int, bool]]:
 
     press = zstandard.ZstdCompressor(level=bands.level, write_content_size=False, write_checksum=False).compress
 
-    def fits(data: bytes, ratio: float) -> bool:
+    def fits(data: bytes, ratio: float, whole: bool = True) -> bool:
         k = bisect_right(bands.lengths, len(data)) - 1
-        return bands.low[k] <= ratio <= bands.high[k]
+        return bands.low[k] <= ratio <= (bands.high[k] if whole or len(data) < bands.chunk_bytes else bands.chunk_high)
 
     def verdict(data: bytes) -> tuple[float, int, int, bool]:
         if not data:
@@ -110,7 +113,7 @@ def judge(bands: Bands) -> Callable[[bytes], tuple[float, int, int, bool]]:
             bad = int(not fits(data, ratio))
             return ratio, 1, bad, not bad
         parts = [data[start : start + bands.chunk_bytes] for start in range(0, len(data), bands.chunk_bytes)]
-        bad = sum(not fits(part, len(part) / len(press(part))) for part in parts)
+        bad = sum(not fits(part, len(part) / len(press(part)), False) for part in parts)
         return ratio, len(parts), bad, fits(data, ratio) and bad <= bands.bad_chunk_share * len(parts)
 
     return verdict

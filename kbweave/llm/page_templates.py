@@ -7,9 +7,9 @@ classes form by grouping on (host, sums) and no host is ever gathered in one tas
 
 A class of at least `min_size` events on at least `share` of a host's pages is kept if it is valid: its events come in the same order on every page, as often as they
 repeat, and its occurrences do not interleave with those of a class on more pages. Valid classes nest into the host's template. Its texts are constants,
-those inside an article or main element only if their own element belongs to the same class (a paragraph that all articles share is theirs); every
+those inside an article or main element only if their own element belongs to the same class and is no heading (a paragraph or heading that all articles share is theirs); every
 other block is data of the slot below the innermost template element around it. Markup only ranks slots: those inside navigation, forms, notices, adverts or comments are dropped, and where a host's slots hold article or main
-elements, only slots that lie mostly in them remain. What the remaining slots hold, all articles of a page included, is the text.
+elements, only slots that lie mostly in them remain. What the remaining slots hold, and what else lies in an article, all articles of a page included, is the text.
 
 Defined results: a null or empty page has the empty text; a host that cannot be read from the url is the empty host; hosts with fewer than
 `min_pages` different pages, and pages on which no chosen slot holds anything, are judged by markup alone. Character references are decoded, white space
@@ -49,6 +49,7 @@ CHROME_WORDS = frozenset(
 BODY_WORDS = frozenset("article entry post story content body main text".split())
 CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 ENDS_P = BLOCKS - {"br", "html", "body", "title", "tbody", "thead", "tfoot", "tr", "td", "th", "caption", "legend", "li", "dt", "dd", "summary", "figcaption"}
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 SPACE = re.compile(r"[\s\x1c-\x1f]+")
 DIGITS = re.compile(r"[0-9]+")
 LOW = (1 << 31) - 1
@@ -81,7 +82,7 @@ def is_chrome(tag: str, attrs: dict[str, str | None], in_main: bool) -> bool:
 
 
 class PageReader(HTMLParser):
-    """Events in page order: codes, parents (the event around each, -1 for none) and, for texts, (event, text, event of the chrome around it or -1, inside a main element)."""
+    """Events in page order: codes, parents (the event around each, -1 for none) and, for texts, (event, text, event of the chrome around it or -1, 1 inside a main element, 2 if it is a heading there)."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
@@ -92,7 +93,8 @@ class PageReader(HTMLParser):
         self.stack: list[tuple[str, int, int, int, bool, bool, int]] = [("", 0, -1, -1, False, False, -1)]
         self.codes: list[int] = []
         self.parents: list[int] = []
-        self.blocks: list[tuple[int, str, int, bool]] = []
+        self.blocks: list[tuple[int, str, int, int]] = []
+        self.heads: set[int] = set()
         self.parts: list[str] = []
 
     def flush(self) -> None:
@@ -103,7 +105,7 @@ class PageReader(HTMLParser):
                 _, _, _, chrome, main, hidden, block = self.stack[-1]
                 if not hidden:
                     of = self.codes[block] if block >= 0 else 0
-                    self.blocks.append((len(self.codes), text, chrome, main))
+                    self.blocks.append((len(self.codes), text, chrome, 2 if main and block in self.heads else int(main)))
                     self.codes.append(self.hash(text, of & LOW) >> 1)
                     self.parents.append(block)
 
@@ -140,6 +142,8 @@ class PageReader(HTMLParser):
         if not hidden:
             self.codes.append(code)
             self.parents.append(event)
+            if tag in HEADINGS:
+                self.heads.add(here)
         if tag in VOID:
             return
         inside = hidden or is_hidden(tag, given)
@@ -207,7 +211,7 @@ def parse_pages(pages: DataFrame, html: str, out: str) -> DataFrame:
                 seen = Counter(page.codes)
                 place = {c: i for i, c in enumerate(seen)}
                 at, texts, chrome, main = zip(*page.blocks, strict=True) if page.blocks else ((), (), (), ())
-                row = (xxhash.xxh64_intdigest(source or "") >> 1, list(seen), list(seen.values()), [place[c] for c in page.codes], page.parents, at, texts, chrome, list(map(int, main)))
+                row = (xxhash.xxh64_intdigest(source or "") >> 1, list(seen), list(seen.values()), [place[c] for c in page.codes], page.parents, at, texts, chrome, main)
                 for column, value in zip(columns, row, strict=True):
                     column.append(value)
             ints = pa.list_(pa.int32())
@@ -384,7 +388,8 @@ def slots_of(codes: list[int], parents: list[int], at: list[int], chrome: list[i
     out: list[tuple[int, int] | None] = []
     for event, root, inside in zip(at, chrome, main, strict=True):
         own = parents[event]
-        constant = codes[event] in known and (not inside or (own >= 0 and known.get(codes[own]) == known[codes[event]]))
+        # a heading of an article is the article's, however many articles have it
+        constant = codes[event] in known and (not inside or (inside == 1 and own >= 0 and known.get(codes[own]) == known[codes[event]]))
         out.append(None if constant else (element(own), root))
     return out
 
@@ -397,7 +402,7 @@ def _weights(host: str, held: tuple, codes: list[int], parents: list[int], at: l
     out: Counter[tuple] = Counter()
     for slot, n, inside in zip(slots_of(codes, parents, at, chrome, main, *held), sizes, main, strict=True):
         if slot is not None and slot[1] < 0:
-            out[host, slot[0], inside] += n
+            out[host, slot[0], int(inside > 0)] += n
     return out
 
 
@@ -414,7 +419,7 @@ def main_text(page: dict, known: dict[int, int], chosen: set[int]) -> str:
     """Join a page's data of the chosen slots; without a template, or where they are empty, what markup leaves."""
     if known:
         slots = slots_of(page["codes"], page["parents"], page["at"], page["chrome"], page["main"], known)
-        kept = [t for t, s in zip(page["texts"], slots, strict=True) if s is not None and s[1] < 0 and s[0] in chosen]
+        kept = [t for t, s, m in zip(page["texts"], slots, page["main"], strict=True) if s is not None and s[1] < 0 and (m or s[0] in chosen)]
         if kept:
             return "\n".join(kept)
     else:

@@ -8,10 +8,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: White space beyond Java's own `\\s`: what Python's `\\s` matches, spelled out, which scans faster than a Unicode property.
-WS = "[\\t-\\r\\x1c-\\x20\\x85\\xA0\\u1680\\u2000-\\u200A\\u2028\\u2029\\u202F\\u205F\\u3000]"
-#: Runs of white space that are not a single space already.
-WS_RUN = f"{WS}{{2,}}|(?! ){WS}"
+#: White space as Python's `\\s` has it: Java's Unicode property and the four separators that it lacks.
+WS = "(?U:[\\s\\x1c-\\x1f])"
 #: Characters that hashing folds or drops.
 FOLDED = "“”‘’–—\u200b\u200c\u200d\ufeff"
 #: Something that composition (NFC) may change. The listed ranges hold only characters that are their own composed form and compose with nothing before them.
@@ -40,7 +38,7 @@ def blank_to_null(x: Column) -> Column:
 
 def collapse(x: Column) -> Column:
     """White space runs to one space, ends trimmed, NULL to ''."""
-    return F.trim(F.regexp_replace(empty_if_null(x), WS_RUN, " "))
+    return F.trim(F.regexp_replace(empty_if_null(x), f"{WS}+", " "))
 
 
 def strip(x: Column) -> Column:
@@ -58,17 +56,23 @@ def _nfc(values):
     return values.map(lambda v: v if v is None else unicodedata.normalize("NFC", v))
 
 
+def beyond_latin1(x: Column) -> Column:
+    """Whether a text has a character above U+00FF. Only such texts hold any that hashing folds, drops or composes; a text of as many bytes as characters has none, which costs next to nothing to see."""
+    return (F.octet_length(x) != F.length(x)) & x.rlike("[^\\x00-\\xFF]")
+
+
 def nfc(x: Column, trusted: bool = False) -> Column:
     """Canonical composition. Only texts that it may change go through the UDF; with `trusted` the text is known to be composed and no Python is planned."""
     if trusted:
         return x
-    open_ = x.rlike(DECOMPOSED)
-    return F.when(open_, _nfc(F.when(open_, x))).otherwise(x)
+    open_ = beyond_latin1(x) & x.rlike(DECOMPOSED)
+    # null where the text is composed already
+    return F.coalesce(_nfc(F.when(open_, x)), x)
 
 
 def normalize_for_hash(x: Column, composed: bool = False) -> Column:
     """Markdown without what differs from crawl to crawl: composition, line ends, zero-width characters, typographic quotes and dashes, case, white space."""
-    return collapse(F.lower(_folded(nfc(empty_if_null(x), composed))))
+    return collapse(F.lower(let(nfc(empty_if_null(x), composed), _folded)))
 
 
 def normalize_text_for_hash(x: Column, composed: bool = False) -> Column:
@@ -77,7 +81,7 @@ def normalize_text_for_hash(x: Column, composed: bool = False) -> Column:
 
 
 def _folded(text: Column) -> Column:
-    return F.when(text.rlike(f"[{FOLDED}]"), F.translate(text, FOLDED, "\"\"''--")).otherwise(text)
+    return F.when(beyond_latin1(text), F.translate(text, FOLDED, "\"\"''--")).otherwise(text)
 
 
 def content_hash(markdown: Column, composed: bool = False) -> Column:

@@ -65,14 +65,19 @@ def run_counters(changes: DataFrame, deleted: DataFrame, size: Column | None = N
     """One row of counters, `size` being the bytes of a page's body; total_urls counts rows before those without a URL are dropped, so pass all of them."""
     rows = changes.select("change_status", F.col("success"), (F.octet_length("markdown").cast("long") if size is None else size).alias("bytes"))
     both = rows.unionByName(deleted.select(F.lit("DELETED").alias("change_status"), F.lit(None).cast("boolean").alias("success"), F.lit(0).cast("long").alias("bytes")))
+    return both.agg(*counters(F.col("bytes")))
+
+
+def counters(size: Column) -> list[Column]:
+    """The counters of a run over its rows (change_status, success; success is null for deletions), for an aggregate or for metrics that are observed while the rows are written."""
     status = F.col("change_status")
-    return both.agg(
+    return [
         F.count_if(F.col("success").isNotNull()).alias("total_urls"),
         F.count_if("success").alias("success_urls"),
         F.count_if(~F.col("success")).alias("failed_urls"),
         *[F.count_if(status == s).alias(f"{s.lower()}_urls") for s in ("NEW", "UPDATED", "UNCHANGED", "DELETED")],
-        F.coalesce(F.sum(F.when(F.col("success"), F.col("bytes"))), F.lit(0)).alias("total_bytes"),
-    )
+        F.coalesce(F.sum(F.when(F.col("success"), size)), F.lit(0)).cast("long").alias("total_bytes"),
+    ]
 
 
 def upsert_master(master: DataFrame, changes: DataFrame, deleted: DataFrame, key: str = "normalized_url") -> DataFrame:

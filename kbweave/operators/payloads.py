@@ -1,4 +1,4 @@
-"""Payload records of pages and chunks: text to embed, and metadata of fixed keys with admitted extras in the record's order.
+"""Payload records of pages and chunks: text to embed, and metadata of fixed keys with admitted extras.
 
 A record is one VARIANT column, since extras may have any name and type; fixed keys come first, and a key is never set twice.
 """
@@ -32,17 +32,18 @@ def is_admitted(key: Column, value: Column) -> Column:
         named = named & ~F.startswith(key, F.lit(prefix))
     kind = F.schema_of_variant(value)
     nested = kind.startswith("OBJECT") | kind.startswith("ARRAY")
-    text = F.length(collapse(F.try_variant_get(value, "$", "string"))) <= LONGEST_TEXT
+    said = F.try_variant_get(value, "$", "string")
+    text = (F.length(said) <= LONGEST_TEXT) | (F.length(collapse(said)) <= LONGEST_TEXT)
     # a nested value is measured as JSON with a blank behind each colon and comma outside of strings
     spaced = F.length(F.to_json(value)) + F.regexp_count(F.regexp_replace(F.to_json(value), '"(?:[^"\\\\]|\\\\.)*"', ""), F.lit("[:,]"))
     return named & F.when(F.is_variant_null(value), True).when(kind == "STRING", text).when(nested, spaced <= LONGEST_JSON).otherwise(True)
 
 
-def extras(record: DataFrame, key: str, column: str, fixed: list[str]) -> DataFrame:
-    """(key, extra): the admitted extra fields of each record as a map from name to JSON, without those whose names are among `fixed`."""
-    each = record.lateralJoin(record.sparkSession.tvf.variant_explode(F.col(column).outer()).select("key", "value")) if hasattr(record, "lateralJoin") else None
-    kept = each.where(~F.col("key").isin(*fixed) & is_admitted(F.col("key"), F.col("value")))
-    return kept.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("key", F.to_json("value").alias("v")))).alias("extra"))
+def extras(record: Column, fixed: list[str]) -> Column:
+    """The admitted extra fields of a record (VARIANT) as a map from name to JSON, without those whose names are among `fixed`; in the order of names, in which a VARIANT keeps its fields."""
+    fields = F.map_entries(record.cast("map<string,variant>"))
+    kept = F.filter(fields, lambda e: ~e["key"].isin(*fixed) & is_admitted(e["key"], e["value"]))
+    return F.map_from_entries(F.transform(kept, lambda e: F.struct(e["key"].alias("key"), F.to_json(e["value"]).alias("value"))))
 
 
 FIXED_KEYS = ["title", "description", "keywords", "path", "source_url", "parsed_url_path_text"]
@@ -57,8 +58,8 @@ def page_payloads(records: DataFrame, key: str = "ord", column: str = "record")
     words = path_text(F.col("f.path"))
     text = join_present("\n", F.col("f.title"), F.col("f.description"), F.array_join("f.keywords", " "), words)
     metadata = F.struct("f.title", "f.description", "f.keywords", "f.path", F.col("source_url"), F.nullif(words, F.lit("")).alias("parsed_url_path_text"))
-    base = shown.select(key, text.alias("embedding_text"), metadata.alias("metadata")).where("embedding_text <> ''")
-    return base.join(extras(good, key, column, FIXED_KEYS), key, "left").withColumn("extra", F.coalesce("extra", F.create_map().cast("map<string,string>")))
+    base = shown.select(key, F.col(column), text.alias("embedding_text"), metadata.alias("metadata")).where("embedding_text <> ''")
+    return base.select(key, "embedding_text", "metadata", extras(F.col(column), FIXED_KEYS).alias("extra"))
 
 
 def chunk_metadata(metadata: Column, normalized_url: Column, parent_doc_id: Column, chunk_index: Column, chunk_count: Column, chunk: Column) -> Column:

@@ -72,8 +72,9 @@ def latest(events: DataFrame) -> DataFrame:
         F.max_by(F.struct(*fields), F.struct(is_end, "at")).alias("l"),
         F.max_by("metadata", F.when(~is_end, F.col("at"))).alias("metadata"),
         F.transform(F.array_sort(F.collect_list(F.struct("at", F.map_entries("outcome").alias("o")))), lambda x: F.map_from_entries(x["o"])).alias("outcomes"),
+        F.transform(F.array_sort(F.collect_list(F.struct("at", F.map_entries("timings").alias("t")))), lambda x: F.map_from_entries(x["t"])).alias("times"),
     )
-    return out.select("run_id", "source", "root_url", "started_at", "finished_at", "l.*", "metadata", merged_outcome(F.col("outcomes")).alias("outcome"))
+    return out.select("run_id", "source", "root_url", "started_at", "finished_at", "l.*", "metadata", merged_outcome(F.col("outcomes")).alias("outcome"), merged_outcome(F.col("times")).alias("timings"))
 
 
 def close_run(finish: Callable[[], DataFrame], append: Callable[[DataFrame], None], facts: DataFrame, at: Column) -> bool:

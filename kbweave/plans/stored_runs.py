@@ -10,14 +10,14 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from kbweave.operators import cdc
 from kbweave.sources import bucketed
 from kbweave.sources.bucketed import BucketedTable
+from kbweave.sources.storage import struct
 
-SNAPSHOT = T._parse_datatype_string("normalized_url string, run_id string, version_no long, content_hash string, previous_content_hash string, effective_hash string, change_status string, index_status string, success boolean, ord long, seen_at timestamp")
-MASTER = T._parse_datatype_string("normalized_url string, first_seen timestamp, last_seen timestamp, is_active boolean, last_content_hash string, last_change_status string, index_status string")
+SNAPSHOT = struct("normalized_url string, run_id string, version_no long, content_hash string, previous_content_hash string, effective_hash string, change_status string, index_status string, success boolean, ord long, seen_at timestamp")
+MASTER = struct("normalized_url string, first_seen timestamp, last_seen timestamp, is_active boolean, last_content_hash string, last_change_status string, index_status string")
 
 
 @dataclass(frozen=True)

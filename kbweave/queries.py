@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kbweave.functions import classify, dates, html, text, urls
-from kbweave.operators import batches, catalogue, cdc, chunking, enrich, index, pages, segments, vector_index
-from kbweave.plans import indexed_search, search
+from kbweave.operators import batches, catalogue, cdc, chunking, enrich, index, metrics, pages, segments, vector_index
+from kbweave.plans import indexed_search, search, stored_runs
 from kbweave.plans.pipeline import run_status
 from kbweave.sources import storage
 from kbweave.streaming.micro_batch import event_windows
@@ -509,6 +509,31 @@ def q_master_upsert(spark: SparkSession, d: str) -> DataFrame:
     return cdc.upsert_master(master, changes(spark, d, runs).withColumn("seen_at", F.lit(2)), deleted(spark, d, runs))
 
 
+@query(SQL["q_cdc_counters"])
+def q_cdc_observed(spark: SparkSession, d: str) -> DataFrame:
+    """The counters of a run from the job that writes its versions."""
+    runs = narrow_runs(spark, d)
+    dead = deleted(spark, d, runs).select("normalized_url", "version_no", "change_status", F.lit(None).cast("boolean").alias("success"), F.lit(None).cast("long").alias("bytes"))
+    rows = changes(spark, d, runs).select("normalized_url", F.col("version_no").cast("int"), "change_status", "success", "bytes").unionByName(dead)
+    written, found = metrics.written_with_counters(rows, lambda df: storage.materialize(df, "versions"), F.col("bytes"))
+    storage.drop(written, *runs)
+    return found
+
+
+@query(SQL["q_master_upsert"])
+def q_stored_master(spark: SparkSession, d: str) -> DataFrame:
+    """The URL master after two runs that were written back by bucket, the first one's pages indexed in between."""
+    before, now = narrow_runs(spark, d)
+    first = before.select("normalized_url", F.lit(1).alias("ord"), F.lit(True).alias("success"), "content_hash")
+    store = stored_runs.open_store(spark, storage.scratch(spark, "store"), buckets=32)
+    store = stored_runs.record_run(store, "r1", "2024-01-01 00:00:00", first)
+    store = stored_runs.record_indexed(store, "r1", first)
+    store = stored_runs.record_run(store, "r2", "2024-01-02 00:00:00", now.select("normalized_url", "ord", "success", "content_hash"))
+    storage.drop(before, now)
+    day = lambda c: F.dayofmonth(c).alias(c)
+    return store.master.read().select("normalized_url", day("first_seen"), day("last_seen"), "is_active", "last_content_hash", "last_change_status", "index_status")
+
+
 @query(CDC_SQL + "SELECT normalized_url, ord, CASE WHEN index_status = 'PENDING' AND success AND normalized_url IN (SELECT normalized_url FROM r WHERE ord % 3 <> 0) THEN 'INDEXED' ELSE index_status END AS index_status FROM r")
 def q_mark_indexed(spark: SparkSession, d: str) -> DataFrame:
     rows = changes(spark, d, narrow_runs(spark, d))

@@ -7,6 +7,14 @@ import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+
+KINDS = {"string": T.StringType(), "long": T.LongType(), "boolean": T.BooleanType(), "timestamp": T.TimestampType()}
+
+
+def struct(fields: str) -> T.StructType:
+    """A schema from `name kind, ...`, which needs no session."""
+    return T.StructType([T.StructField(part.split()[0], KINDS[part.split()[1]]) for part in fields.split(",")])
 
 
 def shared_dir(spark: SparkSession) -> str:

@@ -1,11 +1,10 @@
-"""Listing, people and markdown extractors, the crawl that feeds a build run, readers with rejects, and the schedule."""
+"""Page markdown, the crawl that feeds a build run, readers with rejects, and the schedule."""
 
 from __future__ import annotations
 
 from datetime import datetime
 
 import pytest
-from pyspark.sql import functions as F
 
 from kbweave.functions import dom
 from kbweave.functions.urls import CrawlRules
@@ -13,47 +12,6 @@ from kbweave.plans import pipeline, service
 from kbweave.sources import crawl, readers, storage, writers
 
 BASE = "https://www.example.com"
-LISTING = """
-<section><ul>
- <li title='Hover' data-category='Food' data-subcategory='Cafe'><div><img src='/i/a.png' alt='Alt brand'><span class='brand'> Cafe  One </span><a href='/en/personal/offer/one.page.page'>go</a><em class='badge'>5% off</em></div></li>
- <li><a href='/x/offer-detail.page?offer-id=two-b.page&s=1'><img alt='Two' src='b.png'></a></li>
- <li><a href='/en/personal/offer/one.page'>again</a><a href='/en/offer/offers.page'>all</a></li>
- <li><span data-url='/offer/three-part.page'></span></li>
-</ul></section>"""
-PEOPLE = """
-<div><h2>Our History</h2><p>Founded a long time ago.</p><p>short</p><ul><li>1998 first card</li><li>x</li></ul></div>
-<section><h2>Board of Directors</h2>
- <div><img alt='Mr. Ann Ode - Chair' src='/p/a.png'><h4>Ann Ode</h4><p>Chair</p><a>Read more</a></div>
- <div><img alt='Ms. Bea Low' src='/p/b.png'>Read more</div>
- <div><img alt='Dr. No Photo' src='/p/placeholder.png'><h4>No Photo</h4></div></section>
-<section><h2>Our Management Team</h2><div><img alt='Mr. Cal Hill' src='c.png'><h4>Cal Hill</h4><p>Head of all</p></div></section>
-<div><h2>How We are Different</h2><h4>Fast</h4><p>Very.</p><p>Really.</p><h4>Fast</h4><h4>Kind</h4><p>Always.</p></div>
-<div class='modal teamAbout'><h4 class='modal-title'>Ann Ode<span>Chairperson</span></h4><div class='modal-body'>She has led the board<br>tiny<p>for many years now.</p></div></div>
-<div class='modal teamAbout'><h4 class='modal-title'>B. Low</h4><div class='modal-body'>Bea joined us in spring.</div></div>"""
-
-
-def test_cards(spark):
-    cards = {c["offer_id"]: c for c in dom.parse_cards(LISTING, BASE, f"{BASE}/en/personal/offer/")}
-    assert list(cards) == ["one", "two-b", "three-part"]
-    one = cards["one"]
-    assert (one["offer_url"], one["brand_name"], one["discount_text"]) == (f"{BASE}/en/personal/offer/one.page", "Cafe One", "5% off")
-    assert (one["hover_text"], one["primary_category"], one["sub_category"], one["card_image_url"]) == ("Hover", "Food", "Cafe", f"{BASE}/i/a.png")
-    assert cards["two-b"]["offer_url"] == f"{BASE}/en/personal/offer/two-b.page" and cards["two-b"]["brand_name"] == "Two"
-    assert cards["three-part"]["brand_name"] == "Three"
-    got = spark.createDataFrame([(LISTING,), (None,), ("",)], "h string").select(F.explode(dom.offer_cards(F.col("h"), BASE, f"{BASE}/en/personal/offer/")).alias("c"))
-    assert got.count() == 3
-
-
-def test_people(spark):
-    rows = dom.parse_people(PEOPLE, BASE)
-    by = lambda s: [r for r in rows if r["section"] == s]
-    assert [r["text"] for r in by("history")] == ["Founded a long time ago."] and [r["text"] for r in by("milestone")] == ["1998 first card"]
-    ann, bea = by("board")
-    assert (ann["name"], ann["title"], ann["modal_title"], ann["text"]) == ("Ann Ode", "Chair", "Chairperson", "She has led the board for many years now.")
-    assert (bea["name"], bea["text"]) == ("Ms. Bea Low", "Bea joined us in spring.")
-    assert [(r["name"], r["title"], r["text"]) for r in by("management")] == [("Cal Hill", "Head of all", "")]
-    assert [(r["name"], r["title"], r["text"]) for r in by("differentiators")] == [("Fast", "Very.", "Very. Really."), ("Kind", "Always.", "")]
-    assert spark.createDataFrame([(PEOPLE,), (None,)], "h string").select(F.explode(dom.people_rows(F.col("h"), BASE))).count() == len(rows)
 
 
 def test_markdown():

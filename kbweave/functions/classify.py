@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from kbweave.functions.markers import MANY, first_rule_of_many
 from kbweave.functions.text import empty_if_null
 from kbweave.functions.urls import any_contains
 
@@ -53,6 +54,9 @@ FAILURE_BUCKETS = (
 
 
 def first_rule(text: Column, rules: tuple[tuple[str, tuple[str, ...]], ...], default: str) -> Column:
+    """The name of the first rule one of whose markers the lower-cased text contains; rules of very many markers read the text once."""
+    if sum(len(markers) for _, markers in rules) >= MANY:
+        return first_rule_of_many(text, rules, default)
     low = F.lower(empty_if_null(text))
     out = F.when(F.lit(False), F.lit(default))
     for name, markers in rules:

@@ -289,3 +289,17 @@ def final_request(requests: Column, final_url: Column) -> Column:
     """The last request for the final URL, else the last one."""
     matching = F.filter(requests, lambda r: r["url"] == final_url)
     return F.coalesce(F.try_element_at(matching, F.lit(-1)), F.try_element_at(requests, F.lit(-1)))
+
+
+def final_request_details(requests: Column, url: Column, redirected_url: Column) -> Column:
+    """struct<headers, cookies> of the navigation that a page ended with: the last request for its URL or for where it was sent, else the last navigation. `requests` holds (event_type, is_navigation_request, url, headers)."""
+    empty = F.create_map().cast("map<string,string>")
+    walks = F.filter(requests, lambda r: (r["event_type"] == "request") & F.coalesce(r["is_navigation_request"], F.lit(False)))
+    of_page = F.filter(walks, lambda r: (r["url"] == F.coalesce(url, F.lit(""))) | (r["url"] == F.coalesce(redirected_url, F.lit(""))))
+    last = F.coalesce(F.try_element_at(of_page, F.lit(-1)), F.try_element_at(walks, F.lit(-1)))
+    headers = F.coalesce(last["headers"], empty)
+    said = F.coalesce(F.nullif(F.try_element_at(headers, F.lit("cookie")), F.lit("")), F.try_element_at(headers, F.lit("Cookie")))
+    # name=value pairs between semicolons; of a name that comes twice the last value counts
+    parts = F.transform(F.filter(F.split(F.coalesce(said, F.lit("")), ";"), lambda c: F.contains(c, F.lit("="))), lambda c: F.struct(F.trim(F.substring_index(c, "=", 1)).alias("key"), F.trim(F.substr(c, F.instr(c, "=") + 1)).alias("value")))
+    kept = F.filter(parts, lambda x, i: (x["key"] != "") & ~F.exists(F.slice(parts, i + 2, F.size(parts)), lambda y: y["key"] == x["key"]))
+    return F.struct(headers.alias("headers"), F.map_from_entries(kept).alias("cookies"))

@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kbweave.operators.pages import capped
 
 #: What a record hands on to its page besides title, description and keywords.
 CARRIED = ("card_name", "page_type", "page_purpose", "customer_blurb", "facet_tags", "key_facts", "page_index")
@@ -62,14 +63,14 @@ def changed_only(rows: DataFrame, changes: DataFrame, key: str = "normalized_url
     return rows.join(changes.where(F.col("change_status").isin("NEW", "UPDATED") & F.col("success")).select(key).distinct(), key, "left_semi")
 
 
-def enrich(pages: DataFrame, enricher: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
-    """Batches of pages through a callable; rows it fails on are left out by returning fewer rows."""
+def enrich(pages: DataFrame, enricher: Callable[[pd.DataFrame], pd.DataFrame], schema: str, most: int | None = None, order: str = "ord") -> DataFrame:
+    """Batches of pages through a callable; rows it fails on are left out by returning fewer rows. With `most` only the first pages in order are enriched."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             yield enricher(batch)
 
-    return pages.mapInPandas(run, schema)
+    return capped(pages, most, order).mapInPandas(run, schema)
 
 
 def first_sentence(batch: pd.DataFrame) -> pd.DataFrame:

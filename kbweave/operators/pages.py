@@ -115,3 +115,8 @@ def crawl_summary(pages: DataFrame, rules: CrawlRules, url: str = "source_url",
         return out
     counts = retries.agg(F.count_if("candidate").alias("retry_candidates"), F.coalesce(F.sum("attempts"), F.lit(0)).alias("retry_attempted"), F.count_if("recovered").alias("retry_recovered"))
     return out.join(F.broadcast(counts)).withColumn("retry_failed", F.col("retry_attempted") - F.col("retry_recovered"))
+
+
+def capped(rows: DataFrame, most: int | None, *order: str) -> DataFrame:
+    """The first `most` rows in an order, which is a stated limit of a crawl, a listing or an enrichment; None and 0 mean all."""
+    return rows.orderBy(*order).limit(most) if most and most > 0 else rows

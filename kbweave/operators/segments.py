@@ -6,7 +6,8 @@ writer left is never seen. One writer at a time.
 
 Everything is placed by ranges of its key and sorted, so that a term, a gram, a prefix or an id is a few row groups, and a word of a third of all documents is many files:
 
-    postings  (bucket, field, term, doc, tf, len)   terms of text columns, values of lists, whole lower-cased values; folders by bucket of the term
+    postings  (bucket, field, term, block, doc, tf, len)   terms of text columns, values of lists, whole lower-cased values; folders by bucket of the term, blocks by length
+    impacts   (bucket, field, term, block, n, tf, len)     of terms of many documents: how many a block holds, its greatest frequency and least length
     grams     (gram, field, term)                   three-character pieces of the terms in which substrings are searched; shorter terms whole
     words     (word, doc)                           words of active documents for completion
     tops      (prefix, docs, whole)                 for each short prefix the least ids that have it
@@ -32,6 +33,13 @@ GRAM = 3
 #: Terms that a pattern may have before they are joined instead of listed in the plan, and ids or tombstones that travel by broadcast.
 LISTED = 1_000
 FEW = 1_000_000
+#: Documents of a segment from which a term has impacts; the postings of rarer ones are read as they are.
+FREQUENT = 128
+#: Blocks of postings are quarters of an octave of the field's length.
+BLOCKS = 4
+
+
+PLACED = ("bucket", "field", "term", "block", "doc")
 
 
 @dataclass(frozen=True)
@@ -68,7 +76,7 @@ class SegmentedIndex:
         reader = self.spark.read
         if name == "postings":  # a segment may have none, and so no folder
             doc = self.spark.read.parquet(f"{self.path}/{self.segments[0].name}/stored").schema["doc"].dataType.simpleString()
-            reader = reader.schema(f"doc {doc}, field string, term string, len int, tf int, bucket int")
+            reader = reader.schema(f"doc {doc}, field string, term string, block int, len int, tf int, bucket int")
         parts = [reader.parquet(f"{self.path}/{s.name}/{name}").withColumn("__age", F.lit(k)) for k, s in enumerate(self.segments) if only is None or s.name in only]
         out = parts[0]
         for p in parts[1:]:
@@ -87,10 +95,31 @@ class SegmentedIndex:
         dead = self.dead()
         return rows.join(F.broadcast(dead) if many <= FEW else dead, (F.col("doc") == F.col("dead")) & (F.col("killer") > F.col("__age")), "left_anti").drop("__age")
 
+    def of_terms(self, fields: list[str], terms: list[str]) -> Column:
+        """A condition that lets folders and row groups of other terms go unread."""
+        return F.col("bucket").isin(*sorted({bucket_of(t, self.layout.buckets) for t in terms})) & F.col("term").isin(*terms) & F.col("field").isin(*fields)
+
     def postings(self, fields: list[str], terms: list[str]) -> DataFrame:
-        """(field, term, doc, tf, len) of some terms; folders and row groups of others are not read."""
-        wanted = F.col("bucket").isin(*sorted({bucket_of(t, self.layout.buckets) for t in terms})) & F.col("term").isin(*terms) & F.col("field").isin(*fields)
-        return self.live(self.table("postings").where(wanted).select("field", "term", "doc", "tf", "len", "__age"))
+        """(field, term, doc, tf, len) of some terms."""
+        return self.live(self.table("postings").where(self.of_terms(fields, terms)).select("field", "term", "doc", "tf", "len", "__age"))
+
+    def impacts(self, fields: list[str], terms: list[str]) -> list:
+        """(field, term, block, n, tf, len) of some terms: stored ones, and those of rarer terms from their postings, segment by segment. A few rows per term."""
+        stored = self.table("impacts").where(self.of_terms(fields, terms)).select("field", "term", "block", "n", "tf", "len", "__age")
+        known = stored.collect()
+        parts = []
+        for k, s in enumerate(self.segments):
+            have = {(r["field"], r["term"]) for r in known if r["__age"] == k}
+            for f in fields:
+                rare = [t for t in terms if (f, t) not in have]
+                if rare:
+                    parts.append(self.table("postings", (s.name,)).where(self.of_terms([f], rare)))
+        if parts:
+            rest = parts[0]
+            for p in parts[1:]:
+                rest = rest.unionByName(p)
+            known += _impacts(rest).collect()
+        return known
 
     def stats(self) -> DataFrame:
         """(field, n_docs, avg_len) of the live documents: sums over the segments."""
@@ -108,6 +137,10 @@ class SegmentedIndex:
         return self.live(self.table("stored").where(F.col("doc").isin(*ids)))
 
 
+def _impacts(postings: DataFrame) -> DataFrame:
+    return postings.groupBy("field", "term", "block").agg(F.count("*").alias("n"), F.max("tf").alias("tf"), F.min("len").alias("len"))
+
+
 def bucket_of(term: str, buckets: int) -> int:
     return zlib.crc32(term.encode()) % buckets
 
@@ -141,7 +174,12 @@ def _sorted(rows: DataFrame, path: str, *keys: str, folder: str | None = None) -
 
 
 def _derived(spark: SparkSession, at: str, layout: Layout) -> None:
-    """grams and tops of a segment from its postings and words."""
+    """impacts, grams and tops of a segment from its postings and words."""
+    schema = "field string, term string, block int, tf int, len int, bucket int"
+    held = spark.read.schema(schema).parquet(f"{at}/postings")
+    each = held.groupBy("bucket", "field", "term", "block").agg(F.count("*").alias("n"), F.max("tf").alias("tf"), F.min("len").alias("len"))
+    many = each.withColumn("__all", F.sum("n").over(W.partitionBy("field", "term"))).where(F.col("__all") >= FREQUENT).drop("__all")
+    _sorted(many, f"{at}/impacts", "bucket", "field", "term", "block")
     terms = spark.read.schema("field string, term string").parquet(f"{at}/postings").where(F.col("field").isin(*layout.wild)).select("field", "term").distinct() if layout.wild else spark.createDataFrame([], "field string, term string")
     places = F.sequence(F.lit(1), F.length("term") - (GRAM - 1))
     grams = F.when(F.length("term") >= GRAM, F.array_distinct(F.transform(places, lambda i: F.substring(F.col("term"), i, F.lit(GRAM))))).otherwise(F.array("term"))
@@ -162,7 +200,8 @@ def _write_segment(docs: DataFrame, id_column: str, layout: Layout, path: str) -
     given = docs.select(F.col(id_column).alias("doc"), *[F.col(f"`{c}`") for c in needed if c != "doc"])
     each = given.select("doc", F.explode(_terms(layout)).alias("x"))
     counted = each.groupBy("doc", "x.field", "x.term", "x.len").agg(F.count("*").cast("int").alias("tf")).withColumn("bucket", _bucket(F.col("term"), layout.buckets))
-    _sorted(counted, f"{at}/postings", "bucket", "field", "term", "doc", folder="bucket")
+    blocked = counted.withColumn("block", F.floor(BLOCKS * F.log2(F.greatest(F.col("len"), F.lit(1)))).cast("int"))
+    _sorted(blocked, f"{at}/postings", *PLACED, folder="bucket")
     sizes = F.array(*[F.struct(F.lit(f).alias("field"), F.size(tokenize(empty_if_null(F.col(f)))).alias("len")) for f in layout.text])
     lengths = given.select("doc", F.explode(sizes).alias("x")).select("doc", "x.field", "x.len").where("len > 0")
     _sorted(lengths, f"{at}/lengths", "doc")
@@ -249,7 +288,7 @@ def merge_newest(index: SegmentedIndex, run: int) -> SegmentedIndex:
     names = tuple(s.name for s in new)
     name = f"segment-{uuid.uuid4().hex}"
     at = f"{path}/{name}"
-    _sorted(index.live(index.table("postings", names)), f"{at}/postings", "bucket", "field", "term", "doc", folder="bucket")
+    _sorted(index.live(index.table("postings", names)), f"{at}/postings", *PLACED, folder="bucket")
     for table, keys in (("lengths", ("doc",)), ("stored", ("doc",)), ("words", ("word", "doc"))):
         _sorted(index.live(index.table(table, names)), f"{at}/{table}", *keys)
     index.table("stats", names).groupBy("field").agg(F.sum("n_docs").alias("n_docs"), F.sum("sum_len").alias("sum_len")).write.parquet(f"{at}/stats")

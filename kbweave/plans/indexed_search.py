@@ -5,10 +5,14 @@ The filter is a union of postings: words and values by their own, substrings thr
 
 from __future__ import annotations
 
+import math
+from collections import Counter
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from kbweave.operators.segments import LISTED, Layout, SegmentedIndex
 from kbweave.operators.vector_index import VectorIndex, nearest
@@ -76,6 +80,84 @@ def lexical(index: SegmentedIndex, fields: dict[str, float], query: str, chosen:
     return plain.score_postings(index.postings(list(fields), terms or [""]), index.stats(), fields, chosen)
 
 
+@dataclass(frozen=True)
+class Top:
+    """(id, score) of the best documents, and how many postings of the query's terms were read for them, of how many."""
+
+    hits: DataFrame
+    read: int
+    total: int
+
+
+def best_documents(index: SegmentedIndex, fields: dict[str, float], query: str, k: int, chosen: DataFrame | None = None) -> Top:
+    """The k best of lexical(), ties by id, from the blocks of postings that can hold them.
+
+    A block holds the documents whose field has one length class; its greatest frequency and least length bound what a document of it can score by this field. The most promising blocks that hold k
+    documents are scored first; the k-th score is the threshold, and blocks that cannot reach it stay unread. A document that reaches it does so by a field whose block is read, so that the result is
+    that of all postings. With tombstones the blocks' counts are not those of the live documents, and all postings are read.
+    """
+    terms = list(dict.fromkeys(query_tokens(query)))
+    spark = index.spark
+    schema = StructType([StructField("id", index.table("stored").schema["doc"].dataType), StructField("score", DoubleType())])
+    if not terms:
+        return Top(spark.createDataFrame([], schema), 0, 0)
+    if any(s.n_dead for s in index.segments):
+        rows = lexical(index, fields, query, chosen).orderBy(F.desc("score"), "id").limit(k).collect()
+        many = index.postings(list(fields), terms).count()
+        return Top(spark.createDataFrame([tuple(r) for r in rows], schema), many, many)
+    stats = {r["field"]: (r["n_docs"], r["avg_len"]) for r in index.stats().collect()}
+    blocks = index.impacts([f for f in fields if f in stats], terms)
+    df: Counter = Counter()
+    for r in blocks:
+        df[r["field"], r["term"]] += r["n"]
+    idf = {(f, t): math.log(1 + (stats[f][0] - n + 0.5) / (n + 0.5)) for (f, t), n in df.items()}
+    bound: Counter = Counter()
+    size: Counter = Counter()
+    widest: Counter = Counter()
+    seen: dict = {}
+    for r in blocks:  # several segments hold a part of a block each
+        at = (r["field"], r["term"], r["block"])
+        tf, length = seen.get(at, (0, r["len"]))
+        seen[at] = max(tf, r["tf"]), min(length, r["len"])
+        size[r["field"], r["block"]] += r["n"]
+        widest[r["field"], r["block"]] = max(widest[r["field"], r["block"]], r["n"])
+    for (f, t, b), (tf, length) in seen.items():
+        bound[f, b] += fields[f] * idf[f, t] * tf / (tf + plain.K1 * (1 - plain.B + plain.B * length / stats[f][1]))
+    order = sorted(bound, key=lambda at: (-bound[at], at))
+    weights = spark.createDataFrame([(f, t, float(x), float(stats[f][1]), float(fields[f])) for (f, t), x in idf.items()] or [("", "", 0.0, 1.0, 0.0)], "field string, term string, idf double, avg_len double, boost double")
+
+    def score(some: list) -> list:
+        by: dict[str, list[int]] = {}
+        for f, b in some:
+            by.setdefault(f, []).append(b)
+        within = F.lit(False)
+        for f, bs in by.items():
+            within = within | ((F.col("field") == f) & F.col("block").isin(*bs))
+        read = index.table("postings").where(index.of_terms(list(by), terms) & within).select("field", "term", "doc", "tf", "len")
+        if chosen is not None:
+            read = read.join(chosen.select(F.col("id").alias("doc")), "doc", "left_semi")
+        part = F.col("boost") * F.col("idf") * F.col("tf") / (F.col("tf") + F.lit(plain.K1) * (F.lit(1 - plain.B) + F.lit(plain.B) * F.col("len") / F.col("avg_len")))
+        each = read.join(F.broadcast(weights), ["field", "term"]).groupBy("doc", "field").agg(F.sum(part).alias("s"))
+        return each.groupBy(F.col("doc").alias("id")).agg(F.max("s").alias("score")).where("score > 0").orderBy(F.desc("score"), "id").limit(k).collect()
+
+    hits: dict = {}
+    done, want = 0, k
+    while done < len(order) and len(hits) < k:
+        upto = done
+        while upto < len(order) and sum(widest[at] for at in order[done:upto]) < want:
+            upto += 1
+        for r in score(order[done:upto]):
+            hits[r["id"]] = max(hits.get(r["id"], 0.0), r["score"])
+        done, want = upto, 4 * want
+    least = sorted(hits.values(), reverse=True)[k - 1] if len(hits) >= k else 0.0
+    more = [at for at in order[done:] if bound[at] >= least * (1 - 1e-12)]
+    if more:
+        for r in score(more):
+            hits[r["id"]] = max(hits.get(r["id"], 0.0), r["score"])
+    found = sorted(hits.items(), key=lambda x: (-x[1], x[0]))[:k]
+    return Top(spark.createDataFrame(found, schema), sum(size[at] for at in [*order[:done], *more]), sum(size.values()))
+
+
 def search(index: SegmentedIndex, vectors: VectorIndex | None, query: str, query_vector: list[float] | None, settings: SearchSettings = SearchSettings(), exact: bool = False, encode: Callable[[list[str]], list[list[float]]] | None = None) -> DataFrame:
     """Ranked hits of a hybrid search with explained scores, as search() of a table gives them; blank queries give no rows.
 

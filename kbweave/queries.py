@@ -756,6 +756,18 @@ def embedding_index(spark: SparkSession, d: str) -> vector_index.VectorIndex:
     return vector_index.build_vector_index(rows, "vec_id", "embedding", path, lists=max(1, round(rows.count() ** 0.5)))
 
 
+def text_segments(spark: SparkSession, d: str) -> segments.SegmentedIndex:
+    """The written segments over the documents' texts alone."""
+    path, layout = f"{storage.shared_dir(spark)}/kbweave/texts-{storage.stamp(spark, f"{d.rstrip('/')}/documents.parquet")}", segments.Layout(text=("text",))
+    return segments.open_index(spark, path, layout) or segments.create(documents(spark, d), "doc_id", layout, path)
+
+
+@query(BM25_SQL + "SELECT id, round(score, 6) AS score FROM bm ORDER BY bm.score DESC, id LIMIT 25")
+def q_bm25_blocks(spark: SparkSession, d: str) -> DataFrame:
+    """The same hits from the blocks of postings that can reach them."""
+    return indexed_search.best_documents(text_segments(spark, d), {"text": 1.0}, SEARCHED, 25).hits.select("id", F.round("score", 6).alias("score"))
+
+
 def probe_vector(spark: SparkSession, d: str) -> list[float]:
     first = table(spark, d, "embeddings").where("vec_id = 0").select("embedding").first()
     return [float(x) for x in first[0]]
@@ -1002,4 +1014,4 @@ def flagship(spark: SparkSession, d: str) -> DataFrame:
     return hits.join(chunks.select(F.col("doc_id").alias("id"), "normalized_url", "chunk_index").dropDuplicates(["id"]), "id").orderBy(F.desc("score"), "id")
 
 
-from kbweave import record_queries  # noqa: E402,F401  (registers its queries)
+from kbweave import record_queries, source_queries  # noqa: E402,F401  (register their queries)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from kbweave.functions import html, text, urls
 from kbweave.operators import catalogue, cdc, chunking, crawl_records, enrich, index, pages, payloads, runs
 from kbweave.queries import CDC_SQL, ENRICH_SQL, READABLE, RULES, SEGMENTS, P, bodies, changes, doc_url, enrichment, narrow_runs, query, table, titled
-from kbweave.sources import storage, writers
+from kbweave.sources import crawl, storage, writers
 
 # ---------------------------------------------------------------- text forms
 
@@ -240,6 +240,30 @@ def q_first_filled(spark: SparkSession, d: str) -> DataFrame:
     return found.select("page_id", F.lit(at - 1).alias("source"))
 
 
+@query(r"""
+SELECT url AS source_url, CASE WHEN page_id % 5 = 0 THEN 404 ELSE 200 END AS status_code, page_id % 5 <> 0 AND page_id % 7 <> 0 AS success, CASE WHEN page_id % 7 = 0 THEN 'TimeoutError: slow' WHEN page_id % 5 = 0 THEN 'HTTP 404' ELSE '' END AS error,
+ CASE WHEN page_id % 7 = 0 OR page_id % 3 <> 0 THEN 0 ELSE 1 END AS n_cookies, trim(regexp_replace(regexp_extract(html, '<title>(.*?)</title>', 1), '\s+', ' ', 'g')) AS title FROM pages
+""")
+def q_fetched_pages(spark: SparkSession, d: str) -> DataFrame:
+    """Page records of what fetches brought: status, error, and the cookies of the navigation that the page ended with."""
+    n = F.col("page_id")
+    walk = lambda u, cookie: F.struct(F.lit("request").alias("event_type"), F.lit(True).alias("is_navigation_request"), u.alias("url"), F.create_map(F.lit("Cookie"), F.lit(cookie)).alias("headers"))
+    known = table(spark, d, "pages").select(
+        "url", "html", F.when(n % 5 == 0, 404).otherwise(200).alias("status_code"), F.when(n % 7 == 0, "TimeoutError: slow").alias("error"),
+        F.when(n % 3 == 0, F.array(walk(F.col("url"), "id=1"), walk(F.lit("https://else.example/"), "a=1; b=2"))).otherwise(F.array(walk(F.col("url"), ""))).alias("requests"),
+    )
+    asked = known.select("url", F.lit(0).alias("depth"))
+    got = crawl.looked_up(asked, known).withColumn("success", crawl.came())
+    return crawl.page_records(crawl.fetched_rows(got)).select("source_url", "status_code", "success", "error", F.size("request_cookies_final").alias("n_cookies"), "title")
+
+
+@query("SELECT page_id, href FROM (SELECT DISTINCT page_id, unnest(regexp_extract_all(html, '<a href=\"([^\"]*)\"', 1)) AS href FROM pages) ORDER BY page_id, href LIMIT 30")
+def q_capped_links(spark: SparkSession, d: str) -> DataFrame:
+    """The first thirty links of a listing, its stated cap."""
+    links = table(spark, d, "pages").select("page_id", F.explode(html.page_links("html")).alias("l")).select("page_id", F.col("l.href").alias("href"))
+    return pages.capped(links, 30, "page_id", "href")
+
+
 # ---------------------------------------------------------------- payloads
 
 

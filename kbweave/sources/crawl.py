@@ -9,14 +9,14 @@ from __future__ import annotations
 import random
 import time
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kbweave.functions.dom import page_markdown
-from kbweave.functions.html import head_field, page_links
+from kbweave.functions.html import final_request_details, head_field, page_links
 from kbweave.functions.urls import CrawlRules, absolute_url, admission_reason, normalize_url
 from kbweave.operators.crawl_records import page_records, retry_counts, retry_rounds
 from kbweave.operators.pages import crawl_summary, dedupe_best_by_aggregate
@@ -43,13 +43,14 @@ class Tuning:
     """How a crawl fetches: large ones go slowly and wait longer, since sites answer them with blocks otherwise."""
 
     concurrency: int = 8
-    delay_s: float = 0.0
+    mean_delay_s: float = 0.0  # before each fetch, and up to max_range_s more
+    max_range_s: float = 0.0
     timeout_s: int = 30
     keep_requests: bool = True  # whether the requests that a page made are recorded
 
 
 def tuning(max_depth: int, max_pages: int) -> Tuning:
-    return Tuning(2, 1.0, 60, False) if max_depth >= 3 or max_pages >= 150 else Tuning()
+    return Tuning(2, 0.2, 0.3, 60, False) if max_depth >= 3 or max_pages >= 150 else Tuning()
 
 
 def concurrency(max_depth: int, max_pages: int) -> int:
@@ -57,23 +58,84 @@ def concurrency(max_depth: int, max_pages: int) -> int:
     return tuning(max_depth, max_pages).concurrency
 
 
-def fetch(urls: DataFrame, get: Callable[[str], str], partitions: int) -> DataFrame:
+@dataclass(frozen=True)
+class Fetched:
+    """What a fetcher may say about a page beside its HTML; `requests` are dicts of event_type, is_navigation_request, url and headers."""
+
+    html: str = ""
+    status_code: int | None = None
+    redirected_url: str | None = None
+    redirected_status_code: int | None = None
+    error: str | None = None
+    requests: tuple[dict, ...] = ()
+    response_headers: dict[str, str] | None = None
+
+
+REQUESTS = "array<struct<event_type: string, is_navigation_request: boolean, url: string, headers: map<string,string>>>"
+#: Columns of a fetched page beside url and depth, with their types.
+RESULT = {"html": "string", "status_code": "int", "redirected_url": "string", "redirected_status_code": "int", "error": "string", "requests": REQUESTS, "response_headers": "map<string,string>"}
+Get = Callable[..., "str | Fetched"]
+
+
+def one_fetch(get: Get, how: Tuning, sleep: Callable[[float], None] = time.sleep) -> Callable[[str], Fetched]:
+    """get(url), or get(url, timeout=seconds) where it takes one, as a Fetched: after the delay, an error as such, HTML without a status as a 200, and requests only where they are kept."""
+    import inspect
+
+    try:
+        timed = "timeout" in inspect.signature(get).parameters
+    except (TypeError, ValueError):
+        timed = False
+
+    def run(url: str) -> Fetched:
+        if how.mean_delay_s or how.max_range_s:
+            sleep(how.mean_delay_s + random.uniform(0, how.max_range_s))
+        try:
+            got = get(url, timeout=how.timeout_s) if timed else get(url)
+        except Exception as e:
+            return Fetched(error=f"{type(e).__name__}: {e}")
+        got = got if isinstance(got, Fetched) else Fetched(html=got or "")
+        status = 200 if got.status_code is None and got.html and not got.error else got.status_code
+        return replace(got, status_code=status, requests=got.requests if how.keep_requests else ())
+
+    return run
+
+
+def fetch(urls: DataFrame, get: Get, how: Tuning = Tuning()) -> DataFrame:
+    """urls(url, depth) with the columns of RESULT. The URLs of a host are fetched one after another by one task, so that the delay holds per host; as many tasks as `concurrency` fetch at a time."""
+    names = [*RESULT]
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        one = one_fetch(get, how)
         for batch in batches:
-            yield batch.assign(html=[get(u) for u in batch["url"]])
+            found = [one(u) for u in batch["url"]]
+            made = {n: pd.Series([getattr(f, n) for f in found], dtype=object) for n in names}
+            made["requests"] = pd.Series([[{"event_type": r.get("event_type"), "is_navigation_request": bool(r.get("is_navigation_request")), "url": r.get("url"), "headers": {str(k): str(v) for k, v in (r.get("headers") or {}).items()}} for r in f.requests] for f in found], dtype=object)
+            for n in ("status_code", "redirected_status_code"):
+                made[n] = pd.array([getattr(f, n) for f in found], dtype="Int32")
+            yield pd.DataFrame({"url": batch["url"], "depth": batch["depth"], **made})
 
-    return urls.repartition(partitions).mapInPandas(run, "url string, depth int, html string")
+    host = F.regexp_extract("url", "^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", 1)
+    return urls.repartition(how.concurrency, host).mapInPandas(run, "url string, depth int, " + ", ".join(f"{k} {v}" for k, v in RESULT.items()))
+
+
+def looked_up(urls: DataFrame, pages: DataFrame) -> DataFrame:
+    """urls(url, depth) with the columns of RESULT from a table (url, html) of pages fetched before, which may have the other columns too."""
+    have = {c.lower() for c in pages.columns}
+    kept = pages.select("url", *[F.col(n).cast(t).alias(n) if n in have else F.lit(None).cast(t).alias(n) for n, t in RESULT.items()])
+    joined = urls.join(kept, "url", "left")
+    status = F.coalesce("status_code", F.when((F.coalesce("html", F.lit("")) != "") & (F.coalesce("error", F.lit("")) == ""), 200))
+    return joined.withColumn("status_code", status).select("url", "depth", *RESULT)
 
 
 def crawl(spark: SparkSession, start: str, pages: DataFrame | None = None, get: Callable[[str], str] | None = None, max_depth: int = 4, max_pages: int = 800, rules: CrawlRules = CrawlRules(), checkpoint: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
-    """(url, depth, html, success) of at most max_pages pages in breadth-first order."""
+    """(url, depth, success and the columns of RESULT) of at most max_pages pages in breadth-first order."""
     frontier = spark.createDataFrame([(start, 0)], "url string, depth int")
     seen = frontier.select(normalize_url(F.col("url")).alias("key"))
     out, left = None, max_pages
     for depth in range(max_depth + 1):
         due = frontier.orderBy("url").limit(left)
-        got = checkpoint(due.join(pages.select("url", "html"), "url", "left") if pages is not None else fetch(due, get, concurrency(max_depth, max_pages))).select("url", "depth", "html")
-        got = got.withColumn("success", F.coalesce("html", F.lit("")) != "")
+        got = checkpoint(looked_up(due, pages) if pages is not None else fetch(due, get, tuning(max_depth, max_pages)))
+        got = got.withColumn("success", came())
         out = got if out is None else out.unionByName(got)
         left -= got.count()
         if depth == max_depth or left <= 0:
@@ -88,31 +150,39 @@ def crawl(spark: SparkSession, start: str, pages: DataFrame | None = None, get:
     return out
 
 
-def fetched_rows(got: DataFrame, agent: str = "") -> DataFrame:
-    """What `page_records` reads, from crawled (url, depth, html, success): head fields and markdown of the HTML; a page that came is a 200."""
+def came() -> Column:
+    """Whether a fetch brought a page."""
+    return (F.coalesce("html", F.lit("")) != "") & (F.coalesce("error", F.lit("")) == "")
+
+
+def fetched_rows(got: DataFrame, agent: str = "", headers: dict[str, str] | None = None, cookies: list[dict[str, str]] | None = None) -> DataFrame:
+    """What `page_records` reads, from crawled (url, depth, success and the columns of RESULT): head fields and markdown of the HTML, what was sent, and the headers and cookies of the last navigation."""
     nothing = F.create_map().cast("map<string,string>")
     head = lambda n: F.coalesce(head_field(F.col("html"), n), F.lit(""))
-    blank = lambda t: F.lit(None).cast(t)
+    pairs = lambda m: F.create_map(*[F.lit(x) for kv in m.items() for x in kv]) if m else nothing
+    sent = F.array(*[pairs(c) for c in cookies]) if cookies else F.array().cast("array<map<string,string>>")
+    final = final_request_details(F.col("requests"), F.col("url"), F.col("redirected_url"))
     return got.select(
-        "url", "depth", "success", F.when(F.col("success"), 200).alias("status_code"), blank("string").alias("redirected_url"), blank("int").alias("redirected_status_code"), blank("string").alias("error"),
+        "url", "depth", "success", "status_code", "redirected_url", "redirected_status_code", "error",
         *[head(n).alias(n) for n in ("title", "description", "keywords")], page_markdown(F.when(F.col("success"), F.col("html"))).alias("markdown"),
-        nothing.alias("headers"), F.array().cast("array<map<string,string>>").alias("cookies"), F.lit(agent).alias("user_agent"), nothing.alias("final_headers"), nothing.alias("final_cookies"), nothing.alias("response_headers"),
+        pairs(headers or {}).alias("headers"), sent.alias("cookies"), F.lit(agent).alias("user_agent"), final["headers"].alias("final_headers"), final["cookies"].alias("final_cookies"), "response_headers",
     )
 
 
 def crawl_site(spark: SparkSession, start: str, pages: DataFrame | None = None, get: Callable[[str], str] | None = None, max_depth: int = 4, max_pages: int = 800, rules: CrawlRules = CrawlRules(), rounds: int = 2, per_round: int = 40, keep: Callable[[DataFrame], DataFrame] = lambda df: df) -> tuple[DataFrame, DataFrame]:
     """(page records with `ord`, summary): a crawl, its retry rounds and the keep-best dedupe by URL. The records are what a build run (`pipeline.ingest`) takes.
 
-    `keep` stores tables that are read several times. Failed fetches count as retryable network errors.
+    `keep` stores tables that are read several times. Fetches that bring neither a page nor an error count as retryable network errors.
     """
     got = keep(crawl(spark, start, pages, get, max_depth, max_pages, rules, keep))
-    failure = F.when(~F.col("success"), F.lit("connection: empty response")).otherwise(F.col("error"))
-    records = keep(page_records(fetched_rows(got)).withColumn("error", failure).withColumn("ord", F.xxhash64("source_url")))
+    silent = F.when(F.coalesce("error", F.lit("")) == "", "connection: empty response").otherwise(F.col("error"))
+    told = lambda rows: rows.withColumn("error", F.when(~F.col("success"), silent).otherwise(F.col("error")))
+    records = keep(page_records(fetched_rows(told(got))).withColumn("ord", F.xxhash64("source_url")))
 
     def again(due: DataFrame, k: int) -> DataFrame:
         urls = due.select(F.col("source_url").alias("url"), F.lit(0).alias("depth"))
-        tried = urls.join(pages.select("url", "html"), "url", "left") if pages is not None else fetch(urls, get, concurrency(max_depth, max_pages))
-        return page_records(fetched_rows(tried.select("url", "depth", "html").withColumn("success", F.coalesce("html", F.lit("")) != "")))
+        tried = looked_up(urls, pages) if pages is not None else fetch(urls, get, tuning(max_depth, max_pages))
+        return page_records(fetched_rows(told(tried.withColumn("success", came()))))
 
     after, log = retry_rounds(records, again, rules, rounds, per_round, keep=keep)
     best = keep(dedupe_best_by_aggregate(after.withColumn("__ord", F.col("ord")), "source_url", ord="__ord").drop("place", "__ord"))

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import hashlib
+import random
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from kbweave.functions import classify, dates, html, text, urls
+from kbweave.functions import classify, dates, html, markers, text, urls
 from kbweave.operators import chunking
 
 
@@ -151,3 +152,21 @@ def test_blocked_urls_with_escapes_are_removed(spark):
 def test_sanitize(spark):
     raw = "Know more\nKnow more\nx\nknow more\n\n\n\ny  \nKNOW MORE now\nknow more"
     assert one(spark, text.sanitize_markdown(F.col("t")), t=raw) == "x\n\ny\nKNOW MORE now"
+
+
+def test_many_markers_equal_a_chain_of_searches(spark):
+    rng = random.Random(5)
+    letters = "abcé .+-[$"
+    made = {"".join(rng.choice(letters) for _ in range(rng.randint(1, 6))) for _ in range(400)}
+    names = sorted(made)
+    rng.shuffle(names)
+    rules = tuple((f"r{k}", tuple(names[k::25])) for k in range(25))
+    texts = ["".join(rng.choice(letters + "xyz") for _ in range(rng.randint(0, 12))) for _ in range(300)] + ["", "zzz", "ABC"]
+    df = spark.createDataFrame([(t,) for t in texts] + [(None,)], "t string")
+    got = [r[0] for r in df.select(classify.first_rule(F.col("t"), rules, "none")).collect()]
+    want = [next((n for n, ms in rules if any(m in (t or "").lower() for m in ms)), "none") for t in [*texts, None]]
+    assert got == want and len(set(want)) > 10
+    some = classify.REWARD_CATEGORIES
+    shown = spark.createDataFrame([("A Gold phone case",), ("swiggy e-voucher",), ("bookmyshow",), ("nothing",)], "t string")
+    assert [r[0] == r[1] for r in shown.select(classify.first_rule(F.col("t"), some, "x"), markers.first_rule_of_many(F.col("t"), some, "x")).collect()] == [True] * 4
+    assert shown.select(markers.first_rule_of_many(F.col("t"), (("a", ()), ("b", ("",))), "x")).first()[0] == "b"

@@ -194,6 +194,30 @@ def test_deltas_equal_a_rebuild(spark, tmp_path):
     assert len(segments.vacuum(index)) == 6 and scores(index) == scores(fresh)
 
 
+def test_blocks_give_the_same_hits(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(segments, "FREQUENT", 20)
+    rng = random.Random(6)
+    words = ["the"] * 30 + ["of"] * 10 + [f"w{k}" for k in range(60)]
+    rows = [(i, " ".join(rng.choice(words) for _ in range(int(2 ** rng.uniform(0, 9)))), rng.choice(["the w1", "w2 of the", ""])) for i in range(800)]
+    docs = spark.createDataFrame([*rows, (900, None, None)], "_id long, body string, head string")
+    layout = Layout(text=("body", "head"), stored=("body",))
+    index = segments.create(docs.where("_id < 600"), "_id", layout, str(tmp_path / "i"))
+    fields = {"body": 1.0, "head": 2.5}
+    for grown in (index, segments.apply_delta(index, docs.where("_id >= 600"), "_id", merge=False), segments.apply_delta(segments.open_index(spark, str(tmp_path / "i"), layout), docs.where("_id % 100 = 0"), "_id", merge=False)):
+        for query, k in (("the of", 10), ("w3 the", 5), ("w7", 40), ("zzz", 3)):
+            want = indexed_search.lexical(grown, fields, query).orderBy(F.desc("score"), "id").limit(k).collect()
+            top = indexed_search.best_documents(grown, fields, query, k)
+            got = top.hits.orderBy(F.desc("score"), "id").collect()
+            assert [r["score"] for r in got] == pytest.approx([r["score"] for r in want]) and {r["id"] for r in got[: k // 2]} == {r["id"] for r in want[: k // 2]}
+            assert top.read <= top.total
+    stop = indexed_search.best_documents(index, {"body": 1.0}, "the of", 10)
+    assert stop.read < stop.total and stop.total == index.postings(["body"], ["the", "of"]).count()
+    some = docs.where("_id % 7 = 0").select(F.col("_id").alias("id"))
+    picked = indexed_search.best_documents(index, fields, "the of", 10, some).hits.collect()
+    assert sorted(r["score"] for r in picked) == pytest.approx(sorted(r["score"] for r in indexed_search.lexical(index, fields, "the of", some).orderBy(F.desc("score"), "id").limit(10).collect()))
+    assert indexed_search.best_documents(index, fields, "", 5).hits.count() == 0
+
+
 def test_delta_writes_little(spark, tmp_path):
     path = str(tmp_path / "i")
     index = segments.create(made_docs(spark, range(3000)), "_id", LAYOUT, path)

@@ -21,6 +21,31 @@ def test_markdown():
     assert len(dom.to_markdown("<div>" * 5000 + "deep" + "</div>" * 5000)) == 4
 
 
+def test_fetch_results_reach_the_records(spark):
+    base, waits = BASE, []
+
+    def get(url, timeout):
+        if url.endswith("/gone"):
+            return crawl.Fetched(html="<title>Gone</title>", status_code=404)
+        if url.endswith("/boom"):
+            raise TimeoutError("slow")
+        moves = ({"event_type": "request", "is_navigation_request": True, "url": url, "headers": {"cookie": "a=1; b = x=y ; a=2;c"}}, {"event_type": "response", "url": url})
+        return crawl.Fetched(html=f"<title>T{timeout}</title><p>Body</p>", status_code=200, redirected_url=f"{base}/login", redirected_status_code=200, requests=moves, response_headers={"server": "s"})
+
+    urls = spark.createDataFrame([(f"{BASE}/{n}", 1) for n in ("ok", "gone", "boom")], "url string, depth int")
+    got = crawl.fetch(urls, get, crawl.Tuning(2))
+    rows = {r["source_url"].rsplit("/", 1)[1]: r for r in crawl.page_records(crawl.fetched_rows(got.withColumn("success", crawl.came()), "agent", {"X": "1"}, [{"name": "n", "value": "v"}])).collect()}
+    ok, gone, boom = rows["ok"], rows["gone"], rows["boom"]
+    assert ok["success"] and ok["status_code"] == 200 and ok["redirected_url"] == f"{BASE}/login" and ok["title"] == "ok | T30"
+    assert ok["request_headers_final"] == {"cookie": "a=1; b = x=y ; a=2;c"} and ok["request_cookies_final"] == {"a": "2", "b": "x=y"} and ok["response_headers"] == {"server": "s"}
+    assert ok["request_headers_sent"] == {"X": "1", "User-Agent": "agent"} and [c.asDict() for c in ok["request_cookies_sent"]] == [{"name": "n", "value": "v", "domain": "", "path": ""}]
+    assert not gone["success"] and gone["error"] == "HTTP 404" and gone["status_code"] == 404
+    assert not boom["success"] and boom["error"] == "TimeoutError: slow" and boom["markdown"] == "" and boom["status_code"] is None
+    slow = crawl.one_fetch(lambda u: "x", crawl.Tuning(2, 0.2, 0.3, 60, False), waits.append)
+    assert slow("u") == crawl.Fetched("x", 200) and 0.2 <= waits[0] <= 0.5
+    assert crawl.one_fetch(get, crawl.Tuning(keep_requests=False))(f"{BASE}/ok").requests == ()
+
+
 def test_crawl_feeds_a_build_run(spark, tmp_path):
     site = {"/": "<title>Home</title><meta name='keywords' content='a, b'><a href='one'>1</a><a href='/two#x'>2</a><a href='https://else.example/'>e</a>", "/one": "<title>One</title><p>Body of one</p>", "/two": ""}
     table = spark.createDataFrame([(BASE + p, h) for p, h in site.items()], "url string, html string")
@@ -36,7 +61,7 @@ def test_crawl_feeds_a_build_run(spark, tmp_path):
     assert run["changes"].where("change_status = 'NEW'").count() == 3 and run["chunks"].count() == 2
     writers.write_crawl(spark, records, summary, str(tmp_path / "c"), BASE, 2, 800)
     assert spark.read.json(str(tmp_path / "c/pages")).count() == 3 and spark.read.json(str(tmp_path / "c/crawl")).first()["summary"]["saved_pages"] == 3
-    assert crawl.tuning(3, 10) == crawl.tuning(1, 150) == crawl.Tuning(2, 1.0, 60, False) and crawl.concurrency(1, 10) == 8
+    assert crawl.tuning(3, 10) == crawl.tuning(1, 150) == crawl.Tuning(2, 0.2, 0.3, 60, False) and crawl.concurrency(1, 10) == 8
 
 
 def test_readers_name_and_reject(spark, tmp_path):

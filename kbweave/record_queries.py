@@ -242,7 +242,7 @@ def q_first_filled(spark: SparkSession, d: str) -> DataFrame:
 
 @query(r"""
 SELECT url AS source_url, CASE WHEN page_id % 5 = 0 THEN 404 ELSE 200 END AS status_code, page_id % 5 <> 0 AND page_id % 7 <> 0 AS success, CASE WHEN page_id % 7 = 0 THEN 'TimeoutError: slow' WHEN page_id % 5 = 0 THEN 'HTTP 404' ELSE '' END AS error,
- CASE WHEN page_id % 7 = 0 OR page_id % 3 <> 0 THEN 0 ELSE 1 END AS n_cookies, trim(regexp_replace(regexp_extract(html, '<title>(.*?)</title>', 1), '\s+', ' ', 'g')) AS title FROM pages
+ CASE WHEN page_id % 7 = 0 OR page_id % 3 <> 0 THEN 0 ELSE 1 END AS n_cookies, trim(regexp_replace(replace(replace(replace(regexp_extract(html, '<title>(.*?)</title>', 1), '&lt;', '<'), '&gt;', '>'), '&amp;', '&'), '\s+', ' ', 'g')) AS title FROM pages
 """)
 def q_fetched_pages(spark: SparkSession, d: str) -> DataFrame:
     """Page records of what fetches brought: status, error, and the cookies of the navigation that the page ended with."""

@@ -222,6 +222,37 @@ def test_classes_decide_where_markup_is_silent(spark):
     assert len(big) > 200 and all(with_classes[i] == want[i] != without[i] for i in big)
 
 
+def test_headings_of_articles_stay(spark):
+    """Twelve articles with the same section headings and the same line in a tool bar: the headings are the articles', the line is not."""
+    page = "<body><div>Slogan of the site</div><article><h1>Title {0}</h1><h2>Introduction</h2><p>Text {0} begins</p><h3>Conclusion</h3><p>and ends {0}</p><div class='k'>Keep in touch</div></article></body>"
+    df = spark.createDataFrame([(i, f"https://h.example/{i}", page.format(i)) for i in range(12)], "page_id int, url string, html string")
+    got = {r["page_id"]: r["main_text"] for r in page_templates.extract_main_text(df).collect()}
+    assert got == {i: f"Title {i}\nIntroduction\nText {i} begins\nConclusion\nand ends {i}" for i in range(12)}
+
+
+def test_classes_raise_precision_where_nothing_is_marked(spark):
+    """The pages of the table with article and its like as plain blocks, and a constant slogan and imprint of no telling name on each page of a host: classes find them, and lose next to nothing of the articles."""
+    import re
+
+    host = lambda u: re.sub(r".*//([^/]*).*", r"\1", u)
+    plain = lambda h, u: re.sub(r"<(/?)(?:article|main)\b[^>]*>", r"<\1div>", h).replace("<body>", f"<body><div>Slogan of {host(u)}</div>").replace("</body>", f"<div>Imprint of {host(u)}</div></body>")
+    pages = rows_of("pages", "/root/testdata/sf0.01")
+    hosts = Counter(host(u) for _, u, _ in pages)
+    df = spark.createDataFrame([(i, u, plain(h, u)) for i, u, h in pages if hosts[host(u)] >= 4], "page_id long, url string, html string")
+    gold = {r["page_id"]: Counter(r["text"].split("\n")) for r in queries.op9_page_templates(spark, "/root/testdata/sf0.01").collect()}
+
+    def rates(settings):
+        hit = said = known = 0
+        for r in page_templates.extract_main_text(df, settings=settings).collect():
+            lines = Counter(r["main_text"].split("\n"))
+            hit, said, known = hit + (lines & gold[r["page_id"]]).total(), said + lines.total(), known + gold[r["page_id"]].total()
+        return hit / said, hit / known
+
+    precision, recall = rates(page_templates.Settings())
+    before, _ = rates(page_templates.Settings(min_size=10_000))
+    assert recall >= 0.99 and precision > before
+
+
 def test_classes_match_brute_force(spark):
     pages = [(u.split("/")[2], h) for _, u, h in rows_of("pages")]
     rng = random.Random(3)

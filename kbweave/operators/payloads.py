@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kbweave.functions.text import collapse, content_hash, empty_if_null, join_present, prefix_keywords, prefix_text, split_keywords
+from kbweave.functions.text import collapse, content_hash, empty_if_null, join_present, let, prefix_keywords, prefix_text, split_keywords
 from kbweave.functions.urls import is_login_redirect, last_path_param, path_text, record_path
 
 #: Keys that never become metadata, and prefixes of such keys.
@@ -30,13 +30,20 @@ def is_admitted(key: Column, value: Column) -> Column:
     named = ~key.isin(*SKIPPED_KEYS)
     for prefix in SKIPPED_PREFIXES:
         named = named & ~F.startswith(key, F.lit(prefix))
-    kind = F.schema_of_variant(value)
-    nested = kind.startswith("OBJECT") | kind.startswith("ARRAY")
-    said = F.try_variant_get(value, "$", "string")
-    text = (F.length(said) <= LONGEST_TEXT) | (F.length(collapse(said)) <= LONGEST_TEXT)
-    # a nested value is measured as JSON with a blank behind each colon and comma outside of strings
-    spaced = F.length(F.to_json(value)) + F.regexp_count(F.regexp_replace(F.to_json(value), '"(?:[^"\\\\]|\\\\.)*"', ""), F.lit("[:,]"))
-    return named & F.when(F.is_variant_null(value), True).when(kind == "STRING", text).when(nested, spaced <= LONGEST_JSON).otherwise(True)
+
+    def text_fits(said: Column) -> Column:
+        return (F.length(said) <= LONGEST_TEXT) | (F.length(collapse(said)) <= LONGEST_TEXT)
+
+    def json_fits(json: Column) -> Column:
+        """Measured with a blank behind each colon and comma outside of strings."""
+        blanks = F.regexp_count(F.regexp_replace(json, '"(?:[^"\\\\]|\\\\.)*"', ""), F.lit("[:,]"))
+        return F.when(F.length(json) > LONGEST_JSON, False).otherwise(F.length(json) + blanks <= LONGEST_JSON)
+
+    def of_kind(kind: Column) -> Column:
+        nested = kind.startswith("OBJECT") | kind.startswith("ARRAY")
+        return F.when(kind == "STRING", let(F.try_variant_get(value, "$", "string"), text_fits)).when(nested, let(F.to_json(value), json_fits)).otherwise(True)
+
+    return named & F.when(F.is_variant_null(value), True).otherwise(let(F.schema_of_variant(value), of_kind))
 
 
 def extras(record: Column, fixed: list[str]) -> Column:

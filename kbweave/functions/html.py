@@ -24,6 +24,8 @@ HEAD_PATTERNS = {
 }
 #: The references that are decoded without a UDF.
 REFERENCES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&nbsp;", " "), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&"))
+#: Those that markup itself needs.
+MARKUP_REFERENCES = (("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&"))
 
 
 @F.pandas_udf(T.StringType())
@@ -33,18 +35,18 @@ def _unescape(values):
     return values.map(lambda v: v if v is None else html.unescape(v))
 
 
-def unescape(x: Column, common_only: bool = False) -> Column:
-    """Character references to characters; `common_only` promises that only REFERENCES occur."""
-    if not common_only:
+def unescape(x: Column, common_only: bool = False, references: tuple[tuple[str, str], ...] | None = None) -> Column:
+    """Character references to characters; `common_only` promises that only REFERENCES occur, `references` are the ones to decode in order, others stay."""
+    if not common_only and references is None:
         return _unescape(x)
-    for name, char in REFERENCES:
+    for name, char in REFERENCES if references is None else references:
         x = F.replace(x, F.lit(name), F.lit(char))
     return x
 
 
-def head_field(html: Column, field: str, common_only: bool = False) -> Column:
+def head_field(html: Column, field: str, common_only: bool = False, references: tuple[tuple[str, str], ...] | None = None) -> Column:
     found = F.regexp_extract(empty_if_null(html), "(?is)" + HEAD_PATTERNS[field], 1)
-    return F.nullif(collapse(unescape(found, common_only)), F.lit(""))
+    return F.nullif(collapse(unescape(found, common_only, references)), F.lit(""))
 
 
 def head_metadata(html: Column, common_only: bool = False) -> Column:

@@ -118,11 +118,14 @@ def fetch(urls: DataFrame, get: Get, how: Tuning = Tuning()) -> DataFrame:
     return urls.repartition(how.concurrency, host).mapInPandas(run, "url string, depth int, " + ", ".join(f"{k} {v}" for k, v in RESULT.items()))
 
 
-def looked_up(urls: DataFrame, pages: DataFrame) -> DataFrame:
-    """urls(url, depth) with the columns of RESULT from a table (url, html) of pages fetched before, which may have the other columns too."""
+def looked_up(urls: DataFrame, pages: DataFrame, by: tuple[str, ...] = ("url",)) -> DataFrame:
+    """urls(url, depth) with the columns of RESULT from a table (url, html) of pages fetched before, which may have the other columns too.
+
+    `by` are the columns that name a fetch, in both tables; a table that holds several fetches of a URL needs more than the URL.
+    """
     have = {c.lower() for c in pages.columns}
-    kept = pages.select("url", *[F.col(n).cast(t).alias(n) if n in have else F.lit(None).cast(t).alias(n) for n, t in RESULT.items()])
-    joined = urls.join(kept, "url", "left")
+    kept = pages.select(*by, *[F.col(n).cast(t).alias(n) if n in have else F.lit(None).cast(t).alias(n) for n, t in RESULT.items()])
+    joined = urls.join(kept, [*by], "left")
     status = F.coalesce("status_code", F.when((F.coalesce("html", F.lit("")) != "") & (F.coalesce("error", F.lit("")) == ""), 200))
     return joined.withColumn("status_code", status).select("url", "depth", *RESULT)
 
@@ -155,10 +158,13 @@ def came() -> Column:
     return (F.coalesce("html", F.lit("")) != "") & (F.coalesce("error", F.lit("")) == "")
 
 
-def fetched_rows(got: DataFrame, agent: str = "", headers: dict[str, str] | None = None, cookies: list[dict[str, str]] | None = None) -> DataFrame:
-    """What `page_records` reads, from crawled (url, depth, success and the columns of RESULT): head fields and markdown of the HTML, what was sent, and the headers and cookies of the last navigation."""
+def fetched_rows(got: DataFrame, agent: str = "", headers: dict[str, str] | None = None, cookies: list[dict[str, str]] | None = None, references: tuple[tuple[str, str], ...] | None = None) -> DataFrame:
+    """What `page_records` reads, from crawled (url, depth, success and the columns of RESULT): head fields and markdown of the HTML, what was sent, and the headers and cookies of the last navigation.
+
+    `references` are the character references that head fields decode, all of HTML by default.
+    """
     nothing = F.create_map().cast("map<string,string>")
-    head = lambda n: F.coalesce(head_field(F.col("html"), n), F.lit(""))
+    head = lambda n: F.coalesce(head_field(F.col("html"), n, references=references), F.lit(""))
     pairs = lambda m: F.create_map(*[F.lit(x) for kv in m.items() for x in kv]) if m else nothing
     sent = F.array(*[pairs(c) for c in cookies]) if cookies else F.array().cast("array<map<string,string>>")
     final = final_request_details(F.col("requests"), F.col("url"), F.col("redirected_url"))

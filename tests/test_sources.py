@@ -5,6 +5,7 @@ from __future__ import annotations
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from kbweave.functions import dom
 from kbweave.functions.urls import CrawlRules
@@ -93,3 +94,14 @@ def test_cron():
     with pytest.raises(ValueError):
         service.Scheduler(service.RunManager(lambda: 1), 60, "* * * * *")
     assert 0 < service.Scheduler(service.RunManager(lambda: 1), cron="* * * * *").wait() <= 60
+
+
+def test_each_fetch_of_a_url_is_looked_up_by_itself(spark, tmp_path):
+    from kbweave.functions import html
+    from kbweave.record_queries import q_fetched_pages
+
+    page = "<title>a &quot;b&quot; &amp;&amp;amp &lt;</title>"
+    spark.createDataFrame([(k, "https://www.example.com/x", page) for k in (1, 2, 5)], "page_id long, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    found = sorted((r["status_code"], r["title"]) for r in q_fetched_pages(spark, str(tmp_path)).collect())
+    assert found == [(k, "a &quot;b&quot; &&amp <") for k in (200, 200, 404)]
+    assert spark.createDataFrame([(page,)], "t string").select(html.head_field(F.col("t"), "title")).first()[0] == 'a "b" &&amp <'

@@ -148,6 +148,14 @@ def core_tokens(x: Column, enabled: bool = True, min_tokens: int = 4, stopwords:
     return let(tokenize(x), chosen)
 
 
+def _is_cta(line: Column) -> Column:
+    """Whether a lower-cased line is a short call to action."""
+    starts = F.startswith(line, F.lit(CTA_STARTERS[0]))
+    for s in CTA_STARTERS[1:]:
+        starts = starts | F.startswith(line, F.lit(s))
+    return starts & (F.length(line) <= 80)
+
+
 def sanitize_markdown(x: Column) -> Column:
     """Right-trimmed lines without consecutive repeats and without short calls to action that occur three times or more."""
 
@@ -155,14 +163,18 @@ def sanitize_markdown(x: Column) -> Column:
         return F.filter(lines, lambda line, i: (i == 0) | (strip(line) == "") | (line != F.get(lines, i - 1)))
 
     def keep(lines: Column) -> Column:
-        normal = F.transform(lines, lambda line: F.lower(strip(line)))
+        numbered = F.transform(lines, lambda line, i: F.struct(F.lower(strip(line)).alias("n"), i.alias("i"), line.alias("line")))
+        return let(numbered, lambda rows: F.when(F.size(F.filter(rows, lambda r: _is_cta(r["n"]))) >= 3, let(F.sort_array(rows), rarer)).otherwise(lines))
+
+    def rarer(rows: Column) -> Column:
+        """The lines in their order, from rows sorted by normal form, where a line of three or more stands within two places of its like."""
 
-        def stays(pair: Column) -> Column:
-            n = pair["n"]
-            cta = F.reduce(F.array(*[F.startswith(n, F.lit(s)) for s in CTA_STARTERS]), F.lit(False), lambda a, b: a | b)
-            return ~(cta & (F.length(n) <= 80) & (F.size(F.filter(normal, lambda m: m == n)) >= 3))
+        def stays(r: Column, j: Column) -> Column:
+            like = lambda k: F.coalesce(F.get(rows, j + k)["n"] == r["n"], F.lit(False))
+            return ~(_is_cta(r["n"]) & ((like(-2)) | (like(-1) & like(1)) | like(2)))
 
-        return F.transform(F.filter(F.arrays_zip(lines.alias("line"), normal.alias("n")), stays), lambda p: p["line"])
+        back = F.sort_array(F.transform(F.filter(rows, stays), lambda r: F.struct(r["i"].alias("i"), r["line"].alias("line"))))
+        return F.transform(back, lambda r: r["line"])
 
     lines = F.transform(F.split(F.regexp_replace(empty_if_null(x), "\r\n|\r", "\n"), "\n"), lambda line: F.regexp_replace(line, WS + "+$", ""))
     kept = let(let(lines, unrepeated), keep)

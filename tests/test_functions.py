@@ -170,3 +170,13 @@ def test_many_markers_equal_a_chain_of_searches(spark):
     shown = spark.createDataFrame([("A Gold phone case",), ("swiggy e-voucher",), ("bookmyshow",), ("nothing",)], "t string")
     assert [r[0] == r[1] for r in shown.select(classify.first_rule(F.col("t"), some, "x"), markers.first_rule_of_many(F.col("t"), some, "x")).collect()] == [True] * 4
     assert shown.select(markers.first_rule_of_many(F.col("t"), (("a", ()), ("b", ("",))), "x")).first()[0] == "b"
+
+
+def test_sanitize_is_not_quadratic_in_lines(spark):
+    import time
+
+    raw = "\n".join(f"read more {k % 4000}\nx{k}" for k in range(12_000)) + "\nread more 4001\ny\nREAD more 4001"
+    one(spark, text.sanitize_markdown(F.col("t")), t="a")
+    start = time.time()
+    assert one(spark, text.sanitize_markdown(F.col("t")), t=raw) == "\n".join(f"x{k}" for k in range(12_000)) + "\nread more 4001\ny\nREAD more 4001"
+    assert time.time() - start < 20

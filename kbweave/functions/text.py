@@ -136,6 +136,17 @@ def tokenize(x: Column) -> Column:
     return F.regexp_extract_all(F.lower(x), F.lit("[a-z0-9]+"), F.lit(0))
 
 
+def counted(tokens: Column) -> Column:
+    """array<struct<term, tf, len>> of a list of tokens: each distinct one with its number and the list's length, from runs of the sorted list."""
+    none = F.array().cast("array<struct<term:string,tf:int,len:int>>")
+
+    def runs(ts: Column) -> Column:
+        starts = F.filter(F.sequence(F.lit(0), F.size(ts) - 1), lambda i: (i == 0) | (F.get(ts, i) != F.get(ts, i - 1)))
+        return let(starts, lambda at: F.transform(at, lambda i, k: F.struct(F.get(ts, i).alias("term"), (F.coalesce(F.get(at, k + 1), F.size(ts)) - i).alias("tf"), F.size(ts).alias("len"))))
+
+    return let(F.sort_array(tokens), lambda ts: F.when(F.size(ts) > 0, runs(ts)).otherwise(none))
+
+
 def core_tokens(x: Column, enabled: bool = True, min_tokens: int = 4, stopwords: tuple[str, ...] = STOPWORDS) -> Column:
     """Distinct meaningful tokens of a query that is long enough, else none."""
     if not enabled:

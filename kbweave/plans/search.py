@@ -186,11 +186,12 @@ def knn(docs: DataFrame, id_column: str, embedding: str, query: list[float], k:
     return chosen.select(F.col(id_column).alias("id"), ((1 + cosine) / 2).alias("score")).orderBy(F.desc("score"), "id").limit(k)
 
 
-def knn_queries(docs: DataFrame, queries: DataFrame, id_column: str, embedding: str, k: int, block: int = 512) -> DataFrame:
+def knn_queries(docs: DataFrame, queries: DataFrame, id_column: str, embedding: str, k: int, block: int = 512, most: int = 20_000) -> DataFrame:
     """(query, id, score): the k nearest rows of every row of `queries`(id, embedding), by cosine as (1 + cos) / 2, ties by id; exact.
 
     Queries and rows are packed into blocks of vectors, and each pair of blocks is one matrix product whose k best per query go on, so that what
-    travels is blocks and short lists, never all pairs. A task keeps one list per query of the blocks that it meets. Vectors must have one length.
+    travels is blocks and short lists, never all pairs. A task keeps one list per query of the blocks that it meets, and passes its lists on where they
+    are `most`; it looks at one pair of blocks at a time. Vectors must have one length.
     """
     packed = "ids array<bigint>, vectors binary, dims int"
 
@@ -208,14 +209,22 @@ def knn_queries(docs: DataFrame, queries: DataFrame, id_column: str, embedding:
     def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list[tuple[float, int]]] = {}
         for batch in batches:
-            for ids, vectors, dims, q_ids, q_vectors in zip(*(batch.column(c).to_pylist() for c in ("ids", "vectors", "dims", "q_ids", "q_vectors")), strict=True):
+            columns = [batch.column(c) for c in ("ids", "vectors", "dims", "q_ids", "q_vectors")]
+            for at in range(batch.num_rows):
+                ids, vectors, dims, q_ids, q_vectors = (c[at].as_py() for c in columns)
                 score = np.frombuffer(q_vectors).reshape(-1, dims) @ np.frombuffer(vectors).reshape(-1, dims).T
                 for q, row in zip(q_ids, score, strict=True):
                     near = np.flatnonzero(row >= np.partition(row, -k)[-k]) if len(row) > k else np.arange(len(row))
                     held[q] = sorted(held.get(q, []) + [(-float(row[j]), ids[j]) for j in near])[:k]
+                if len(held) >= most:
+                    yield listed(held)
+                    held = {}
+        if held:
+            yield listed(held)
+
+    def listed(held: dict[int, list[tuple[float, int]]]) -> pa.RecordBatch:
         rows = [(q, i, (1 - s) / 2) for q, found in held.items() for s, i in found]
-        if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.float64()), strict=True)], ["query", "id", "score"])
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.float64()), strict=True)], ["query", "id", "score"])
 
     pairs = pack(docs).crossJoin(pack(queries).toDF("q_ids", "q_vectors", "q_dims")).drop("q_dims")
     rank = F.row_number().over(W.partitionBy("query").orderBy(F.desc("score"), "id"))

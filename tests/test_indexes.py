@@ -290,3 +290,11 @@ def test_typeahead_needs_no_postings(spark, tmp_path):
     assert [r[0] for r in index.table("postings").select("field").distinct().collect()] == ["__state"]
     for typed in ("c", "travell", "gold ca"):
         assert [tuple(r) for r in indexed_search.suggest(index, typed).collect()] == [tuple(r) for r in search.suggest(docs, typed).collect()], typed
+
+
+def test_lists_that_are_passed_on_early_give_the_same_neighbours(spark):
+    rng = np.random.default_rng(5)
+    df = spark.createDataFrame([(i, rng.normal(size=6).tolist()) for i in range(300)], "id long, embedding array<double>")
+    asked = df.where("id % 5 = 0")
+    rows = lambda **how: sorted((r["query"], r["id"], round(r["score"], 9)) for r in search.knn_queries(df, asked, "id", "embedding", 4, **how).collect())
+    assert rows(block=32, most=7) == rows(block=512)

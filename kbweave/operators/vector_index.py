@@ -92,7 +92,7 @@ def nearest_lists(rows: DataFrame, embedding: str, centroids: np.ndarray, probes
             if batch.num_rows:
                 data = unit(as_matrix(batch.column(embedding), centroids.shape[1]))
                 score = data @ centroids.T
-                order = np.argsort(-score, axis=1, kind="stable")[:, :probes]
+                order = score.argmax(axis=1)[:, None] if probes == 1 else np.argsort(-score, axis=1, kind="stable")[:, :probes]
                 angle = np.arccos(np.clip(np.take_along_axis(score, order[:, :1], axis=1)[:, 0], -1, 1))
                 flat = lambda m, t: pa.ListArray.from_arrays(np.arange(0, m.size + 1, m.shape[1], dtype=np.int32), pa.array(m.ravel(), t))
                 yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in rest], flat(data, pa.float64()), flat(order, pa.int32()), pa.array(angle)], schema.names)

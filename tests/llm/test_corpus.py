@@ -353,6 +353,32 @@ def test_repeats_match_brute_force(spark, limit):
     assert [got[i] for i in range(len(texts))] == brute_repeats(texts)
 
 
+def test_repeats_of_very_common_passages(spark):
+    rng = random.Random(5)
+    word = lambda: rng.choice("abcdef") + str(rng.randrange(10**6))
+    passage, other = (" ".join(word() for _ in range(90)) for _ in range(2))
+    texts = [f"{word()} {passage} {' '.join(word() for _ in range(rng.randrange(80)))}" for _ in range(30)] + [other] * 30 + ["x" * 900, None, other[:399]]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    for often in (1, 29, 4096):
+        got = {r["doc_id"]: tuple(r)[1:] for r in repeats.remove_repeats(df, settings=repeats.Settings(often=often)).collect()}
+        assert [got[i] for i in range(len(texts))] == brute_repeats(texts)
+
+
+def test_rows_of_one_passage_do_not_meet_in_one_task(spark):
+    copies = spark.range(0, 6000, 1, 4).select(F.repeat(F.lit("abcd"), 100).alias("text"))
+    conf = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        windows, _ = repeats.repeated_windows(copies, "text", repeats.Settings())
+        tasks = [r["count"] for r in windows.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sum(tasks) == 6000 and max(tasks) < 3000
+
+
 def test_repeats_odd_input(spark):
     rows = repeats.remove_repeats(odd(spark), texts=True).collect()
     assert len(rows) == len(ODD)

@@ -48,7 +48,7 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 #: Changes with the form of the tables that stamps find again.
-FORMAT = "6"
+FORMAT = "7"
 
 
 def stamp(spark: SparkSession, path: str) -> str:

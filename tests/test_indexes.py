@@ -292,6 +292,29 @@ def test_typeahead_needs_no_postings(spark, tmp_path):
         assert [tuple(r) for r in indexed_search.suggest(index, typed).collect()] == [tuple(r) for r in search.suggest(docs, typed).collect()], typed
 
 
+def test_search_needs_no_words_and_no_bounds(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(segments, "FREQUENT", 20)
+    docs = made_docs(spark, range(200), 4)
+    index = segments.create(docs, "_id", indexed_search.SEARCHED, str(tmp_path / "i"))
+    whole = segments.create(docs, "_id", LAYOUT, str(tmp_path / "w"))
+    assert [index.table(t).count() for t in ("words", "tops", "impacts")] == [0, 0, 0] and whole.table("impacts").count() > 0
+    assert scores(index) == scores(whole)
+    got, want = ([(r["id"], round(r["score"], 9)) for r in indexed_search.best_documents(i, {"title": 3.0, "search_text": 1.0}, "gold card of", 7).hits.collect()] for i in (index, whole))
+    assert got == want and len(got) == 7
+    wanted = sorted(r["_id"] for r in docs.where(search.is_active() & search.metadata_filter("rav", SearchSettings(broad=True))).select("_id").collect())
+    assert sorted(r["id"] for r in indexed_search.candidates(index, "rav", SearchSettings(broad=True)).collect()) == wanted
+    grown = segments.apply_delta(index, made_docs(spark, [3, 900], 9), "_id", spark.createDataFrame([(5,)], "_id long"), merge=False)
+    merged = segments.merge_newest(grown, 2)
+    assert scores(grown) == scores(merged) and merged.table("impacts").count() == 0
+
+
+def test_a_share_writes_one_file_of_postings(spark, tmp_path):
+    """Fails where a share writes a file for each bucket of terms."""
+    index = segments.create(made_docs(spark, range(200)), "_id", LAYOUT, str(tmp_path / "i"))
+    files = index.table("postings").select(F.input_file_name().alias("f"), "term").distinct().collect()
+    assert len({r["f"] for r in files}) <= int(spark.conf.get("spark.sql.shuffle.partitions")) and len({r["term"] for r in files}) > 12
+
+
 def test_lists_that_are_passed_on_early_give_the_same_neighbours(spark):
     rng = np.random.default_rng(5)
     df = spark.createDataFrame([(i, rng.normal(size=6).tolist()) for i in range(300)], "id long, embedding array<double>")

@@ -136,6 +136,11 @@ def tokenize(x: Column) -> Column:
     return F.regexp_extract_all(F.lower(x), F.lit("[a-z0-9]+"), F.lit(0))
 
 
+def n_tokens(x: Column) -> Column:
+    """How many tokens a text has, without a list of them."""
+    return F.regexp_count(F.lower(x), F.lit("[a-z0-9]+"))
+
+
 def counted(tokens: Column) -> Column:
     """array<struct<term, tf, len>> of a list of tokens: each distinct one with its number and the list's length, from runs of the sorted list."""
     none = F.array().cast("array<struct<term:string,tf:int,len:int>>")

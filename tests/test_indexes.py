@@ -315,6 +315,17 @@ def test_a_share_writes_one_file_of_postings(spark, tmp_path):
     assert len({r["f"] for r in files}) <= int(spark.conf.get("spark.sql.shuffle.partitions")) and len({r["term"] for r in files}) > 12
 
 
+def test_many_terms_leave_the_pages_between_them_unread(spark, tmp_path):
+    """Fails where a long list of terms is looked up between its least and its greatest."""
+    rows = spark.range(0, 400, 1, 4).select("id", F.concat_ws(" ", F.transform(F.sequence(F.lit(0), F.lit(999)), lambda k: F.concat(F.lit("w"), (1000 + k).cast("string")))).alias("body"))
+    index = segments.create(rows, "id", Layout(text=("body",), impacts=False), str(tmp_path / "i"))
+    terms = [f"w10{k:02d}" for k in range(8)] + [f"w19{k}" for k in range(90, 98)]
+    found = index.postings(["body"], terms)
+    assert len(found.collect()) == 16 * 400
+    read = found._jdf.queryExecution().executedPlan().collectLeaves().apply(0).metrics().apply("numOutputRows").value()
+    assert read < 400 * 1000 / 2
+
+
 def test_lists_that_are_passed_on_early_give_the_same_neighbours(spark):
     rng = np.random.default_rng(5)
     df = spark.createDataFrame([(i, rng.normal(size=6).tolist()) for i in range(300)], "id long, embedding array<double>")
